@@ -241,3 +241,285 @@ FROM orders""")
 def q_quality_gate_report(spark, d):
     o = S.table(spark, d, "orders")
     return QA.quality_report(o, "o_orderkey", ("o_custkey", "o_orderdate", "o_totalprice"))
+
+
+# ---------------------------------------------------------------------------
+# Evaluation on labelled rows
+# ---------------------------------------------------------------------------
+
+from ..operators import evaluate as EV  # noqa: E402
+
+LABELLED_SQL = duck.spark_hash_long(f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount + 0.0 AS l_discount,
+  l_tax + 0.0 AS l_tax, CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) AS ship_days,
+  CAST(l_returnflag = 'R' AS INTEGER) AS label
+FROM lineitem""", "l_orderkey", "_h")
+LABELLED_SQL = f"SELECT * EXCLUDE (_h), {duck.split_label_sql('_h')} AS _split FROM ({LABELLED_SQL}) l"
+RULE_THRESHOLD = 0.05
+
+
+def _rule_scored(spark, d):
+    li = S.labelled_rows(spark, d)
+    return li.withColumns({"score": F.col("l_discount") + F.col("l_tax"),
+                           "prediction": (F.col("l_discount") >= RULE_THRESHOLD).cast("int")})
+
+
+def _ratio_sql(num, den):
+    return f"CASE WHEN ({den}) > 0 THEN CAST({num} AS DOUBLE) / ({den}) ELSE 0.0 END"
+
+
+CONFUSION_SQL = f"""
+SELECT _split, tp, fp, tn, fn, n_classes,
+  {r(_ratio_sql('tp + tn', 'tp + fp + tn + fn'), 'accuracy')},
+  {r(_ratio_sql('tp', 'tp + fp'), 'precision')},
+  {r(_ratio_sql('tp', 'tp + fn'), 'recall')},
+  {r(_ratio_sql('2 * tp', '2 * tp + fp + fn'), 'f1')}
+FROM (
+  SELECT _split,
+    count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+    count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+    count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+    count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+    count(DISTINCT label) AS n_classes
+  FROM (SELECT *, CAST(l_discount >= {RULE_THRESHOLD} AS INTEGER) AS prediction FROM ({LABELLED_SQL}) a) b
+  GROUP BY _split) c"""
+
+
+@register("confusion_metrics", CONFUSION_SQL)
+def q_confusion_metrics(spark, d):
+    return rounded(EV.confusion_metrics(_rule_scored(spark, d), "label", "prediction", ["_split"]))
+
+
+AUC_SQL = f"""
+WITH s AS (SELECT _split, l_discount + l_tax AS score, label FROM ({LABELLED_SQL}) a),
+ranked AS (SELECT _split, label, rank() OVER (PARTITION BY _split ORDER BY score) AS lo,
+                  count(*) OVER (PARTITION BY _split ORDER BY score RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi
+           FROM s),
+agg AS (SELECT _split, sum(label) AS n_pos, sum(1 - label) AS n_neg,
+               sum(CASE WHEN label = 1 THEN (lo + hi) / 2.0 ELSE 0 END) AS pos_rank_sum
+        FROM ranked GROUP BY _split)
+SELECT _split, n_pos, n_neg,
+  {r('CASE WHEN n_pos > 0 AND n_neg > 0 THEN (pos_rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) ELSE 0.0 END', 'auc')}
+FROM agg"""
+
+
+@register("auc_rank", AUC_SQL)
+def q_auc_rank(spark, d):
+    return rounded(EV.roc_auc(_rule_scored(spark, d), "label", "score", ["_split"]))
+
+
+@register("scaler_stats", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{f}' AS feature, {r(f'avg({f})', 'mean')}, {r(f'stddev_pop({f})', 'std')} "
+    f"FROM ({LABELLED_SQL}) a WHERE _split = 'train'" for i, f in enumerate(S.LABEL_FEATURES)) + ") u")
+def q_scaler_stats(spark, d):
+    li = S.labelled_rows(spark, d).filter(F.col("_split") == "train")
+    return rounded(EV.scaler_stats(li, list(S.LABEL_FEATURES)))
+
+
+@register("scaled_features", f"""
+WITH st AS (SELECT {", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in S.LABEL_FEATURES)}
+            FROM ({LABELLED_SQL}) a WHERE _split = 'train')
+SELECT l_orderkey, l_linenumber,
+  {", ".join(r(f"({f} - m_{f}) / CASE WHEN s_{f} IS NULL OR s_{f} = 0 THEN 1 ELSE s_{f} END", f)
+             for f in S.LABEL_FEATURES)}
+FROM ({LABELLED_SQL}) a, st""")
+def q_scaled_features(spark, d):
+    li = S.labelled_rows(spark, d)
+    stats = EV.scaler_stats(li.filter(F.col("_split") == "train"), list(S.LABEL_FEATURES))
+    return rounded(EV.standardize(li, stats, list(S.LABEL_FEATURES), keep=("l_orderkey", "l_linenumber")))
+
+
+# ---------------------------------------------------------------------------
+# Operational rollups over the request log
+# ---------------------------------------------------------------------------
+
+from ..operators import ops as OP  # noqa: E402
+
+LOG_SQL = S.REQUEST_LOG_SQL
+SLIDE_SQL = f"""
+SELECT l.*, time_bucket(INTERVAL '1 minute', ts) - to_minutes(t.k) AS window_start,
+       time_bucket(INTERVAL '1 minute', ts) - to_minutes(t.k) + INTERVAL '5 minutes' AS window_end
+FROM ({LOG_SQL}) l CROSS JOIN (SELECT range AS k FROM range(5)) t"""
+DAY_SQL = f"""
+SELECT l.*, time_bucket(INTERVAL '1 day', ts) AS window_start,
+       time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end
+FROM ({LOG_SQL}) l"""
+
+
+@register("requests_per_second", f"""
+SELECT window_start, window_end, count(*) AS requests, {r('count(*) / 300.0', 'per_second')}
+FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end""")
+def q_requests_per_second(spark, d):
+    return rounded(OP.request_rate(S.request_log(spark, d)))
+
+
+@register("rps_by_status", f"""
+SELECT window_start, window_end, status_code, count(*) AS requests, {r('count(*) / 300.0', 'per_second')}
+FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end, status_code""")
+def q_rps_by_status(spark, d):
+    return rounded(OP.request_rate(S.request_log(spark, d), by=("status_code",)))
+
+
+@register("request_counters", f"""
+SELECT http_method, http_path, status_code, count(*) AS requests
+FROM ({LOG_SQL}) l GROUP BY ALL""")
+def q_request_counters(spark, d):
+    return OP.request_counters(S.request_log(spark, d))
+
+
+ERR_RATIO_SQL = f"""
+SELECT window_start, window_end, count(*) AS requests,
+  count(*) FILTER (WHERE regexp_full_match(CAST(status_code AS VARCHAR), '5..')) AS errors
+FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end"""
+
+
+@register("error_ratio", f"""
+SELECT window_start, window_end, requests, errors, {r('errors / requests', 'error_ratio')},
+  CASE WHEN errors / requests >= {C.ERROR_RATIO_RED} THEN 'red'
+       WHEN errors / requests >= {C.ERROR_RATIO_YELLOW} THEN 'yellow' ELSE 'green' END AS band
+FROM ({ERR_RATIO_SQL}) e""")
+def q_error_ratio(spark, d):
+    return rounded(OP.error_ratio(S.request_log(spark, d)))
+
+
+@register("error_budget", f"""
+SELECT window_start, window_end, count(*) AS requests,
+  count(*) FILTER (WHERE NOT regexp_full_match(CAST(status_code AS VARCHAR), '5..')) AS ok_requests,
+  {r("1 - count(*) FILTER (WHERE NOT regexp_full_match(CAST(status_code AS VARCHAR), '5..')) / count(*)",
+     'budget_consumed')}
+FROM ({DAY_SQL}) w GROUP BY window_start, window_end""")
+def q_error_budget(spark, d):
+    return rounded(OP.error_budget(S.request_log(spark, d)))
+
+
+@register("predictions_per_minute", f"""
+SELECT window_start, window_end, count(*) AS requests, {r('count(*) / 5.0', 'per_minute')}
+FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end""")
+def q_predictions_per_minute(spark, d):
+    return rounded(OP.request_rate(S.request_log(spark, d), per="minute"))
+
+
+@register("class_distribution", f"""
+SELECT window_start, window_end, predicted_class, count(*) AS predictions,
+  {r('count(*) / sum(count(*)) OVER (PARTITION BY window_start, window_end)', 'share')}
+FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end, predicted_class""")
+def q_class_distribution(spark, d):
+    return rounded(OP.class_distribution(S.request_log(spark, d)))
+
+
+def _bucket_sql(value: str, bounds) -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {value} <= {float(b)!r}::DOUBLE) AS _le{i}" for i, b in enumerate(bounds))
+
+
+def _quantile_sql(q: float, bounds, alias: str) -> str:
+    cums = "[" + ", ".join(f"_le{i}" for i in range(len(bounds))) + "]"
+    les = "[" + ", ".join(f"{float(b)!r}::DOUBLE" for b in bounds) + "]"
+    n = len(bounds)
+    rank = f"({float(q)!r}::DOUBLE * _count)"
+    idx = f"len(list_filter({cums}, lambda c: c < {rank}))"
+    start = f"(CASE WHEN {idx} = 0 THEN 0.0 ELSE {les}[greatest({idx}, 1)] END)"
+    prev = f"(CASE WHEN {idx} = 0 THEN 0 ELSE {cums}[greatest({idx}, 1)] END)"
+    end = f"{les}[least({idx} + 1, {n})]"
+    cur = f"{cums}[least({idx} + 1, {n})]"
+    expr = (f"CASE WHEN _count = 0 THEN 'NaN'::DOUBLE WHEN {idx} >= {n} THEN {float(bounds[-1])!r}::DOUBLE "
+            f"ELSE {start} + ({end} - {start}) * ({rank} - {prev}) / ({cur} - {prev}) END")
+    return r(expr, alias)
+
+
+def _latency_quantiles_sql(src: str, keys: str, value: str, bounds, qs) -> str:
+    return f"""
+SELECT {keys}, _count AS observations, {", ".join(_quantile_sql(q, bounds, f"p{int(round(q * 100))}") for q in qs)}
+FROM (SELECT {keys}, {_bucket_sql(value, bounds)}, count({value}) AS _count FROM ({src}) s GROUP BY {keys}) a"""
+
+
+@register("latency_histogram", f"""
+SELECT http_method, http_path, {r('sum_seconds', 'sum_seconds')}, count, le, cumulative_count FROM (
+  SELECT http_method, http_path, sum(duration_s) AS sum_seconds, count(duration_s) AS count,
+    {_bucket_sql('duration_s', C.LATENCY_BUCKETS)}
+  FROM ({LOG_SQL}) l GROUP BY ALL) a,
+  LATERAL (SELECT unnest([{", ".join(repr(x) for x in OP.le_labels(C.LATENCY_BUCKETS))}]) AS le,
+                  unnest([{", ".join(f"_le{i}" for i in range(len(C.LATENCY_BUCKETS)))}, count]) AS cumulative_count) u""")
+def q_latency_histogram(spark, d):
+    return rounded(OP.latency_histogram(S.request_log(spark, d)))
+
+
+@register("latency_quantiles", _latency_quantiles_sql(SLIDE_SQL, "window_start, window_end", "duration_s",
+                                                      C.LATENCY_BUCKETS, (0.5, 0.95, 0.99)))
+def q_latency_quantiles(spark, d):
+    return rounded(OP.latency_quantiles(S.request_log(spark, d)))
+
+
+INFERENCE_SQL = f"""
+SELECT l.*, CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 1000 AS inference_s
+FROM ({SLIDE_SQL}) l JOIN events e ON e.event_id = l.request_seq"""
+
+
+def _inference_log(spark, d):
+    e = S.table(spark, d, "events").select(
+        F.col("event_id").alias("request_seq"),
+        (F.get_json_object("props", "$.k").try_cast("double") / 1000).alias("inference_s"))
+    return S.request_log(spark, d).join(e, "request_seq")
+
+
+@register("inference_quantiles", _latency_quantiles_sql(INFERENCE_SQL, "window_start, window_end", "inference_s",
+                                                        C.DEFAULT_BUCKETS, (0.5, 0.95)))
+def q_inference_quantiles(spark, d):
+    return rounded(OP.latency_quantiles(_inference_log(spark, d), "inference_s", (0.5, 0.95), C.DEFAULT_BUCKETS))
+
+
+@register("slowest_endpoints", f"""
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start, window_end ORDER BY p99 DESC, http_path) AS rank
+  FROM ({_latency_quantiles_sql(DAY_SQL, "window_start, window_end, http_path", "duration_s",
+                                C.LATENCY_BUCKETS, (0.99,))}) q) t WHERE rank <= 5""")
+def q_slowest_endpoints(spark, d):
+    return rounded(OP.slowest_endpoints(S.request_log(spark, d)))
+
+
+ALERT_SQL = f"""
+SELECT 'HighErrorRate' AS alertname, 'churn' AS namespace, 'page' AS severity, fires_at FROM (
+  SELECT window_end + to_minutes(t.k) AS fires_at, count(*) AS votes
+  FROM ({ERR_RATIO_SQL}) e CROSS JOIN (SELECT range AS k FROM range(6)) t
+  WHERE errors / requests > {C.ERROR_RATIO_RED}
+  GROUP BY 1) v WHERE votes = 6"""
+
+
+@register("error_alert", ALERT_SQL)
+def q_error_alert(spark, d):
+    return OP.error_alert(S.request_log(spark, d))
+
+
+@register("alert_groups", f"""
+SELECT alertname, namespace, time_bucket(INTERVAL '1 day', fires_at) AS window_start,
+  count(*) AS firing_instants, min(fires_at) AS first_firing, max(fires_at) AS last_firing
+FROM ({ALERT_SQL}) a GROUP BY ALL""")
+def q_alert_groups(spark, d):
+    return OP.alert_groups(OP.error_alert(S.request_log(spark, d)))
+
+
+def _log_lines(spark, d):
+    log = S.request_log(spark, d)
+    rid = F.concat(F.lit("req_"), F.substring(F.sha2(F.col("request_seq").cast("string"), 256), 1, 12))
+    line = F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.lit("info").alias("level"), F.lit("request_finished").alias("event"), rid.alias("request_id"),
+        "http_method", "http_path", "status_code",
+        F.round(F.col("duration_s") * 1000, 2).alias("duration_ms"), "predicted_class"))
+    bad = F.col("request_seq") % 101 == 0   # injected truncated lines
+    return log.select("request_seq", F.when(bad, F.substring(line, 1, 40)).otherwise(line).alias("value"))
+
+
+@register("log_parse", f"""
+SELECT request_seq,
+  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE 'req_' || substr(sha256(CAST(request_seq AS VARCHAR)), 1, 12) END
+    AS request_id,
+  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE http_path END AS http_path,
+  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE status_code END AS status_code,
+  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE round(duration_s * 1000, 2) END AS duration_ms,
+  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE ts END AS ts,
+  CAST(request_seq % 101 = 0 AS INTEGER) AS malformed
+FROM ({LOG_SQL}) l""")
+def q_log_parse(spark, d):
+    parsed = OP.parse_log(_log_lines(spark, d), keep=("request_seq",))
+    return parsed.select("request_seq", "request_id", "http_path", "status_code", "duration_ms", "ts",
+                         F.col("_bad_line").isNotNull().cast("int").alias("malformed"))
