@@ -60,7 +60,7 @@ def with_audit(df: DataFrame, n_columns: int = len(C.RAW_COLUMNS), sep: str = ",
     )
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_landing(spark: SparkSession, path, schema: T.StructType | None = None,
                  header: bool = True, sep: str = ",") -> DataFrame:
     """Batch read of landing CSV files into Bronze rows."""
     schema = schema or raw_schema()
@@ -154,3 +154,23 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
     except Exception:  # noqa: BLE001 -- no schema saved yet
         return None
     return T.StructType.fromJson(json.loads(row.value)) if row else None
+
+
+def read_evolving(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Batch read of landing files whose headers differ (S3).
+
+    CSV columns bind by position, so files are grouped by header variant,
+    each group is read with its own all-text schema, and the groups are
+    unioned by name (missing columns NULL).  Only file paths and the
+    distinct headers reach the driver.
+    """
+    heads = file_headers(spark, path).collect()          # one row per file
+    groups: dict[str, list[str]] = {}
+    for r in heads:
+        groups.setdefault(r.header, []).append(r.file_path)
+    out = None
+    for header in sorted(groups):
+        cols = tuple(c.strip() for c in header.split(sep))
+        df = read_landing(spark, groups[header], raw_schema(cols), True, sep)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
