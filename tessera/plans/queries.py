@@ -528,3 +528,4 @@ def q_log_parse(spark, d):
 # Query families defined in their own modules register themselves on import.
 from . import ingest_queries  # noqa: E402,F401
 from . import model_queries  # noqa: E402,F401
+from . import stream_queries  # noqa: E402,F401
