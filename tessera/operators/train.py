@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +28,23 @@ RUNS_SCHEMA = ("run_id string, experiment string, run_name string, family string
                "model_path string, signature string, started_at timestamp")
 
 
+def _impute(features) -> tuple[Imputer, list[str]]:
+    """Mean imputation fitted on the training split and kept in the artifact, so
+    rows with a missing feature are still scored (no row is dropped)."""
+    out = [f"{c}__imputed" for c in features]
+    return Imputer(inputCols=list(features), outputCols=out, strategy="mean"), out
+
+
 def rf_pipeline(features, label: str, n_estimators: int, max_depth: int, seed: int = 42) -> Pipeline:
     """Random forest (M3): sqrt feature subsets, gini, ``seed`` as in the notebook."""
+    imputer, cols = _impute(features)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
+        imputer,
+        VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_estimators,
-                               maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt"),
+                               maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
+                               # more nodes split per pass over the data, fewer passes for deep trees
+                               maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10),
     ])
 
 
@@ -44,8 +55,10 @@ def nn_pipeline(features, label: str, hidden_units: int, epochs: int, seed: int
     MLlib's perceptron has sigmoid hidden units, a softmax output and L-BFGS;
     dropout and batch size have no counterpart (same role, not same numbers).
     """
+    imputer, cols = _impute(features)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="keep"),
+        imputer,
+        VectorAssembler(inputCols=cols, outputCol="raw_features", handleInvalid="keep"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         MultilayerPerceptronClassifier(labelCol=label, featuresCol="features",
                                        layers=[len(features), hidden_units, 2], maxIter=epochs,
@@ -73,7 +86,7 @@ def _run_id(experiment: str, run_name: str, started: str) -> str:
 
 def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment: str,
              model_root: str | None = None, label: str = C.LABEL_COLUMN, features=None,
-             threshold: float = 0.5, parallelism: int = 2) -> DataFrame:
+             threshold: float = 0.5, parallelism: int = 3) -> DataFrame:
     """Fit one pipeline per grid point; returns run rows (M5-M9).
 
     ``threshold``: the notebook's NN used ``prob > 0.5`` (X12).  Metrics of
