@@ -449,22 +449,10 @@ def q_latency_quantiles(spark, d):
     return rounded(OP.latency_quantiles(S.request_log(spark, d)))
 
 
-INFERENCE_SQL = f"""
-SELECT l.*, CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 1000 AS inference_s
-FROM ({SLIDE_SQL}) l JOIN events e ON e.event_id = l.request_seq"""
-
-
-def _inference_log(spark, d):
-    e = S.table(spark, d, "events").select(
-        F.col("event_id").alias("request_seq"),
-        (F.get_json_object("props", "$.k").try_cast("double") / 1000).alias("inference_s"))
-    return S.request_log(spark, d).join(e, "request_seq")
-
-
-@register("inference_quantiles", _latency_quantiles_sql(INFERENCE_SQL, "window_start, window_end", "inference_s",
+@register("inference_quantiles", _latency_quantiles_sql(SLIDE_SQL, "window_start, window_end", "inference_s",
                                                         C.DEFAULT_BUCKETS, (0.5, 0.95)))
 def q_inference_quantiles(spark, d):
-    return rounded(OP.latency_quantiles(_inference_log(spark, d), "inference_s", (0.5, 0.95), C.DEFAULT_BUCKETS))
+    return rounded(OP.latency_quantiles(S.request_log(spark, d), "inference_s", (0.5, 0.95), C.DEFAULT_BUCKETS))
 
 
 @register("slowest_endpoints", f"""
