@@ -8,11 +8,12 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..operators import quality as QA
 from ..session import work_path
+from ..streaming.alerts import run_alert_stream
 from ..streaming.ops import run_to_parquet, windowed_counts
 from ..streaming.scoring import run_scoring_stream
 from . import standins as S
 from .model_queries import _CHECKED_SQL, _envelope_sql, _records
-from .queries import GOLD_DOUBLES, GOLD_SQL, ROUND, gold_churn, register, rounded
+from .queries import ALERT_SQL, GOLD_DOUBLES, GOLD_SQL, ROUND, gold_churn, register, rounded
 
 WATERMARK = "10 minutes"
 
@@ -27,6 +28,16 @@ def q_score_stream(spark, d):
     return spark.read.parquet(f"{root}/out/scored").drop("batch")
 
 
+def _events_stream(spark, d):
+    ev_schema = S.table(spark, d, "events").schema
+    # the file source lists a folder; the glob filter keeps the events file only
+    events = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
+                   .parquet(d.rstrip("/")))
+    return events.select(
+        F.col("ts"), F.concat(F.lit("/"), F.col("event_type")).alias("http_path"),
+        F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
+
+
 @register("ops_stream_windows", f"""
 WITH l AS ({S.REQUEST_LOG_SQL}),
 w AS (SELECT l.*, time_bucket(INTERVAL '1 minute', ts) - to_minutes(t.k) AS window_start
@@ -39,13 +50,7 @@ def q_ops_stream_windows(spark, d):
     """Closed windows only: the append stream holds back windows the final
     watermark (max event time - delay) has not passed yet."""
     root = work_path(spark, "ops_stream")
-    ev_schema = S.table(spark, d, "events").schema
-    # the file source lists a folder; the glob filter keeps the events file only
-    events = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-                   .parquet(d.rstrip("/")))
-    log = events.select(
-        F.col("ts"), F.concat(F.lit("/"), F.col("event_type")).alias("http_path"),
-        F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
+    log = _events_stream(spark, d)
     run_to_parquet(windowed_counts(log, WATERMARK), f"{root}/out", f"{root}/_checkpoint")
     out = spark.read.parquet(f"{root}/out")
     # back to the input's timestamp_ntz so both sides compare wall-clock values
@@ -53,6 +58,17 @@ def q_ops_stream_windows(spark, d):
                             "window_end": F.col("window_end").cast("timestamp_ntz")})
 
 
+@register("error_alert_stream", f"""
+SELECT alertname, fires_at FROM ({ALERT_SQL}) a
+WHERE fires_at <= (SELECT max(ts) FROM events) - INTERVAL '{WATERMARK}'""")
+def q_error_alert_stream(spark, d):
+    """The held alert as a stateful stream; instants up to the final watermark."""
+    root = work_path(spark, "alert_stream")
+    run_alert_stream(spark, _events_stream(spark, d), f"{root}/out", f"{root}/_checkpoint")
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("alertname", F.col("fires_at").cast("timestamp_ntz").alias("fires_at"))
+
+
 @register("preview_limit", f"""
 SELECT * REPLACE ({", ".join(f"round({c}, {ROUND}) AS {c}" for c in GOLD_DOUBLES)})
 FROM ({GOLD_SQL}) g ORDER BY customer_id LIMIT 10""")

@@ -7,7 +7,7 @@ from tessera.plans.oracle_compare import compare, duck_connect
 
 from .conftest import SMALL_SF
 
-SLOW = {"rf_grid_runs", "nn_grid_runs"}
+SLOW = {"rf_grid_runs", "nn_grid_runs", "registered_model_scoring"}
 
 
 @pytest.fixture(scope="module")
