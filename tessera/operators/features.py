@@ -52,3 +52,26 @@ def feature_columns(gold: DataFrame, exclude=(C.ID_COLUMN, C.LABEL_COLUMN, "_spl
 def split_counts(gold: DataFrame, split_col: str = "_split") -> DataFrame:
     """Rows per split (A4)."""
     return gold.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def form_to_features(form: DataFrame, keep=(), long_tenure=C.LONG_TENURE_MONTHS,
+                     high_spender=C.HIGH_SPENDER_MONTHLY) -> DataFrame:
+    """User-level form values -> the 22 scoring-contract fields.
+
+    The form carries numbers, 0/1 flags and the three categorical texts;
+    the derived fields reuse the Gold expressions (one code path for
+    training and serving, so no 2-decimal rounding of the ratio, X9).
+    """
+    cols = [F.col(k) for k in keep] + [
+        F.col("tenure_months").cast("int").alias("tenure_months"),
+        F.col("monthly_charges").cast("double").alias("monthly_charges"),
+        F.col("total_charges").cast("double").alias("total_charges"),
+        FX.safe_ratio("total_charges", "tenure_months", "monthly_charges").cast("double").alias("avg_charge_per_month"),
+        *[F.col(c).cast("int").alias(c) for c in ("senior_citizen", "partner", "dependents", "phone_service",
+                                                  "paperless_billing", "gender_male")],
+        FX.at_least("tenure_months", long_tenure).alias("is_long_tenure"),
+        FX.at_least("monthly_charges", high_spender).alias("is_high_spender"),
+    ]
+    for name, values in C.ONE_HOT_VOCABULARY.items():
+        cols += FX.one_hot(name, values)
+    return form.select(*cols)

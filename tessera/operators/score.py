@@ -15,6 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scoring import envelope, interpret_score, request_id, rule_prediction
 from .quality import apply_contract, output_contract_ok, split_by
@@ -48,7 +49,8 @@ def pandas_predictor(df: DataFrame, load: Callable[[], object], features, out_co
             pdf[out_col] = pd.Series(model.predict(pdf[feats])).astype("float64").values
             yield pdf
 
-    schema = df.schema.add(out_col, "double")
+    # a new StructType: StructType.add would mutate the frame's cached schema
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.DoubleType())])
     scored = df.mapInPandas(run, schema)
     return scored.withColumn("_pred", interpret_score(F.col(out_col))).drop(out_col)
 

@@ -325,3 +325,51 @@ def q_registered_model_scoring(spark, d):
     model, v = load_by_alias(reg, MODEL_NAME, "production", expected_schema=gold)
     scored = SC.score_model(gold, model)
     return SC.envelope_of(scored, C.ID_COLUMN, v, MODEL_NAME, keep=(C.ID_COLUMN,))
+
+
+# ---------------------------------------------------------------------------
+# Form values -> contract fields (P16), on the part table
+# ---------------------------------------------------------------------------
+
+def _part_form(spark, d):
+    """``part`` read as submitted forms: size = tenure, price/10 = monthly charge."""
+    p = S.table(spark, d, "part")
+    size = F.col("p_size")
+    return p.select(
+        "p_partkey",
+        size.alias("tenure_months"), (F.col("p_retailprice") / 10).alias("monthly_charges"),
+        (F.col("p_retailprice") * size / 10).alias("total_charges"),
+        (size >= 40).cast("int").alias("senior_citizen"), (size % 2).alias("partner"),
+        (size % 3 == 0).cast("int").alias("dependents"), F.lit(1).alias("phone_service"),
+        (size % 5 != 0).cast("int").alias("paperless_billing"), (size % 7 < 3).cast("int").alias("gender_male"),
+        F.when(size % 3 == 0, "dsl").when(size % 3 == 1, "fiber optic").otherwise("no").alias("internet_service"),
+        F.when(size < 12, "month-to-month").when(size < 30, "one year").otherwise("two year").alias("contract_type"),
+        F.lower(F.when(F.col("p_type") == "ECONOMY", "Electronic check").when(F.col("p_type") == "SMALL", "Mailed check")
+                 .when(F.col("p_type") == "LARGE", "Bank transfer").otherwise("Credit card")).alias("payment_method"))
+
+
+_FORM_SQL = """
+SELECT p_partkey, p_size AS tenure_months, p_retailprice / 10 AS monthly_charges,
+  p_retailprice * p_size / 10 AS total_charges,
+  CAST(p_size >= 40 AS INTEGER) AS senior_citizen, p_size % 2 AS partner, CAST(p_size % 3 = 0 AS INTEGER) AS dependents,
+  1 AS phone_service, CAST(p_size % 5 <> 0 AS INTEGER) AS paperless_billing, CAST(p_size % 7 < 3 AS INTEGER) AS gender_male,
+  CASE WHEN p_size % 3 = 0 THEN 'dsl' WHEN p_size % 3 = 1 THEN 'fiber optic' ELSE 'no' END AS internet_service,
+  CASE WHEN p_size < 12 THEN 'month-to-month' WHEN p_size < 30 THEN 'one year' ELSE 'two year' END AS contract_type,
+  lower(CASE WHEN p_type = 'ECONOMY' THEN 'Electronic check' WHEN p_type = 'SMALL' THEN 'Mailed check'
+             WHEN p_type = 'LARGE' THEN 'Bank transfer' ELSE 'Credit card' END) AS payment_method
+FROM part"""
+
+
+@register("feature_reshape", f"""
+SELECT p_partkey, tenure_months, {r('monthly_charges', 'monthly_charges')}, {r('total_charges', 'total_charges')},
+  {r('CASE WHEN tenure_months > 0 THEN total_charges / tenure_months ELSE monthly_charges END', 'avg_charge_per_month')},
+  senior_citizen, partner, dependents, phone_service, paperless_billing, gender_male,
+  CAST(tenure_months >= {C.LONG_TENURE_MONTHS} AS INTEGER) AS is_long_tenure,
+  CAST(monthly_charges >= {C.HIGH_SPENDER_MONTHLY} AS INTEGER) AS is_high_spender,
+  {", ".join(f"CAST({c} = '{v}' AS INTEGER) AS {c}_{v.replace(' ', '_').replace('-', '_')}"
+             for c, vals in C.ONE_HOT_VOCABULARY.items() for v in vals)}
+FROM ({_FORM_SQL}) f""")
+def q_feature_reshape(spark, d):
+    from ..operators.features import form_to_features
+
+    return rounded(form_to_features(_part_form(spark, d), keep=("p_partkey",)))

@@ -100,6 +100,34 @@ def to_csv_line(cols, sep: str = ",") -> Column:
 # Schema tracking and evolution (S3)
 # ---------------------------------------------------------------------------
 
+def _arrow_uri(path: str) -> str:
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    if path.startswith("s3a://") or path.startswith("s3n://"):
+        return "s3://" + path.split("://", 1)[1]
+    return path
+
+
+def _read_first_lines(it):
+    """Open each listed file and read up to its first newline (a few KB per file)."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in it:
+        heads = []
+        for p in pdf["path"]:
+            fs, rel = pafs.FileSystem.from_uri(_arrow_uri(p))
+            buf = b""
+            with fs.open_input_stream(rel, compression="detect") as f:
+                while b"\n" not in buf:
+                    chunk = f.read(1 << 16)
+                    if not chunk:
+                        break
+                    buf += chunk
+            heads.append(buf.split(b"\n", 1)[0].decode("utf-8").rstrip("\r"))
+        yield pd.DataFrame({"file_path": list(pdf["path"]), "header": heads})
+
+
 def _first_lines(it):
     import pandas as pd
 
@@ -114,13 +142,18 @@ def _first_lines(it):
         yield pd.DataFrame(rows, columns=["file_path", "header"])
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """Header line of every CSV file under ``path`` (path, header).
+def file_headers(spark: SparkSession, path: str, via_text: bool = False) -> DataFrame:
+    """Header line of every CSV file under ``path`` (file_path, header).
 
-    The first split of each file is read in file order, so the first line
-    seen per file in its task is the header; only splits starting at byte 0
-    are kept, so a large file contributes one split's rows, not all.
+    Default: the file listing (no content read) is spread over tasks and
+    each task reads only the first line of its files, so the cost follows
+    the number of files, not their bytes.  ``via_text`` uses Spark's text
+    reader instead (first split of each file, in file order) for
+    filesystems the Arrow reader cannot open.
     """
+    if not via_text:
+        files = landing_manifest(spark, path).select("path")
+        return files.mapInPandas(_read_first_lines, "file_path string, header string")
     txt = (spark.read.option("recursiveFileLookup", "true").text(path)
                 .select("value", F.col("_metadata.file_path").alias("file_path"),
                         F.col("_metadata.file_block_start").alias("block_start"))
