@@ -200,6 +200,17 @@ def q_upsert_latest(spark, d):
     return ds.read()
 
 
+@register("upsert_bucketed", LATEST_SQL)
+def q_upsert_bucketed(spark, d):
+    """Same upsert as ``upsert_latest``, rewriting only the key buckets each batch touches."""
+    t = TB.BucketedTable(spark, work_path(spark, "orders_bucketed"), "o_custkey", buckets=64)
+    o = S.table(spark, d, "orders").select(*ORDER_COLS)
+    first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    for part in (o.filter(first), o.filter(~first)):
+        t.upsert(part, ["o_orderdate", "o_orderkey"])
+    return t.read().select(*ORDER_COLS)
+
+
 @register("silver_stream_upsert", f"""
 SELECT customer_id, churn, {r('monthly_charges', 'monthly_charges')}, tenure_months FROM (
   SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN monthly_charges + 1 ELSE monthly_charges END AS monthly_charges,
