@@ -203,7 +203,7 @@ def q_upsert_latest(spark, d):
 @register("upsert_bucketed", LATEST_SQL)
 def q_upsert_bucketed(spark, d):
     """Same upsert as ``upsert_latest``, rewriting only the key buckets each batch touches."""
-    t = TB.BucketedTable(spark, work_path(spark, "orders_bucketed"), "o_custkey", buckets=64)
+    t = TB.BucketedTable(spark, work_path(spark, "orders_bucketed"), "o_custkey", buckets=8)
     o = S.table(spark, d, "orders").select(*ORDER_COLS)
     first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
     for part in (o.filter(first), o.filter(~first)):
@@ -222,9 +222,9 @@ def q_silver_stream_upsert(spark, d):
     ingest_available(spark, f"{root}/landing/*", f"{root}/bronze", f"{root}/_checkpoint/bronze",
                      max_files_per_trigger=1)
     bronze_schema = spark.read.parquet(f"{root}/bronze").schema
-    silver = TB.VersionedDataset(spark, f"{root}/silver")
+    silver = TB.BucketedTable(spark, f"{root}/silver", C.ID_COLUMN, buckets=8)
     run_silver_stream(spark, f"{root}/bronze", bronze_schema, silver, f"{root}/quarantine",
-                      f"{root}/_checkpoint/silver", max_files_per_trigger=1)
+                      f"{root}/_checkpoint/silver")
     s = silver.read()
     return s.select("customer_id", "churn", F.round("monthly_charges", ROUND).alias("monthly_charges"),
                     "tenure_months")

@@ -1,10 +1,12 @@
 """Bronze -> Silver incrementally (S20): a stream over the Bronze files whose
-``foreachBatch`` cleans the new rows and upserts them into a versioned Silver
-dataset (latest row per key over current Silver + the batch).
-
-Each batch writes a complete new Silver version, so a batch that is retried
-after a failure just writes another version with the same content; the
-quarantine append is keyed, so retries add nothing twice.
+``foreachBatch`` cleans the new rows and upserts them into Silver (latest row
+per key over current Silver + the batch).
+
+Silver is either a ``BucketedTable`` (default: a batch rewrites only the key
+buckets it touches) or a ``VersionedDataset`` (every batch writes a complete
+new snapshot).  Both are idempotent, so a batch retried after a failure
+gives the same Silver; the quarantine append is keyed, so retries add
+nothing twice.
 """
 
 from __future__ import annotations
@@ -16,12 +18,12 @@ from .. import config as C
 from ..operators.clean import normalize_churn, row_hash, upsert_latest
 from ..operators.quality import quarantine_split
 from ..sources.landing import CORRUPT
-from ..sources.tables import VersionedDataset, append_new
+from ..sources.tables import BucketedTable, VersionedDataset, append_new
 
 RECENCY = ["_ingest_ts", "_source_file", "_row_hash"]
 
 
-def silver_batch(silver: VersionedDataset, quarantine_path: str):
+def silver_batch(silver, quarantine_path: str):
     """The ``foreachBatch`` function of the Silver stream."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -29,16 +31,17 @@ def silver_batch(silver: VersionedDataset, quarantine_path: str):
         bad, good = quarantine_split(batch)
         typed = normalize_churn(good).withColumn("_row_hash", row_hash(C.RAW_COLUMNS))
         typed = typed.drop(*[c for c in (CORRUPT, "_rescued_data") if c in typed.columns])
-        current = silver.read()
-        merged = upsert_latest(current, typed, C.ID_COLUMN, RECENCY)
-        silver.write(merged)
+        if isinstance(silver, BucketedTable):
+            silver.upsert(typed, RECENCY)
+        else:
+            silver.write(upsert_latest(silver.read(), typed, C.ID_COLUMN, RECENCY))
         q = bad.withColumn("_q_hash", F.xxhash64(*[F.col(c) for c in C.RAW_COLUMNS + (CORRUPT,)]))
         append_new(spark, quarantine_path, q, ["_source_file", "_q_hash"])
 
     return run
 
 
-def run_silver_stream(spark: SparkSession, bronze_path: str, bronze_schema, silver: VersionedDataset,
+def run_silver_stream(spark: SparkSession, bronze_path: str, bronze_schema, silver: BucketedTable | VersionedDataset,
                       quarantine_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
                       timeout_s: int | None = None) -> None:
     reader = spark.readStream.schema(bronze_schema)
