@@ -181,6 +181,19 @@ def latency_quantiles(log: DataFrame, value: str = "duration_s", quantiles=(0.5,
                         for q in quantiles])
 
 
+def raw_latency_quantiles(log: DataFrame, value: str = "duration_s", quantiles=(0.5, 0.95, 0.99),
+                          by=(), duration: str | None = "5 minutes", slide: str | None = "1 minute",
+                          accuracy: int = 10000) -> DataFrame:
+    """Variant of O6 on the raw durations: ``percentile_approx`` per window
+    (mergeable sketches, partial then final), no bucket interpolation."""
+    src = windowed(log, "ts", duration, slide) if duration else log
+    keys = (["window_start", "window_end"] if duration else []) + list(by)
+    pct = F.percentile_approx(F.col(value), list(quantiles), accuracy)
+    agg = src.groupBy(*keys).agg(F.count(F.col(value)).alias("observations"), pct.alias("_q"))
+    return agg.select(*keys, "observations", *[F.col("_q")[i].alias(f"p{int(round(q * 100))}")
+                                               for i, q in enumerate(quantiles)])
+
+
 def slowest_endpoints(log: DataFrame, k: int = 5, q: float = 0.99, duration: str = "1 day",
                       value: str = "duration_s", bounds=C.LATENCY_BUCKETS) -> DataFrame:
     """Top-k paths by quantile latency per window."""

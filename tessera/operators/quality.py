@@ -50,11 +50,19 @@ def quarantine_split(bronze: DataFrame, quarantined_at=None, id_col: str = C.ID_
     return bad, good
 
 
-def quality_report(df: DataFrame, key: str, required: tuple[str, ...] = ()) -> DataFrame:
+def quality_report(df: DataFrame, key: str, required: tuple[str, ...] = (),
+                   approx_rsd: float | None = None) -> DataFrame:
     """One-row report in a single pass: rows, distinct keys, NULLs per required column,
-    and the gate verdicts (A2, A3, V2-V4)."""
+    and the gate verdicts (A2, A3, V2-V4).
+
+    ``approx_rsd`` switches the distinct count to ``approx_count_distinct``
+    (HyperLogLog, no shuffle of keys) for monitoring; the exact count stays
+    the gate's default.
+    """
+    distinct = (F.count_distinct(F.col(key)) if approx_rsd is None
+                else F.approx_count_distinct(F.col(key), approx_rsd))
     aggs = [F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(F.col(key)).alias("distinct_keys"),
+            distinct.alias("distinct_keys"),
             F.count_if(F.col(key).isNull()).alias("null_keys")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in required]
     # distinct().count() counts NULL as one more value; count_distinct does not.

@@ -140,3 +140,14 @@ def test_registry_flow(spark, tmp_path):
     assert (info.version, info.alias, info.flavor) == ("2", "production", "fam")
     tags = reg.versions().filter("version = 1").first().tags
     assert tags["val_f1"] == "0.7900" and tags["winning_family"] == "fam"
+
+
+def test_approx_distinct_and_raw_quantiles(spark):
+    from tessera.operators.quality import quality_report
+
+    df = spark.range(0, 20000).select((F.col("id") % 5000).alias("k"), (F.col("id") / 20000.0).alias("v"))
+    exact = quality_report(df, "k").first()
+    approx = quality_report(df, "k", approx_rsd=0.02).first()
+    assert exact.distinct_keys == 5000 and abs(approx.distinct_keys - 5000) < 5000 * 0.08
+    q = OP.raw_latency_quantiles(df.withColumn("ts", F.current_timestamp()), "v", (0.5, 0.99), duration=None).first()
+    assert q.observations == 20000 and abs(q.p50 - 0.5) < 0.01 and abs(q.p99 - 0.99) < 0.01
