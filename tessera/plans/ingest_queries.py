@@ -33,8 +33,9 @@ def _lines(text, malformed: bool = False):
 
 
 def _updates(text):
-    """Second landing batch: every fifth customer again, with new charges and churn."""
-    return (text.filter(F.col("c_custkey") % 5 == 0)
+    """Second landing batch: the partner customers (balance >= 5000) again, with
+    new charges and churn -- a data-driven change set, not an id sample."""
+    return (text.filter(F.col("partner") == "Yes")
                 .withColumns({"monthly_charges": (F.col("monthly_charges").try_cast("double") + 1).cast("string"),
                               "churn": F.lit("Yes")}))
 
@@ -60,7 +61,7 @@ SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS customer_id, gender, senior_citi
   payment_method, monthly, total, churn
 FROM ({S.CHURN_TYPED_SQL}) t"""
 _UPDATE_SQL = f"""
-SELECT * REPLACE (monthly + 1 AS monthly, 'Yes' AS churn) FROM ({_TEXT_SQL}) u WHERE c_custkey % 5 = 0"""
+SELECT * REPLACE (monthly + 1 AS monthly, 'Yes' AS churn) FROM ({_TEXT_SQL}) u WHERE partner = 'Yes'"""
 
 
 def _bronze_view_sql(src):
@@ -80,7 +81,7 @@ def q_bronze_stream_ingest(spark, d):
 
 
 @register("bronze_audit", """
-SELECT count(*) + (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0) AS total_rows,
+SELECT count(*) + (SELECT count(*) FROM customer WHERE c_acctbal >= 5000) AS total_rows,
        0 AS corrupt_rows, 3 AS source_files
 FROM customer""")
 def q_bronze_audit(spark, d):
@@ -175,7 +176,7 @@ def q_schema_evolution_merge(spark, d):
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id, churn, NULL::VARCHAR AS segment FROM ({S.CHURN_TYPED_SQL}) t
 UNION ALL
 SELECT CAST(t.c_custkey AS VARCHAR), 'Yes', c.c_mktsegment
-FROM ({S.CHURN_TYPED_SQL}) t JOIN customer c ON c.c_custkey = t.c_custkey WHERE t.c_custkey % 5 = 0""")
+FROM ({S.CHURN_TYPED_SQL}) t JOIN customer c ON c.c_custkey = t.c_custkey WHERE t.partner = 'Yes'""")
 def q_csv_schema_evolution(spark, d):
     root = work_path(spark, "csv_evolution")
     text = land(spark, d, f"{root}/landing")
@@ -213,8 +214,8 @@ def q_upsert_bucketed(spark, d):
 
 @register("silver_stream_upsert", f"""
 SELECT customer_id, churn, {r('monthly_charges', 'monthly_charges')}, tenure_months FROM (
-  SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN monthly_charges + 1 ELSE monthly_charges END AS monthly_charges,
-                    CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE churn END AS churn)
+  SELECT * REPLACE (CASE WHEN partner = 'yes' THEN monthly_charges + 1 ELSE monthly_charges END AS monthly_charges,
+                    CASE WHEN partner = 'yes' THEN 1 ELSE churn END AS churn)
   FROM ({SILVER_SQL}) s) x""")
 def q_silver_stream_upsert(spark, d):
     root = work_path(spark, "silver_stream")

@@ -511,9 +511,3 @@ def q_log_parse(spark, d):
     parsed = OP.parse_log(_log_lines(spark, d), keep=("request_seq",))
     return parsed.select("request_seq", "request_id", "http_path", "status_code", "duration_ms", "ts",
                          F.col("_bad_line").isNotNull().cast("int").alias("malformed"))
-
-
-# Query families defined in their own modules register themselves on import.
-from . import ingest_queries  # noqa: E402,F401
-from . import model_queries  # noqa: E402,F401
-from . import stream_queries  # noqa: E402,F401
