@@ -82,7 +82,7 @@ def q_bronze_stream_ingest(spark, d):
 
 @register("bronze_audit", """
 SELECT count(*) + (SELECT count(*) FROM customer WHERE c_acctbal >= 5000) AS total_rows,
-       0 AS corrupt_rows, 3 AS source_files
+       0::BIGINT AS corrupt_rows, 3::BIGINT AS source_files
 FROM customer""")
 def q_bronze_audit(spark, d):
     """The notebook's verify query: rows, corrupt rows, latest ingest, source files (A1).

@@ -104,7 +104,7 @@ def q_rule_grid_runs(spark, d):
 
 @register("leaderboard", f"""
 SELECT run_name, {r('val_f1', 'val_f1')}, {r('val_auc', 'val_auc')},
-  row_number() OVER (ORDER BY val_f1 DESC, run_name) AS rank
+  CAST(row_number() OVER (ORDER BY val_f1 DESC, run_name) AS INTEGER) AS rank
 FROM ({RULE_RUNS_SQL}) q ORDER BY val_f1 DESC, run_name LIMIT 10""")
 def q_leaderboard(spark, d):
     reg = RG.Registry(spark, work_path(spark, "registry"))
@@ -277,7 +277,7 @@ _CHECKED_SQL = f"SELECT *, {_contract_msgs_sql()} AS _errors FROM ({_RECORDS_SQL
 
 
 @register("contract_errors", f"""
-SELECT customer_id, len(_errors) AS n_errors, array_to_string(_errors, '; ') AS errors
+SELECT customer_id, CAST(len(_errors) AS INTEGER) AS n_errors, array_to_string(_errors, '; ') AS errors
 FROM ({_CHECKED_SQL}) c WHERE len(_errors) > 0""")
 def q_contract_errors(spark, d):
     checked = QA.apply_contract(_records(spark, d), keep=(C.ID_COLUMN,))

@@ -295,7 +295,7 @@ WITH s AS (SELECT _split, l_discount + l_tax AS score, label FROM ({LABELLED_SQL
 ranked AS (SELECT _split, label, rank() OVER (PARTITION BY _split ORDER BY score) AS lo,
                   count(*) OVER (PARTITION BY _split ORDER BY score RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi
            FROM s),
-agg AS (SELECT _split, sum(label) AS n_pos, sum(1 - label) AS n_neg,
+agg AS (SELECT _split, CAST(sum(label) AS BIGINT) AS n_pos, CAST(sum(1 - label) AS BIGINT) AS n_neg,
                sum(CASE WHEN label = 1 THEN (lo + hi) / 2.0 ELSE 0 END) AS pos_rank_sum
         FROM ranked GROUP BY _split)
 SELECT _split, n_pos, n_neg,
@@ -457,7 +457,8 @@ def q_inference_quantiles(spark, d):
 
 @register("slowest_endpoints", f"""
 SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY window_start, window_end ORDER BY p99 DESC, http_path) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY p99 DESC, http_path) AS INTEGER)
+    AS rank
   FROM ({_latency_quantiles_sql(DAY_SQL, "window_start, window_end, http_path", "duration_s",
                                 C.LATENCY_BUCKETS, (0.99,))}) q) t WHERE rank <= 5""")
 def q_slowest_endpoints(spark, d):
@@ -509,5 +510,6 @@ SELECT request_seq,
 FROM ({LOG_SQL}) l""")
 def q_log_parse(spark, d):
     parsed = OP.parse_log(_log_lines(spark, d), keep=("request_seq",))
-    return parsed.select("request_seq", "request_id", "http_path", "status_code", "duration_ms", "ts",
+    return parsed.select("request_seq", "request_id", "http_path", "status_code", "duration_ms",
+                         F.col("ts").cast("timestamp_ntz").alias("ts"),
                          F.col("_bad_line").isNotNull().cast("int").alias("malformed"))

@@ -19,7 +19,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SMALL_SF)
     res = compare(df, con, E.oracle_sql()[name])
-    assert res["rows_match"] and res["columns_match"] and res["hash_match"], res
+    assert res["rows_match"] and res["columns_match"] and res["hash_match"] and res["types_match"], res
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
