@@ -103,3 +103,20 @@ def q_schema_check(spark, d):
     g = gold_churn(spark, d)
     QA.assert_schema(g, gold_contract())
     return QA.schema_diff(g, gold_contract())
+
+
+@register("catalog_setup", f"""
+SELECT 'churn_gold' AS schema_name, 'customer_churn_features' AS table_name, _split, count(*) AS n_rows
+FROM ({GOLD_SQL}) g GROUP BY _split""")
+def q_catalog_setup(spark, d):
+    """Layer schemas (S14) and the Gold table registered in the gold layer, read back by name."""
+    from ..sources.tables import create_layers, register_table
+
+    layers = create_layers(spark, "churn").select("schema_name").collect()   # four names
+    assert len(layers) == 4
+    path = work_path(spark, "catalog", "customer_churn_features")
+    gold_churn(spark, d).write.partitionBy("_split").parquet(path)
+    name = register_table(spark, "churn_gold", "customer_churn_features", path)
+    return (spark.table(name).groupBy("_split").agg(F.count(F.lit(1)).alias("n_rows"))
+                 .select(F.lit("churn_gold").alias("schema_name"),
+                         F.lit("customer_churn_features").alias("table_name"), "_split", "n_rows"))

@@ -32,6 +32,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf = dict(_DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
+    # local runs keep catalog folders out of the working directory
+    conf.setdefault("spark.sql.warehouse.dir", os.path.join(os.environ.get("TESSERA_TMP", "/tmp"),
+                                                            "tessera-warehouse"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -160,3 +160,14 @@ class BucketedTable:
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("_bucket").parquet(self.path))
         return touched
+
+
+def register_table(spark: SparkSession, schema: str, table: str, path: str) -> str:
+    """Expose a Parquet dataset as ``schema.table`` (external: dropping the
+    name never deletes data).  Re-registering points the name at ``path``."""
+    name = f"{schema}.{table}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = '# Partition Information'").count():
+        spark.sql(f"REPAIR TABLE {name}")      # register the partition folders with the catalog
+    return name
