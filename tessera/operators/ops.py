@@ -261,13 +261,15 @@ LOG_SCHEMA = T.StructType([
 
 
 def parse_log(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
-    """JSON log lines -> typed columns; unparsable lines keep their text in ``_bad_line``."""
+    """JSON log lines -> typed columns; unparsable lines keep their text in ``_bad_line``.
+    ``ts`` is the UTC wall-clock time as ``timestamp_ntz``."""
     parsed = F.from_json(F.col(value), LOG_SCHEMA, {"mode": "PERMISSIVE"})
     df = lines.withColumn("_p", parsed)
     ok = F.col("_p.timestamp").isNotNull() & F.col("_p.event").isNotNull()
     return df.select(
         *[F.col(k) for k in keep],
         *[F.col(f"_p.{f.name}").alias(f.name) for f in LOG_SCHEMA.fields if f.name != "timestamp"],
-        F.to_timestamp(F.col("_p.timestamp")).alias("ts"),
+        # the service logs UTC ("...Z"): keep the UTC wall clock, whatever the session zone
+        F.to_timestamp_ntz(F.regexp_replace(F.col("_p.timestamp"), "Z$", "")).alias("ts"),
         F.when(~ok, F.col(value)).alias("_bad_line"),
     )

@@ -165,7 +165,7 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
 def q_schema_evolution_merge(spark, d):
     root = work_path(spark, "merge")
     o = S.table(spark, d, "orders")
-    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     o.filter(old).select("o_orderkey", "o_custkey", "o_totalprice").write.parquet(f"{root}/part=a")
     o.filter(~old).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").write.parquet(f"{root}/part=b")
     m = TB.read_merged(spark, root)
@@ -194,7 +194,7 @@ def q_csv_schema_evolution(spark, d):
 def q_upsert_latest(spark, d):
     ds = TB.VersionedDataset(spark, work_path(spark, "orders_silver"))
     o = S.table(spark, d, "orders").select(*ORDER_COLS)
-    first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     keys, recency = "o_custkey", ["o_orderdate", "o_orderkey"]
     ds.write(CL.upsert_latest(None, o.filter(first), keys, recency))
     ds.write(CL.upsert_latest(ds.read(), o.filter(~first), keys, recency))
@@ -206,7 +206,7 @@ def q_upsert_bucketed(spark, d):
     """Same upsert as ``upsert_latest``, rewriting only the key buckets each batch touches."""
     t = TB.BucketedTable(spark, work_path(spark, "orders_bucketed"), "o_custkey", buckets=8)
     o = S.table(spark, d, "orders").select(*ORDER_COLS)
-    first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     for part in (o.filter(first), o.filter(~first)):
         t.upsert(part, ["o_orderdate", "o_orderkey"])
     return t.read().select(*ORDER_COLS)

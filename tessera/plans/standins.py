@@ -73,7 +73,7 @@ def churn_feed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(nat % 4 == 2, F.lit("Bank transfer")).otherwise(F.lit("Credit card")).alias("payment_method"),
         (bal / 100).alias("monthly"),
         (F.col("total_price") / 1000).alias("total"),
-        yn(F.col("last_order") < F.lit(CHURN_CUTOFF).cast("timestamp")).alias("churn"),
+        yn(F.col("last_order") < F.lit(CHURN_CUTOFF).cast("timestamp_ntz")).alias("churn"),
     )
 
 
