@@ -35,16 +35,24 @@ def score_model(df: DataFrame, model: PipelineModel, threshold: float = 0.5) ->
     return out.select(*keep, interpret_score(p1, threshold).alias("_pred"))
 
 
-def pandas_predictor(df: DataFrame, load: Callable[[], object], features, out_col: str = "_score") -> DataFrame:
+# Models loaded by ``pandas_predictor``, per Python worker process (workers are reused).
+_WORKER_MODELS: dict = {}
+
+
+def pandas_predictor(df: DataFrame, load: Callable[[], object], features, out_col: str = "_score",
+                     model_key: str | None = None) -> DataFrame:
     """Vectorised foreign-model hook (U1): ``load()`` runs once per Python worker
-    process; ``model.predict(pdf[features])`` runs per Arrow batch."""
+    process (cached under ``model_key``); ``model.predict(pdf[features])`` runs
+    per Arrow batch."""
     feats = list(features)
-    cache: dict = {}
+    key = model_key or f"{getattr(load, '__module__', '')}.{getattr(load, '__qualname__', repr(load))}"
 
     def run(it):
-        model = cache.get("m")
+        from tessera.operators import score as _self
+
+        model = _self._WORKER_MODELS.get(key)
         if model is None:
-            model = cache["m"] = load()
+            model = _self._WORKER_MODELS[key] = load()
         for pdf in it:
             pdf[out_col] = pd.Series(model.predict(pdf[feats])).astype("float64").values
             yield pdf

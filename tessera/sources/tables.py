@@ -44,13 +44,22 @@ class VersionedDataset:
         self.spark, self.root = spark, root.rstrip("/")
 
     def versions(self) -> list[int]:
+        """Committed versions: written completely (``_SUCCESS``) and not rejected by a gate."""
         out = []
         for name in list_dirs(self.spark, self.root):
             if name.startswith("v") and name[1:].isdigit() and \
-                    path_exists(self.spark, f"{self.root}/{name}/_SUCCESS"):
+                    path_exists(self.spark, f"{self.root}/{name}/_SUCCESS") and \
+                    not path_exists(self.spark, f"{self.root}/{name}/_REJECTED"):
                 out.append(int(name[1:]))
         return sorted(out)
 
+    def reject(self, version: int, reason: str) -> None:
+        """Hide a written version (e.g. a failed quality gate); its files stay for inspection."""
+        fs, p, jvm = _fs(self.spark, f"{self.version_path(version)}/_REJECTED")
+        out = fs.create(p, True)
+        out.write(bytearray(reason.encode("utf-8")))
+        out.close()
+
     def current_version(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None

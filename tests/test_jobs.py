@@ -109,3 +109,19 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     after = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
     untouched = [f for f in before if not any(f"/_bucket={b}/" in f for b in touched)]
     assert untouched and all(after.get(f) == before[f] for f in untouched)
+
+
+def test_failed_gate_version_never_becomes_current(spark, tmp_path):
+    import pytest
+
+    from tessera.operators.quality import QualityGateError
+
+    d = str(tmp_path)
+    write_text(f"{d}/landing", "a.csv", SAMPLE_CSV)
+    bronze = L.read_landing(spark, f"{d}/landing")
+    silver = VersionedDataset(spark, f"{d}/silver")
+    run_silver(spark, bronze, silver, f"{d}/q")
+    empty = bronze.limit(0)
+    with pytest.raises(QualityGateError):
+        run_silver(spark, empty, silver, f"{d}/q")                 # no rows survive -> gate fails
+    assert silver.versions() == [1] and silver.read().count() == 20
