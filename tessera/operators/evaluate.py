@@ -4,10 +4,13 @@
 * ``roc_auc`` -- exact, tie-averaged ROC-AUC with the single-class guard.
   It needs, for each distinct score, the number of negatives scored lower:
   a prefix sum in score order.  A window ordered over the whole group would
-  put the group in one task, so scores are first split into range buckets
-  (approximate quantiles of the scores, one small array per group), bucket
-  totals are prefix-summed (few rows), and only the distinct scores of one
-  bucket meet in a task.  The result is exact; buckets only spread the work.
+  put the group in one task, so scores are split into range buckets
+  (approximate quantiles of the distinct scores, one small array per group);
+  the prefix runs inside each bucket, and the wins against lower buckets
+  come from bucket totals alone (sum of P_b x N_<b over a few rows), so the
+  data is never joined back to itself.  Exact; buckets only spread the work.
+* ``binary_metrics`` -- confusion counts at a threshold and the AUC from the
+  same per-score aggregate: one pass over the data for both.
 * ``scaler_stats`` / ``standardize`` -- mean and population std fitted on
   one split and applied as literals (the statistics are 2 numbers per
   feature, whatever the data size).
@@ -45,41 +48,89 @@ def confusion_metrics(df: DataFrame, label: str, prediction: str, group_cols=())
     })
 
 
-def roc_auc(df: DataFrame, label: str, score: str, group_cols=(), buckets: int = 64,
-            accuracy: int = 10000) -> DataFrame:
-    """Exact tie-averaged ROC-AUC per group; 0.0 when a group has one class."""
-    g = list(group_cols)
+def _per_score(df: DataFrame, label: str, score: str, g: list) -> DataFrame:
+    """One row per (group, distinct score): positives and negatives at that score."""
     y = F.col(label).cast("long")
-    # 1. one row per distinct score: positives and negatives at that score
-    per_score = df.groupBy(*g, F.col(score).alias("_s")).agg(
-        F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"))
-    # 2. range buckets from approximate quantiles of the distinct scores
+    return df.groupBy(*g, F.col(score).alias("_s")).agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"))
+
+
+def _bucket_totals(per_score: DataFrame, g: list, buckets: int, accuracy: int, extra=None) -> DataFrame:
+    """Per (group, score bucket): P, N and the within-bucket pairs won ``W``,
+    plus any ``extra`` additive per-score aggregates.
+
+    Bucket bounds are approximate quantiles of the distinct scores.  The
+    bounds aggregate also totals P and N, so it reads every column of the
+    per-score aggregate and Spark reuses that exchange instead of computing
+    it twice.
+    """
     probs = [i / buckets for i in range(1, buckets)]
-    if g:
-        # groups x buckets values; AQE broadcasts it when its measured size allows
-        bounds = per_score.groupBy(*g).agg(F.percentile_approx("_s", probs, accuracy).alias("_bounds"))
-        bucketed = per_score.join(bounds, g, "inner")
-    else:
-        arr = per_score.agg(F.percentile_approx("_s", probs, accuracy)).first()[0] or []
-        bucketed = per_score.withColumn("_bounds", F.array(*[F.lit(float(b)) for b in arr]).cast("array<double>"))
-    bucketed = bucketed.withColumn(
-        "_b", F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_s")))).drop("_bounds")
-    # 3. negatives in all lower buckets (prefix over at most `buckets` rows per group)
-    tot = bucketed.groupBy(*g, "_b").agg(F.sum("_neg").alias("_bneg"))
-    wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_neg_before_bucket", F.coalesce(F.sum("_bneg").over(wb), F.lit(0))).drop("_bneg")
-    # 4. negatives at lower scores inside the bucket
+    stats = per_score.groupBy(*g).agg(F.percentile_approx("_s", probs, accuracy).alias("_bounds"),
+                                      F.sum("_pos").alias("_p_tot"), F.sum("_neg").alias("_n_tot"))
+    # groups x buckets values: AQE broadcasts it when its measured size allows
+    bucketed = per_score.join(stats, g, "inner").withColumn(
+        "_b", F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_s"))))
     ws = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    scored = (bucketed.join(tot, g + ["_b"], "inner")
-                      .withColumn("_neg_below", F.col("_neg_before_bucket")
-                                  + F.coalesce(F.sum("_neg").over(ws), F.lit(0))))
-    # 5. pairs won by positives (ties count half)
-    out = scored.groupBy(*g).agg(
-        F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"),
-        F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") * 0.5)).alias("_won"))
-    auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-                 F.col("_won") / (F.col("n_pos") * F.col("n_neg"))).otherwise(F.lit(0.0))
-    return out.select(*g, "n_pos", "n_neg", auc.alias("auc"))
+    within = bucketed.withColumn("_nb", F.coalesce(F.sum("_neg").over(ws), F.lit(0)))
+    aggs = [F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
+            F.sum(F.col("_pos") * (F.col("_nb") + F.col("_neg") * 0.5)).alias("_W"),
+            F.first("_p_tot").alias("n_pos"), F.first("_n_tot").alias("n_neg")]
+    aggs += [c.alias(n) for n, c in (extra or {}).items()]
+    return within.groupBy(*g, "_b").agg(*aggs)
+
+
+def _won_pairs(per_bucket: DataFrame, g: list, extra=()) -> DataFrame:
+    """Pairs won per group: within-bucket wins plus P_b x negatives of all lower buckets
+    (a prefix over at most ``buckets`` rows per group)."""
+    wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    pb = per_bucket.withColumn("_n_lower", F.coalesce(F.sum("_N").over(wb), F.lit(0)))
+    return pb.groupBy(*g).agg(
+        F.sum(F.col("_W") + F.col("_P") * F.col("_n_lower")).alias("_won"),
+        F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"),
+        *[F.sum(c).alias(c) for c in extra])
+
+
+def _auc(won: DataFrame) -> Column:
+    return F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
+                  F.col("_won") / (F.col("n_pos") * F.col("n_neg"))).otherwise(F.lit(0.0))
+
+
+def roc_auc(df: DataFrame, label: str, score: str, group_cols=(), buckets: int = 64,
+            accuracy: int = 10000) -> DataFrame:
+    """Exact tie-averaged ROC-AUC per group; 0.0 when a group has one class."""
+    g = list(group_cols) or ["_g"]
+    src = df if group_cols else df.withColumn("_g", F.lit(0))
+    won = _won_pairs(_bucket_totals(_per_score(src, label, score, g), g, buckets, accuracy), g)
+    return won.select(*group_cols, "n_pos", "n_neg", _auc(won).alias("auc"))
+
+
+def binary_metrics(df: DataFrame, label: str, score: str, threshold, group_cols=(), strict: bool = False,
+                   buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """Confusion metrics of ``score >= threshold`` (``>`` when ``strict``) and the
+    exact ROC-AUC of ``score``, from one per-score aggregate -- one pass over
+    the data for both (A5, A6, A8, M7).  ``threshold`` is a number or a column
+    constant within each group."""
+    g = list(group_cols) or ["_g"]
+    src = df if group_cols else df.withColumn("_g", F.lit(0))
+    t = F.col(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
+    if isinstance(threshold, str) and threshold not in g:
+        g = g + [threshold]
+    hit = (F.col("_s") > t) if strict else (F.col("_s") >= t)
+    extra = {"tp": F.sum(F.when(hit, F.col("_pos")).otherwise(0)),
+             "fp": F.sum(F.when(hit, F.col("_neg")).otherwise(0)),
+             "fn": F.sum(F.when(~hit, F.col("_pos")).otherwise(0)),
+             "tn": F.sum(F.when(~hit, F.col("_neg")).otherwise(0))}
+    won = _won_pairs(_bucket_totals(_per_score(src, label, score, g), g, buckets, accuracy, extra), g,
+                     extra=tuple(extra))
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    keep = [c for c in g if c != "_g"]
+    return won.select(
+        *keep, "tp", "fp", "tn", "fn",
+        ((F.col("n_pos") > 0).cast("long") + (F.col("n_neg") > 0).cast("long")).alias("n_classes"),
+        _ratio((tp + tn).cast("double"), tp + fp + tn + fn).alias("accuracy"),
+        _ratio(tp.cast("double"), tp + fp).alias("precision"),
+        _ratio(tp.cast("double"), tp + fn).alias("recall"),
+        _ratio(2 * tp.cast("double"), 2 * tp + fp + fn).alias("f1"),
+        "n_pos", "n_neg", _auc(won).alias("auc"))
 
 
 def scaler_stats(df: DataFrame, features) -> DataFrame:

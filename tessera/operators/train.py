@@ -71,13 +71,12 @@ def positive_probability(df: DataFrame, col: str = "probability") -> DataFrame:
 
 
 def _split_metrics(scored: DataFrame, label: str, threshold: float, prefix: str) -> dict:
-    pred = (F.col("prob_1") > threshold).cast("int")
-    s = scored.withColumn("_pred", pred)
-    cm = EV.confusion_metrics(s, label, "_pred").first()
-    auc_row = EV.roc_auc(s, label, "prob_1").first()
-    return {f"{prefix}_accuracy": cm.accuracy, f"{prefix}_precision": cm.precision,
-            f"{prefix}_recall": cm.recall, f"{prefix}_f1": cm.f1,
-            f"{prefix}_auc": auc_row.auc if auc_row is not None else 0.0}
+    """Class metrics of ``prob > threshold`` and AUC of ``prob``, one pass."""
+    m = EV.binary_metrics(scored, label, "prob_1", threshold, strict=True).first()
+    if m is None:                                   # empty split
+        return {f"{prefix}_{k}": 0.0 for k in ("accuracy", "precision", "recall", "f1", "auc")}
+    return {f"{prefix}_accuracy": m.accuracy, f"{prefix}_precision": m.precision,
+            f"{prefix}_recall": m.recall, f"{prefix}_f1": m.f1, f"{prefix}_auc": m.auc}
 
 
 def _run_id(experiment: str, run_name: str, started: str) -> str:

@@ -41,10 +41,8 @@ def rule_sweep_metrics(spark, d):
     x = li.select("label", "l_discount", "l_tax", grid.alias("g")).select(
         "label", "g.*", F.when(F.col("g.feature") == "l_discount", F.col("l_discount"))
                          .otherwise(F.col("l_tax")).alias("score"))
-    x = x.withColumn("prediction", (F.col("score") >= F.col("threshold")).cast("int"))
-    cm = EV.confusion_metrics(x, "label", "prediction", ["run_name", "feature", "threshold"])
-    auc = EV.roc_auc(x, "label", "score", ["run_name"])
-    return cm.join(auc, "run_name")
+    # confusion counts at the run's threshold and the AUC of its score, one pass
+    return EV.binary_metrics(x, "label", "score", "threshold", ["run_name", "feature"])
 
 
 def rule_runs(spark, d):
