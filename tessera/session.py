@@ -41,6 +41,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -64,3 +65,44 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}" if leaf else uuid.uuid4().hex[:12]
     return f"{base}/tessera/{leaf}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in every Python worker (``addPyFile``).
+
+    Spark's Python workers run this package's code for the few Python
+    operators (header reader, alert state processor, model hook).  The
+    package is zipped in memory, written into the shared checkpoint folder
+    through the Hadoop filesystem API and registered once per application.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    target = work_path(spark, "pyfiles") + "/tessera.zip"
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(target)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    # Python processes started on the driver (e.g. the state processor's pre-init
+    # runner) take their environment from here rather than from the pyFiles list.
+    cur = sc.environment.get("PYTHONPATH", "")
+    if root not in cur.split(os.pathsep):
+        sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, cur) if p)
+    _SHIPPED.add(sc.applicationId)
