@@ -44,6 +44,13 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver: VersionedDataset,
     current, so Silver is written once instead of staged and written again.
     """
     ts = quarantined_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    # Bronze-side counts ride along with the Silver write (A2); labels other than
+    # yes/no are encoded 0 like the notebook does, and counted here.
+    label = F.lower(F.trim(F.col(C.LABEL_COLUMN)))
+    bronze_obs = Observation("bronze")
+    bronze = bronze.observe(bronze_obs, F.count(F.lit(1)).alias("bronze_rows"),
+                            F.count(F.col(CORRUPT)).alias("corrupt_rows"),
+                            F.count_if(label.isNull() | ~label.isin("yes", "no")).alias("unknown_labels"))
     clean, quarantine = silver_from_bronze(bronze, ts)
     obs = Observation("silver")
     version = silver.write(clean.observe(obs, F.count(F.lit(1)).alias("rows")))
@@ -57,7 +64,7 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver: VersionedDataset,
     q = quarantine.withColumn("_q_hash", F.xxhash64(*[F.col(c) for c in C.RAW_COLUMNS + (CORRUPT,)]))
     appended = append_new(spark, quarantine_path, q, key)
     return {"silver_version": version, "silver_rows": obs.get["rows"],
-            "quarantined": appended.count(), "report": report}
+            "quarantined": appended.count(), "report": report, "bronze": dict(bronze_obs.get)}
 
 
 def run_gold(silver: DataFrame, gold: VersionedDataset, **kw) -> int:

@@ -25,6 +25,8 @@ def test_silver_and_gold_jobs_are_rerunnable(spark, tmp_path):
     for run in (1, 2):
         out = run_silver(spark, spark.read.parquet(bronze_path), silver, f"{d}/quarantine")
         assert out["silver_version"] == run and out["silver_rows"] == 21
+        # 24 Bronze rows, 2 corrupt; 'maybe' and the short row's missing label are unknown
+        assert out["bronze"] == {"bronze_rows": 24, "corrupt_rows": 2, "unknown_labels": 2}
         assert out["quarantined"] == (3 if run == 1 else 0)       # second run appends nothing
         v = run_gold(silver.read(), gold)
         assert v == run
