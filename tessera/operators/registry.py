@@ -126,3 +126,21 @@ def leaderboard(runs: DataFrame, metric: str = "val_f1", k: int = 10, by=()) ->
         return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     w = Window.partitionBy(*by).orderBy(*order)
     return runs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def load_by_alias(reg: Registry, name: str, alias: str, expected_schema: DataFrame | None = None):
+    """Resolve ``name@alias``, load the pipeline artifact and check its input
+    signature against ``expected_schema`` (M15).  Returns (model, version)."""
+    import json
+
+    from pyspark.sql import types as T
+
+    from .quality import assert_schema
+    from .train import load_model
+
+    row = reg.resolve(name, alias).select("version", "model_path", "signature").first()
+    if row is None or row.model_path is None:
+        raise NoRunsError(f"{name}@{alias} does not resolve to a stored model")
+    if expected_schema is not None and row.signature:
+        assert_schema(expected_schema, T.StructType.fromJson(json.loads(row.signature)), allow_extra=True)
+    return load_model(row.model_path), str(row.version)

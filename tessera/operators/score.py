@@ -75,3 +75,15 @@ def contract_then_score(records: DataFrame, keep, predictor=score_rule):
     checked = apply_contract(records, keep=tuple(keep))
     bad, good = split_by(checked, F.size("_errors") > 0)
     return predictor(good.drop("_errors")), bad
+
+
+def choose_predictor(mock: bool, registry=None, name: str | None = None, alias: str = "production"):
+    """Predictor by configuration (C4): the rule predictor when ``mock``, else the
+    model registered as ``name@alias``.  Returns (predict function, envelope
+    metadata)."""
+    if mock:
+        return score_rule, {"model_name": "mock", "model_version": "0"}
+    from .registry import load_by_alias
+
+    model, version = load_by_alias(registry, name, alias)
+    return (lambda df: score_model(df, model)), {"model_name": name, "model_version": version}

@@ -294,21 +294,6 @@ def q_contract_valid(spark, d):
 # Train -> register -> alias -> load by alias -> score
 # ---------------------------------------------------------------------------
 
-def load_by_alias(reg: RG.Registry, name: str, alias: str, expected_schema=None):
-    """Resolve ``name@alias``, load the pipeline artifact and check its signature."""
-    from pyspark.sql import types as T
-
-    from ..operators.train import load_model
-
-    row = reg.resolve(name, alias).select("version", "model_path", "signature").first()
-    if row is None or row.model_path is None:
-        raise RG.NoRunsError(f"{name}@{alias} does not resolve to a stored model")
-    if expected_schema is not None:
-        sig = T.StructType.fromJson(__import__("json").loads(row.signature))
-        QA.assert_schema(expected_schema, sig, allow_extra=True)
-    return load_model(row.model_path), str(row.version)
-
-
 @register("registered_model_scoring", None)
 def q_registered_model_scoring(spark, d):
     """The whole model side on Gold: NN sweep with stored artifacts, best run by
@@ -320,7 +305,7 @@ def q_registered_model_scoring(spark, d):
                              model_root=f"{root}/models"))
     version = reg.register(reg.best_run("churn_experiments"), MODEL_NAME)
     reg.set_alias(MODEL_NAME, "production", version)
-    model, v = load_by_alias(reg, MODEL_NAME, "production", expected_schema=gold)
+    model, v = RG.load_by_alias(reg, MODEL_NAME, "production", expected_schema=gold)
     scored = SC.score_model(gold, model)
     return SC.envelope_of(scored, C.ID_COLUMN, v, MODEL_NAME, keep=(C.ID_COLUMN,))
 

@@ -127,3 +127,30 @@ def test_failed_gate_version_never_becomes_current(spark, tmp_path):
     with pytest.raises(QualityGateError):
         run_silver(spark, empty, silver, f"{d}/q")                 # no rows survive -> gate fails
     assert silver.versions() == [1] and silver.read().count() == 20
+
+
+def test_choose_predictor_mock_and_registered(spark, tmp_path):
+    from tessera.operators import registry as RG
+    from tessera.operators.clean import silver_from_bronze
+    from tessera.operators.features import gold_features
+    from tessera.operators.score import choose_predictor, envelope_of
+    from tessera.operators.train import fit_grid
+
+    d = str(tmp_path)
+    write_text(f"{d}/landing", "a.csv", SAMPLE_CSV)
+    silver, _ = silver_from_bronze(L.read_landing(spark, f"{d}/landing"))
+    gold = gold_features(silver).checkpoint(eager=True)
+
+    predict, meta = choose_predictor(True)
+    env = envelope_of(predict(gold), "customer_id", meta["model_version"], meta["model_name"], keep=("customer_id",))
+    assert env.filter("prediction = 1").count() == 8 and env.filter("output_ok = 1").count() == 20
+
+    reg = RG.Registry(spark, f"{d}/registry")
+    reg.log_runs(fit_grid(spark, gold, "random_forest", [{"n_estimators": 5, "max_depth": 2}], "exp",
+                          model_root=f"{d}/models"))
+    v = reg.register(reg.best_run("exp"), "m")
+    reg.set_alias("m", "production", v)
+    predict, meta = choose_predictor(False, reg, "m", "production")
+    env = envelope_of(predict(gold), "customer_id", meta["model_version"], meta["model_name"], keep=("customer_id",))
+    assert meta == {"model_name": "m", "model_version": "1"}
+    assert env.count() == 20 and env.filter("output_ok = 1").count() == 20
