@@ -29,10 +29,15 @@ def q_score_stream(spark, d):
 
 
 def _events_stream(spark, d):
+    from ..sources.tables import list_dirs
+
     ev_schema = S.table(spark, d, "events").schema
-    # the file source lists a folder; the glob filter keeps the events file only
-    events = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-                   .parquet(d.rstrip("/")))
+    base = d.rstrip("/")
+    if "events.parquet" in list_dirs(spark, base):        # a folder of part files
+        events = spark.readStream.schema(ev_schema).parquet(f"{base}/events.parquet")
+    else:
+        # one file: the file source lists a folder, the glob filter keeps that file
+        events = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(base)
     return events.select(
         F.col("ts"), F.concat(F.lit("/"), F.col("event_type")).alias("http_path"),
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
