@@ -107,7 +107,9 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
             pipe = nn_pipeline(features, label, **params)
             name = f"nn_h{params['hidden_units']}_d{params['dropout']}"
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        model = pipe.fit(train)
+        # copy(): the copied stages carry no training summary, whose session
+        # reference would otherwise ride along in every scoring task
+        model = pipe.fit(train).copy()
         metrics = _split_metrics(positive_probability(model.transform(val)), label, threshold, "val")
         metrics.update(_split_metrics(positive_probability(model.transform(test)), label, threshold, "test"))
         run_id = _run_id(experiment, name, started.isoformat())

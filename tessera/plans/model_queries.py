@@ -200,7 +200,8 @@ def q_score_model_batch(spark, d):
     feats = [c for c in C.GOLD_FEATURES]
     p = C.RF_GRID[0]
     model = TR.rf_pipeline(feats, C.LABEL_COLUMN, p["n_estimators"], p["max_depth"]).fit(
-        gold.filter(F.col("_split") == "train").withColumn(C.LABEL_COLUMN, F.col(C.LABEL_COLUMN).cast("double")))
+        gold.filter(F.col("_split") == "train").withColumn(C.LABEL_COLUMN, F.col(C.LABEL_COLUMN).cast("double"))
+    ).copy()                                  # drop the training summary before scoring
     scored = SC.score_model(gold, model)
     return SC.envelope_of(scored, C.ID_COLUMN, "1", MODEL_NAME, keep=(C.ID_COLUMN,))
 
