@@ -23,16 +23,20 @@ from pyspark.sql import types as T
 
 from .. import config as C
 
-FIVE_XX = r"^5..$"   # PromQL label regexes are fully anchored (P15)
-
 
 def le_labels(bounds) -> list[str]:
     """Bucket labels as the metrics exposition writes them, plus ``+Inf``."""
     return [repr(float(b)) for b in bounds] + ["+Inf"]
 
 
+def label_match(col, pattern: str) -> Column:
+    """PromQL ``label=~"pattern"``: the regex must match the whole value."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("string").rlike(f"^(?:{pattern})$")
+
+
 def is_5xx(status: str = "status_code") -> Column:
-    return F.col(status).cast("string").rlike(FIVE_XX)
+    return label_match(status, "5..")
 
 
 def windowed(df: DataFrame, ts: str = "ts", duration: str = "5 minutes",

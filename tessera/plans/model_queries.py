@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.scoring import request_id, rule_prediction
+from ..functions.scoring import rule_prediction
 from ..operators import evaluate as EV
 from ..operators import quality as QA
 from ..operators import registry as RG

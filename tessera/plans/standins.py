@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config as C
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -151,3 +151,10 @@ def test_approx_distinct_and_raw_quantiles(spark):
     assert exact.distinct_keys == 5000 and abs(approx.distinct_keys - 5000) < 5000 * 0.08
     q = OP.raw_latency_quantiles(df.withColumn("ts", F.current_timestamp()), "v", (0.5, 0.99), duration=None).first()
     assert q.observations == 20000 and abs(q.p50 - 0.5) < 0.01 and abs(q.p99 - 0.99) < 0.01
+
+
+def test_label_match_is_anchored(spark):
+    df = spark.createDataFrame([("500",), ("5000",), ("1500",), ("503",), ("backend-7f",), ("xbackend-1",)], "v string")
+    got = [r.v for r in df.filter(OP.label_match("v", "5..")).collect()]
+    assert got == ["500", "503"]
+    assert [r.v for r in df.filter(OP.label_match("v", "backend-.*")).collect()] == ["backend-7f"]
