@@ -79,14 +79,17 @@ def batch_bronze(spark: SparkSession, landing_path: str) -> DataFrame:
 
 def run_daily(spark: SparkSession, cfg, landing: str, quarantined_at: dt.datetime | None = None) -> dict:
     """The scheduled three-task job as one function: ingest new landing files
-    into Bronze (stream, availableNow), rebuild Silver, rebuild Gold (S16)."""
-    from ..streaming.bronze import ingest_available
+    into Bronze (stream, availableNow, tracked schema), rebuild Silver,
+    rebuild Gold (S16)."""
+    from ..streaming.bronze import ingest_tracking_schema
 
     bronze_path = cfg.layers.path("bronze", cfg.bronze_table)
-    ingest = ingest_available(spark, landing, bronze_path, cfg.layers.path("_checkpoints", cfg.bronze_table),
-                              max_files_per_trigger=cfg.max_files_per_trigger)
+    ingest = ingest_tracking_schema(spark, landing, bronze_path,
+                                    cfg.layers.path("_checkpoints", cfg.bronze_table),
+                                    cfg.layers.path("_schemas", cfg.bronze_table),
+                                    max_files_per_trigger=cfg.max_files_per_trigger)
     silver = VersionedDataset(spark, cfg.layers.path("silver", cfg.silver_table))
-    s = run_silver(spark, spark.read.parquet(bronze_path), silver,
+    s = run_silver(spark, spark.read.option("mergeSchema", "true").parquet(bronze_path), silver,
                    cfg.layers.path("silver", cfg.quarantine_table), quarantined_at)
     gold = VersionedDataset(spark, cfg.layers.path("gold", cfg.gold_table))
     g = run_gold(silver.read(), gold, long_tenure=cfg.long_tenure, high_spender=cfg.high_spender,

@@ -43,3 +43,22 @@ def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkp
         raise q.exception()
     rows = sum(p.get("numInputRows", 0) for p in q.recentProgress)
     return {"batches": len(q.recentProgress), "input_rows": rows}
+
+
+def ingest_tracking_schema(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
+                           schema_location: str, header: bool = True, sep: str = ",",
+                           max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> dict:
+    """Bronze ingest with schema tracking (S3): the column list is the saved one
+    widened by any new header names, persisted next to the checkpoint before
+    the stream runs.  New columns are expected at the end of the header; the
+    readers of Bronze use ``mergeSchema``."""
+    from ..sources.landing import evolve_schema, load_schema, save_schema
+
+    known = load_schema(spark, schema_location)
+    schema = evolve_schema(spark, landing_dir, known or raw_schema(), sep)
+    if known is None or [f.name for f in schema.fields] != [f.name for f in known.fields]:
+        save_schema(spark, schema, schema_location)
+    out = ingest_available(spark, landing_dir, bronze_path, checkpoint, schema, header, sep,
+                           max_files_per_trigger, timeout_s)
+    out["columns"] = [f.name for f in schema.fields if f.name != CORRUPT]
+    return out

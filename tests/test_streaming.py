@@ -24,3 +24,23 @@ def test_second_run_reads_only_new_files(spark, tmp_path):
     assert spark.read.parquet(bronze).count() == 25
     third = ingest_available(spark, land, bronze, ck)
     assert third["input_rows"] == 0
+
+
+def test_schema_tracking_widens_for_new_files(spark, tmp_path):
+    from tessera.sources.landing import load_schema
+    from tessera.streaming.bronze import ingest_tracking_schema
+
+    d = str(tmp_path)
+    land, bronze, ck, sl = f"{d}/landing", f"{d}/bronze", f"{d}/_ck", f"{d}/_schema"
+    write_text(land, "a.csv", SAMPLE_CSV)
+    first = ingest_tracking_schema(spark, land, bronze, ck, sl)
+    assert first["input_rows"] == 20 and "segment" not in first["columns"]
+    wide = SAMPLE_CSV.splitlines()[0] + ",segment\nC0031,Male,0,No,No,5,Yes,DSL,Month-to-month,Yes,Mailed check,20.00,100.00,No,retail\n"
+    write_text(land, "b.csv", wide)
+    second = ingest_tracking_schema(spark, land, bronze, ck, sl)
+    assert second["input_rows"] == 1 and second["columns"][-1] == "segment"
+    assert [f.name for f in load_schema(spark, sl).fields][-2:] == ["segment", "_corrupt_record"]
+    b = spark.read.option("mergeSchema", "true").parquet(bronze)
+    assert b.count() == 21
+    assert b.filter(F.col("segment") == "retail").select("customer_id").first()[0] == "C0031"
+    assert b.filter(F.col("_corrupt_record").isNotNull()).count() == 0
