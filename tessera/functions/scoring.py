@@ -32,8 +32,11 @@ def interpret_score(value: Column, threshold: float = 0.5) -> Column:
     return F.struct(cls.alias("prediction"), prob.alias("probability"))
 
 
-def request_id(key: Column) -> Column:
-    """Replayable correlation id ``req_`` + 12 hex chars derived from the row key."""
+def request_id(key: Column | None = None) -> Column:
+    """Correlation id ``req_`` + 12 hex chars (F15): derived from the row key, so a
+    replayed job reproduces it; without a key a random ``uuid()`` as the service did."""
+    if key is None:
+        return F.concat(F.lit("req_"), F.substring(F.regexp_replace(F.expr("uuid()"), "-", ""), 1, 12))
     return F.concat(F.lit("req_"), F.substring(F.sha2(key.cast("string"), 256), 1, 12))
 
 

@@ -91,9 +91,12 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
     ``threshold``: the notebook's NN used ``prob > 0.5`` (X12).  Metrics of
     the test split are reported as extra keys, never used for selection (X11).
     """
-    from .features import feature_columns
-
-    features = list(features or feature_columns(gold))
+    # The declared contract, not "every other column": a column added upstream by
+    # schema evolution must not slip into training unnoticed.
+    features = list(features or C.GOLD_FEATURES)
+    missing = [f for f in features if f not in gold.columns]
+    if missing:
+        raise ValueError(f"training input lacks contract features: {missing}")
     labelled = gold.withColumn(label, F.col(label).cast("double"))
     train = labelled.filter(F.col("_split") == "train")
     val = labelled.filter(F.col("_split") == "val")

@@ -158,3 +158,13 @@ def test_label_match_is_anchored(spark):
     got = [r.v for r in df.filter(OP.label_match("v", "5..")).collect()]
     assert got == ["500", "503"]
     assert [r.v for r in df.filter(OP.label_match("v", "backend-.*")).collect()] == ["backend-7f"]
+
+
+def test_request_id_forms(spark):
+    from tessera.functions.scoring import request_id
+
+    df = spark.range(3).select(request_id(F.col("id")).alias("a"), request_id().alias("b"))
+    rows = df.collect()
+    assert all(r.a.startswith("req_") and len(r.a) == 16 and len(r.b) == 16 for r in rows)
+    assert len({r.b for r in rows}) == 3
+    assert [r.a for r in rows] == [r.a for r in df.select("a").collect()]        # replayable
