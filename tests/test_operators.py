@@ -168,3 +168,17 @@ def test_request_id_forms(spark):
     assert all(r.a.startswith("req_") and len(r.a) == 16 and len(r.b) == 16 for r in rows)
     assert len({r.b for r in rows}) == 3
     assert [r.a for r in rows] == [r.a for r in df.select("a").collect()]        # replayable
+
+
+def test_failed_requests_count_but_have_no_latency(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    log = spark.createDataFrame(
+        [(t0, "POST", "/predict", 200, 0.02), (t0, "POST", "/predict", 500, None), (t0, "POST", "/predict", 200, 0.3)],
+        "ts timestamp_ntz, http_method string, http_path string, status_code int, duration_s double")
+    assert OP.request_counters(log).agg(F.sum("requests")).first()[0] == 3
+    h = {r.le: r.cumulative_count for r in OP.latency_histogram(log).collect()}
+    assert h["+Inf"] == 2 and h["0.025"] == 1 and h["0.5"] == 2
+    er = OP.error_ratio(log).filter(F.col("window_end") == F.lit("2024-01-01 00:01:00").cast("timestamp_ntz")).first()
+    assert (er.requests, er.errors) == (3, 1) and er.band == "red"
