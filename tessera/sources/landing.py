@@ -142,15 +142,21 @@ def _first_lines(it):
         yield pd.DataFrame(rows, columns=["file_path", "header"])
 
 
-def file_headers(spark: SparkSession, path: str, via_text: bool = False) -> DataFrame:
+_ARROW_SCHEMES = ("file:", "/", "s3:", "s3a:", "s3n:")
+
+
+def file_headers(spark: SparkSession, path: str, via_text: bool | None = None) -> DataFrame:
     """Header line of every CSV file under ``path`` (file_path, header).
 
     Default: the file listing (no content read) is spread over tasks and
     each task reads only the first line of its files, so the cost follows
     the number of files, not their bytes.  ``via_text`` uses Spark's text
     reader instead (first split of each file, in file order) for
-    filesystems the Arrow reader cannot open.
+    filesystems the Arrow reader cannot open; by default it is chosen for
+    any scheme other than local files and S3.
     """
+    if via_text is None:
+        via_text = not path.startswith(_ARROW_SCHEMES)
     if not via_text:
         files = landing_manifest(spark, path).select("path")
         return files.mapInPandas(_read_first_lines, "file_path string, header string")
