@@ -182,3 +182,14 @@ def test_failed_requests_count_but_have_no_latency(spark):
     assert h["+Inf"] == 2 and h["0.025"] == 1 and h["0.5"] == 2
     er = OP.error_ratio(log).filter(F.col("window_end") == F.lit("2024-01-01 00:01:00").cast("timestamp_ntz")).first()
     assert (er.requests, er.errors) == (3, 1) and er.band == "red"
+
+
+def test_quantile_without_observations_is_nan(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    log = spark.createDataFrame([(t0, None), (t0, None)], "ts timestamp_ntz, duration_s double")
+    r = OP.latency_quantiles(log, duration=None).first()
+    assert r.observations == 0 and math.isnan(r.p50) and math.isnan(r.p99)
+    one = spark.createDataFrame([(t0, 9.0)], "ts timestamp_ntz, duration_s double")
+    assert OP.latency_quantiles(one, duration=None).first().p99 == 2.5          # +Inf bucket -> top bound
