@@ -170,8 +170,9 @@ def file_headers(spark: SparkSession, path: str, via_text: bool | None = None) -
 def evolve_schema(spark: SparkSession, path: str, known: T.StructType | None,
                   sep: str = ",") -> T.StructType:
     """Union of the known column list and the header names of the files under
-    ``path``, in first-seen order; new columns are text.  Only the distinct
-    header variants reach the driver."""
+    ``path``: known columns keep their order, new names follow in the order
+    of the (sorted, so deterministic) header variants; new columns are text.
+    Only the distinct header variants reach the driver."""
     variants = [r.header for r in file_headers(spark, path).select("header").distinct().collect()]
     names = [f.name for f in known.fields if f.name != CORRUPT] if known else []
     for h in sorted(variants):
