@@ -193,3 +193,28 @@ def test_quantile_without_observations_is_nan(spark):
     assert r.observations == 0 and math.isnan(r.p50) and math.isnan(r.p99)
     one = spark.createDataFrame([(t0, 9.0)], "ts timestamp_ntz, duration_s double")
     assert OP.latency_quantiles(one, duration=None).first().p99 == 2.5          # +Inf bucket -> top bound
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_binary_metrics_brute_force(spark, strict):
+    random.seed(11)
+    rows = [(random.choice(["a", "b"]), random.randint(0, 1), random.choice([0.2, 0.5, 0.5, 0.7, round(random.random(), 1)]))
+            for _ in range(2000)]
+    df = spark.createDataFrame(rows, "g string, label int, score double")
+    got = {r.g: r for r in EV.binary_metrics(df, "label", "score", 0.5, ["g"], strict=strict, buckets=4).collect()}
+    for g in ("a", "b"):
+        sub = [(y, s) for gg, y, s in rows if gg == g]
+        hit = (lambda s: s > 0.5) if strict else (lambda s: s >= 0.5)
+        tp = sum(1 for y, s in sub if y == 1 and hit(s))
+        fp = sum(1 for y, s in sub if y == 0 and hit(s))
+        fn = sum(1 for y, s in sub if y == 1 and not hit(s))
+        tn = sum(1 for y, s in sub if y == 0 and not hit(s))
+        r = got[g]
+        assert (r.tp, r.fp, r.fn, r.tn) == (tp, fp, fn, tn)
+        assert r.f1 == pytest.approx(2 * tp / (2 * tp + fp + fn))
+        pos = [s for y, s in sub if y == 1]
+        neg = [s for y, s in sub if y == 0]
+        won = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+        assert r.auc == pytest.approx(won / (len(pos) * len(neg)), abs=1e-12)
+    whole = EV.binary_metrics(df, "label", "score", 0.5, strict=strict).first()
+    assert whole.tp == got["a"].tp + got["b"].tp
