@@ -154,6 +154,7 @@ class BucketedTable:
         return self.spark.read.parquet(self.path)
 
     def upsert(self, incoming: DataFrame, recency, strategy: str = "aggregate") -> list[int]:
+        """Merge ``incoming`` (latest row per key wins); returns the touched buckets."""
         from pyspark.sql import functions as F
 
         from ..operators.clean import latest_per_key
@@ -166,10 +167,19 @@ class BucketedTable:
             both = cur.unionByName(inc, allowMissingColumns=True)
         merged = latest_per_key(both, self.keys + ["_bucket"], recency, strategy)
         staged = merged.checkpoint(eager=True)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("_bucket").parquet(self.path))
+        self.replace(staged)
         return touched
 
+    def replace(self, df: DataFrame) -> None:
+        """Overwrite exactly the buckets present in ``df`` (which carries ``_bucket``)."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_bucket").parquet(self.path))
+
+    def read_buckets(self, buckets) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        return self.read().filter(F.col("_bucket").isin(list(buckets)))
+
 
 def register_table(spark: SparkSession, schema: str, table: str, path: str) -> str:
     """Expose a Parquet dataset as ``schema.table`` (external: dropping the

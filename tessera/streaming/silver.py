@@ -23,8 +23,11 @@ from ..sources.tables import BucketedTable, VersionedDataset, append_new
 RECENCY = ["_ingest_ts", "_source_file", "_row_hash"]
 
 
-def silver_batch(silver, quarantine_path: str):
-    """The ``foreachBatch`` function of the Silver stream."""
+def silver_batch(silver, quarantine_path: str, gold: BucketedTable | None = None, gold_kw: dict | None = None):
+    """The ``foreachBatch`` function of the Silver stream.  With a bucketed
+    ``gold`` table (same keys and bucket count as Silver), the Gold rows of
+    the touched buckets are recomputed too, so Gold follows Silver
+    incrementally."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -32,7 +35,12 @@ def silver_batch(silver, quarantine_path: str):
         typed = normalize_churn(good).withColumn("_row_hash", row_hash(C.RAW_COLUMNS))
         typed = typed.drop(*[c for c in (CORRUPT, "_rescued_data") if c in typed.columns])
         if isinstance(silver, BucketedTable):
-            silver.upsert(typed, RECENCY)
+            touched = silver.upsert(typed, RECENCY)
+            if gold is not None and touched:
+                from ..operators.features import gold_features
+
+                feats = gold_features(silver.read_buckets(touched), **(gold_kw or {}))
+                gold.replace(feats.withColumn("_bucket", gold.bucket()))
         else:
             silver.write(upsert_latest(silver.read(), typed, C.ID_COLUMN, RECENCY))
         q = bad.withColumn("_q_hash", F.xxhash64(*[F.col(c) for c in C.RAW_COLUMNS + (CORRUPT,)]))
@@ -43,12 +51,13 @@ def silver_batch(silver, quarantine_path: str):
 
 def run_silver_stream(spark: SparkSession, bronze_path: str, bronze_schema, silver: BucketedTable | VersionedDataset,
                       quarantine_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
-                      timeout_s: int | None = None) -> None:
+                      timeout_s: int | None = None, gold: BucketedTable | None = None,
+                      gold_kw: dict | None = None) -> None:
     reader = spark.readStream.schema(bronze_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (reader.parquet(bronze_path).writeStream
-               .foreachBatch(silver_batch(silver, quarantine_path))
+               .foreachBatch(silver_batch(silver, quarantine_path, gold, gold_kw))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
