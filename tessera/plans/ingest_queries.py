@@ -16,7 +16,8 @@ from ..sources import tables as TB
 from ..streaming.bronze import ingest_available
 from ..streaming.silver import run_silver_stream
 from . import standins as S
-from .queries import LATEST_SQL, ORDER_COLS, ROUND, SILVER_SQL, _QUAR_SQL, _quarantine_view, r, register
+from .queries import (GOLD_DOUBLES, LATEST_SQL, ORDER_COLS, ROUND, SILVER_SQL, _QUAR_SQL, _quarantine_view,
+                      gold_body_sql, r, register, rounded)
 
 HEADER = ",".join(C.RAW_COLUMNS)
 
@@ -229,3 +230,49 @@ def q_silver_stream_upsert(spark, d):
     s = silver.read()
     return s.select("customer_id", "churn", F.round("monthly_charges", ROUND).alias("monthly_charges"),
                     "tenure_months")
+
+
+# ---------------------------------------------------------------------------
+# The daily job end to end, full rebuild and incremental
+# ---------------------------------------------------------------------------
+
+_UPDATED_SILVER_SQL = f"""
+SELECT * REPLACE (CASE WHEN partner = 'yes' THEN monthly_charges + 1 ELSE monthly_charges END AS monthly_charges,
+                  CASE WHEN partner = 'yes' THEN 1 ELSE churn END AS churn)
+FROM ({SILVER_SQL}) s"""
+_DAILY_SQL = f"""
+SELECT * EXCLUDE (c_custkey) REPLACE ({", ".join(f"round({c}, {ROUND}) AS {c}" for c in GOLD_DOUBLES)})
+FROM ({gold_body_sql(_UPDATED_SILVER_SQL)}) g"""
+
+
+def _daily(spark, d, incremental: bool):
+    """Two days of landing files (base feed, then the update batch) through the
+    daily job; returns Gold without the split label."""
+    from ..config import JobConfig, Layers
+    from .medallion import run_daily
+
+    root = work_path(spark, "daily")
+    cfg = JobConfig(layers=Layers(root=f"{root}/lake"))
+    text = S.churn_text(spark, d)
+    L.write_landing(_lines(text), f"{root}/landing/0001", HEADER, 2)
+    run_daily(spark, cfg, f"{root}/landing", incremental=incremental, buckets=8)
+    L.write_landing(_lines(_updates(text)), f"{root}/landing/0002", HEADER, 1)
+    run_daily(spark, cfg, f"{root}/landing", incremental=incremental, buckets=8)
+    if incremental:
+        gold = TB.BucketedTable(spark, cfg.layers.path("gold", cfg.gold_table), C.ID_COLUMN, 8).read()
+    else:
+        gold = TB.VersionedDataset(spark, cfg.layers.path("gold", cfg.gold_table)).read()
+    from ..config import GOLD_FEATURES
+
+    cols = [C.ID_COLUMN, *[c for c in GOLD_FEATURES], C.LABEL_COLUMN]
+    return rounded(gold.select(*cols))
+
+
+@register("daily_full", _DAILY_SQL)
+def q_daily_full(spark, d):
+    return _daily(spark, d, incremental=False)
+
+
+@register("daily_incremental", _DAILY_SQL)
+def q_daily_incremental(spark, d):
+    return _daily(spark, d, incremental=True)

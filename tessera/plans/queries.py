@@ -74,7 +74,9 @@ def _dirty_reject_sql() -> str:
 SILVER_SQL = S.churn_silver_sql(False)
 SILVER_DIRTY_SQL = f"SELECT * FROM ({S.churn_silver_sql(True)}) x WHERE NOT {_dirty_reject_sql()}"
 
-GOLD_BODY_SQL = f"""
+def gold_body_sql(silver_sql: str) -> str:
+    """Gold feature columns (no split) over a Silver relation, as the oracle computes them."""
+    return f"""
 SELECT c_custkey, customer_id, senior_citizen,
   CAST(partner = 'yes' AS INTEGER) AS partner, CAST(dependents = 'yes' AS INTEGER) AS dependents,
   tenure_months, CAST(phone_service = 'yes' AS INTEGER) AS phone_service,
@@ -86,7 +88,10 @@ SELECT c_custkey, customer_id, senior_citizen,
   CAST(gender = 'male' AS INTEGER) AS gender_male,
   {", ".join(f"CAST({c} = '{v}' AS INTEGER) AS {FX.one_hot_name(c, v)}"
              for c, vals in C.ONE_HOT_VOCABULARY.items() for v in vals)}
-FROM ({SILVER_SQL}) s"""
+FROM ({silver_sql}) s"""
+
+
+GOLD_BODY_SQL = gold_body_sql(SILVER_SQL)
 
 GOLD_SQL = f"""
 SELECT * EXCLUDE (c_custkey, _h), {duck.split_label_sql('_h')} AS _split

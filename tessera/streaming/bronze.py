@@ -19,7 +19,9 @@ def bronze_source(spark: SparkSession, landing: str, schema: T.StructType | None
                   header: bool = True, sep: str = ",", max_files_per_trigger: int | None = None) -> DataFrame:
     schema = schema or raw_schema()
     n = len([f for f in schema.fields if f.name != CORRUPT])
-    reader = spark.readStream.schema(schema).options(**csv_options(header, sep))
+    # landing zones are often foldered by day: pick files up at any depth
+    reader = (spark.readStream.schema(schema).options(**csv_options(header, sep))
+                   .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return with_audit(reader.csv(landing), n, sep)
