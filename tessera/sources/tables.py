@@ -87,17 +87,25 @@ def read_merged(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def append_new(spark: SparkSession, path: str, df: DataFrame, key_cols) -> DataFrame:
+def append_new(spark: SparkSession, path: str, df: DataFrame, key_cols, scope_col: str | None = None) -> DataFrame:
     """Append the rows of ``df`` whose key is not stored yet; returns what was appended.
 
     The anti-join reads only the key columns of the existing data; new
-    columns are allowed (readers use ``mergeSchema``).  (S12, X6)
+    columns are allowed (readers use ``mergeSchema``).  ``scope_col`` limits
+    the existing keys to the values of that column present in ``df`` (e.g.
+    the source files of one micro-batch, a bounded list), so the check costs
+    the batch, not the history.  (S12, X6)
     """
+    from pyspark.sql import functions as F
+
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     new = df
     if path_exists(spark, path):
-        existing = read_merged(spark, path).select(*key_cols).distinct()
-        new = df.join(existing, key_cols, "left_anti")
+        existing = read_merged(spark, path).select(*key_cols)
+        if scope_col is not None:
+            scope = [r[0] for r in df.select(scope_col).distinct().collect()]
+            existing = existing.filter(F.col(scope_col).isin(scope))
+        new = df.join(existing.distinct(), key_cols, "left_anti")
     # Stage the new rows once so the write and the returned frame agree even
     # if the source changes between actions.
     new = new.checkpoint(eager=True)

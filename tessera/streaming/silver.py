@@ -44,7 +44,8 @@ def silver_batch(silver, quarantine_path: str, gold: BucketedTable | None = None
         else:
             silver.write(upsert_latest(silver.read(), typed, C.ID_COLUMN, RECENCY))
         q = bad.withColumn("_q_hash", F.xxhash64(*[F.col(c) for c in C.RAW_COLUMNS + (CORRUPT,)]))
-        append_new(spark, quarantine_path, q, ["_source_file", "_q_hash"])
+        # a micro-batch holds a bounded set of new files: check only their keys
+        append_new(spark, quarantine_path, q, ["_source_file", "_q_hash"], scope_col="_source_file")
 
     return run
 
