@@ -10,6 +10,10 @@ and no overwrite of a table that the same plan reads.  The answers here:
 * ``append_new`` -- append only rows whose idempotence key is not present
   yet (left-anti join), so re-running a job does not duplicate rows (S12, X6).
 * ``read_merged`` -- path datasets read with ``mergeSchema`` (S9).
+* ``BucketedTable`` -- key-bucketed dataset upserted bucket by bucket with
+  dynamic partition overwrite: an upsert costs the buckets it touches (S13).
+* ``create_layers`` / ``register_table`` -- layer schemas and external
+  tables in the session catalog (S14).
 """
 
 from __future__ import annotations
