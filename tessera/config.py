@@ -116,6 +116,7 @@ class JobConfig:
     registered_name: str = "churn_classifier"
     alias: str = "production"
     max_files_per_trigger: int | None = None
+    keep_versions: int | None = None      # full rebuilds: versions kept per dataset (None = all)
     long_tenure: int = LONG_TENURE_MONTHS
     high_spender: float = HIGH_SPENDER_MONTHLY
     one_hot: dict = field(default_factory=lambda: dict(ONE_HOT_VOCABULARY))

@@ -103,6 +103,10 @@ def run_daily(spark: SparkSession, cfg, landing: str, quarantined_at: dt.datetim
     gold = VersionedDataset(spark, cfg.layers.path("gold", cfg.gold_table))
     g = run_gold(silver.read(), gold, long_tenure=cfg.long_tenure, high_spender=cfg.high_spender,
                  one_hot=cfg.one_hot)
+    if cfg.keep_versions:
+        # each full rebuild writes a whole new version: bound the history kept
+        silver.retain(cfg.keep_versions)
+        gold.retain(cfg.keep_versions)
     return {"ingest": ingest, "silver": s, "gold_version": g}
 
 

@@ -57,6 +57,24 @@ class VersionedDataset:
                 out.append(int(name[1:]))
         return sorted(out)
 
+    def retain(self, keep: int) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions (and any
+        uncommitted or rejected folder older than them); the current version
+        is never removed.  Returns the deleted version numbers."""
+        if keep < 1:
+            raise ValueError("keep must be >= 1")
+        committed = self.versions()
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        fs, _, jvm = _fs(self.spark, self.root)
+        gone = []
+        for name in list_dirs(self.spark, self.root):
+            if name.startswith("v") and name[1:].isdigit() and int(name[1:]) < oldest_kept:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}"), True)
+                gone.append(int(name[1:]))
+        return sorted(gone)
+
     def reject(self, version: int, reason: str) -> None:
         """Hide a written version (e.g. a failed quality gate); its files stay for inspection."""
         fs, p, jvm = _fs(self.spark, f"{self.version_path(version)}/_REJECTED")

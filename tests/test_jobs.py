@@ -183,3 +183,12 @@ def test_run_daily_incremental_follows_new_files_only(spark, tmp_path):
     assert (row.monthly_charges, row.churn, row.is_high_spender) == (80.0, 1, 1)
     after = {f: os.path.getmtime(f) for f in glob.glob(f"{gold_path}/_bucket=*/*.parquet")}
     assert sum(1 for f in before if after.get(f) == before[f]) >= len(before) - 1    # one bucket rewritten
+
+
+def test_versioned_retention_keeps_current(spark, tmp_path):
+    ds = VersionedDataset(spark, str(tmp_path / "v"))
+    for i in range(4):
+        ds.write(spark.range(i + 1))
+    assert ds.retain(2) == [1, 2]
+    assert ds.versions() == [3, 4] and ds.read().count() == 4
+    assert ds.retain(2) == []
