@@ -24,12 +24,15 @@ def score_batch(out: str, key: str, model_version: str, model_name: str, predict
 
 def run_scoring_stream(spark: SparkSession, records_path: str, schema, out: str, checkpoint: str,
                        key: str, model_version: str = "0", model_name: str = "mock",
-                       max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> None:
+                       max_files_per_trigger: int | None = None, timeout_s: int | None = None,
+                       predictor=score_rule) -> None:
+    """Score arriving record files.  ``predictor`` and the envelope metadata can come
+    from ``operators.score.choose_predictor`` (rule or registered model, C4)."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (reader.parquet(records_path).writeStream
-               .foreachBatch(score_batch(out, key, model_version, model_name))
+               .foreachBatch(score_batch(out, key, model_version, model_name, predictor))
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.exception():
