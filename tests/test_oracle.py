@@ -30,3 +30,15 @@ def test_rows_only_queries_run(spark, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns[0] == "customer_id"
+
+
+@pytest.mark.parametrize("name", ["log_parse", "gold_features", "latest_per_key", "error_alert",
+                                  "ops_stream_windows", "schema_evolution_merge"])
+def test_time_sensitive_queries_in_a_non_utc_session(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = compare(E.queries()[name](spark, SMALL_SF), con, E.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["hash_match"] and res["types_match"], res
