@@ -42,3 +42,15 @@ def test_time_sensitive_queries_in_a_non_utc_session(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert res["hash_match"] and res["types_match"], res
+
+
+@pytest.mark.parametrize("name", ["silver_cast_normalize", "quarantine_split", "contract_errors",
+                                  "feature_reshape", "hash_split", "auc_rank"])
+def test_cast_heavy_queries_with_ansi_off(spark, con, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        res = compare(E.queries()[name](spark, SMALL_SF), con, E.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert res["hash_match"] and res["types_match"], res
