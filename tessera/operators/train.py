@@ -70,13 +70,19 @@ def positive_probability(df: DataFrame, col: str = "probability") -> DataFrame:
     return df.withColumn("prob_1", vector_to_array(F.col(col)).getItem(1))
 
 
-def _split_metrics(scored: DataFrame, label: str, threshold: float, prefix: str) -> dict:
-    """Class metrics of ``prob > threshold`` and AUC of ``prob``, one pass."""
-    m = EV.binary_metrics(scored, label, "prob_1", threshold, strict=True).first()
-    if m is None:                                   # empty split
-        return {f"{prefix}_{k}": 0.0 for k in ("accuracy", "precision", "recall", "f1", "auc")}
-    return {f"{prefix}_accuracy": m.accuracy, f"{prefix}_precision": m.precision,
-            f"{prefix}_recall": m.recall, f"{prefix}_f1": m.f1, f"{prefix}_auc": m.auc}
+METRIC_KEYS = ("accuracy", "precision", "recall", "f1", "auc")
+
+
+def _split_metrics(scored: DataFrame, label: str, threshold: float, splits=("val", "test")) -> dict:
+    """Class metrics of ``prob > threshold`` and AUC of ``prob`` for each split, one
+    pass over the scored rows of all of them (A5, A6); an empty split reports 0."""
+    rows = {r["_split"]: r for r in
+            EV.binary_metrics(scored, label, "prob_1", threshold, ["_split"], strict=True).collect()}
+    out = {}
+    for sp in splits:
+        r = rows.get(sp)
+        out.update({f"{sp}_{k}": (float(r[k]) if r is not None else 0.0) for k in METRIC_KEYS})
+    return out
 
 
 def _run_id(experiment: str, run_name: str, started: str) -> str:
@@ -99,8 +105,7 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         raise ValueError(f"training input lacks contract features: {missing}")
     labelled = gold.withColumn(label, F.col(label).cast("double"))
     train = labelled.filter(F.col("_split") == "train")
-    val = labelled.filter(F.col("_split") == "val")
-    test = labelled.filter(F.col("_split") == "test")
+    held_out = labelled.filter(F.col("_split").isin("val", "test"))
 
     def one(params: dict):
         if family == "random_forest":
@@ -113,8 +118,7 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         # copy(): the copied stages carry no training summary, whose session
         # reference would otherwise ride along in every scoring task
         model = pipe.fit(train).copy()
-        metrics = _split_metrics(positive_probability(model.transform(val)), label, threshold, "val")
-        metrics.update(_split_metrics(positive_probability(model.transform(test)), label, threshold, "test"))
+        metrics = _split_metrics(positive_probability(model.transform(held_out)), label, threshold)
         run_id = _run_id(experiment, name, started.isoformat())
         path = None
         if model_root:
