@@ -8,8 +8,8 @@ deterministic view of them, written once for Spark and once as DuckDB SQL
   rendered as the 14 raw text columns of the landing CSV.
 * request log -- ``events`` read as the scoring service's request log:
   ``event_type`` is the path, ``'error'`` means status 500 (else 200),
-  ``value / 1000`` is the duration in seconds, ``'purchase'`` is a
-  positive prediction.
+  ``value / 1000`` is the duration in seconds, ``props.k / 1000`` the
+  model-call seconds, ``'purchase'`` a positive prediction.
 * labelled rows -- ``lineitem`` with label ``l_returnflag = 'R'``.
 """
 
