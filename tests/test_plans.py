@@ -41,3 +41,10 @@ def test_sliding_windows_do_not_expand_raw_rows(spark, name):
 def test_scans_prune_columns(spark):
     p = plan(spark, "requests_per_second")
     assert "ReadSchema: struct<ts:timestamp_ntz>" in p
+
+
+@pytest.mark.parametrize("name", ["auc_rank", "rule_grid_runs"])
+def test_auc_per_score_pass_is_shared(spark, name):
+    qe = E.queries()[name](spark, SMALL_SF)._jdf.queryExecution()
+    qe.toRdd().count()                                    # settle the adaptive plan
+    assert "ReusedExchange" in qe.executedPlan().toString()
