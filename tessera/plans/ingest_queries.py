@@ -16,7 +16,7 @@ from ..sources import tables as TB
 from ..streaming.bronze import ingest_available
 from ..streaming.silver import run_silver_stream
 from . import standins as S
-from .queries import (GOLD_DOUBLES, LATEST_SQL, ORDER_COLS, ROUND, SILVER_SQL, _QUAR_SQL, _quarantine_view,
+from .queries import (round6, GOLD_DOUBLES, LATEST_SQL, ORDER_COLS, ROUND, SILVER_SQL, _QUAR_SQL, _quarantine_view,
                       gold_body_sql, r, register, rounded)
 
 HEADER = ",".join(C.RAW_COLUMNS)
@@ -51,8 +51,8 @@ def land(spark, d, root, dirty=False, malformed=False, updates=False, files=2):
 
 def _bronze_view(b):
     return b.select(*[c for c in C.RAW_COLUMNS if c not in ("monthly_charges", "total_charges")],
-                    F.round(F.col("monthly_charges").try_cast("double"), ROUND).alias("monthly_value"),
-                    F.round(F.col("total_charges").try_cast("double"), ROUND).alias("total_value"),
+                    round6(F.col("monthly_charges").try_cast("double")).alias("monthly_value"),
+                    round6(F.col("total_charges").try_cast("double")).alias("total_value"),
                     F.col(L.CORRUPT).isNotNull().cast("int").alias("is_corrupt"))
 
 
@@ -153,8 +153,8 @@ def q_versioned_overwrite(spark, d):
         .otherwise(F.col("monthly_charges")).alias("avg_charge_per_month")))
     cur = ds.read()
     return cur.select("customer_id", F.lit(v).alias("version"),
-                      F.round("monthly_charges", ROUND).alias("monthly_charges"),
-                      F.round("avg_charge_per_month", ROUND).alias("avg_charge_per_month"))
+                      round6("monthly_charges").alias("monthly_charges"),
+                      round6("avg_charge_per_month").alias("avg_charge_per_month"))
 
 
 @register("schema_evolution_merge", """
@@ -170,7 +170,7 @@ def q_schema_evolution_merge(spark, d):
     o.filter(old).select("o_orderkey", "o_custkey", "o_totalprice").write.parquet(f"{root}/part=a")
     o.filter(~old).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").write.parquet(f"{root}/part=b")
     m = TB.read_merged(spark, root)
-    return m.select("o_orderkey", "o_custkey", F.round("o_totalprice", ROUND).alias("o_totalprice"), "o_orderpriority")
+    return m.select("o_orderkey", "o_custkey", round6("o_totalprice").alias("o_totalprice"), "o_orderpriority")
 
 
 @register("csv_schema_evolution", f"""
@@ -228,7 +228,7 @@ def q_silver_stream_upsert(spark, d):
     run_silver_stream(spark, f"{root}/bronze", bronze_schema, silver, f"{root}/quarantine",
                       f"{root}/_checkpoint/silver")
     s = silver.read()
-    return s.select("customer_id", "churn", F.round("monthly_charges", ROUND).alias("monthly_charges"),
+    return s.select("customer_id", "churn", round6("monthly_charges").alias("monthly_charges"),
                     "tenure_months")
 
 

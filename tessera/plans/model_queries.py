@@ -14,7 +14,7 @@ from ..operators import score as SC
 from ..operators import train as TR
 from ..session import work_path
 from . import standins as S
-from .queries import GOLD_SQL, LABELLED_SQL, ROUND, gold_churn, r, register, rounded
+from .queries import round6, GOLD_SQL, LABELLED_SQL, ROUND, gold_churn, r, register, rounded
 
 # ---------------------------------------------------------------------------
 # A sweep whose runs Spark derives from the data: threshold rules on lineitem
@@ -91,7 +91,7 @@ FROM cm JOIN au ON cm.run_name = au.run_name"""
 
 
 def _flat(runs):
-    return runs.select("run_name", *[F.round(F.col("metrics")[m], ROUND).alias(m) for m in METRICS])
+    return runs.select("run_name", *[round6(F.col("metrics")[m]).alias(m) for m in METRICS])
 
 
 @register("rule_grid_runs", f"""
@@ -108,8 +108,8 @@ def q_leaderboard(spark, d):
     reg = RG.Registry(spark, work_path(spark, "registry"))
     reg.log_runs(rule_runs(spark, d))
     lb = RG.leaderboard(reg.runs().filter(F.col("tags")["model_family"] == RULE_FAMILY), "val_f1", 10)
-    return lb.select("run_name", F.round(F.col("metrics")["val_f1"], ROUND).alias("val_f1"),
-                     F.round(F.col("metrics")["val_auc"], ROUND).alias("val_auc"), F.col("rank"))
+    return lb.select("run_name", round6(F.col("metrics")["val_f1"]).alias("val_f1"),
+                     round6(F.col("metrics")["val_auc"]).alias("val_auc"), F.col("rank"))
 
 
 @register("best_run", f"""
@@ -120,7 +120,7 @@ def q_best_run(spark, d):
     reg = RG.Registry(spark, work_path(spark, "registry"))
     reg.log_runs(rule_runs(spark, d))
     b = reg.best_run(RULE_EXPERIMENT)
-    return b.select("run_name", "family", *[F.round(F.col("metrics")[m], ROUND).alias(m)
+    return b.select("run_name", "family", *[round6(F.col("metrics")[m]).alias(m)
                                             for m in ("val_f1", "val_accuracy", "val_auc")])
 
 
@@ -179,7 +179,7 @@ def q_model_info(spark, d):
 
 def _runs_view(runs):
     return runs.select("run_name", "family", F.size("params").alias("n_params"),
-                       *[F.round(F.col("metrics")[m], ROUND).alias(m) for m in METRICS])
+                       *[round6(F.col("metrics")[m]).alias(m) for m in METRICS])
 
 
 @register("rf_grid_runs", None)

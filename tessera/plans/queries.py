@@ -36,9 +36,17 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def round6(c, scale: int = ROUND):
+    """``round(x * 10^s) / 10^s`` in doubles: the same IEEE steps as the SQL
+    oracle's ``round(x, s)``, so values on an exact decimal tie round alike."""
+    c = F.col(c) if isinstance(c, str) else c
+    p = float(10 ** scale)
+    return F.round(c * F.lit(p), 0) / F.lit(p)
+
+
 def rounded(df: DataFrame, scale: int = ROUND) -> DataFrame:
     """Round every double column (keeps names and order)."""
-    return df.select(*[F.round(F.col(f.name), scale).alias(f.name)
+    return df.select(*[round6(F.col(f.name), scale).alias(f.name)
                        if f.dataType.simpleString() == "double" else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -199,7 +207,7 @@ FROM ({S.CHURN_TYPED_SQL}) t WHERE {_dirty_reject_sql()}"""
 
 def _quarantine_view(q: DataFrame) -> DataFrame:
     return q.select("customer_id", "_reject_reason", "gender",
-                    F.round(F.col("monthly_charges").try_cast("double"), ROUND).alias("monthly_value"),
+                    round6(F.col("monthly_charges").try_cast("double")).alias("monthly_value"),
                     "churn")
 
 
