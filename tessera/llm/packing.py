@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -44,17 +45,23 @@ class ChunkEncoder:
     """Token ids of texts by a tokenizer that drops white space and lets no token span it.
 
     Then a text's ids are the ids of its chunks between spaces, tabs and line ends, and a chunk seen before needs no
-    second look.  ``most`` bounds the remembered chunks (packed ids).
+    second look.  New chunks go through the tokenizer's normalizer and pre-tokenizer together, and through its model
+    word by word, once for each new word; chunks with an added token or unusual white space are encoded as they are.
+    ``most`` bounds the remembered chunks, and the remembered words (packed ids).
     """
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 900_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores have tasks of their own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or r"(?!)", re.I)
+        self.by_words = self.tokenizer.normalizer is not None and self.tokenizer.pre_tokenizer is not None
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.most = most
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
@@ -62,12 +69,36 @@ class ChunkEncoder:
         wanted = set().union(*chunks)
         if len(self.known) + len(wanted) > self.most:
             self.known = {}
-        new = [c for c in wanted if c not in self.known]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
+        self._learn([c for c in wanted if c not in self.known])
         known, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
         return [np.frombuffer(b"".join(map(known, cs)) + end, "<u4") for cs in chunks]
 
+    def _learn(self, chunks: list[str]) -> None:
+        plain = [c for c in chunks if len(c.split()) == 1 and not self.added.search(c)] if self.by_words else []
+        normal = self.tokenizer.normalizer.normalize_str(" ".join(plain)) if plain else ""
+        parts = normal.split(" ")
+        if len(parts) != len(plain):  # a character became white space
+            plain = []
+        for c, e in zip(odd := list(set(chunks).difference(plain)), self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self.known[c] = np.array(e.ids, "<u4").tobytes()
+        if not plain:
+            return
+        found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+        if len(self.words) > self.most:
+            self.words = {}
+        words, tokenize = self.words, self.tokenizer.model.tokenize
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+        owner = np.searchsorted(ends, np.fromiter((at[0] for _, at in found), np.int64, len(found)), "right")
+        first = np.searchsorted(owner, np.arange(len(plain) + 1)).tolist()
+        ids = []
+        for word, _ in found:
+            got = words.get(word)
+            if got is None:
+                got = words[word] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
+            ids.append(got)
+        for c, a, b in zip(plain, first, first[1:]):
+            self.known[c] = ids[a] if b == a + 1 else b"".join(ids[a:b])
+
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
 

@@ -13,8 +13,11 @@ from .conftest import ODD
 PATH = packing.default_tokenizer()
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def whole_ids(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
 
 
 def naive_first_fit(sizes, room):
@@ -38,6 +41,7 @@ def test_tournament_tree_is_first_fit():
 def test_ids_by_chunks_are_the_ids_of_the_whole_text():
     texts = ["", " a b  c d\x1ce\x85f ", "Don't <|endoftext|>stop<|startoftext|> it's 1234 x²  ñ́ é ́a", "İstanbul ΣΑΣ ﬁ \r\n\t\x0b end", "a" * 500, "日本語 テキスト 🎉👩‍👩‍👧"]
     rnd = random.Random(8)
+    texts += ["a\x85b c\u2028d", "x\u0301 \u0301y q\ufdfa \u00a0\u3000z", "<|STARTOFTEXT|> it'S'll 've", "the The THE tHe. the, 'the'"]
     texts += ["".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(160, 0x500), rnd.randrange(0x2000, 0x2100), 32, 10, 9])) for _ in range(300)) for _ in range(60)]
     encode = packing.ChunkEncoder(PATH, most=200)
     for t, ids in zip(texts, encode(texts)):
