@@ -26,9 +26,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepared(spark: SparkSession) -> None:
-    """Ship the package to the Python workers of this application."""
+    """Ship the package to the Python workers of this application, and keep batches of long texts small.
+
+    Spark's own bound of 64 MB a batch is held several times over (JVM, Arrow, Python objects) in every running
+    task; a smaller value that the session already has stays.
+    """
     ship_package(spark)
+    if spark.conf.get(ARROW_BYTES, "67108864b") == "67108864b":
+        spark.conf.set(ARROW_BYTES, "8m")
 
 
 def text_hash(text_col: str):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import over, prepared, raw_bytes
+from .common import over, prepared, raw_bytes, sliced
 
 _WORD = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 _TABLE = bytes(c if c in _WORD else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -204,6 +204,12 @@ def _scanner_of(blocks: list, window: int):
     return _SCANNERS[key]
 
 
+def _slices(text: pa.Array, most_bytes: int = 1 << 20):
+    """The texts as bytes, so many at a time that their words fit beside each other in a task."""
+    batch = pa.RecordBatch.from_arrays([text], names=["text"])
+    return (raw_bytes(part.column(0)) for part in sliced([batch], "text", most_bytes))
+
+
 def _spans(hit: np.ndarray) -> list[list[int]]:
     edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
     return edge.reshape(-1, 2).tolist()
@@ -217,13 +223,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_
 
     @F.arrow_udf("struct<n_words:bigint,n_hit:bigint,hit_spans:array<array<int>>,items:array<string>>")
     def leaks(text: pa.Array) -> pa.Array:
-        documents = [words_of(t) for t in raw_bytes(text)]
-        found = _scanner_of(blocks, window)(documents)
-        return pa.array(
-            [{"n_words": len(hit), "n_hit": int(hit.sum()), "hit_spans": _spans(hit), "items": sorted(n for n in names if n is not None)}
-             for hit, names in found],
-            pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("hit_spans", pa.list_(pa.list_(pa.int32()))),
-                       ("items", pa.list_(pa.string()))]))
+        scan, out = _scanner_of(blocks, window), []
+        for texts in _slices(text):
+            for hit, names in scan([words_of(t) for t in texts]):
+                out.append({"n_words": len(hit), "n_hit": int(hit.sum()), "hit_spans": _spans(hit),
+                            "items": sorted(n for n in names if n is not None)})
+        return pa.array(out, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("hit_spans", pa.list_(pa.list_(pa.int32()))),
+                                        ("items", pa.list_(pa.string()))]))
 
     found = docs.withColumn("__dc", leaks(F.col("`text`")))
     names = ("n_words", "n_hit", "hit_spans", "items")
@@ -253,19 +259,19 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_col:
 
     @F.arrow_udf("struct<keep:boolean,text:string>")
     def cleaned(text: pa.Array) -> pa.Array:
-        scan = _scanner_of(blocks, window)
-        texts = raw_bytes(text)
-        words = [words_of(t) for t in texts]
-        out = []
-        for t, w, (hit, _) in zip(texts, words, scan(words)):
-            n = int(hit.sum())
-            keep = n <= max_coverage * len(w) and (max_hit_words is None or n <= max_hit_words)
-            changed = keep and n > 0
-            while keep and hit.any():
-                t = _cut(t, hit)
-                hit = scan([words_of(t)])[0][0]
-            out.append({"keep": keep, "text": t.decode() if changed else None})
+        scan, out = _scanner_of(blocks, window), []
+        for texts in _slices(text):
+            words = [words_of(t) for t in texts]
+            for t, w, (hit, _) in zip(texts, words, scan(words)):
+                n = int(hit.sum())
+                keep = n <= max_coverage * len(w) and (max_hit_words is None or n <= max_hit_words)
+                changed = keep and n > 0
+                while keep and hit.any():
+                    t = _cut(t, hit)
+                    hit = scan([words_of(t)])[0][0]
+                out.append({"keep": keep, "text": t.decode() if changed else None})
         return pa.array(out, pa.struct([("keep", pa.bool_()), ("text", pa.string())]))
 
-    found = docs.withColumn("__dc", cleaned(F.col("`text`"))).filter("__dc.keep")
+    # declared nondeterministic so that the filter and the new text share one pass
+    found = docs.withColumn("__dc", cleaned.asNondeterministic()(F.col("`text`"))).filter("__dc.keep")
     return found.withColumn("text", F.coalesce("__dc.text", "`text`")).select(*[f"`{c}`" for c in docs.columns])

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import over, prepared, staged
+from .common import over, prepared, sliced, staged
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -276,7 +276,7 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
 
 def _host_subtrees(batches):
     """Per page: host, hash of its main content, distinct subtree hashes (with some text or attributes)."""
-    for batch in batches:
+    for batch in sliced(batches, "html", 1 << 20):
         pages = [parse(s or "") for s in batch.column(1).to_pylist()]
         mains, lists = [], []
         for page in pages:

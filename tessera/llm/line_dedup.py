@@ -47,7 +47,7 @@ def _window_hashes(text: bytes, window: int) -> list[tuple[int, bytes]]:
 
 
 def _emit_windows(batches, window: int):
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", 2 << 20):
         ids, hashes = batch.column(0), batch.column(1)
         rows, lines, digests = [], [], []
         for row, text in enumerate(raw_bytes(batch.column(2))):
@@ -120,7 +120,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = repeated_windows(docs, id_col, text_col, window).select(
         F.col("id").alias("__ld_id"), F.col("h").alias("__ld_h"), F.col("starts").alias("__ld_starts"))
     keyed = docs.withColumn("__ld_h2", text_hash(text_col))
-    joined = keyed.join(found, (keyed[id_col].eqNullSafe(found["__ld_id"])) & (keyed["__ld_h2"] == found["__ld_h"]), "left")
+    # a hash table of the narrow side: the texts are shuffled but not sorted
+    joined = keyed.join(found.hint("shuffle_hash"), (keyed[id_col].eqNullSafe(found["__ld_id"])) & (keyed["__ld_h2"] == found["__ld_h"]), "left")
     touched = F.when(F.col("__ld_starts").isNotNull(), F.col(text_col))
     joined = joined.withColumn("__ld_new", _cleaner(window)(touched, F.col("__ld_starts")))
     text = F.when(F.col("__ld_starts").isNull(), F.col(text_col)).otherwise(F.col("__ld_new.text"))

@@ -26,6 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +51,7 @@ class ChunkEncoder:
     ``most`` bounds the remembered chunks, and the remembered words (packed ids).
     """
 
-    def __init__(self, path: str, most: int = 900_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores have tasks of their own
         from tokenizers import Tokenizer
 
@@ -69,7 +70,9 @@ class ChunkEncoder:
         wanted = set().union(*chunks)
         if len(self.known) + len(wanted) > self.most:
             self.known = {}
-        self._learn([c for c in wanted if c not in self.known])
+        new = [c for c in wanted if c not in self.known]
+        for at in range(0, len(new), 4096):  # the tokenizer's work space is many times its text
+            self._learn(new[at:at + 4096])
         known, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
         return [np.frombuffer(b"".join(map(known, cs)) + end, "<u4") for cs in chunks]
 
@@ -105,7 +108,7 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 def _tokenise(batches, path: str, length: int, with_ids: bool):
     encoder = _ENCODERS.setdefault(path, ChunkEncoder(path))
-    for batch in sliced(batches, "text", 2 << 20):
+    for batch in sliced(batches, "text", 1 << 20):
         rows, starts, sizes, totals, crcs, ids = [], [], [], [], [], []
         for row, tokens in enumerate(encoder([t.decode("utf-8", "replace") for t in raw_bytes(batch.column(3))])):
             for start in range(0, len(tokens), length):
@@ -152,7 +155,7 @@ def first_fit(sizes: list[int], room: int) -> list[int]:
 def _pack(length: int):
     def pack(key, pieces):
         order = [("length", "descending"), ("id", "ascending"), ("h", "ascending"), ("start", "ascending")]
-        pieces = pieces.sort_by(order).combine_chunks()
+        pieces = pieces.take(pc.sort_indices(pieces.select(["length", "id", "h", "start"]), order))
         sizes = pieces["length"].to_pylist()
         bins = np.array(first_fit(sizes, length), np.int64)
         filled = np.zeros(int(bins.max()) + 1, np.int64)
@@ -167,7 +170,7 @@ def _pack(length: int):
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 2048,
-                   tokenizer: str | None = None, with_ids: bool = False, group_bytes: int = 48 << 20) -> DataFrame:
+                   tokenizer: str | None = None, with_ids: bool = False, group_bytes: int = 12 << 20) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids: array<int>)."""
     spark = docs.sparkSession
     prepared(spark)

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import over, prepared, raw_bytes, staged, text_hash
+from .common import over, prepared, raw_bytes, sliced, staged, text_hash
 
 
 @dataclass(frozen=True)
@@ -172,7 +172,8 @@ def _scorer(model: Model):
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
         of = featurizer(model)
-        x = np.array([of(t) for t in raw_bytes(text)]).reshape(-1, FEATURES)
+        batches = sliced([pa.RecordBatch.from_arrays([text], names=["text"])], "text", 2 << 20)
+        x = np.array([of(t) for part in batches for t in raw_bytes(part.column(0))]).reshape(-1, FEATURES)
         return pa.array(1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))))
 
     return score

@@ -65,7 +65,7 @@ def fingerprint(text: bytes, words: int) -> int:
 
 
 def _fingerprints(batches, words: int):
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", 2 << 20):
         fps = np.array([fingerprint(t, words) for t in raw_bytes(batch.column(2))], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["id", "h", "fp"])
 
@@ -132,8 +132,8 @@ def replicas(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray, np
 
 def _to_anchors(batches, max_bits: int):
     for batch in batches:
-        for at in range(0, len(batch), 4096):
-            fps = batch.column(0).slice(at, 4096).to_numpy(zero_copy_only=False)
+        for at in range(0, len(batch), 512):
+            fps = batch.column(0).slice(at, 512).to_numpy(zero_copy_only=False)
             rows, anchor, home = replicas(fps.view(np.uint64), max_bits)
             yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int32)), pa.array(fps[rows]), pa.array(home)],
                                              names=["anchor", "fp", "home"])
@@ -158,7 +158,7 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _close(fp: np.ndarray, home: np.ndarray, first: np.ndarray, count: np.ndarray, max_bits: int, block: int = 1 << 21):
+def _close(fp: np.ndarray, home: np.ndarray, first: np.ndarray, count: np.ndarray, max_bits: int, block: int = 1 << 18):
     """Linked (home row, other row) pairs of the groups [first, first + count), in bounded blocks."""
     size = np.repeat(count, count)
     begin = np.repeat(first, count)
@@ -181,7 +181,7 @@ def _neighbours(fp: np.ndarray, home: np.ndarray, max_bits: int):
     order = np.argsort(fp)
     sorted_ = fp[order]
     at = np.flatnonzero(home)
-    step = max(1, (1 << 21) // len(masks))
+    step = max(1, (1 << 18) // len(masks))
     for k in range(0, len(at), step):
         rows = np.repeat(at[k:k + step], len(masks))
         near = (fp[at[k:k + step]][:, None] ^ masks).ravel()
@@ -215,7 +215,7 @@ def _forest(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int)
             a_all.append(node[a])
             b_all.append(node[b])
             held += len(a)
-            if held > 1 << 21:
+            if held > 1 << 20:
                 fold()
 
     if pairs:
@@ -230,7 +230,7 @@ def _forest(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int)
     return names[moved], names[label[moved]]
 
 
-def _compare(batches, max_bits: int, least: int = 1 << 20):
+def _compare(batches, max_bits: int, least: int = 1 << 18):
     """Anchor groups arrive in order; whole groups are compared once enough rows are held."""
     anchor, fp, home = [], [], []
     hold = least
@@ -282,8 +282,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """``docs`` with one row of each component: its smallest id (null ids last), then the smallest text hash."""
     found = near_duplicates(docs, id_col, text_col, words, max_bits)
     key = F.struct(F.col(id_col).isNull().alias("no"), F.col(id_col).alias("id"), "h")
-    kept = found.groupBy("root").agg(F.min(key).alias("k")).select(F.col("k.id").alias("__sd_id"), F.col("k.h").alias("__sd_h"))
+    # the component's first row, and how many rows are the same (its copies under one id)
+    rows = found.groupBy("root", id_col, "h").agg(F.count("*").alias("n"))
+    kept = rows.groupBy("root").agg(F.min(F.struct(key.alias("k"), "n")).alias("first"))
+    kept = staged(kept.select(F.col("first.k.id").alias("__sd_id"), F.col("first.k.h").alias("__sd_h"), F.col("first.n").alias("__sd_n")), "kept-documents")
     keyed = docs.withColumn("__sd_of", text_hash(text_col))
     same = keyed[id_col].eqNullSafe(F.col("__sd_id")) & (keyed["__sd_of"] == F.col("__sd_h"))
-    return (keyed.join(staged(kept, "kept-documents"), same).dropDuplicates(["__sd_id", "__sd_of"])
-            .select(*[f"`{c}`" for c in docs.columns]))
+    # hash tables of the narrow side: the texts are shuffled but not sorted
+    single = keyed.join(kept.filter("__sd_n = 1").hint("shuffle_hash"), same, "left_semi")
+    repeated = keyed.join(kept.filter("__sd_n > 1"), same, "left_semi").dropDuplicates([id_col, "__sd_of"])
+    return single.unionByName(repeated).select(*[f"`{c}`" for c in docs.columns])
