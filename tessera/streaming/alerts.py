@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from .. import config as C
+from .ops import sliding_counts
+from .runner import finish, session_setting
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "alertname string, fires_at timestamp"
@@ -60,9 +62,7 @@ class HeldCondition(StatefulProcessor):
 
 def evaluation_windows(log: DataFrame, delay: str = "10 minutes", name: str = "HighErrorRate") -> DataFrame:
     """One row per closed 5-minute window (step 1 minute): requests and 5xx count."""
-    ts = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return (ts.groupBy(F.window("ts", "5 minutes", "1 minute").alias("w"))
-              .agg(F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status_code") >= 500).alias("errors"))
+    return (sliding_counts(log, delay, "5 minutes", "1 minute")
               .select(F.lit(name).alias("alertname"), F.col("w.end").alias("window_end"), "requests", "errors"))
 
 
@@ -76,10 +76,8 @@ def held_alert_stream(windows: DataFrame, threshold: float = C.ERROR_RATIO_RED,
 def run_alert_stream(spark: SparkSession, log: DataFrame, sink: str, checkpoint: str,
                      timeout_s: int | None = None) -> None:
     # transformWithState keeps its state in RocksDB
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    out = held_alert_stream(evaluation_windows(log))
-    q = (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    with session_setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+        out = held_alert_stream(evaluation_windows(log))
+        q = (out.writeStream.format("parquet").outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))
+        finish(q, timeout_s)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..sources.landing import CORRUPT, csv_options, raw_schema, with_audit
+from .runner import ProgressTotals, finish
 
 
 def bronze_source(spark: SparkSession, landing: str, schema: T.StructType | None = None,
@@ -32,19 +33,19 @@ def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkp
                      max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> dict:
     """Run the Bronze stream over every file not seen yet, then stop (availableNow)."""
     src = bronze_source(spark, landing, schema, header, sep, max_files_per_trigger)
-    q = (src.writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start(bronze_path))
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("bronze ingest did not finish")
-    if q.exception():
-        raise q.exception()
-    rows = sum(p.get("numInputRows", 0) for p in q.recentProgress)
-    return {"batches": len(q.recentProgress), "input_rows": rows}
+    totals = ProgressTotals()
+    spark.streams.addListener(totals)
+    try:
+        q = (src.writeStream.format("parquet")
+                .option("checkpointLocation", checkpoint)
+                .outputMode("append")
+                .trigger(availableNow=True)
+                .start(bronze_path))
+        finish(q, timeout_s)
+        batches, rows = totals.of(q)
+    finally:
+        spark.streams.removeListener(totals)
+    return {"batches": batches, "input_rows": rows}
 
 
 def ingest_tracking_schema(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,

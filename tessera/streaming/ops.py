@@ -12,12 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ops import is_5xx
+from .runner import finish
+
+
+def sliding_counts(log: DataFrame, delay: str, duration: str, slide: str, by=()) -> DataFrame:
+    """Requests and 5xx per sliding window ``w``: raw rows are counted once per slide step, and only those
+    counts are fanned out to the windows that hold them."""
+    ts = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    steps = (ts.groupBy(F.window("ts", slide).alias("step"), *by)
+               .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_5xx()).alias("n_5xx")))
+    return (steps.groupBy(F.window("step", duration, slide).alias("w"), *by)
+                 .agg(F.sum("n").alias("requests"), F.sum("n_5xx").alias("errors")))
+
 
 def windowed_counts(log: DataFrame, delay: str = "10 minutes", duration: str = "5 minutes",
                     slide: str = "1 minute", by=("http_path",)) -> DataFrame:
-    ts = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return (ts.groupBy(F.window("ts", duration, slide).alias("w"), *by)
-              .agg(F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status_code") >= 500).alias("errors"))
+    return (sliding_counts(log, delay, duration, slide, by)
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
                       "requests", "errors"))
 
@@ -26,6 +37,4 @@ def run_to_parquet(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int
     """Append the stream to Parquet (exactly-once file sink) until all input is processed."""
     q = (stream.writeStream.format("parquet").outputMode("append")
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    finish(q, timeout_s)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.score import contract_then_score, envelope_of, score_rule
+from .runner import finish
 
 
 def score_batch(out: str, key: str, model_version: str, model_name: str, predictor=score_rule):
@@ -34,6 +35,4 @@ def run_scoring_stream(spark: SparkSession, records_path: str, schema, out: str,
     q = (reader.parquet(records_path).writeStream
                .foreachBatch(score_batch(out, key, model_version, model_name, predictor))
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    finish(q, timeout_s)

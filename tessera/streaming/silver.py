@@ -19,6 +19,7 @@ from ..operators.clean import normalize_churn, row_hash, upsert_latest
 from ..operators.quality import quarantine_split
 from ..sources.landing import CORRUPT
 from ..sources.tables import BucketedTable, VersionedDataset, append_new
+from .runner import finish
 
 RECENCY = ["_ingest_ts", "_source_file", "_row_hash"]
 
@@ -61,6 +62,4 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, bronze_schema, silv
                .foreachBatch(silver_batch(silver, quarantine_path, gold, gold_kw))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    finish(q, timeout_s)
