@@ -60,7 +60,6 @@ LAYER_SCHEMAS = {
     "gold": "ML-ready feature tables",
     "models": "Registered MLflow models",
 }
-# ---------------------------------------------------------------------------
 
 # Gold feature names in the order the Gold job produces them.
 GOLD_FEATURES = (
@@ -90,6 +89,10 @@ CONTRACT_DEFAULTED_FLAGS = (
     "payment_method_electronic_check", "payment_method_mailed_check",
     "payment_method_bank_transfer", "payment_method_credit_card",
 )
+# ---------------------------------------------------------------------------
+
+#: Contract numbers that have to be whole.
+CONTRACT_INTEGERS = ("tenure_months",)
 
 
 @dataclass(frozen=True)

@@ -125,6 +125,16 @@ def _col_or_null(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None)
 
 
+def _number(c: Column) -> Column:
+    """The finite number a value stands for, else NULL: a wrongly typed value is its row's error, not the job's."""
+    n = c.try_cast("double")
+    return F.when(F.isnan(n) | (F.abs(n) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(n)
+
+
+def _is_flag(c: Column) -> Column:
+    return F.coalesce(_number(c).isin(0.0, 1.0), F.lit(False))
+
+
 def contract_errors(df: DataFrame,
                     ranges: dict = C.CONTRACT_RANGES,
                     required_flags: tuple = C.CONTRACT_REQUIRED_FLAGS,
@@ -137,21 +147,25 @@ def contract_errors(df: DataFrame,
     msgs = []
     for name, (lo, hi) in ranges.items():
         c = _col_or_null(df, name)
+        n = _number(c)
         msgs.append(F.when(c.isNull(), F.lit(f"{name}: missing")))
+        msgs.append(F.when(c.isNotNull() & n.isNull(), F.lit(f"{name}: not a number")))
+        if name in C.CONTRACT_INTEGERS:
+            msgs.append(F.when(n != F.floor(n), F.lit(f"{name}: not an integer")))
         bad = F.lit(False)
         if lo is not None:
-            bad = bad | (c < F.lit(lo))
+            bad = bad | (n < F.lit(lo))
         if hi is not None:
-            bad = bad | (c > F.lit(hi))
+            bad = bad | (n > F.lit(hi))
         rng = f"[{lo}, {'inf' if hi is None else hi}]"
-        msgs.append(F.when(c.isNotNull() & bad, F.lit(f"{name}: out of range {rng}")))
+        msgs.append(F.when(n.isNotNull() & bad, F.lit(f"{name}: out of range {rng}")))
     for name in required_flags:
         c = _col_or_null(df, name)
         msgs.append(F.when(c.isNull(), F.lit(f"{name}: missing")))
-        msgs.append(F.when(c.isNotNull() & ~c.isin(0, 1), F.lit(f"{name}: not in (0, 1)")))
+        msgs.append(F.when(c.isNotNull() & ~_is_flag(c), F.lit(f"{name}: not in (0, 1)")))
     for name in defaulted_flags:
         c = _col_or_null(df, name)
-        msgs.append(F.when(c.isNotNull() & ~c.isin(0, 1), F.lit(f"{name}: not in (0, 1)")))
+        msgs.append(F.when(c.isNotNull() & ~_is_flag(c), F.lit(f"{name}: not in (0, 1)")))
     return F.filter(F.array(*msgs), lambda m: m.isNotNull())
 
 
@@ -161,12 +175,12 @@ def apply_contract(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     errs = contract_errors(df)
     out = [F.col(k) for k in keep]
     for name in C.CONTRACT_RANGES:
-        t = "int" if name == "tenure_months" else "double"
-        out.append(_col_or_null(df, name).cast(t).alias(name))
+        n = _number(_col_or_null(df, name))
+        out.append((n.try_cast("int") if name in C.CONTRACT_INTEGERS else n).alias(name))
     for name in C.CONTRACT_REQUIRED_FLAGS:
-        out.append(_col_or_null(df, name).cast("int").alias(name))
+        out.append(_number(_col_or_null(df, name)).try_cast("int").alias(name))
     for name in C.CONTRACT_DEFAULTED_FLAGS:
-        out.append(F.coalesce(_col_or_null(df, name).cast("int"), F.lit(0)).alias(name))
+        out.append(F.coalesce(_number(_col_or_null(df, name)).try_cast("int"), F.lit(0)).alias(name))
     out.append(errs.alias("_errors"))
     return df.select(*out)
 
