@@ -181,7 +181,8 @@ class BucketedTable:
         return any(n.startswith("_bucket=") for n in list_dirs(self.spark, self.path))
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        # buckets written before a column appeared lack it: the table has the columns of all of them
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
     def upsert(self, incoming: DataFrame, recency, strategy: str = "aggregate") -> list[int]:
         """Merge ``incoming`` (latest row per key wins); returns the touched buckets."""
@@ -202,7 +203,9 @@ class BucketedTable:
 
     def replace(self, df: DataFrame) -> None:
         """Overwrite exactly the buckets present in ``df`` (which carries ``_bucket``)."""
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # one bucket's rows meet before the write (large buckets are split), else every task writes every bucket
+        dealt = df.hint("rebalance", "_bucket")
+        (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("_bucket").parquet(self.path))
 
     def read_buckets(self, buckets) -> DataFrame:
