@@ -72,39 +72,45 @@ def _bucket_totals(per_score: DataFrame, g: list, buckets: int, accuracy: int, e
     ws = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     within = bucketed.withColumn("_nb", F.coalesce(F.sum("_neg").over(ws), F.lit(0)))
     aggs = [F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
-            F.sum(F.col("_pos") * (F.col("_nb") + F.col("_neg") * 0.5)).alias("_W"),
+            F.sum(F.col("_pos").cast("double") * (F.col("_nb") + F.col("_neg") * 0.5)).alias("_W"),
             F.first("_p_tot").alias("n_pos"), F.first("_n_tot").alias("n_neg")]
     aggs += [c.alias(n) for n, c in (extra or {}).items()]
     return within.groupBy(*g, "_b").agg(*aggs)
 
 
+def score_buckets(df: DataFrame) -> int:
+    """Score ranges a group is cut into: as many tasks as a shuffle has, 64 at least."""
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _won_pairs(per_bucket: DataFrame, g: list, extra=()) -> DataFrame:
     """Pairs won per group: within-bucket wins plus P_b x negatives of all lower buckets
     (a prefix over at most ``buckets`` rows per group)."""
     wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     pb = per_bucket.withColumn("_n_lower", F.coalesce(F.sum("_N").over(wb), F.lit(0)))
     return pb.groupBy(*g).agg(
-        F.sum(F.col("_W") + F.col("_P") * F.col("_n_lower")).alias("_won"),
+        F.sum(F.col("_W") + F.col("_P").cast("double") * F.col("_n_lower")).alias("_won"),
         F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"),
         *[F.sum(c).alias(c) for c in extra])
 
 
 def _auc(won: DataFrame) -> Column:
     return F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-                  F.col("_won") / (F.col("n_pos") * F.col("n_neg"))).otherwise(F.lit(0.0))
+                  F.col("_won") / (F.col("n_pos").cast("double") * F.col("n_neg"))).otherwise(F.lit(0.0))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, group_cols=(), buckets: int = 64,
+def roc_auc(df: DataFrame, label: str, score: str, group_cols=(), buckets: int | None = None,
             accuracy: int = 10000) -> DataFrame:
     """Exact tie-averaged ROC-AUC per group; 0.0 when a group has one class."""
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
+    buckets = buckets or score_buckets(df)
     won = _won_pairs(_bucket_totals(_per_score(src, label, score, g), g, buckets, accuracy), g)
     return won.select(*group_cols, "n_pos", "n_neg", _auc(won).alias("auc"))
 
 
 def binary_metrics(df: DataFrame, label: str, score: str, threshold, group_cols=(), strict: bool = False,
-                   buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Confusion metrics of ``score >= threshold`` (``>`` when ``strict``) and the
     exact ROC-AUC of ``score``, from one per-score aggregate -- one pass over
     the data for both (A5, A6, A8, M7).  ``threshold`` is a number or a column
@@ -119,6 +125,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold, group_cols=
              "fp": F.sum(F.when(hit, F.col("_neg")).otherwise(0)),
              "fn": F.sum(F.when(~hit, F.col("_pos")).otherwise(0)),
              "tn": F.sum(F.when(~hit, F.col("_neg")).otherwise(0))}
+    buckets = buckets or score_buckets(df)
     won = _won_pairs(_bucket_totals(_per_score(src, label, score, g), g, buckets, accuracy, extra), g,
                      extra=tuple(extra))
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))

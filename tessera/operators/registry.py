@@ -19,8 +19,6 @@ from .clean import latest_per_key
 
 VERSIONS_SCHEMA = "name string, version int, run_id string, tags map<string,string>"
 ALIASES_SCHEMA = "name string, alias string, version int, seq long"
-# Registry tables hold one row per registration: far below this, whatever the data size.
-BROADCAST_MAX_ROWS = 100_000
 _LAST_SEQ = 0
 
 
@@ -28,11 +26,6 @@ class NoRunsError(AssertionError):
     pass
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after the row count is checked; otherwise let the planner choose."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 class Registry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -49,6 +42,9 @@ class Registry:
         runs.write.mode("append").parquet(f"{self.root}/runs")
 
     def runs(self) -> DataFrame:
+        """All logged runs; raises when nothing was ever logged."""
+        if not path_exists(self.spark, f"{self.root}/runs"):
+            raise NoRunsError(f"no runs logged under {self.root}")
         return self.spark.read.parquet(f"{self.root}/runs")
 
     def search(self, experiment: str | None = None, family: str | None = None,
@@ -109,7 +105,7 @@ class Registry:
             a = a.filter(F.col("name") == name)
         if alias:
             a = a.filter(F.col("alias") == alias)
-        v = broadcast_if_small(self.versions())
+        v = self.versions()
         runs = self.runs()
         return (a.join(v, ["name", "version"], "inner")
                  .join(runs.select("run_id", "family", "params", "metrics", "model_path", "signature"),
