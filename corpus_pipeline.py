@@ -50,7 +50,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, with_ids=True)
+    return packing.pack_documents(docs, with_ids=True, remembered=250_000)  # beside what earlier stages left in the workers
 
 
 STAGES = [

@@ -51,7 +51,7 @@ class ChunkEncoder:
     ``most`` bounds the remembered chunks, and the remembered words (packed ids).
     """
 
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    def __init__(self, path: str, most: int = 900_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores have tasks of their own
         from tokenizers import Tokenizer
 
@@ -103,11 +103,13 @@ class ChunkEncoder:
             self.known[c] = ids[a] if b == a + 1 else b"".join(ids[a:b])
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def _tokenise(batches, path: str, length: int, with_ids: bool):
-    encoder = _ENCODERS.setdefault(path, ChunkEncoder(path))
+def _tokenise(batches, path: str, length: int, with_ids: bool, remembered: int):
+    if (path, remembered) not in _ENCODERS:
+        _ENCODERS[path, remembered] = ChunkEncoder(path, remembered)
+    encoder = _ENCODERS[path, remembered]
     for batch in sliced(batches, "text", 1 << 20):
         rows, starts, sizes, totals, crcs, ids = [], [], [], [], [], []
         for row, tokens in enumerate(encoder([t.decode("utf-8", "replace") for t in raw_bytes(batch.column(3))])):
@@ -170,8 +172,12 @@ def _pack(length: int):
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 2048,
-                   tokenizer: str | None = None, with_ids: bool = False, group_bytes: int = 12 << 20) -> DataFrame:
-    """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids: array<int>)."""
+                   tokenizer: str | None = None, with_ids: bool = False, group_bytes: int = 12 << 20,
+                   remembered: int = 900_000) -> DataFrame:
+    """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids: array<int>).
+
+    ``remembered`` bounds the encoder's memory (chunks and words, about 200 bytes each) in every worker.
+    """
     spark = docs.sparkSession
     prepared(spark)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)) + 1)).first()[0] or 0
@@ -184,7 +190,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     path = tokenizer or default_tokenizer()
-    pieces = rows.mapInArrow(functools.partial(_tokenise, path=path, length=length, with_ids=with_ids), schema)
+    pieces = rows.mapInArrow(functools.partial(_tokenise, path=path, length=length, with_ids=with_ids, remembered=remembered), schema)
     out = T.StructType(list(schema.fields)).add("sequence_id", "long").add("offset", "long")
     packed = pieces.groupBy("grp").applyInArrow(_pack(length), out)
     columns = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
