@@ -44,7 +44,7 @@ def _segments(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def best_of_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int, block: int = 1 << 21):
+def best_of_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int, block: int = 1 << 19, part: int = 1 << 15):
     """(query row, candidate row, score) of each query's k best candidates, ties to the smaller id.  Integer matrices."""
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
@@ -71,10 +71,10 @@ def best_of_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
         floor[floor <= -9e18] = -np.inf  # fewer than k candidates so far
         i, j = np.nonzero((bound >= (floor - slack)[:, None]) & ~own)
         for q_level, c_level in zip(q_levels[1:], c_levels[1:]):
-            keep = np.concatenate([np.einsum("ij,ij->i", q_level[rows[i[x:x + block]]], c_level[j[x:x + block]]) >= floor[i[x:x + block]] - slack
-                                   for x in range(0, len(i), block)] or [np.zeros(0, bool)])
+            keep = np.concatenate([np.einsum("ij,ij->i", q_level[rows[i[x:x + part]]], c_level[j[x:x + part]]) >= floor[i[x:x + part]] - slack
+                                   for x in range(0, len(i), part)] or [np.zeros(0, bool)])
             i, j = i[keep], j[keep]
-        scores = np.concatenate([exact(rows[i[x:x + block]], j[x:x + block]) for x in range(0, len(i), block)] or [np.zeros(0, np.int64)])
+        scores = np.concatenate([exact(rows[i[x:x + part]], j[x:x + part]) for x in range(0, len(i), part)] or [np.zeros(0, np.int64)])
         best = np.lexsort((j, -scores, i))  # j grows with the id
         i, j, scores = i[best], j[best], scores[best]
         first = np.searchsorted(i, i)
