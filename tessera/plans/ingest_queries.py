@@ -13,7 +13,7 @@ from ..operators import quality as QA
 from ..session import work_path
 from ..sources import landing as L
 from ..sources import tables as TB
-from ..streaming.bronze import ingest_available
+from ..streaming.bronze import ingest_available, ingest_tracking_schema
 from ..streaming.silver import run_silver_stream
 from . import standins as S
 from .queries import (round6, GOLD_DOUBLES, LATEST_SQL, ORDER_COLS, ROUND, SILVER_SQL, _QUAR_SQL, _quarantine_view,
@@ -173,22 +173,48 @@ def q_schema_evolution_merge(spark, d):
     return m.select("o_orderkey", "o_custkey", round6("o_totalprice").alias("o_totalprice"), "o_orderpriority")
 
 
+# the feed again in other layouts: (columns of the header, quoted header)
+_WIDE = C.RAW_COLUMNS + ("segment",)
+_EXCHANGED = tuple({"monthly_charges": "total_charges", "total_charges": "monthly_charges"}.get(c, c) for c in C.RAW_COLUMNS)
+
+
 @register("csv_schema_evolution", f"""
-SELECT CAST(c_custkey AS VARCHAR) AS customer_id, churn, NULL::VARCHAR AS segment FROM ({S.CHURN_TYPED_SQL}) t
+WITH base AS (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS customer_id, churn, partner, monthly, total
+              FROM ({_TEXT_SQL}) t)
+SELECT customer_id, churn, NULL::VARCHAR AS segment, 'narrow' AS layout, {r('monthly', 'monthly_value')},
+       {r('total', 'total_value')}, 0 AS is_corrupt FROM base
 UNION ALL
-SELECT CAST(t.c_custkey AS VARCHAR), 'Yes', c.c_mktsegment
-FROM ({S.CHURN_TYPED_SQL}) t JOIN customer c ON c.c_custkey = t.c_custkey WHERE t.partner = 'Yes'""")
+SELECT customer_id, 'Yes', c_mktsegment, 'wide', {r('monthly + 1', 'monthly_value')}, {r('total', 'total_value')}, 0
+FROM base JOIN customer USING (c_custkey) WHERE partner = 'Yes'
+UNION ALL
+SELECT customer_id, 'Yes', NULL, layout, {r('monthly + 1', 'monthly_value')}, {r('total', 'total_value')}, 0
+FROM base, (VALUES ('again'), ('exchanged'), ('quoted')) v(layout) WHERE partner = 'Yes'""")
 def q_csv_schema_evolution(spark, d):
+    """Five layouts through the tracked stream: narrow, wide, narrow again, two columns exchanged, quoted header."""
     root = work_path(spark, "csv_evolution")
-    text = land(spark, d, f"{root}/landing")
+    text = S.churn_text(spark, d)
     seg = S.table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
     upd = _updates(text).join(seg, "c_custkey")
-    L.write_landing(upd.select(L.to_csv_line(C.RAW_COLUMNS + ("segment",)).alias("line")),
-                    f"{root}/landing/0002", HEADER + ",segment", 1)
-    schema = L.evolve_schema(spark, f"{root}/landing", L.raw_schema())
-    b = L.read_evolving(spark, f"{root}/landing")
-    assert [f.name for f in schema.fields][-2:] == ["segment", L.CORRUPT]
-    return b.select("customer_id", "churn", "segment")
+
+    def put(name, rows, columns, quoted=False):
+        header = ",".join(f'"{c}"' if quoted else c for c in columns)
+        L.write_landing(rows.select(L.to_csv_line(columns).alias("line")), f"{root}/landing/{name}", header)
+
+    def ingest():
+        ingest_tracking_schema(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_layouts")
+
+    put("narrow", text, C.RAW_COLUMNS)
+    ingest()
+    put("wide", upd, _WIDE)
+    put("again", upd, C.RAW_COLUMNS)
+    put("exchanged", upd, _EXCHANGED)
+    put("quoted", upd, C.RAW_COLUMNS, quoted=True)
+    ingest()
+    b = TB.read_merged(spark, f"{root}/bronze")
+    return b.select("customer_id", "churn", "segment", F.regexp_extract("_source_file", "landing/([a-z]+)/", 1).alias("layout"),
+                    round6(F.col("monthly_charges").try_cast("double")).alias("monthly_value"),
+                    round6(F.col("total_charges").try_cast("double")).alias("total_value"),
+                    F.col(L.CORRUPT).isNotNull().cast("int").alias("is_corrupt"))
 
 
 @register("upsert_latest", LATEST_SQL)

@@ -8,14 +8,18 @@ The same reader options serve the batch reader and the file-stream source.
 
 from __future__ import annotations
 
-import json
+import csv
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .tables import path_exists
 
+UNKNOWN_LAYOUT = "landing file without a noted header"
 CORRUPT = "_corrupt_record"
 RESCUED = "_rescued_data"
 
@@ -40,10 +44,18 @@ def csv_options(header: bool = True, sep: str = ",", corrupt: str = CORRUPT) ->
     }
 
 
-def rescued_data(n_columns: int, sep: str = ",", corrupt: str = CORRUPT) -> Column:
-    """``_rescued_data`` as JSON ``{"_c<i>": token}`` of the tokens beyond the
-    declared columns, NULL when there are none (S5; tokens split on ``sep``)."""
-    toks = F.split(F.col(corrupt), sep.replace("|", "\\|"))
+def _tokens(line: Column, sep: str) -> Column:
+    """Tokens of one CSV line; a quoted token may hold separators and loses its quotes."""
+    q = re.escape(sep)
+    tokens = F.regexp_extract_all(line, F.lit(rf'(?<=^|{q})("(?:[^"\\]|\\.|"")*"(?={q}|$)|[^{q}]*)'), 1)
+    return F.transform(tokens, lambda t: F.when(
+        t.rlike('^".*"$'), F.regexp_replace(F.regexp_replace(t, '^"|"$', ""), '""|\\"', '"')).otherwise(t))
+
+
+def rescued_data(n_columns: int, sep: str = ",", corrupt: str | Column = CORRUPT) -> Column:
+    """``_rescued_data`` as JSON ``{"_c<i>": token}`` of the tokens beyond the declared
+    columns, NULL when there are none (S5); a separator inside quotes separates nothing."""
+    toks = _tokens(F.col(corrupt) if isinstance(corrupt, str) else corrupt, sep)
     surplus = F.slice(toks, n_columns + 1, F.greatest(F.size(toks) - n_columns, F.lit(1)))
     entries = F.transform(surplus, lambda v, i: F.struct(
         F.concat(F.lit("_c"), (i + n_columns).cast("string")).alias("k"), v.alias("v")))
@@ -97,120 +109,100 @@ def to_csv_line(cols, sep: str = ",") -> Column:
 
 
 # ---------------------------------------------------------------------------
-# Schema tracking and evolution (S3)
+# Header layouts: columns bind by name, file by file (S3)
 # ---------------------------------------------------------------------------
 
-def _arrow_uri(path: str) -> str:
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    if path.startswith("s3a://") or path.startswith("s3n://"):
-        return "s3://" + path.split("://", 1)[1]
-    return path
+def file_headers(spark: SparkSession, paths) -> DataFrame:
+    """Header line of every CSV file under ``paths`` (file_path, header): the first line
+    that is not blank.  Read by Spark's own text source, so every filesystem of the
+    cluster works alike; the cost is a scan of the first split of each given file."""
+    txt = (spark.read.option("recursiveFileLookup", "true").text(paths)
+                .select("value", F.col("_metadata.file_path").alias("file_path"),
+                        F.col("_metadata.file_block_start").alias("block_start"),
+                        F.monotonically_increasing_id().alias("at"))
+                .filter((F.col("block_start") == 0) & (F.trim("value") != "")))
+    return txt.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
 
 
-def _read_first_lines(it):
-    """Open each listed file and read up to its first newline (a few KB per file)."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    for pdf in it:
-        heads = []
-        for p in pdf["path"]:
-            fs, rel = pafs.FileSystem.from_uri(_arrow_uri(p))
-            buf = b""
-            with fs.open_input_stream(rel, compression="detect") as f:
-                while b"\n" not in buf:
-                    chunk = f.read(1 << 16)
-                    if not chunk:
-                        break
-                    buf += chunk
-            heads.append(buf.split(b"\n", 1)[0].decode("utf-8").rstrip("\r"))
-        yield pd.DataFrame({"file_path": list(pdf["path"]), "header": heads})
-
-
-def _first_lines(it):
-    import pandas as pd
-
-    seen = set()
-    for pdf in it:
-        pdf = pdf[pdf["block_start"] == 0]
-        rows = []
-        for path, value in zip(pdf["file_path"], pdf["value"]):
-            if path not in seen:
-                seen.add(path)
-                rows.append((path, value))
-        yield pd.DataFrame(rows, columns=["file_path", "header"])
-
-
-_ARROW_SCHEMES = ("file:", "/", "s3:", "s3a:", "s3n:")
-
-
-def file_headers(spark: SparkSession, path: str, via_text: bool | None = None) -> DataFrame:
-    """Header line of every CSV file under ``path`` (file_path, header).
-
-    Default: the file listing (no content read) is spread over tasks and
-    each task reads only the first line of its files, so the cost follows
-    the number of files, not their bytes.  ``via_text`` uses Spark's text
-    reader instead (first split of each file, in file order) for
-    filesystems the Arrow reader cannot open; by default it is chosen for
-    any scheme other than local files and S3.
-    """
-    if via_text is None:
-        via_text = not path.startswith(_ARROW_SCHEMES)
-    if not via_text:
-        files = landing_manifest(spark, path).select("path")
-        return files.mapInPandas(_read_first_lines, "file_path string, header string")
-    txt = (spark.read.option("recursiveFileLookup", "true").text(path)
-                .select("value", F.col("_metadata.file_path").alias("file_path"),
-                        F.col("_metadata.file_block_start").alias("block_start"))
-                .filter(F.col("block_start") == 0))
-    return txt.mapInPandas(_first_lines, "file_path string, header string")
-
-
-def evolve_schema(spark: SparkSession, path: str, known: T.StructType | None,
-                  sep: str = ",") -> T.StructType:
-    """Union of the known column list and the header names of the files under
-    ``path``: known columns keep their order, new names follow in the order
-    of the (sorted, so deterministic) header variants; new columns are text.
-    Only the distinct header variants reach the driver."""
-    variants = [r.header for r in file_headers(spark, path).select("header").distinct().collect()]
-    names = [f.name for f in known.fields if f.name != CORRUPT] if known else []
-    for h in sorted(variants):
-        for name in h.split(sep):
-            name = name.strip()
-            if name and name not in names:
-                names.append(name)
-    return raw_schema(tuple(names))
-
-
-def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
-    """Persist a schema as JSON text next to the stream checkpoint."""
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
-
-
-def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(path).first()
-    except Exception:  # noqa: BLE001 -- no schema saved yet
-        return None
-    return T.StructType.fromJson(json.loads(row.value)) if row else None
-
-
-def read_evolving(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Batch read of landing files whose headers differ (S3).
-
-    CSV columns bind by position, so files are grouped by header variant,
-    each group is read with its own all-text schema, and the groups are
-    unioned by name (missing columns NULL).  Only file paths and the
-    distinct headers reach the driver.
+def header_names(header: str, sep: str = ",") -> tuple[str, ...]:
+    """Column names of a header line: quotes, a byte order mark and outer blanks go, an
+    empty name becomes ``_c<i>``, a repeated one gets its position as a suffix."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([header.lstrip("\ufeff")], delimiter=sep))):
+        name = name.strip() or f"_c{i}"
+        names.append(f"{name}_{i}" if name.lower() in [n.lower() for n in names] else name)
+    return tuple(names)
+
+
+def table_columns(headers, known=C.RAW_COLUMNS, sep: str = ",") -> tuple[str, ...]:
+    """``known`` columns, then the other names of the headers in sorted header order.
+    Names that differ in case only are one column."""
+    columns = list(known)
+    for header in sorted(headers):
+        for name in header_names(header, sep):
+            if name.lower() not in [c.lower() for c in columns]:
+                columns.append(name)
+    return tuple(columns)
+
+
+def _binder(at: dict, columns, sep: str):
+    """Positional struct of one layout -> struct of ``columns``; ``at`` gives the position of a lower-case name."""
+    def bind(p: Column) -> Column:
+        bound = [(p[f"_c{at[c.lower()]}"] if c.lower() in at else F.lit(None).cast("string")).alias(c) for c in columns]
+        return F.struct(*bound, p[CORRUPT].alias(CORRUPT), rescued_data(len(at), sep, p[CORRUPT]).alias(RESCUED))
+
+    return bind
+
+
+def parse_by_layout(lines: DataFrame, headers, columns, sep: str = ",") -> DataFrame:
+    """Lines (``value``, ``header``, ``_source_file``) -> Bronze rows.
+
+    Each line is parsed once, with the layout of its own file, and its tokens bind to
+    ``columns`` by header name; a column that the file lacks is NULL.  Lines equal to
+    the header and blank lines are no rows.  A line of a file whose header is unknown
+    (it landed after the headers were read) stops the job rather than being lost.
     """
-    heads = file_headers(spark, path).collect()          # one row per file
-    groups: dict[str, list[str]] = {}
-    for r in heads:
-        groups.setdefault(r.header, []).append(r.file_path)
-    out = None
-    for header in sorted(groups):
-        cols = tuple(c.strip() for c in header.split(sep))
-        df = read_landing(spark, groups[header], raw_schema(cols), True, sep)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    row = F.raise_error(F.concat(F.lit(UNKNOWN_LAYOUT + ": "), F.col("_source_file")))
+    fields = ", ".join(f"`{c}`: string" for c in (*columns, CORRUPT, RESCUED))
+    row = row.cast(f"struct<{fields}>")
+    for header in sorted(headers, reverse=True):
+        at = {name.lower(): i for i, name in enumerate(header_names(header, sep))}
+        schema = ", ".join([f"_c{i} string" for i in range(len(at))] + [f"{CORRUPT} string"])
+
+        # the lambda's argument is parsed once, however many columns are taken from it
+        parsed = F.transform(F.array(F.from_csv("value", schema, options)), _binder(at, columns, sep))[0]
+        row = F.when(F.col("header") == header, parsed).otherwise(row)
+    body = lines.filter((F.trim("value") != "") & ~F.col("value").eqNullSafe(F.col("header")))
+    return (body.select(row.alias("_row"), "_source_file")
+                .select("_row.*", F.current_timestamp().alias("_ingest_ts"), "_source_file"))
+
+
+def with_headers(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    lines = lines.select("value", F.col("_metadata.file_path").alias("_source_file"))
+    return lines.join(heads, lines["_source_file"] == heads["file_path"], "left").drop("file_path")
+
+
+def read_evolving(spark: SparkSession, path, sep: str = ",", known=C.RAW_COLUMNS) -> DataFrame:
+    """Batch read of landing files whose headers differ (S3); only the distinct headers reach the driver."""
+    heads = file_headers(spark, path)
+    headers = [r.header for r in heads.select("header").distinct().collect()]
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return parse_by_layout(with_headers(lines, heads), headers, table_columns(headers, known, sep), sep)
+
+
+def track_layouts(spark: SparkSession, path: str, location: str) -> list[str]:
+    """Note the header of every landing file not noted yet in the table at ``location``
+    (file_path, header); returns the distinct headers of all.  Only new files are opened;
+    their paths pass the driver, as in any file listing of Spark."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                  .select(F.col("_metadata.file_path").alias("file_path")))
+    seen = path_exists(spark, location)
+    if seen:
+        files = files.join(spark.read.parquet(location), "file_path", "left_anti")
+    new = [unquote(r.file_path) for r in files.collect()]
+    if new:
+        file_headers(spark, new).write.mode("append").parquet(location)
+    if not new and not seen:
+        return []
+    return [r.header for r in spark.read.parquet(location).select("header").distinct().collect()]

@@ -9,10 +9,13 @@ Bronze (X5).
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.landing import CORRUPT, csv_options, raw_schema, with_audit
+from ..sources.landing import (CORRUPT, UNKNOWN_LAYOUT, csv_options, parse_by_layout, raw_schema, table_columns,
+                               track_layouts, with_audit, with_headers)
 from .runner import ProgressTotals, finish
 
 
@@ -28,40 +31,57 @@ def bronze_source(spark: SparkSession, landing: str, schema: T.StructType | None
     return with_audit(reader.csv(landing), n, sep)
 
 
-def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkpoint: str,
-                     schema: T.StructType | None = None, header: bool = True, sep: str = ",",
-                     max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> dict:
-    """Run the Bronze stream over every file not seen yet, then stop (availableNow)."""
-    src = bronze_source(spark, landing, schema, header, sep, max_files_per_trigger)
+def _run(spark: SparkSession, rows: DataFrame, bronze_path: str, checkpoint: str, timeout_s: int | None) -> dict:
     totals = ProgressTotals()
     spark.streams.addListener(totals)
     try:
-        q = (src.writeStream.format("parquet")
-                .option("checkpointLocation", checkpoint)
-                .outputMode("append")
-                .trigger(availableNow=True)
-                .start(bronze_path))
+        q = (rows.writeStream.format("parquet")
+                 .option("checkpointLocation", checkpoint)
+                 .outputMode("append")
+                 .trigger(availableNow=True)
+                 .start(bronze_path))
         finish(q, timeout_s)
-        batches, rows = totals.of(q)
+        batches, count = totals.of(q)
     finally:
         spark.streams.removeListener(totals)
-    return {"batches": batches, "input_rows": rows}
+    return {"batches": batches, "input_rows": count}
+
+
+def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkpoint: str,
+                     schema: T.StructType | None = None, header: bool = True, sep: str = ",",
+                     max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> dict:
+    """Run the Bronze stream over every file not seen yet, then stop (availableNow).
+    All files share one layout, bound by position; see ``ingest_tracking_schema`` for others."""
+    return _run(spark, bronze_source(spark, landing, schema, header, sep, max_files_per_trigger),
+                bronze_path, checkpoint, timeout_s)
 
 
 def ingest_tracking_schema(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
-                           schema_location: str, header: bool = True, sep: str = ",",
-                           max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> dict:
-    """Bronze ingest with schema tracking (S3): the column list is the saved one
-    widened by any new header names, persisted next to the checkpoint before
-    the stream runs.  New columns are expected at the end of the header; the
-    readers of Bronze use ``mergeSchema``."""
-    from ..sources.landing import evolve_schema, load_schema, save_schema
+                           schema_location: str, sep: str = ",", max_files_per_trigger: int | None = None,
+                           timeout_s: int | None = None, attempts: int = 3) -> dict:
+    """Bronze ingest with schema tracking (S3): columns bind by each file's own header.
 
-    known = load_schema(spark, schema_location)
-    schema = evolve_schema(spark, landing_dir, known or raw_schema(), sep)
-    if known is None or [f.name for f in schema.fields] != [f.name for f in known.fields]:
-        save_schema(spark, schema, schema_location)
-    out = ingest_available(spark, landing_dir, bronze_path, checkpoint, schema, header, sep,
-                           max_files_per_trigger, timeout_s)
-    out["columns"] = [f.name for f in schema.fields if f.name != CORRUPT]
-    return out
+    The header of every new file is noted below ``schema_location`` before the stream
+    runs, so files with fewer, more, reordered or quoted columns are all read right;
+    readers of Bronze use ``mergeSchema``.  A file that lands in between fails its
+    micro-batch, which is run again once its header is noted.
+    """
+    for attempt in range(attempts):
+        headers = track_layouts(spark, landing_dir, schema_location)
+        columns = table_columns(headers, sep=sep)
+        if not headers:
+            return {"batches": 0, "input_rows": 0, "columns": list(columns)}
+        reader = spark.readStream.option("recursiveFileLookup", "true")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        lines = with_headers(reader.text(landing_dir), spark.read.parquet(schema_location))
+        rows = parse_by_layout(lines, headers, columns, sep).observe(
+            "bronze_rows", F.count(F.lit(1)).alias("rows"))  # the source counts header lines too
+        try:
+            out = _run(spark, rows, bronze_path, checkpoint, timeout_s)
+        except StreamingQueryException as e:
+            if UNKNOWN_LAYOUT not in str(e) or attempt == attempts - 1:
+                raise
+            continue
+        out["columns"] = list(columns)
+        return out

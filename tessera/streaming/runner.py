@@ -41,12 +41,14 @@ def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]
 
 
 class ProgressTotals(StreamingQueryListener):
-    """Batches and input rows of a query over all its progress events.
+    """Batches and rows of a query over all its progress events: the rows observed as
+    ``rows`` under the name ``observed`` where the query does so, else its input rows.
 
     ``recentProgress`` keeps the last hundred only.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, observed: str = "bronze_rows") -> None:
+        self._observed = observed
         self._of: dict[str, list[int]] = {}
         self._ended: dict[str, threading.Event] = {}
 
@@ -60,7 +62,8 @@ class ProgressTotals(StreamingQueryListener):
         p = event.progress
         totals = self._of.setdefault(str(p.runId), [0, 0])
         totals[0] += 1
-        totals[1] += p.numInputRows
+        seen = p.observedMetrics.get(self._observed)
+        totals[1] += p.numInputRows if seen is None else seen["rows"]
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -69,7 +72,7 @@ class ProgressTotals(StreamingQueryListener):
         self._end(event.runId).set()
 
     def of(self, query: StreamingQuery, wait_s: float = 60) -> tuple[int, int]:
-        """(batches, input rows) of an ended query; events arrive in order, the end last."""
+        """(batches, rows) of an ended query; events arrive in order, the end last."""
         if not self._end(query.runId).wait(wait_s):
             raise TimeoutError("the end of the streaming query was not reported")
         return tuple(self._of.get(str(query.runId), (0, 0)))

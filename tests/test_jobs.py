@@ -42,22 +42,62 @@ def test_layers_ddl(spark):
     assert create_layers(spark, "unit").count() == 4                       # IF NOT EXISTS
 
 
-def test_header_evolution_both_readers(spark, tmp_path):
+def test_batch_read_binds_columns_by_header(spark, tmp_path):
     d = str(tmp_path)
     write_text(f"{d}/0001", "a.csv", SAMPLE_CSV)
     write_text(f"{d}/0002", "b.csv", EXTRA_HEADER)
-    a = sorted(tuple(r) for r in L.file_headers(spark, d).collect())
-    b = sorted(tuple(r) for r in L.file_headers(spark, d, via_text=True).collect())
-    assert [h for _, h in a] == [h for _, h in b] and len(a) == 2
-    schema = L.evolve_schema(spark, d, L.raw_schema())
-    assert [f.name for f in schema.fields][-2:] == ["segment", "_corrupt_record"]
-    L.read_evolving(spark, d).write.parquet(f"{d}/_bronze")     # Bronze is materialised first
-    df = spark.read.parquet(f"{d}/_bronze")
+    heads = L.file_headers(spark, d)
+    assert heads.count() == 2
+    assert L.table_columns([r.header for r in heads.collect()])[-1] == "segment"
+    df = L.read_evolving(spark, d)
     assert df.count() == 21
     assert df.filter(F.col("segment") == "retail").select("customer_id").first()[0] == "C0031"
     assert df.filter(F.col("_corrupt_record").isNotNull()).count() == 0
 
 
+def test_header_names():
+    assert L.header_names('\ufeff"a b","c,d",,a b, E ') == ("a b", "c,d", "_c2", "a b_3", "E")
+    assert L.table_columns(["B,z", "x,a"], ("a", "b")) == ("a", "b", "z", "x")
+
+
+def test_rescued_tokens_respect_quotes(spark):
+    lines = spark.createDataFrame([('"a,b",c,X',), ('a,c',), ("a,,",), ('a,b,"x ""y"", z",',), (None,)], "_corrupt_record string")
+    got = [r[0] for r in lines.select(L.rescued_data(2)).collect()]
+    assert got == ['{"_c2":"X"}', None, '{"_c2":""}', '{"_c2":"x \\"y\\", z","_c3":""}', None]
+
+
+def test_stream_binds_columns_by_header(spark, tmp_path):
+    """Layouts that change from file to file lose nothing, and only new files are opened."""
+    from tessera.streaming import bronze
+
+    d = str(tmp_path)
+    args = (spark, f"{d}/landing", f"{d}/bronze", f"{d}/ck", f"{d}/layouts")
+    assert bronze.ingest_tracking_schema(*args[:1], str(tmp_path), *args[2:])["input_rows"] == 0
+    write_text(f"{d}/landing", "1.csv", "customer_id,total_charges,monthly_charges\nC1,900,75\n\n")
+    write_text(f"{d}/landing", "2.csv", '"customer_id","monthly_charges","segment"\nC2,75,"re,tail"\nC3,1,x,MORE\n')
+    assert bronze.ingest_tracking_schema(*args)["input_rows"] == 3
+    write_text(f"{d}/landing", "3.csv", "customer_id,monthly_charges\nC4,80\nC5\n")
+    noted = set(spark.read.parquet(f"{d}/layouts").inputFiles())
+    assert bronze.ingest_tracking_schema(*args)["input_rows"] == 2
+    new = [f for f in spark.read.parquet(f"{d}/layouts").inputFiles() if f not in noted]
+    assert {r.file_path.rsplit("/", 1)[1] for r in spark.read.parquet(*new).collect()} == {"3.csv"}
+    rows = {r.customer_id: r for r in spark.read.option("mergeSchema", "true").parquet(f"{d}/bronze").collect()}
+    assert len(rows) == 5 and (rows["C1"].monthly_charges, rows["C1"].total_charges) == ("75", "900")
+    assert rows["C2"].segment == "re,tail" and rows["C2"]._corrupt_record is None
+    assert rows["C3"]._rescued_data == '{"_c3":"MORE"}' and rows["C5"]._corrupt_record == "C5"
+    assert rows["C4"].monthly_charges == "80" and rows["C4"].segment is None and rows["C4"]._corrupt_record is None
+
+
+def test_a_file_without_a_noted_header_stops_the_batch(spark, tmp_path):
+    import pytest
+
+    d = str(tmp_path)
+    write_text(d, "a.csv", "customer_id\nC1\n")
+    lines = L.with_headers(spark.read.text(d), spark.createDataFrame([], "file_path string, header string"))
+    with pytest.raises(Exception, match=L.UNKNOWN_LAYOUT):
+        L.parse_by_layout(lines, ["customer_id"], ("customer_id",)).collect()
+
+
 class _Linear:
     """A stand-in foreign model: probability from a fixed linear score."""
 
