@@ -239,6 +239,21 @@ def q_upsert_bucketed(spark, d):
     return t.read().select(*ORDER_COLS)
 
 
+@register("upsert_schema_evolution", """
+SELECT c_custkey, 2 AS ts, c_mktsegment AS segment
+FROM customer WHERE c_nationkey < 12 AND c_acctbal < 5000
+UNION ALL SELECT c_custkey, 1, NULL FROM customer WHERE c_nationkey >= 12 AND c_acctbal < 5000
+UNION ALL SELECT c_custkey, 3, NULL FROM customer WHERE c_acctbal >= 5000""")
+def q_upsert_schema_evolution(spark, d):
+    """Three upserts; a column appears in the second, and the third rewrites other rows without it."""
+    t = TB.BucketedTable(spark, work_path(spark, "upsert_evolution"), "c_custkey", buckets=8)
+    c = S.table(spark, d, "customer")
+    t.upsert(c.select("c_custkey", F.lit(1).alias("ts")), ["ts"])
+    t.upsert(c.filter("c_nationkey < 12").select("c_custkey", F.lit(2).alias("ts"), F.col("c_mktsegment").alias("segment")), ["ts"])
+    t.upsert(c.filter("c_acctbal >= 5000").select("c_custkey", F.lit(3).alias("ts")), ["ts"])
+    return t.read().select("c_custkey", "ts", "segment")
+
+
 @register("silver_stream_upsert", f"""
 SELECT customer_id, churn, {r('monthly_charges', 'monthly_charges')}, tenure_months FROM (
   SELECT * REPLACE (CASE WHEN partner = 'yes' THEN monthly_charges + 1 ELSE monthly_charges END AS monthly_charges,

@@ -40,8 +40,8 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver: VersionedDataset,
     the quarantine idempotently.
 
     The gates (V2-V4) run on the written version, reading only the key and
-    required columns; a failing version is marked rejected and never becomes
-    current, so Silver is written once instead of staged and written again.
+    required columns, before it is committed; a failing version never becomes
+    current, and Silver is written once instead of staged and written again.
     """
     ts = quarantined_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     # Bronze-side counts ride along with the Silver write (A2); labels other than
@@ -53,13 +53,12 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver: VersionedDataset,
                             F.count_if(label.isNull() | ~label.isin("yes", "no")).alias("unknown_labels"))
     clean, quarantine = silver_from_bronze(bronze, ts)
     obs = Observation("silver")
-    version = silver.write(clean.observe(obs, F.count(F.lit(1)).alias("rows")))
-    written = silver.read(version)
-    try:
-        report = enforce_gates(quality_report(written, C.ID_COLUMN, ("customer_id",)), check_required)
-    except Exception as e:
-        silver.reject(version, str(e))
-        raise
+    report = {}
+
+    def gate(written: DataFrame) -> None:
+        report.update(enforce_gates(quality_report(written, C.ID_COLUMN, ("customer_id",)), check_required))
+
+    version = silver.write(clean.observe(obs, F.count(F.lit(1)).alias("rows")), gate=gate)
     key = ["_source_file", "_q_hash"]
     q = quarantine.withColumn("_q_hash", F.xxhash64(*[F.col(c) for c in C.RAW_COLUMNS + (CORRUPT,)]))
     appended = append_new(spark, quarantine_path, q, key)
@@ -125,5 +124,8 @@ def _run_daily_incremental(spark: SparkSession, cfg, landing: str, buckets: int)
                       max_files_per_trigger=cfg.max_files_per_trigger, gold=gold,
                       gold_kw={"long_tenure": cfg.long_tenure, "high_spender": cfg.high_spender,
                                "one_hot": cfg.one_hot})
+    if cfg.keep_versions:
+        silver.retain(cfg.keep_versions)
+        gold.retain(cfg.keep_versions)
     # report the day's work only: counting the whole tables would cost O(history)
     return {"ingest": ingest, "silver_path": silver.path, "gold_path": gold.path}

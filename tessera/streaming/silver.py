@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators.clean import normalize_churn, row_hash, upsert_latest
-from ..operators.quality import quarantine_split
+from ..operators.quality import enforce_gates, quality_report, quarantine_split
 from ..sources.landing import CORRUPT
 from ..sources.tables import BucketedTable, VersionedDataset, append_new
 from .runner import finish
@@ -32,18 +32,29 @@ def silver_batch(silver, quarantine_path: str, gold: BucketedTable | None = None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()     # read for the touched buckets, the merge and the quarantine
+        try:
+            process(spark, batch)
+        finally:
+            batch.unpersist()
+
+    def gate(written: DataFrame) -> None:
+        # Silver's uniqueness and non-empty gates (V2, V3) on the buckets about to become current
+        enforce_gates(quality_report(written, C.ID_COLUMN, (C.ID_COLUMN,)))
+
+    def process(spark: SparkSession, batch: DataFrame) -> None:
         bad, good = quarantine_split(batch)
         typed = normalize_churn(good).withColumn("_row_hash", row_hash(C.RAW_COLUMNS))
         typed = typed.drop(*[c for c in (CORRUPT, "_rescued_data") if c in typed.columns])
         if isinstance(silver, BucketedTable):
-            touched = silver.upsert(typed, RECENCY)
+            touched = silver.upsert(typed, RECENCY, gate=gate)
             if gold is not None and touched:
                 from ..operators.features import gold_features
 
                 feats = gold_features(silver.read_buckets(touched), **(gold_kw or {}))
                 gold.replace(feats.withColumn("_bucket", gold.bucket()))
         else:
-            silver.write(upsert_latest(silver.read(), typed, C.ID_COLUMN, RECENCY))
+            silver.write(upsert_latest(silver.read(), typed, C.ID_COLUMN, RECENCY), gate=gate)
         q = bad.withColumn("_q_hash", F.xxhash64(*[F.col(c) for c in C.RAW_COLUMNS + (CORRUPT,)]))
         # a micro-batch holds a bounded set of new files: check only their keys
         append_new(spark, quarantine_path, q, ["_source_file", "_q_hash"], scope_col="_source_file")

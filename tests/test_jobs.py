@@ -133,24 +133,55 @@ def test_run_daily_incremental(spark, tmp_path):
 
 
 def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
-    import glob
-    import os
-
     from tessera.sources.tables import BucketedTable
 
     path = str(tmp_path / "t")
     t = BucketedTable(spark, path, "k", buckets=16)
     base = spark.createDataFrame([(k, 1, f"v{k}") for k in range(200)], "k int, ts int, v string")
     t.upsert(base, ["ts"])
-    before = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
+    before = set(t.read().inputFiles())
     upd = spark.createDataFrame([(3, 2, "new"), (500, 2, "added")], "k int, ts int, v string")
     touched = t.upsert(upd, ["ts"])
     assert 1 <= len(touched) <= 2
     rows = {r.k: r.v for r in t.read().collect()}
     assert len(rows) == 201 and rows[3] == "new" and rows[500] == "added" and rows[4] == "v4"
-    after = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
-    untouched = [f for f in before if not any(f"/_bucket={b}/" in f for b in touched)]
-    assert untouched and all(after.get(f) == before[f] for f in untouched)
+    after = set(t.read().inputFiles())
+    untouched = {f for f in before if not any(f"/_bucket={b}/" in f for b in touched)}
+    assert untouched and untouched == before & after
+
+
+def test_a_dead_or_gated_commit_leaves_the_bucketed_table_as_it_was(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from tessera.sources import tables as TB
+
+    t = TB.BucketedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    t.upsert(spark.createDataFrame([(k, 1) for k in range(50)], "k int, ts int"), ["ts"])
+    newer = spark.createDataFrame([(k, 2) for k in range(60)], "k int, ts int")
+
+    def state():
+        return sorted((r.k, r.ts) for r in t.read().collect())
+
+    old = state()
+
+    def refuse(written):
+        assert written.count() == 60 and state() == old       # readers see the old table meanwhile
+        raise ValueError("gate")
+
+    with pytest.raises(ValueError, match="gate"):
+        t.upsert(newer, ["ts"], gate=refuse)
+    with monkeypatch.context() as m:
+        m.setattr(TB, "_create", lambda *a: (_ for _ in ()).throw(OSError("died before the manifest")))
+        with pytest.raises(OSError):
+            t.upsert(newer, ["ts"])
+    assert state() == old and t.commits() == [1]
+    t.upsert(newer, ["ts"])
+    assert state() == [(k, 2) for k in range(60)]
+    with pytest.raises(FileExistsError):
+        TB._create(spark, f"{t.path}/_manifest/{t.commits()[-1]:08d}.json", "{}")
+    t.retain(1)
+    assert state() == [(k, 2) for k in range(60)] and len(t.commits()) == 1
+    assert t.upsert(newer.limit(0), ["ts"]) == [] and len(state()) == 60
 
 
 def test_failed_gate_version_never_becomes_current(spark, tmp_path):
@@ -208,21 +239,17 @@ def test_run_daily_incremental_follows_new_files_only(spark, tmp_path):
     cfg = JobConfig(layers=Layers(root=f"{d}/lake"))
     write_text(f"{d}/landing", "a.csv", SAMPLE_CSV)
     first = run_daily(spark, cfg, f"{d}/landing", incremental=True, buckets=8)
-    assert spark.read.parquet(first["silver_path"]).count() == 20
-    assert spark.read.parquet(first["gold_path"]).count() == 20
-    gold_path = cfg.layers.path("gold", cfg.gold_table)
-    before = {f: os.path.getmtime(f) for f in glob.glob(f"{gold_path}/_bucket=*/*.parquet")}
+    silver, gold = (BucketedTable(spark, first[p], "customer_id", 8) for p in ("silver_path", "gold_path"))
+    assert silver.read().count() == 20 and gold.read().count() == 20
+    before = set(gold.read().inputFiles())
     update = SAMPLE_CSV.splitlines()[0] + "\n" + SAMPLE_CSV.splitlines()[1].replace("75.50,906.00,No", "80.00,960.00,Yes") + "\n"
     write_text(f"{d}/landing", "b.csv", update)
     second = run_daily(spark, cfg, f"{d}/landing", incremental=True, buckets=8)
     assert second["ingest"]["input_rows"] == 1
-    assert spark.read.parquet(second["silver_path"]).count() == 20
-    assert spark.read.parquet(second["gold_path"]).count() == 20
-    g = BucketedTable(spark, gold_path, "customer_id", 8).read()
-    row = g.filter("customer_id = 'C0001'").first()
+    assert silver.read().count() == 20 and gold.read().count() == 20
+    row = gold.read().filter("customer_id = 'C0001'").first()
     assert (row.monthly_charges, row.churn, row.is_high_spender) == (80.0, 1, 1)
-    after = {f: os.path.getmtime(f) for f in glob.glob(f"{gold_path}/_bucket=*/*.parquet")}
-    assert sum(1 for f in before if after.get(f) == before[f]) >= len(before) - 1    # one bucket rewritten
+    assert len(before - set(gold.read().inputFiles())) == 1    # one bucket rewritten
 
 
 def test_versioned_retention_keeps_current(spark, tmp_path):
