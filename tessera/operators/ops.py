@@ -7,7 +7,7 @@ computed exactly from the raw request rows:
   count / window seconds;
 * latency quantiles -- cumulative ``le`` bucket counts in the same
   aggregation (one ``count_if`` per bound, partial-then-final), then the
-  ``histogram_quantile`` interpolation as an array expression on the
+  ``histogram_quantile`` interpolation as a CASE expression on the
   aggregated row (no explode, no window, no Python);
 * held alerts -- every window whose condition holds "votes" for the
   evaluation instants it covers; an instant fires when all the evaluations
@@ -99,17 +99,22 @@ def error_ratio(log: DataFrame, duration: str = "5 minutes", slide: str | None =
     })
 
 
-def error_budget(log: DataFrame, duration: str = "1 day") -> DataFrame:
-    """``1 - non-5xx / all`` per (tumbling) budget window."""
-    agg = (windowed(log, "ts", duration, None).groupBy("window_start", "window_end")
-           .agg(F.count(F.lit(1)).alias("requests"), F.count_if(~is_5xx()).alias("ok_requests")))
+def error_budget(log: DataFrame, duration: str = "24 hours", slide: str = "1 hour") -> DataFrame:
+    """``1 - non-5xx / all`` over the trailing ``duration``, evaluated every ``slide``."""
+    agg = sliding_sums(log, {"requests": F.count(F.lit(1)), "ok_requests": F.count_if(~is_5xx())},
+                       (), duration, slide)
     return agg.withColumn("budget_consumed", 1 - F.col("ok_requests") / F.col("requests"))
 
 
+def predictions(log: DataFrame, cls: str = "predicted_class") -> DataFrame:
+    """The requests that gave a prediction; a failed one has no class."""
+    return log.filter(F.col(cls).isNotNull())
+
+
 def class_distribution(log: DataFrame, cls: str = "predicted_class", duration: str = "5 minutes",
                        slide: str | None = "1 minute") -> DataFrame:
     """Predictions per class and window with each class's share of the window."""
-    agg = sliding_sums(log, {"predictions": F.count(F.lit(1))}, (cls,), duration, slide)
+    agg = sliding_sums(predictions(log, cls), {"predictions": F.count(F.lit(1))}, (cls,), duration, slide)
     # a window holds one row per class, so this partition is tiny
     tot = F.sum("predictions").over(Window.partitionBy("window_start", "window_end"))
     return agg.withColumn("share", F.col("predictions") / tot)
@@ -131,29 +136,22 @@ def bucket_aggs(value: str, bounds) -> list[Column]:
             + [F.count(v).alias("_count"), F.sum(v).alias("_sum")])
 
 
-def cumulative_array(bounds) -> Column:
-    return F.array(*[F.col(f"_le{i}") for i in range(len(bounds))])
-
-
-def histogram_quantile(q: float, bounds, cums: Column, total: Column) -> Column:
+def histogram_quantile(q: float, bounds, cums, total: Column) -> Column:
     """Prometheus ``histogram_quantile`` on cumulative counts of the finite buckets.
 
     rank = q * total; first bucket whose count reaches rank; linear
     interpolation inside it (lowest bucket starts at 0); rank in the +Inf
     bucket -> largest finite bound; no observations -> NaN.
     """
-    les = F.array(*[F.lit(float(b)) for b in bounds])
-    n = len(bounds)
     rank = F.lit(float(q)) * total
-    idx = F.size(F.filter(cums, lambda c: c < rank))              # 0-based first bucket >= rank
-    end = F.element_at(les, F.least(idx + 1, F.lit(n)))
-    start = F.when(idx == 0, F.lit(0.0)).otherwise(F.element_at(les, F.greatest(idx, F.lit(1))))
-    prev = F.when(idx == 0, F.lit(0)).otherwise(F.element_at(cums, F.greatest(idx, F.lit(1))))
-    cur = F.element_at(cums, F.least(idx + 1, F.lit(n)))
-    interp = start + (end - start) * (rank - prev) / (cur - prev)
-    return (F.when(total == 0, F.lit(float("nan")))
-             .when(idx >= n, F.lit(float(bounds[-1])))
-             .otherwise(interp))
+    # one codegen'd CASE over the cumulative columns: the first whose count reaches the rank
+    out = F.when(total == 0, F.lit(float("nan")))
+    start, prev = F.lit(0.0), F.lit(0)
+    for bound, cur in zip(bounds, cums, strict=True):
+        end = F.lit(float(bound))
+        out = out.when(cur >= rank, start + (end - start) * (rank - prev) / (cur - prev))
+        start, prev = end, cur
+    return out.otherwise(F.lit(float(bounds[-1])))
 
 
 def latency_histogram(log: DataFrame, value: str = "duration_s", by=("http_method", "http_path"),
@@ -179,7 +177,7 @@ def latency_quantiles(log: DataFrame, value: str = "duration_s", quantiles=(0.5,
         agg = sliding_sums(log, sums, by, duration, slide)
     else:
         agg = log.groupBy(*keys).agg(*bucket_aggs(value, bounds))
-    cums = cumulative_array(bounds)
+    cums = [F.col(f"_le{i}") for i in range(len(bounds))]
     return agg.select(*keys, F.col("_count").alias("observations"),
                       *[histogram_quantile(q, bounds, cums, F.col("_count")).alias(f"p{int(round(q * 100))}")
                         for q in quantiles])
@@ -198,10 +196,10 @@ def raw_latency_quantiles(log: DataFrame, value: str = "duration_s", quantiles=(
                                                for i, q in enumerate(quantiles)])
 
 
-def slowest_endpoints(log: DataFrame, k: int = 5, q: float = 0.99, duration: str = "1 day",
-                      value: str = "duration_s", bounds=C.LATENCY_BUCKETS) -> DataFrame:
-    """Top-k paths by quantile latency per window."""
-    qs = latency_quantiles(log, value, (q,), bounds, ("http_path",), duration, None)
+def slowest_endpoints(log: DataFrame, k: int = 5, q: float = 0.99, duration: str = "5 minutes",
+                      value: str = "duration_s", bounds=C.LATENCY_BUCKETS, slide: str | None = "1 minute") -> DataFrame:
+    """Top-k paths by quantile latency per trailing window."""
+    qs = latency_quantiles(log, value, (q,), bounds, ("http_path",), duration, slide)
     col = f"p{int(round(q * 100))}"
     # one row per path and window: the ranking partition is as small as the path set
     w = Window.partitionBy("window_start", "window_end").orderBy(F.col(col).desc(), F.col("http_path"))

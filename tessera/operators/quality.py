@@ -103,6 +103,20 @@ def assert_schema(df: DataFrame, contract: T.StructType, allow_extra: bool = Fal
         raise QualityGateError(f"schema mismatch: missing={missing} extra={extra} wrong_type={wrong}")
 
 
+def column_profile(df: DataFrame, names=None) -> DataFrame:
+    """One row per column: position, type, NULLs, least and greatest value (numbers only), from one aggregation."""
+    fields = [df.schema[n] for n in names or df.columns]
+    aggs = []
+    for i, f in enumerate(fields):
+        ends = [F.lit(None).cast("double")] * 2
+        if isinstance(f.dataType, T.NumericType):
+            ends = [F.min(f.name).cast("double"), F.max(f.name).cast("double")]
+        aggs.append(F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                             F.lit(f.dataType.simpleString()).alias("type"), F.count_if(F.col(f.name).isNull()).alias("nulls"),
+                             ends[0].alias("low"), ends[1].alias("high")))
+    return df.agg(F.array(*aggs).alias("_rows")).select(F.inline("_rows"))
+
+
 def schema_diff(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Schema check as data: one row per contract/actual column with its status."""
     spark = df.sparkSession

@@ -1,8 +1,8 @@
 """Helpers that write DuckDB SQL for the correctness oracle.
 
 Only the oracle side needs them: Spark's ``hash()`` is Murmur3 x86_32 with
-seed 42, which DuckDB does not have, so the oracle rebuilds it for BIGINT
-keys with integer arithmetic in a chain of sub-queries (each step a column,
+seed 42, which DuckDB does not have, so the oracle rebuilds it for BIGINT and
+text keys with integer arithmetic in a chain of sub-queries (each step a column,
 so no expression is repeated).
 """
 
@@ -37,7 +37,27 @@ def spark_hash_long(src: str, key: str, out: str) -> str:
         steps.append(("__k", _mul(_rot(_mul(w, _C1), 15), _C2)))
         steps.append(("__h", "xor(__h, __k)"))
         steps.append(("__h", f"((({_rot('__h', 13)}) * 5 + {_N}) & {_M32})"))
-    steps.append(("__h", "xor(__h, 8::UBIGINT)"))
+    return _finish_hash(src, steps, "8", out)
+
+
+def spark_hash_text(src: str, key: str, out: str) -> str:
+    """Wrap relation ``src`` adding ``out`` = Spark ``hash(key)`` for an ASCII text key: whole 4-byte
+    little-endian words, then single bytes, folded by ``list_reduce`` (a step refers to the state twice,
+    so a chain of sub-queries would double with every word)."""
+    def byte(i: str) -> str:
+        return f"ascii(substr({key}, ({i} + 1)::BIGINT, 1))::UBIGINT"
+
+    whole = " + ".join(f"{byte(f'4 * i + {n}')} * {256 ** n}" for n in range(4))
+    words = (f"list_concat(list_transform(range(length({key}) // 4), lambda i: ({whole})::UBIGINT), "
+             f"list_transform(range(length({key}) // 4 * 4, length({key})), lambda i: ({byte('i')})::UBIGINT))")
+    mixed = f"list_transform({words}, lambda w: ({_mul(_rot(_mul('w', _C1), 15), _C2)})::UBIGINT)"
+    folded = (f"list_reduce(list_prepend({_SEED}::UBIGINT, {mixed}), "
+              f"lambda h, k: ((({_rot('xor(h, k)', 13)}) * 5 + {_N}) & {_M32})::UBIGINT)")
+    return _finish_hash(src, [("__h", folded)], f"length({key})", out)
+
+
+def _finish_hash(src: str, steps: list, length: str, out: str) -> str:
+    steps.append(("__h", f"xor(__h, ({length})::UBIGINT)"))
     steps.append(("__h", _mul("xor(__h, __h >> 16)", _F1)))
     steps.append(("__h", _mul("xor(__h, __h >> 13)", _F2)))
     steps.append(("__h", "xor(__h, __h >> 16)"))

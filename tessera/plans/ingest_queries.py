@@ -17,7 +17,7 @@ from ..streaming.bronze import ingest_available, ingest_tracking_schema
 from ..streaming.silver import run_silver_stream
 from . import standins as S
 from .queries import (round6, GOLD_DOUBLES, LATEST_SQL, ORDER_COLS, ROUND, SILVER_SQL, _QUAR_SQL, _quarantine_view,
-                      gold_body_sql, r, register, rounded)
+                      gold_body_sql, gold_sql, r, register, rounded)
 
 HEADER = ",".join(C.RAW_COLUMNS)
 
@@ -282,13 +282,13 @@ SELECT * REPLACE (CASE WHEN partner = 'yes' THEN monthly_charges + 1 ELSE monthl
                   CASE WHEN partner = 'yes' THEN 1 ELSE churn END AS churn)
 FROM ({SILVER_SQL}) s"""
 _DAILY_SQL = f"""
-SELECT * EXCLUDE (c_custkey) REPLACE ({", ".join(f"round({c}, {ROUND}) AS {c}" for c in GOLD_DOUBLES)})
-FROM ({gold_body_sql(_UPDATED_SILVER_SQL)}) g"""
+SELECT * REPLACE ({", ".join(f"round({c}, {ROUND}) AS {c}" for c in GOLD_DOUBLES)})
+FROM ({gold_sql(gold_body_sql(_UPDATED_SILVER_SQL))}) g"""
 
 
 def _daily(spark, d, incremental: bool):
     """Two days of landing files (base feed, then the update batch) through the
-    daily job; returns Gold without the split label."""
+    daily job; returns Gold with the split of the text id."""
     from ..config import JobConfig, Layers
     from .medallion import run_daily
 
@@ -305,7 +305,7 @@ def _daily(spark, d, incremental: bool):
         gold = TB.VersionedDataset(spark, cfg.layers.path("gold", cfg.gold_table)).read()
     from ..config import GOLD_FEATURES
 
-    cols = [C.ID_COLUMN, *[c for c in GOLD_FEATURES], C.LABEL_COLUMN]
+    cols = [C.ID_COLUMN, *GOLD_FEATURES, C.LABEL_COLUMN, "_split"]
     return rounded(gold.select(*cols))
 
 

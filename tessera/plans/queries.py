@@ -68,7 +68,7 @@ def silver_churn(spark, d, dirty=False, strategy="aggregate") -> DataFrame:
 
 def gold_churn(spark, d) -> DataFrame:
     silver = silver_churn(spark, d)
-    return FE.gold_features(silver, split_key=F.col(C.ID_COLUMN).try_cast("bigint"))
+    return FE.gold_features(silver)
 
 
 # ---------------------------------------------------------------------------
@@ -101,9 +101,14 @@ FROM ({silver_sql}) s"""
 
 GOLD_BODY_SQL = gold_body_sql(SILVER_SQL)
 
-GOLD_SQL = f"""
+def gold_sql(body_sql: str) -> str:
+    """Gold rows with the split by the hash of the text id."""
+    return f"""
 SELECT * EXCLUDE (c_custkey, _h), {duck.split_label_sql('_h')} AS _split
-FROM ({duck.spark_hash_long(GOLD_BODY_SQL, 'c_custkey', '_h')}) g"""
+FROM ({duck.spark_hash_text(body_sql, 'customer_id', '_h')}) g"""
+
+
+GOLD_SQL = gold_sql(GOLD_BODY_SQL)
 
 
 def _round_cols_sql(cols_double) -> str:
@@ -353,10 +358,10 @@ SLIDE_SQL = f"""
 SELECT l.*, time_bucket(INTERVAL '1 minute', ts) - to_minutes(t.k) AS window_start,
        time_bucket(INTERVAL '1 minute', ts) - to_minutes(t.k) + INTERVAL '5 minutes' AS window_end
 FROM ({LOG_SQL}) l CROSS JOIN (SELECT range AS k FROM range(5)) t"""
-DAY_SQL = f"""
-SELECT l.*, time_bucket(INTERVAL '1 day', ts) AS window_start,
-       time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end
-FROM ({LOG_SQL}) l"""
+TRAILING_DAY_SQL = f"""
+SELECT l.*, time_bucket(INTERVAL '1 hour', ts) - to_hours(t.k) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) - to_hours(t.k) + INTERVAL '24 hours' AS window_end
+FROM ({LOG_SQL}) l CROSS JOIN (SELECT range AS k FROM range(24)) t"""
 
 
 @register("requests_per_second", f"""
@@ -400,22 +405,22 @@ SELECT window_start, window_end, count(*) AS requests,
   count(*) FILTER (WHERE NOT regexp_full_match(CAST(status_code AS VARCHAR), '5..')) AS ok_requests,
   {r("1 - count(*) FILTER (WHERE NOT regexp_full_match(CAST(status_code AS VARCHAR), '5..')) / count(*)",
      'budget_consumed')}
-FROM ({DAY_SQL}) w GROUP BY window_start, window_end""")
+FROM ({TRAILING_DAY_SQL}) w GROUP BY window_start, window_end""")
 def q_error_budget(spark, d):
     return rounded(OP.error_budget(S.request_log(spark, d)))
 
 
 @register("predictions_per_minute", f"""
 SELECT window_start, window_end, count(*) AS requests, {r('count(*) / 5.0', 'per_minute')}
-FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end""")
+FROM ({SLIDE_SQL}) w WHERE predicted_class IS NOT NULL GROUP BY window_start, window_end""")
 def q_predictions_per_minute(spark, d):
-    return rounded(OP.request_rate(S.request_log(spark, d), per="minute"))
+    return rounded(OP.request_rate(OP.predictions(S.request_log(spark, d)), per="minute"))
 
 
 @register("class_distribution", f"""
 SELECT window_start, window_end, predicted_class, count(*) AS predictions,
   {r('count(*) / sum(count(*)) OVER (PARTITION BY window_start, window_end)', 'share')}
-FROM ({SLIDE_SQL}) w GROUP BY window_start, window_end, predicted_class""")
+FROM ({SLIDE_SQL}) w WHERE predicted_class IS NOT NULL GROUP BY window_start, window_end, predicted_class""")
 def q_class_distribution(spark, d):
     return rounded(OP.class_distribution(S.request_log(spark, d)))
 
@@ -472,7 +477,7 @@ def q_inference_quantiles(spark, d):
 SELECT * FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY p99 DESC, http_path) AS INTEGER)
     AS rank
-  FROM ({_latency_quantiles_sql(DAY_SQL, "window_start, window_end, http_path", "duration_s",
+  FROM ({_latency_quantiles_sql(SLIDE_SQL, "window_start, window_end, http_path", "duration_s",
                                 C.LATENCY_BUCKETS, (0.99,))}) q) t WHERE rank <= 5""")
 def q_slowest_endpoints(spark, d):
     return rounded(OP.slowest_endpoints(S.request_log(spark, d)))

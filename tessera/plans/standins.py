@@ -174,7 +174,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/"), F.col("event_type")).alias("http_path"),
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"),
         (F.col("value") / 1000).alias("duration_s"),
-        (F.col("event_type") == "purchase").cast("int").alias("predicted_class"),
+        F.when(F.col("event_type") != "error", (F.col("event_type") == "purchase").cast("int")).alias("predicted_class"),
         # model-call latency carried in the JSON props (``k`` milliseconds)
         (F.get_json_object("props", "$.k").try_cast("double") / 1000).alias("inference_s"),
     )
@@ -184,7 +184,7 @@ REQUEST_LOG_SQL = """
 SELECT event_id AS request_seq, ts, 'POST' AS http_method, '/' || event_type AS http_path,
        CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status_code,
        value / 1000 AS duration_s,
-       CAST(event_type = 'purchase' AS INTEGER) AS predicted_class,
+       CASE WHEN event_type <> 'error' THEN CAST(event_type = 'purchase' AS INTEGER) END AS predicted_class,
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) / 1000 AS inference_s
 FROM events"""
 
