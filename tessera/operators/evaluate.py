@@ -48,10 +48,12 @@ def confusion_metrics(df: DataFrame, label: str, prediction: str, group_cols=())
     })
 
 
-def _per_score(df: DataFrame, label: str, score: str, g: list) -> DataFrame:
-    """One row per (group, distinct score): positives and negatives at that score."""
+def _per_score(df: DataFrame, label: str, score: str, g: list, weight: str | None = None) -> DataFrame:
+    """One row per (group, distinct score): positives and negatives at that score
+    (a row stands for ``weight`` equal ones)."""
     y = F.col(label).cast("long")
-    return df.groupBy(*g, F.col(score).alias("_s")).agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"))
+    w = F.col(weight).cast("long") if weight else F.lit(1)
+    return df.groupBy(*g, F.col(score).alias("_s")).agg(F.sum(y * w).alias("_pos"), F.sum((1 - y) * w).alias("_neg"))
 
 
 def _bucket_totals(per_score: DataFrame, g: list, buckets: int, accuracy: int, extra=None) -> DataFrame:
@@ -110,11 +112,11 @@ def roc_auc(df: DataFrame, label: str, score: str, group_cols=(), buckets: int |
 
 
 def binary_metrics(df: DataFrame, label: str, score: str, threshold, group_cols=(), strict: bool = False,
-                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+                   buckets: int | None = None, accuracy: int = 10000, weight: str | None = None) -> DataFrame:
     """Confusion metrics of ``score >= threshold`` (``>`` when ``strict``) and the
     exact ROC-AUC of ``score``, from one per-score aggregate -- one pass over
     the data for both (A5, A6, A8, M7).  ``threshold`` is a number or a column
-    constant within each group."""
+    constant within each group; ``weight`` is a column of row counts."""
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
     t = F.col(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
@@ -126,7 +128,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold, group_cols=
              "fn": F.sum(F.when(~hit, F.col("_pos")).otherwise(0)),
              "tn": F.sum(F.when(~hit, F.col("_neg")).otherwise(0))}
     buckets = buckets or score_buckets(df)
-    won = _won_pairs(_bucket_totals(_per_score(src, label, score, g), g, buckets, accuracy, extra), g,
+    won = _won_pairs(_bucket_totals(_per_score(src, label, score, g, weight), g, buckets, accuracy, extra), g,
                      extra=tuple(extra))
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     keep = [c for c in g if c != "_g"]

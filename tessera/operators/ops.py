@@ -275,3 +275,25 @@ def parse_log(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
         F.to_timestamp_ntz(F.regexp_replace(F.col("_p.timestamp"), "Z$", "")).alias("ts"),
         F.when(~ok, F.col(value)).alias("_bad_line"),
     )
+
+
+REQUEST_EVENTS = ("request_finished", "request_failed")
+
+
+def request_predictions(parsed: DataFrame, keep=("http_method", "http_path", "duration_ms", "ts")) -> DataFrame:
+    """The two kinds of a request's log lines joined by request id: one row per request
+    line, with class and probability of its ``prediction_returned`` line (NULL without one).
+
+    A failed request logs no status; it counts as 500, as in the service's counters.
+    Of several prediction lines of an id the latest is taken, so a client that repeats
+    an id multiplies no rows.  A request without an id, and a prediction line whose
+    request line is missing, find no partner.
+    """
+    requests = parsed.filter(F.col("event").isin(*REQUEST_EVENTS)).select(
+        "request_id", *keep,
+        F.when(F.col("event") == "request_failed", F.lit(500)).otherwise(F.col("status_code")).alias("status_code"))
+    answers = (parsed.filter((F.col("event") == "prediction_returned") & F.col("request_id").isNotNull())
+               .groupBy("request_id")
+               .agg(F.max(F.struct("ts", "predicted_class", "probability")).alias("_a"))
+               .select("request_id", F.col("_a.predicted_class"), F.col("_a.probability")))
+    return requests.join(answers, "request_id", "left")

@@ -28,19 +28,23 @@ RUNS_SCHEMA = ("run_id string, experiment string, run_name string, family string
                "model_path string, signature string, started_at timestamp")
 
 
-def _impute(features) -> tuple[Imputer, list[str]]:
-    """Mean imputation fitted on the training split and kept in the artifact, so
-    rows with a missing feature are still scored (no row is dropped)."""
-    out = [f"{c}__imputed" for c in features]
-    return Imputer(inputCols=list(features), outputCols=out, strategy="mean"), out
+def _preparation(features, scaled: bool) -> list:
+    """Stages up to the ``features`` vector (M1, M2).  Mean imputation is fitted on the
+    training split and kept in the artifact, so rows with a missing feature are
+    still scored (no row is dropped)."""
+    cols = [f"{c}__imputed" for c in features]
+    vector = "raw_features" if scaled else "features"
+    stages = [Imputer(inputCols=list(features), outputCols=cols, strategy="mean"),
+              VectorAssembler(inputCols=cols, outputCol=vector, handleInvalid="keep")]
+    if scaled:
+        stages.append(StandardScaler(inputCol=vector, outputCol="features", withMean=True, withStd=True))
+    return stages
 
 
 def rf_pipeline(features, label: str, n_estimators: int, max_depth: int, seed: int = 42) -> Pipeline:
     """Random forest (M3): sqrt feature subsets, gini, ``seed`` as in the notebook."""
-    imputer, cols = _impute(features)
     return Pipeline(stages=[
-        imputer,
-        VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"),
+        *_preparation(features, scaled=False),
         RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_estimators,
                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
                                # more nodes split per pass over the data, fewer passes for deep trees
@@ -55,11 +59,8 @@ def nn_pipeline(features, label: str, hidden_units: int, epochs: int, seed: int
     MLlib's perceptron has sigmoid hidden units, a softmax output and L-BFGS;
     dropout and batch size have no counterpart (same role, not same numbers).
     """
-    imputer, cols = _impute(features)
     return Pipeline(stages=[
-        imputer,
-        VectorAssembler(inputCols=cols, outputCol="raw_features", handleInvalid="keep"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        *_preparation(features, scaled=True),
         MultilayerPerceptronClassifier(labelCol=label, featuresCol="features",
                                        layers=[len(features), hidden_units, 2], maxIter=epochs,
                                        seed=seed, blockSize=block_size),
@@ -92,7 +93,9 @@ def _run_id(experiment: str, run_name: str, started: str) -> str:
 def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment: str,
              model_root: str | None = None, label: str = C.LABEL_COLUMN, features=None,
              threshold: float = 0.5, parallelism: int = 3) -> DataFrame:
-    """Fit one pipeline per grid point; returns run rows (M5-M9).
+    """Fit one pipeline per grid point; returns run rows (M5-M9).  The stages before the
+    classifier are the same at every point: they are fitted once, and the prepared
+    rows (label, split, vector) are persisted for all points.
 
     ``threshold``: the notebook's NN used ``prob > 0.5`` (X12).  Metrics of
     the test split are reported as extra keys, never used for selection (X11).
@@ -105,7 +108,10 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         raise ValueError(f"training input lacks contract features: {missing}")
     labelled = gold.withColumn(label, F.col(label).cast("double"))
     train = labelled.filter(F.col("_split") == "train")
-    held_out = labelled.filter(F.col("_split").isin("val", "test"))
+    prepare = Pipeline(stages=_preparation(features, scaled=family != "random_forest")).fit(train)
+    ready = prepare.transform(labelled).select(label, "_split", "features").persist()
+    ready_train = ready.filter(F.col("_split") == "train")
+    held_out = ready.filter(F.col("_split").isin("val", "test"))
 
     def one(params: dict):
         if family == "random_forest":
@@ -117,8 +123,9 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         # copy(): the copied stages carry no training summary, whose session
         # reference would otherwise ride along in every scoring task
-        model = pipe.fit(train).copy()
-        metrics = _split_metrics(positive_probability(model.transform(held_out)), label, threshold)
+        classifier = pipe.getStages()[-1].fit(ready_train).copy()
+        model = PipelineModel([*prepare.stages, classifier])
+        metrics = _split_metrics(positive_probability(classifier.transform(held_out)), label, threshold)
         run_id = _run_id(experiment, name, started.isoformat())
         path = None
         if model_root:
@@ -130,8 +137,11 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         return (run_id, experiment, name, family, {k: str(v) for k, v in params.items()},
                 {k: float(v) for k, v in metrics.items()}, {"model_family": family}, path, signature, started)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(one, list(grid)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(one, list(grid)))
+    finally:
+        ready.unpersist()
     return spark.createDataFrame(rows, RUNS_SCHEMA)
 
 

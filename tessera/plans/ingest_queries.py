@@ -41,11 +41,11 @@ def _updates(text):
                               "churn": F.lit("Yes")}))
 
 
-def land(spark, d, root, dirty=False, malformed=False, updates=False, files=2):
+def land(spark, d, root, dirty=False, malformed=False, updates=False):
     text = S.churn_text(spark, d, dirty)
-    L.write_landing(_lines(text, malformed), f"{root}/0001", HEADER, files)
+    L.write_landing(_lines(text, malformed), f"{root}/0001", HEADER)
     if updates:
-        L.write_landing(_lines(_updates(text)), f"{root}/0002", HEADER, 1)
+        L.write_landing(_lines(_updates(text)), f"{root}/0002", HEADER)
     return text
 
 
@@ -83,18 +83,20 @@ def q_bronze_stream_ingest(spark, d):
 
 @register("bronze_audit", """
 SELECT count(*) + (SELECT count(*) FROM customer WHERE c_acctbal >= 5000) AS total_rows,
-       0::BIGINT AS corrupt_rows, 3::BIGINT AS source_files
+       0::BIGINT AS corrupt_rows, 0::BIGINT AS files_missed
 FROM customer""")
 def q_bronze_audit(spark, d):
-    """The notebook's verify query: rows, corrupt rows, latest ingest, source files (A1).
+    """The notebook's verify query: rows, corrupt rows, latest ingest, and landed
+    files that Bronze does not name (A1).
     ``latest_ingest`` is checked for presence only (a clock value)."""
     root = work_path(spark, "bronze_audit")
     land(spark, d, f"{root}/landing", updates=True)
     ingest_available(spark, f"{root}/landing/*", f"{root}/bronze", f"{root}/_checkpoint/bronze")
     b = spark.read.parquet(f"{root}/bronze")
+    landed = L.landing_manifest(spark, f"{root}/landing").count()
     return b.agg(F.count(F.lit(1)).alias("total_rows"), F.count(L.CORRUPT).alias("corrupt_rows"),
                  F.max("_ingest_ts").alias("latest_ingest"),
-                 F.count_distinct("_source_file").alias("source_files")).drop("latest_ingest")
+                 (F.lit(landed) - F.count_distinct("_source_file")).alias("files_missed")).drop("latest_ingest")
 
 
 @register("corrupt_capture", """
@@ -114,12 +116,27 @@ def q_corrupt_capture(spark, d):
                     "_rescued_data")
 
 
-@register("landing_manifest", None)
+@register("landing_manifest", """
+SELECT '0001' AS batch, count(*) AS feed_rows, 0::BIGINT AS unread_files, 0::BIGINT AS unlisted_files,
+  0::BIGINT AS unsized_files FROM customer
+UNION ALL SELECT '0002', count(*), 0, 0, 0 FROM customer WHERE c_acctbal >= 5000 HAVING count(*) > 0""")
 def q_landing_manifest(spark, d):
+    """The listing against the rows read, per batch folder: every listed file is read,
+    every file read is listed with a size and a time (S15)."""
     root = work_path(spark, "manifest")
     land(spark, d, f"{root}/landing", updates=True)
-    return L.landing_manifest(spark, f"{root}/landing").select("length", "modificationTime",
-                                                               F.regexp_extract("path", r"/(\d{4})/", 1).alias("batch"))
+
+    def plain(path):                                   # file:/x and file:///x are one path
+        return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+    listed = L.landing_manifest(spark, f"{root}/landing").withColumn("path", plain("path"))
+    read = (L.read_landing(spark, f"{root}/landing/*").groupBy(plain("_source_file").alias("path"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    both = listed.join(read, "path", "full")
+    return both.groupBy(F.regexp_extract("path", r"/(\d{4})/[^/]*$", 1).alias("batch")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("feed_rows"), F.count_if(F.col("n").isNull()).alias("unread_files"),
+        F.count_if(F.col("length").isNull()).alias("unlisted_files"),
+        F.count_if(~(F.col("length") > 0) | F.col("modificationTime").isNull()).alias("unsized_files"))
 
 
 @register("quarantine_idempotent", _QUAR_SQL)
@@ -261,7 +278,7 @@ SELECT customer_id, churn, {r('monthly_charges', 'monthly_charges')}, tenure_mon
   FROM ({SILVER_SQL}) s) x""")
 def q_silver_stream_upsert(spark, d):
     root = work_path(spark, "silver_stream")
-    land(spark, d, f"{root}/landing", updates=True, files=1)
+    land(spark, d, f"{root}/landing", updates=True)
     ingest_available(spark, f"{root}/landing/*", f"{root}/bronze", f"{root}/_checkpoint/bronze",
                      max_files_per_trigger=1)
     bronze_schema = spark.read.parquet(f"{root}/bronze").schema
@@ -295,9 +312,9 @@ def _daily(spark, d, incremental: bool):
     root = work_path(spark, "daily")
     cfg = JobConfig(layers=Layers(root=f"{root}/lake"))
     text = S.churn_text(spark, d)
-    L.write_landing(_lines(text), f"{root}/landing/0001", HEADER, 2)
+    L.write_landing(_lines(text), f"{root}/landing/0001", HEADER)
     run_daily(spark, cfg, f"{root}/landing", incremental=incremental, buckets=8)
-    L.write_landing(_lines(_updates(text)), f"{root}/landing/0002", HEADER, 1)
+    L.write_landing(_lines(_updates(text)), f"{root}/landing/0002", HEADER)
     run_daily(spark, cfg, f"{root}/landing", incremental=incremental, buckets=8)
     if incremental:
         gold = TB.BucketedTable(spark, cfg.layers.path("gold", cfg.gold_table), C.ID_COLUMN, 8).read()

@@ -3,6 +3,8 @@ alias resolution, scoring, contract (M1-M16, J1, K2-K4, C1-C5, V5-V11, U1)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -33,16 +35,16 @@ def _run_name(feature, t):
 
 
 def rule_sweep_metrics(spark, d):
-    """Every grid point evaluated on the validation split in one pass: the grid
-    is a generator over each row (bounded fan-out), metrics group by run."""
-    li = S.labelled_rows(spark, d).filter(F.col("_split") == "val").select("label", "l_discount", "l_tax")
+    """Every grid point evaluated on the validation split in one pass: rows are counted
+    per (label, values) first, only the counts fan out over the grid."""
+    li = S.labelled_rows(spark, d).filter(F.col("_split") == "val").groupBy("label", "l_discount", "l_tax").agg(F.count(F.lit(1)).alias("n"))
     grid = F.explode(F.array(*[F.struct(F.lit(_run_name(f, t)).alias("run_name"), F.lit(f).alias("feature"),
                                         F.lit(float(t)).alias("threshold")) for f, t in RULE_GRID]))
-    x = li.select("label", "l_discount", "l_tax", grid.alias("g")).select(
-        "label", "g.*", F.when(F.col("g.feature") == "l_discount", F.col("l_discount"))
+    x = li.select("label", "n", "l_discount", "l_tax", grid.alias("g")).select(
+        "label", "n", "g.*", F.when(F.col("g.feature") == "l_discount", F.col("l_discount"))
                          .otherwise(F.col("l_tax")).alias("score"))
     # confusion counts at the run's threshold and the AUC of its score, one pass
-    return EV.binary_metrics(x, "label", "score", "threshold", ["run_name", "feature"])
+    return EV.binary_metrics(x, "label", "score", "threshold", ["run_name", "feature"], weight="n")
 
 
 def rule_runs(spark, d):
@@ -174,27 +176,72 @@ def q_model_info(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# MLlib sweeps on the Gold churn table (rows-only: MLlib is not SQL)
+# MLlib sweeps on the Gold churn table.  MLlib is not SQL: what SQL can say is
+# checked -- runs of the grid, rows and positives each model scored per split,
+# and that the metrics of the stored artifact are the logged ones.
 # ---------------------------------------------------------------------------
 
-def _runs_view(runs):
-    return runs.select("run_name", "family", F.size("params").alias("n_params"),
-                       *[round6(F.col("metrics")[m]).alias(m) for m in METRICS])
+def _verified_runs(spark, d, family, grid):
+    gold = gold_churn(spark, d).checkpoint(eager=True)   # cut lineage: every grid point re-reads it
+    runs = TR.fit_grid(spark, gold, family, grid, "churn_experiments",
+                       model_root=f"{work_path(spark, 'sweep')}/models")
+    held_out = gold.filter(F.col("_split").isin("val", "test"))
+    checks = []
+    for run in runs.collect():                            # one row per grid point
+        scored = TR.positive_probability(TR.load_model(run.model_path).transform(held_out))
+        again = EV.binary_metrics(scored, C.LABEL_COLUMN, "prob_1", 0.5, ["_split"], strict=True)
+        logged = {f"{sp}_{k}": F.lit(run.metrics[f"{sp}_{k}"]) for sp in ("val", "test") for k in TR.METRIC_KEYS}
+        of_split = {k: F.when(F.col("_split") == "val", logged[f"val_{k}"]).otherwise(logged[f"test_{k}"])
+                    for k in TR.METRIC_KEYS}
+        agree, valid = F.lit(True), F.lit(True)
+        for k in TR.METRIC_KEYS:
+            agree = agree & (F.abs(F.col(k) - of_split[k]) < 1e-9)
+            valid = valid & of_split[k].between(0.0, 1.0)
+        checks.append(again.select(
+            F.lit(run.run_name).alias("run_name"), F.lit(run.family).alias("family"),
+            F.lit(len(run.params)).alias("n_params"), "_split",
+            (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("scored_rows"),
+            (F.col("tp") + F.col("fn")).alias("positives"),
+            agree.cast("int").alias("metrics_agree"), valid.cast("int").alias("metrics_valid")))
+    return reduce(lambda x, y: x.unionByName(y), checks)
+
+
+def _verified_runs_sql(family, runs):
+    values = ", ".join(f"('{name}', {n_params})" for name, n_params in runs)
+    return f"""
+SELECT run_name, '{family}' AS family, CAST(n_params AS INTEGER) AS n_params, _split, scored_rows, positives,
+  1 AS metrics_agree, 1 AS metrics_valid
+FROM (VALUES {values}) g(run_name, n_params) CROSS JOIN (
+  SELECT _split, count(*) AS scored_rows, count(*) FILTER (WHERE churn = 1) AS positives
+  FROM ({GOLD_SQL}) g WHERE _split IN ('val', 'test') GROUP BY _split) s"""
 
 
-@register("rf_grid_runs", None)
+@register("rf_grid_runs", _verified_runs_sql(
+    "random_forest", [(f"rf_n{p['n_estimators']}_d{p['max_depth']}", len(p)) for p in C.RF_GRID]))
 def q_rf_grid_runs(spark, d):
-    gold = gold_churn(spark, d).checkpoint(eager=True)   # cut lineage: every grid point re-reads it
-    return _runs_view(TR.fit_grid(spark, gold, "random_forest", C.RF_GRID, "churn_experiments"))
+    return _verified_runs(spark, d, "random_forest", C.RF_GRID)
 
 
-@register("nn_grid_runs", None)
+@register("nn_grid_runs", _verified_runs_sql(
+    "neural_network", [(f"nn_h{p['hidden_units']}_d{p['dropout']}", len(p)) for p in C.NN_GRID]))
 def q_nn_grid_runs(spark, d):
-    gold = gold_churn(spark, d).checkpoint(eager=True)
-    return _runs_view(TR.fit_grid(spark, gold, "neural_network", C.NN_GRID, "churn_experiments"))
+    return _verified_runs(spark, d, "neural_network", C.NN_GRID)
+
+
+def _checked_envelope(env):
+    """Envelope rows with the model's numbers as checks: valid output, class on its side of the threshold."""
+    side = F.when(F.col("prediction") == 1, F.col("probability") >= 0.5).otherwise(F.col("probability") <= 0.5)
+    return env.select(C.ID_COLUMN, "model_version", "model_name", "request_id", "output_ok",
+                      side.cast("int").alias("class_agrees"))
+
+
+MODEL_ENVELOPE_SQL = f"""
+SELECT customer_id, '1' AS model_version, '{MODEL_NAME}' AS model_name,
+  'req_' || substr(sha256(customer_id), 1, 12) AS request_id, 1 AS output_ok, 1 AS class_agrees
+FROM ({GOLD_SQL}) g"""
 
 
-@register("score_model_batch", None)
+@register("score_model_batch", MODEL_ENVELOPE_SQL)
 def q_score_model_batch(spark, d):
     gold = gold_churn(spark, d).checkpoint(eager=True)
     feats = [c for c in C.GOLD_FEATURES]
@@ -203,7 +250,7 @@ def q_score_model_batch(spark, d):
         gold.filter(F.col("_split") == "train").withColumn(C.LABEL_COLUMN, F.col(C.LABEL_COLUMN).cast("double"))
     ).copy()                                  # drop the training summary before scoring
     scored = SC.score_model(gold, model)
-    return SC.envelope_of(scored, C.ID_COLUMN, "1", MODEL_NAME, keep=(C.ID_COLUMN,))
+    return _checked_envelope(SC.envelope_of(scored, C.ID_COLUMN, "1", MODEL_NAME, keep=(C.ID_COLUMN,)))
 
 
 # ---------------------------------------------------------------------------
@@ -295,7 +342,7 @@ def q_contract_valid(spark, d):
 # Train -> register -> alias -> load by alias -> score
 # ---------------------------------------------------------------------------
 
-@register("registered_model_scoring", None)
+@register("registered_model_scoring", MODEL_ENVELOPE_SQL)
 def q_registered_model_scoring(spark, d):
     """The whole model side on Gold: NN sweep with stored artifacts, best run by
     val_f1 registered and aliased, loaded back by alias, every Gold row scored."""
@@ -308,7 +355,7 @@ def q_registered_model_scoring(spark, d):
     reg.set_alias(MODEL_NAME, "production", version)
     model, v = RG.load_by_alias(reg, MODEL_NAME, "production", expected_schema=gold)
     scored = SC.score_model(gold, model)
-    return SC.envelope_of(scored, C.ID_COLUMN, v, MODEL_NAME, keep=(C.ID_COLUMN,))
+    return _checked_envelope(SC.envelope_of(scored, C.ID_COLUMN, v, MODEL_NAME, keep=(C.ID_COLUMN,)))
 
 
 # ---------------------------------------------------------------------------

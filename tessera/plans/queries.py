@@ -505,28 +505,65 @@ def q_alert_groups(spark, d):
 
 
 def _log_lines(spark, d):
+    """The service's log of ``events``: a line per request (finished or failed) and one per
+    prediction returned; every 101st request line and 103rd prediction line is truncated."""
     log = S.request_log(spark, d)
-    rid = F.concat(F.lit("req_"), F.substring(F.sha2(F.col("request_seq").cast("string"), 256), 1, 12))
-    line = F.to_json(F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
-        F.lit("info").alias("level"), F.lit("request_finished").alias("event"), rid.alias("request_id"),
-        "http_method", "http_path", "status_code",
-        F.round(F.col("duration_s") * 1000, 2).alias("duration_ms"), "predicted_class"))
-    bad = F.col("request_seq") % 101 == 0   # injected truncated lines
-    return log.select("request_seq", F.when(bad, F.substring(line, 1, 40)).otherwise(line).alias("value"))
+    seq, failed = F.col("request_seq"), OP.is_5xx()
+    bound = [F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+             F.when(failed, "error").otherwise("info").alias("level"),
+             F.concat(F.lit("req_"), F.substring(F.sha2(seq.cast("string"), 256), 1, 12)).alias("request_id"),
+             F.col("http_method"), F.col("http_path")]
+    request = F.to_json(F.struct(
+        *bound, F.when(failed, "request_failed").otherwise("request_finished").alias("event"),
+        F.when(~failed, F.col("status_code")).alias("status_code"),
+        F.round(F.col("duration_s") * 1000, 2).alias("duration_ms")))
+    prediction = F.to_json(F.struct(
+        *bound, F.lit("prediction_returned").alias("event"), "predicted_class",
+        (F.lit(0.15) + 0.7 * F.col("predicted_class")).alias("probability")))
+    lines = F.filter(F.array(
+        F.struct(F.lit("request").alias("kind"),
+                 F.when(seq % 101 == 0, F.substring(request, 1, 40)).otherwise(request).alias("value")),
+        F.struct(F.lit("prediction").alias("kind"),
+                 F.when(F.col("predicted_class").isNotNull(),
+                        F.when(seq % 103 == 0, F.substring(prediction, 1, 40)).otherwise(prediction)).alias("value"))),
+        lambda x: x["value"].isNotNull())
+    return log.select("request_seq", F.inline(lines))
+
+
+_RID_SQL = "'req_' || substr(sha256(CAST(request_seq AS VARCHAR)), 1, 12)"
+_IS_FAILED_SQL = "regexp_full_match(CAST(status_code AS VARCHAR), '5..')"
+
+
+def _unless(bad: str, **cols: str) -> str:
+    return ", ".join(f"CASE WHEN {bad} THEN NULL ELSE {e} END AS {c}" for c, e in cols.items())
 
 
 @register("log_parse", f"""
-SELECT request_seq,
-  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE 'req_' || substr(sha256(CAST(request_seq AS VARCHAR)), 1, 12) END
-    AS request_id,
-  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE http_path END AS http_path,
-  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE status_code END AS status_code,
-  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE round(duration_s * 1000, 2) END AS duration_ms,
-  CASE WHEN request_seq % 101 = 0 THEN NULL ELSE ts END AS ts,
+SELECT request_seq, 'request' AS kind, {_unless("request_seq % 101 = 0",
+  event=f"CASE WHEN {_IS_FAILED_SQL} THEN 'request_failed' ELSE 'request_finished' END",
+  request_id=_RID_SQL, http_path="http_path", status_code=f"CASE WHEN NOT {_IS_FAILED_SQL} THEN status_code END",
+  duration_ms="round(duration_s * 1000, 2)", predicted_class="NULL::INTEGER", probability="NULL::DOUBLE", ts="ts")},
   CAST(request_seq % 101 = 0 AS INTEGER) AS malformed
-FROM ({LOG_SQL}) l""")
+FROM ({LOG_SQL}) l
+UNION ALL
+SELECT request_seq, 'prediction', {_unless("request_seq % 103 = 0",
+  event="'prediction_returned'", request_id=_RID_SQL, http_path="http_path", status_code="NULL",
+  duration_ms="NULL", predicted_class="predicted_class", probability="round(0.15::DOUBLE + 0.7::DOUBLE * predicted_class, 6)", ts="ts")},
+  CAST(request_seq % 103 = 0 AS INTEGER)
+FROM ({LOG_SQL}) l WHERE predicted_class IS NOT NULL""")
 def q_log_parse(spark, d):
-    parsed = OP.parse_log(_log_lines(spark, d), keep=("request_seq",))
-    return parsed.select("request_seq", "request_id", "http_path", "status_code", "duration_ms", "ts",
+    parsed = OP.parse_log(_log_lines(spark, d), keep=("request_seq", "kind"))
+    return parsed.select("request_seq", "kind", "event", "request_id", "http_path", "status_code", "duration_ms",
+                         "predicted_class", round6("probability").alias("probability"), "ts",
                          F.col("_bad_line").isNotNull().cast("int").alias("malformed"))
+
+
+@register("log_predictions", f"""
+SELECT {_RID_SQL} AS request_id, http_path, status_code, round(duration_s * 1000, 2) AS duration_ms, ts,
+  CASE WHEN request_seq % 103 <> 0 THEN predicted_class END AS predicted_class,
+  CASE WHEN request_seq % 103 <> 0 THEN round(0.15::DOUBLE + 0.7::DOUBLE * predicted_class, 6) END AS probability
+FROM ({LOG_SQL}) l WHERE request_seq % 101 <> 0""")
+def q_log_predictions(spark, d):
+    joined = OP.request_predictions(OP.parse_log(_log_lines(spark, d)))
+    return joined.select("request_id", "http_path", "status_code", "duration_ms", "ts", "predicted_class",
+                         round6("probability").alias("probability"))

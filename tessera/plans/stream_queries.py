@@ -21,7 +21,7 @@ WATERMARK = "10 minutes"
 @register("score_stream", _envelope_sql(f"SELECT * FROM ({_CHECKED_SQL}) c WHERE len(_errors) = 0"))
 def q_score_stream(spark, d):
     root = work_path(spark, "score_stream")
-    _records(spark, d).repartition(4).write.parquet(f"{root}/records")
+    _records(spark, d).write.parquet(f"{root}/records")
     schema = spark.read.parquet(f"{root}/records").schema
     run_scoring_stream(spark, f"{root}/records", schema, f"{root}/out", f"{root}/_checkpoint",
                        C.ID_COLUMN, max_files_per_trigger=2)

@@ -206,3 +206,33 @@ def test_auc_products_do_not_overflow(spark):
     rows = spark.createDataFrame([("g", 0, 0, n, 0.0, n, n), ("g", 1, n, 0, 0.0, n, n)], "g string, _b int, _P long, _N long, _W double, n_pos long, n_neg long")
     won = EV._won_pairs(rows, ["g"])
     assert won.select(EV._auc(won).alias("auc")).first().auc == 1.0
+
+
+def test_binary_metrics_of_counted_rows(spark):
+    random.seed(5)
+    rows = [(random.randint(0, 1), random.choice([0.1, 0.4, 0.6, 0.9])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    counted = df.groupBy("label", "score").agg(F.count(F.lit(1)).alias("n"))
+    assert (EV.binary_metrics(counted, "label", "score", 0.5, weight="n").collect()
+            == EV.binary_metrics(df, "label", "score", 0.5).collect())
+
+
+def test_prediction_lines_join_their_request(spark):
+    lines = [
+        '{"timestamp":"2024-01-01T00:00:01Z","event":"prediction_returned","request_id":"r1","predicted_class":0,"probability":0.2}',
+        '{"timestamp":"2024-01-01T00:00:02Z","event":"request_finished","request_id":"r1","status_code":200}',
+        # a client repeats its id: two requests, the latest answer, no further rows
+        '{"timestamp":"2024-01-01T00:00:03Z","event":"prediction_returned","request_id":"r1","predicted_class":1,"probability":0.9}',
+        '{"timestamp":"2024-01-01T00:00:04Z","event":"request_finished","request_id":"r1","status_code":200}',
+        '{"timestamp":"2024-01-01T00:00:05Z","event":"request_failed","request_id":"r2","duration_ms":3.5}',
+        '{"timestamp":"2024-01-01T00:00:06Z","event":"request_finished","status_code":200}',
+        '{"timestamp":"2024-01-01T00:00:07Z","event":"prediction_returned","predicted_class":1,"probability":0.7}',
+        '{"timestamp":"2024-01-01T00:00:08Z","event":"prediction_returned","request_id":"r9","predicted_class":1}',
+        '{"timestamp":"2024-01-01T00:00:09Z","event":"request_fin',
+    ]
+    parsed = OP.parse_log(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert parsed.filter("_bad_line IS NOT NULL").count() == 1
+    got = sorted((str(r.request_id), r.ts.second, r.status_code, r.predicted_class, r.probability)
+                 for r in OP.request_predictions(parsed).collect())
+    assert got == [("None", 6, 200, None, None), ("r1", 2, 200, 1, 0.9), ("r1", 4, 200, 1, 0.9),
+                   ("r2", 5, 500, None, None)]

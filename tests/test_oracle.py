@@ -7,8 +7,6 @@ from tessera.plans.oracle_compare import compare, duck_connect
 
 from .conftest import SMALL_SF
 
-SLOW = {"rf_grid_runs", "nn_grid_runs", "registered_model_scoring"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -22,7 +20,7 @@ def test_query_matches_oracle(spark, con, name):
     assert res["rows_match"] and res["columns_match"] and res["hash_match"] and res["types_match"], res
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SMALL_SF).count() > 0
 
