@@ -10,9 +10,11 @@ element, role and class), and joins the remaining blocks.
 "Many" is at least ``min_pages`` and ``min_share`` of the host's pages, where pages
 whose main content is the same count once (copies of an article are no template).
 So a host has at most nodes-per-page / ``min_share`` templates: its set is small
-whatever the host's size.  Inside the article a template needs ``min_words`` words,
-and if templates make up more than half of the article it is a near copy and none
-is deleted.
+whatever the host's size.  That a text recurs does not make it a template inside an
+``article`` or ``main``: there it must also stand in the same place (counted from the
+first or from the last element) on nearly all pages of the host that mark their main
+content (``article_share``) and have ``min_words`` words; if templates make up more than
+half of the article it is a near copy and none is deleted.
 
 Text: character references decoded, white space inside a block turned into one
 space, blocks trimmed and joined in page order by one line end.
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S)
+_SLOT = struct.Struct("<QQB")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -165,10 +169,29 @@ def subtree_hashes(page: Page) -> list[int]:
                 parts.append(hashes[child].to_bytes(8, "little"))
             elif words := child.split():
                 parts.append(" ".join(words).encode("utf-8", "surrogatepass"))
-        hashes[i] = xxhash.xxh3_64_intdigest(b"\0".join(parts))
+        hashes[i] = xxhash.xxh3_64_intdigest(b"\0".join(parts)) & ~1
     return hashes
 
 
+def slot_hashes(page: Page, hashes: list[int], inside: list[bool]) -> list[tuple[int, ...]]:
+    """Of every element below an ``article`` or ``main``: its subtree with its place there, counted from the
+    first and from the last element.  Odd numbers; those of subtrees alone are even."""
+    size = len(page.tag)
+    slots: list[tuple[int, ...]] = [()] * size
+    first, last = [0] * size, [0] * size
+    for i in range(size):
+        if not inside[i]:
+            continue
+        below = [c for c in page.children[i] if isinstance(c, int)]
+        top = page.tag[i] in ("article", "main")
+        for k, c in enumerate(below):
+            first[c] = ((0 if top else first[i]) * 0x9E3779B97F4A7C15 + k + 1) & 0xFFFFFFFFFFFFFFFF
+            last[c] = ((0 if top else last[i]) * 0x9E3779B97F4A7C15 + len(below) - k) & 0xFFFFFFFFFFFFFFFF
+            slots[c] = tuple(xxhash.xxh3_64_intdigest(_SLOT.pack(hashes[c], at, side)) | 1
+                             for side, at in enumerate((first[c], last[c])))
+    return slots
+
+
 def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool) -> bool:
     if tag in FURNITURE and not (holds_main and tag in ("form", "fieldset")) or tag == "header" and not (in_main or holds_main):
         return True
@@ -194,22 +217,29 @@ def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool) -> bool
     return False
 
 
-def layout(page: Page) -> tuple[list[bool], list[int]]:
-    """Per element whether it is (in) furniture; the roots of the main content."""
+def _is_core(tag: str, attrs: str) -> bool:
+    """Marked as main content."""
+    return tag in ("article", "main") or "main" in attrs and any(
+        n.lower() == "role" and v.strip("\"'").lower() == "main" for n, v in _ATTR.findall(attrs))
+
+
+def layout(page: Page) -> tuple[list[bool], list[int], list[bool], list[bool]]:
+    """Per element whether it is (in) furniture; the roots of the main content; per element whether it is (in)
+    marked main content, and whether it holds some."""
     dead, inside = [False] * len(page.tag), [False] * len(page.tag)
     articles, mains, bodies = [], [], []
     holds = [False] * len(page.tag)
     for i in range(len(page.tag) - 1, 0, -1):
-        if holds[i] or page.tag[i] in ("article", "main"):
+        if holds[i] or _is_core(page.tag[i], page.attrs[i]):
             holds[page.parent[i]] = True
     for i in range(1, len(page.tag)):
         tag, up = page.tag[i], page.parent[i]
-        inside[i] = inside[up] or tag in ("article", "main")
+        inside[i] = inside[up] or _is_core(tag, page.attrs[i])
         dead[i] = dead[up] or _is_furniture(tag, page.attrs[i], inside[up], holds[i])
         if not dead[i]:
             if tag == "article":
                 articles.append(i)
-            elif tag == "main" or 'role="main"' in page.attrs[i]:
+            elif _is_core(tag, page.attrs[i]):
                 mains.append(i)
             elif tag == "body":
                 bodies.append(i)
@@ -221,7 +251,7 @@ def layout(page: Page) -> tuple[list[bool], list[int]]:
             up = page.parent[up]
         if up <= 0:
             roots.append(i)
-    return dead, roots
+    return dead, roots, inside, holds
 
 
 def _blocks(page: Page, roots: list[int], skip: list[bool]) -> list[str]:
@@ -256,18 +286,19 @@ def _blocks(page: Page, roots: list[int], skip: list[bool]) -> list[str]:
 
 
 def main_text(page: Page, hashes: list[int], template: set[int], min_words: int) -> str:
-    dead, roots = layout(page)
+    dead, roots, inside, holds = layout(page)
     plain = _blocks(page, roots, dead)
     if template:
-        marked = page.tag[roots[0]] in ("article", "main")
+        marked = inside[roots[0]]
+        slots = slot_hashes(page, hashes, inside)
         skip = list(dead)
         tops = set(roots)
         for i in range(1, len(page.tag)):
             if page.parent[i] >= 0 and skip[page.parent[i]]:
                 skip[i] = True
-            elif i not in tops and hashes[i] in template:
+            elif i not in tops and (any(s in template for s in slots[i]) if inside[i] else hashes[i] in template and not holds[i]):
                 words = sum(len(b.split()) for b in _blocks(page, [i], dead))
-                skip[i] = words >= (min_words if marked else 1)
+                skip[i] = words >= (min_words if inside[i] else 1)
         kept = _blocks(page, roots, skip)
         if sum(map(len, kept)) > (0.5 if marked else 0.1) * sum(map(len, plain)):
             plain = kept
@@ -275,19 +306,23 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
 
 
 def _host_subtrees(batches):
-    """Per page: host, hash of its main content, distinct subtree hashes (with some text or attributes)."""
+    """Per page: host, hash of its main content, whether that is marked, distinct hashes of the subtrees outside
+    marked content and of the slots inside it."""
     for batch in sliced(batches, "html", 1 << 20):
         pages = [parse(s or "") for s in batch.column(1).to_pylist()]
-        mains, lists = [], []
+        mains, marked, lists = [], [], []
         for page in pages:
             hashes = subtree_hashes(page)
-            _, roots = layout(page)
+            dead, roots, inside, holds = layout(page)
             mains.append(np.uint64(xxhash.xxh3_64_intdigest(b"".join(hashes[r].to_bytes(8, "little") for r in roots))))
+            marked.append(inside[roots[0]])
             tops = set(roots)
-            lists.append(np.unique(np.array([h for i, h in enumerate(hashes) if i and i not in tops and page.tag[i] not in ("html", "body", "head")], np.uint64)).view(np.int64))
+            found = [h for i, h in enumerate(hashes) if i and not (inside[i] or holds[i] or i in tops) and page.tag[i] not in ("html", "body", "head")]
+            found += [s for i, slot in enumerate(slot_hashes(page, hashes, inside)) if not (dead[i] or i in tops) for s in slot]
+            lists.append(np.unique(np.array(found, np.uint64)).view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.array(mains, np.uint64).view(np.int64)), pa.array(lists, pa.list_(pa.int64()))],
-            names=["host", "main", "subtrees"])
+            [batch.column(0), pa.array(np.array(mains, np.uint64).view(np.int64)), pa.array(marked, pa.bool_()), pa.array(lists, pa.list_(pa.int64()))],
+            names=["host", "main", "marked", "subtrees"])
 
 
 def host_of(url):
@@ -296,22 +331,24 @@ def host_of(url):
     return F.regexp_replace(host, r"^www\.", "")
 
 
-def site_templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """Per host: the hashes of its template subtrees."""
-    found = pages.select("host", "html").mapInArrow(_host_subtrees, "host string, main long, subtrees array<long>")
+def site_templates(pages: DataFrame, min_pages: int, min_share: float, article_share: float) -> DataFrame:
+    """Per host: the hashes of its template subtrees, and of its template slots inside marked content."""
+    found = pages.select("host", "html").mapInArrow(_host_subtrees, "host string, main long, marked boolean, subtrees array<long>")
     # copies of one article count as one page of the host
     found = staged(found, "page-subtrees")
-    sizes = found.groupBy("host", "main").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = (found.groupBy("host", "main").agg(F.max("marked").alias("marked"))
+             .groupBy("host").agg(F.count("*").alias("pages"), F.count_if("marked").alias("marked")))
     counts = (found.select("host", "main", F.explode("subtrees").alias("subtree"))
               .groupBy("host", "subtree").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= min_pages))
     # the rows of the few candidates only: how many different main contents carry each
-    many = counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages"))
+    least = F.when(F.col("subtree").bitwiseAND(F.lit(1)) == 1, article_share * F.col("marked")).otherwise(min_share * F.col("pages"))
+    many = counts.join(sizes, "host").withColumn("least", F.greatest(least, F.lit(float(min_pages)))).filter(F.col("n") >= F.col("least"))
     seen = (found.select("host", "main", F.explode("subtrees").alias("subtree"))
-            .join(many.select("host", "subtree", "pages"), ["host", "subtree"])
-            .groupBy("host", "subtree", "pages", "main").agg(F.lit(1).alias("one"))
-            .groupBy("host", "subtree", "pages").agg(F.count("*").alias("n")))
-    return (seen.filter((F.col("n") >= min_pages) & (F.col("n") >= min_share * F.col("pages")))
+            .join(many.select("host", "subtree", "least"), ["host", "subtree"])
+            .groupBy("host", "subtree", "least", "main").agg(F.lit(1).alias("one"))
+            .groupBy("host", "subtree", "least").agg(F.count("*").alias("n")))
+    return (seen.filter(F.col("n") >= F.col("least"))
             .groupBy("host").agg(F.collect_set("subtree").alias("template")))
 
 
@@ -329,11 +366,11 @@ def _extractor(min_words: int):
 
 
 def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 10,
-                      min_share: float = 0.1, min_words: int = 5) -> DataFrame:
+                      min_share: float = 0.1, min_words: int = 5, article_share: float = 0.9) -> DataFrame:
     """``pages`` plus ``text``, the main text (empty if there is none)."""
     prepared(pages.sparkSession)
     narrow = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    templates = staged(site_templates(narrow, min_pages, min_share), "site-templates").select(
+    templates = staged(site_templates(narrow, min_pages, min_share, article_share), "site-templates").select(
         F.col("host").alias("__hx_host"), F.col("template").alias("__hx_template"))
     joined = pages.withColumn("__hx_of", host_of(F.col(url_col))).join(
         templates, F.col("__hx_of") == F.col("__hx_host"), "left")

@@ -71,3 +71,23 @@ def test_odd_rows(spark):
     got = {r.page_id: r.text for r in extract_main_text(pages_of(spark, rows + [(None, None)])).collect()}
     assert got[0] == got[1] == got[4] == "" and got[2] == "x" and len(got[3]) == 999_999
     assert extract_main_text(pages_of(spark, rows).limit(0)).count() == 0
+
+
+def test_a_shared_passage_of_articles_stays(spark):
+    shared = "<p>Terms of this kind are quoted by many of our stories</p>"
+    box = "<div class='q7'>Great offers and more every day</div>"
+
+    def page(i, core, share):
+        body = [f"<p>Story {i} tells {i * k} things of note to all of us</p>" for k in range(1, 5)]
+        if i % 100 < share:
+            body.insert(i % 4, shared)
+        return f"<body>{box}<{core}><h1>Story {i}</h1>{''.join(body)}</{core.split()[0]}></body>"
+
+    # on 11% of a large host, and on all pages but in changing places
+    hosts = {"a": ("article", 11), "b": ("main", 11), "c": ("div role='main'", 11), "d": ("article", 100)}
+    rows = [(f"https://{h}.example/{i}", page(i, *how)) for h, how in hosts.items() for i in range(200)]
+    rows += [(f"https://e.example/{i}", page(i, "div", 11)) for i in range(200)]
+    got = extract_main_text(pages_of(spark, rows)).collect()
+    count = lambda word: {h: sum(word in r.text for r in got if f"/{h}." in r.url) for h in "abcde"}
+    assert count("Terms of this kind") == {"a": 22, "b": 22, "c": 22, "d": 200, "e": 0}
+    assert not any(count("Great offers").values())
