@@ -16,6 +16,12 @@ first or from the last element) on nearly all pages of the host that mark their
 content (``article_share``) and have ``min_words`` words; if templates make up more than
 half of the article it is a near copy and none is deleted.
 
+Names: outside the marked content one telling word in a class or id makes furniture.
+Inside it only whole class tokens and ids that mean nothing else do (``CLEAR_NAME``), on
+containers; elements with a telling word are counted there like subtrees outside.
+Headings are never furniture by name, sections not by a word of their id (often the slug
+of a title).
+
 Text: character references decoded, white space inside a block turned into one
 space, blocks trimmed and joined in page order by one line end.
 
@@ -69,6 +75,18 @@ FURNITURE_NAME = frozenset(
     "notification alert newsletter subscribe subscription signup signin login popup modal overlay paywall share sharing "
     "social related recommended recommendations trending comment comments commentlist reply replies respond disqus "
     "discussion pagination pager toolbar masthead skip copyright disclaimer search form".split())
+#: Whole class tokens and ids that are furniture inside an article too.
+CLEAR_NAME = frozenset(
+    "ad ads ad-slot adslot ad-container ad-wrapper ad-unit ad-banner adsbygoogle advert adverts advertisement share-buttons share-bar "
+    "share-links sharing-buttons sharedaddy addtoany social-share social-buttons social-links comment comments comment-list commentlist "
+    "comments-area comments-section comment-section comment-respond comment-form disqus_thread cookie-notice cookie-banner "
+    "cookie-consent newsletter-signup newsletter-form subscribe-box signup-form login-form search-form breadcrumb breadcrumbs "
+    "pagination navbar sidebar post-navigation related-posts related-articles related-stories recommended-articles skip-link".split())
+#: More of them outside, where ids of sections and wrappers of every article are concerned.
+CLEAR_OUTSIDE = CLEAR_NAME | frozenset("nav navigation menu footer masthead topbar related recommended trending".split())
+ARTICLE_NAME = frozenset("comment comments reply ad ads advert promo sponsored related".split())
+CONTAINER = frozenset("div section ul ol dl li ins".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 HEADER_NAME = frozenset("header masthead topbar".split())
 #: Names of wrappers round the whole page, such as "page with-sidebar": no furniture if an article is inside.
 WRAPPER_NAME = frozenset("layout page wrapper wrap container content has with no site main body".split())
@@ -192,23 +210,30 @@ def slot_hashes(page: Page, hashes: list[int], inside: list[bool]) -> list[tuple
     return slots
 
 
-def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool) -> bool:
+def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool, holds_all: bool) -> bool:
     if tag in FURNITURE and not (holds_main and tag in ("form", "fieldset")) or tag == "header" and not (in_main or holds_main):
         return True
     if not attrs or tag in ("html", "body"):
         return False
-    for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'")
+    attributes = [(name.lower(), value.strip("\"'")) for name, value in _ATTR.findall(attrs)]
+    for name, value in attributes:
         if name == "role":
             if value.lower() in FURNITURE_ROLE:
                 return True
         elif name in ("class", "id"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if holds_main and words & WRAPPER_NAME:
+            if tag in HEADINGS or tag == "main":
                 continue
-            if words & FURNITURE_NAME and tag not in ("article", "main") or not in_main and words & HEADER_NAME:
-                return True
-            if tag == "article" and words & {"comment", "comments", "reply", "ad", "ads", "advert", "promo", "sponsored", "related"}:
+            tokens = set(value.lower().split())
+            if tag == "article":
+                if tokens & ARTICLE_NAME if name == "class" else re.fullmatch(r"comment-\d+", value, re.I):
+                    return True
+            elif in_main:
+                if tag in CONTAINER and tokens & CLEAR_NAME and (name == "class" or not _is_section(tag, attributes)):
+                    return True
+            elif name == "id" and _is_section(tag, attributes) or holds_all:
+                if tokens & CLEAR_OUTSIDE and not (holds_main and _words(value) & WRAPPER_NAME):
+                    return True
+            elif (words := _words(value)) & (FURNITURE_NAME | HEADER_NAME) and not (holds_main and words & WRAPPER_NAME):
                 return True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
@@ -217,6 +242,23 @@ def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool) -> bool
     return False
 
 
+def _words(name: str) -> set[str]:
+    return {w.lower() for w in _WORDS.findall(name)}
+
+
+def _is_section(tag: str, attributes: list[tuple[str, str]]) -> bool:
+    return tag == "section" or any(name == "class" and "section" in value.lower().split() for name, value in attributes)
+
+
+def _is_named(tag: str, attrs: str) -> bool:
+    """Named by a word that may mean furniture."""
+    if not attrs or tag in HEADINGS or tag in ("article", "main"):
+        return False
+    attributes = [(name.lower(), value.strip("\"'")) for name, value in _ATTR.findall(attrs)]
+    return any((name == "class" or name == "id" and not _is_section(tag, attributes)) and _words(value) & FURNITURE_NAME
+               for name, value in attributes)
+
+
 def _is_core(tag: str, attrs: str) -> bool:
     """Marked as main content."""
     return tag in ("article", "main") or "main" in attrs and any(
@@ -228,14 +270,14 @@ def layout(page: Page) -> tuple[list[bool], list[int], list[bool], list[bool]]:
     marked main content, and whether it holds some."""
     dead, inside = [False] * len(page.tag), [False] * len(page.tag)
     articles, mains, bodies = [], [], []
-    holds = [False] * len(page.tag)
+    cores = [0] * len(page.tag)  # below an element
     for i in range(len(page.tag) - 1, 0, -1):
-        if holds[i] or _is_core(page.tag[i], page.attrs[i]):
-            holds[page.parent[i]] = True
+        cores[page.parent[i]] += cores[i] + _is_core(page.tag[i], page.attrs[i])
+    holds = [n > 0 for n in cores]
     for i in range(1, len(page.tag)):
         tag, up = page.tag[i], page.parent[i]
         inside[i] = inside[up] or _is_core(tag, page.attrs[i])
-        dead[i] = dead[up] or _is_furniture(tag, page.attrs[i], inside[up], holds[i])
+        dead[i] = dead[up] or _is_furniture(tag, page.attrs[i], inside[up], holds[i], 0 < cores[i] == cores[0])
         if not dead[i]:
             if tag == "article":
                 articles.append(i)
@@ -296,9 +338,11 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
         for i in range(1, len(page.tag)):
             if page.parent[i] >= 0 and skip[page.parent[i]]:
                 skip[i] = True
-            elif i not in tops and (any(s in template for s in slots[i]) if inside[i] else hashes[i] in template and not holds[i]):
-                words = sum(len(b.split()) for b in _blocks(page, [i], dead))
-                skip[i] = words >= (min_words if inside[i] else 1)
+            elif i not in tops:
+                alone = hashes[i] in template and not holds[i] and (not inside[i] or _is_named(page.tag[i], page.attrs[i]))
+                if alone or any(s in template for s in slots[i]):
+                    words = sum(len(b.split()) for b in _blocks(page, [i], dead))
+                    skip[i] = words >= (1 if alone else min_words)
         kept = _blocks(page, roots, skip)
         if sum(map(len, kept)) > (0.5 if marked else 0.1) * sum(map(len, plain)):
             plain = kept
@@ -307,7 +351,7 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
 
 def _host_subtrees(batches):
     """Per page: host, hash of its main content, whether that is marked, distinct hashes of the subtrees outside
-    marked content and of the slots inside it."""
+    marked content or named there, and of the slots inside it."""
     for batch in sliced(batches, "html", 1 << 20):
         pages = [parse(s or "") for s in batch.column(1).to_pylist()]
         mains, marked, lists = [], [], []
@@ -317,7 +361,8 @@ def _host_subtrees(batches):
             mains.append(np.uint64(xxhash.xxh3_64_intdigest(b"".join(hashes[r].to_bytes(8, "little") for r in roots))))
             marked.append(inside[roots[0]])
             tops = set(roots)
-            found = [h for i, h in enumerate(hashes) if i and not (inside[i] or holds[i] or i in tops) and page.tag[i] not in ("html", "body", "head")]
+            found = [h for i, h in enumerate(hashes) if i and not (holds[i] or i in tops) and page.tag[i] not in ("html", "body", "head")
+                     and (not inside[i] or _is_named(page.tag[i], page.attrs[i]))]
             found += [s for i, slot in enumerate(slot_hashes(page, hashes, inside)) if not (dead[i] or i in tops) for s in slot]
             lists.append(np.unique(np.array(found, np.uint64)).view(np.int64))
         yield pa.RecordBatch.from_arrays(

@@ -91,3 +91,39 @@ def test_a_shared_passage_of_articles_stays(spark):
     count = lambda word: {h: sum(word in r.text for r in got if f"/{h}." in r.url) for h in "abcde"}
     assert count("Terms of this kind") == {"a": 22, "b": 22, "c": 22, "d": 200, "e": 0}
     assert not any(count("Great offers").values())
+
+
+@pytest.mark.parametrize("inner,want", [
+    ("<section id='discussion'><p>kept</p></section>", "kept"),
+    ("<h2 id='related-work'>Related work</h2><p>kept</p>", "Related work\nkept"),
+    ("<div class='form-factor'>kept</div><div class='social-history'>too</div><li class='skip-list'>three</li>", "kept\ntoo\nthree"),
+    ("<div class='section' id='comments'>kept</div><p id=search class=notice>too</p>", "kept\ntoo"),
+    ("<pre>a <span class='comment'># kept</span></pre>", "a # kept"),
+    ("<p>text</p><div class='post comments'>c</div><ul class=share-buttons><li>s</ul><div class='ad-slot x'>a</div><div id=disqus_thread>d</div>", "text"),
+])
+def test_names_inside_an_article(inner, want):
+    assert text(f"<article>{inner}</article>") == want
+    assert text(f"<nav>n</nav><main>{inner}</main>") == want
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<body><h1 id=comment-on-a-paper>T</h1><section id=discussion>kept</section><section id=comments>c</section></body>", "T\nkept"),
+    ("<article class='post tag-ads category-promo' id=reply-to-critics>kept</article>", "kept"),
+    ("<div class='discussion'><article class='masthead-image'>kept</article></div>", "kept"),
+    ("<main id='search-header'>kept</main>", "kept"),
+    ("<article>kept</article><div class='related'><article>teaser</article></div>", "kept"),
+])
+def test_names_outside(html, want):
+    assert text(html) == want
+
+
+def test_counts_decide_on_names_inside_an_article(spark):
+    def page(i):
+        note = "<div class='notice'>All rights kept</div>" if i % 3 == 0 else f"<div class='notice'>Note {i}</div>"
+        body = [f"<p>Story {i} tells {i * k} things of note to all of us</p>" for k in range(1, 5)]
+        body.insert(i % 5, note)
+        return f"<article>{''.join(body)}</article>"
+
+    got = extract_main_text(pages_of(spark, [(f"https://a.example/{i}", page(i)) for i in range(90)])).collect()
+    assert not any("All rights" in r.text for r in got)
+    assert sum(f"Note {r.page_id}\n" in r.text + "\n" for r in got) == 60
