@@ -16,6 +16,10 @@ first or from the last element) on nearly all pages of the host that mark their
 content (``article_share``) and have ``min_words`` words; if templates make up more than
 half of the article it is a near copy and none is deleted.
 
+Main content: the live ``article`` elements where they hold the bulk of the live text.
+``main`` is taken instead if a tenth of its and their words, or ``MAIN_WORDS`` words, are
+outside them; without ``main``, the body is if a third of the words outside links are.
+
 Names: outside the marked content one telling word in a class or id makes furniture.
 Inside it only whole class tokens and ids that mean nothing else do (``CLEAR_NAME``), on
 containers; elements with a telling word are counted there like subtrees outside.
@@ -26,8 +30,8 @@ Text: character references decoded, white space inside a block turned into one
 space, blocks trimmed and joined in page order by one line end.
 
 Defined cases: null or empty html gives the empty text; markup that never closes is
-closed at the end of the page; a page without ``article`` or ``main`` is taken
-from its body; null and malformed urls share the empty host; repeated rows get
+closed at the end of the page; a page without ``article`` or ``main``, or
+with empty ones, is taken from its body; null and malformed urls share the empty host; repeated rows get
 equal answers; extra columns pass through, input columns named like an output
 column are replaced.
 
@@ -86,6 +90,7 @@ CLEAR_NAME = frozenset(
 CLEAR_OUTSIDE = CLEAR_NAME | frozenset("nav navigation menu footer masthead topbar related recommended trending".split())
 ARTICLE_NAME = frozenset("comment comments reply ad ads advert promo sponsored related".split())
 CONTAINER = frozenset("div section ul ol dl li ins".split())
+MAIN_WORDS = 40
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 HEADER_NAME = frozenset("header masthead topbar".split())
 #: Names of wrappers round the whole page, such as "page with-sidebar": no furniture if an article is inside.
@@ -265,6 +270,54 @@ def _is_core(tag: str, attrs: str) -> bool:
         n.lower() == "role" and v.strip("\"'").lower() == "main" for n, v in _ATTR.findall(attrs))
 
 
+def _outermost(page: Page, marked: list[int]) -> list[int]:
+    known, out = set(marked), []
+    for i in marked:
+        up = page.parent[i]
+        while up > 0 and up not in known:
+            up = page.parent[up]
+        if up <= 0:
+            out.append(i)
+    return out
+
+
+def _chosen(page: Page, dead: list[bool], articles: list[int], mains: list[int], body: list[int]) -> list[int]:
+    """The elements that hold the live text, in document order."""
+    if not (articles or mains):
+        return body
+    size = len(page.tag)
+    words, prose = [0] * size, [0] * size  # live words of a subtree; those outside links
+    for i in range(size - 1, -1, -1):
+        if not dead[i]:
+            own = sum(len(c.split()) for c in page.children[i] if isinstance(c, str))
+            words[i] += own
+            prose[i] = 0 if page.tag[i] == "a" else prose[i] + own
+            if i:
+                words[page.parent[i]] += words[i]
+                prose[page.parent[i]] += prose[i]
+    articles, mains = [i for i in articles if words[i]], [i for i in mains if words[i]]
+    if not articles or not mains:
+        if articles:
+            told = sum(prose[i] for i in _outermost(page, articles))
+            whole = sum(prose[i] for i in body)
+            return body if 3 * (whole - told) >= whole > told else articles
+        return mains or body
+    tops, in_main = set(_outermost(page, articles)), set(_outermost(page, mains + articles)) & set(mains)
+    inner = {i for i in tops if any(up in in_main for up in _ancestors(page, i))}
+    held = sum(words[i] for i in in_main)
+    told = sum(words[i] for i in tops)
+    outside = held - sum(words[i] for i in inner)
+    if outside < MAIN_WORDS and 10 * outside < outside + told:
+        return articles
+    apart = tops - inner
+    return sorted(in_main | apart) if sum(words[i] for i in apart) > held else sorted(in_main)
+
+
+def _ancestors(page: Page, i: int):
+    while (i := page.parent[i]) > 0:
+        yield i
+
+
 def layout(page: Page) -> tuple[list[bool], list[int], list[bool], list[bool]]:
     """Per element whether it is (in) furniture; the roots of the main content; per element whether it is (in)
     marked main content, and whether it holds some."""
@@ -285,14 +338,9 @@ def layout(page: Page) -> tuple[list[bool], list[int], list[bool], list[bool]]:
                 mains.append(i)
             elif tag == "body":
                 bodies.append(i)
-    chosen = articles or mains or bodies[:1] or [0]
-    roots, marked = [], set(chosen)
-    for i in chosen:  # outermost only
-        up = page.parent[i]
-        while up > 0 and up not in marked:
-            up = page.parent[up]
-        if up <= 0:
-            roots.append(i)
+    chosen = _chosen(page, dead, articles, mains, bodies[:1] or [0])
+    tops = set(_outermost(page, chosen))
+    roots = [i for i in chosen if i in tops]
     return dead, roots, inside, holds
 
 
@@ -331,7 +379,6 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
     dead, roots, inside, holds = layout(page)
     plain = _blocks(page, roots, dead)
     if template:
-        marked = inside[roots[0]]
         slots = slot_hashes(page, hashes, inside)
         skip = list(dead)
         tops = set(roots)
@@ -339,18 +386,27 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
             if page.parent[i] >= 0 and skip[page.parent[i]]:
                 skip[i] = True
             elif i not in tops:
-                alone = hashes[i] in template and not holds[i] and (not inside[i] or _is_named(page.tag[i], page.attrs[i]))
+                alone = hashes[i] in template and not holds[i] and not _is_top(page, inside, i) and (
+                    not inside[i] or _is_named(page.tag[i], page.attrs[i]))
                 if alone or any(s in template for s in slots[i]):
                     words = sum(len(b.split()) for b in _blocks(page, [i], dead))
                     skip[i] = words >= (1 if alone else min_words)
+        size = lambda of, without: sum(map(len, _blocks(page, of, without)))
+        marked = roots if inside[roots[0]] else [i for i in range(1, len(page.tag)) if _is_top(page, inside, i) and not dead[i]]
+        if size(marked, skip) <= 0.5 * size(marked, dead):
+            skip = [dead[i] if inside[i] else skip[i] for i in range(len(skip))]
         kept = _blocks(page, roots, skip)
-        if sum(map(len, kept)) > (0.5 if marked else 0.1) * sum(map(len, plain)):
+        if sum(map(len, kept)) > 0.1 * sum(map(len, plain)):
             plain = kept
     return "\n".join(plain)
 
 
+def _is_top(page: Page, inside: list[bool], i: int) -> bool:
+    return inside[i] and not inside[page.parent[i]]
+
+
 def _host_subtrees(batches):
-    """Per page: host, hash of its main content, whether that is marked, distinct hashes of the subtrees outside
+    """Per page: host, hash of its main content, whether some is marked, distinct hashes of the subtrees outside
     marked content or named there, and of the slots inside it."""
     for batch in sliced(batches, "html", 1 << 20):
         pages = [parse(s or "") for s in batch.column(1).to_pylist()]
@@ -359,7 +415,7 @@ def _host_subtrees(batches):
             hashes = subtree_hashes(page)
             dead, roots, inside, holds = layout(page)
             mains.append(np.uint64(xxhash.xxh3_64_intdigest(b"".join(hashes[r].to_bytes(8, "little") for r in roots))))
-            marked.append(inside[roots[0]])
+            marked.append(any(i and not d for i, d in zip(inside, dead)))
             tops = set(roots)
             found = [h for i, h in enumerate(hashes) if i and not (holds[i] or i in tops) and page.tag[i] not in ("html", "body", "head")
                      and (not inside[i] or _is_named(page.tag[i], page.attrs[i]))]

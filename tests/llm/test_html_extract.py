@@ -127,3 +127,36 @@ def test_counts_decide_on_names_inside_an_article(spark):
     got = extract_main_text(pages_of(spark, [(f"https://a.example/{i}", page(i)) for i in range(90)])).collect()
     assert not any("All rights" in r.text for r in got)
     assert sum(f"Note {r.page_id}\n" in r.text + "\n" for r in got) == 60
+
+
+LONG = "A story of many words that goes on and on for a good while yet."
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<main><h1>T</h1><p>{LONG}</p><article class='card'>teaser</article></main>", f"T\n{LONG}\nteaser"),
+    (f"<div role='main'><p>{LONG}</p><article>teaser</article></div>", f"{LONG}\nteaser"),
+    (f"<main><p>{LONG}</p></main><article class='card'>teaser</article>", LONG),
+    (f"<main><p>See below now</p></main><article><p>{LONG}</p></article>", f"See below now\n{LONG}"),
+    (f"<main><p>Home</p><article><p>{LONG}</p></article></main>", LONG),
+    (f"<main><article><p>{LONG}</p><article>nested</article></article></main>", f"{LONG}\nnested"),
+    (f"<body><nav>n</nav><h1>T</h1><p>{LONG}</p><article class='teaser'>short teaser</article></body>", f"T\n{LONG}\nshort teaser"),
+    (f"<body><p>Top line</p><article>{LONG}</article><ul>{'<li><a>link to more</a>' * 9}</ul></body>", LONG),
+    (f"<main></main><article></article><p>{LONG}</p>", LONG),
+])
+def test_the_bulk_of_the_live_text_is_main(html, want):
+    assert text(html) == want
+
+
+def test_templates_of_pages_with_both(spark):
+    box = "<div class='q7'>Great offers and more every day</div>"
+    shared = "<p>Terms of this kind are quoted by many of our stories</p>"
+    card = "<article class='card'><p>One shared teaser of the host's front page story</p></article>"
+    pages = [f"<body>{box}<p>Story {i} tells {i * 7} things. {LONG}</p>{card}</body>" for i in range(30)]
+    pages += [f"<main>{shared if i % 5 == 0 else ''}<p>Story {i} tells {i * 7} things. {LONG}</p><article>Teaser {i}</article></main>"
+              for i in range(100)]
+    pages += [f"<body>{box}<p>Story {i} tells {i * 7} things. {LONG}</p><article>Teaser {i}{shared if i % 5 == 0 else ''}<p>{LONG} {i}</p></article></body>"
+              for i in range(100)]
+    rows = [(f"https://{'a' if i < 30 else 'b' if i < 130 else 'c'}.example/{i}", p) for i, p in enumerate(pages)]
+    got = [r.text for r in extract_main_text(pages_of(spark, rows)).orderBy("page_id").collect()]
+    assert all(f"tells {(i if i < 30 else (i - 30) % 100) * 7} things" in t and "Great offers" not in t for i, t in enumerate(got))
+    assert [sum("Terms of this kind" in t for t in got[a:b]) for a, b in ((0, 30), (30, 130), (130, 230))] == [0, 20, 20]
