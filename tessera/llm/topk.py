@@ -15,8 +15,9 @@ the k best of all cells are chosen per query.
 Scaling: x -> floor(scale * x), as integers; scores are exact.
 
 Defined cases: vectors that are null, or hold a null or a non-finite component, take no
-part; neither do null ids, nor components beyond 2^26 after scaling, whose products could
-leave a long.  Vectors of different lengths are not compared.  Repeated rows (same id, same vector) count
+part; neither do null ids, nor components that are no long after scaling (2^63).  Products
+of large components are taken in Python integers; a result whose score is no long fails
+the query.  Vectors of different lengths are not compared.  Repeated rows (same id, same vector) count
 once; the query's own id is never a candidate.  Fewer than k candidates: all of them.
 Extra columns are ignored.
 """
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import prepared, staged
 
 LEVELS = (4, 16)  # segments, coarse to fine
+LONG = np.iinfo(np.int64)  # its least value stands for scores below it too
 
 
 def _segments(x: np.ndarray, segments: int) -> np.ndarray:
@@ -40,7 +42,7 @@ def _segments(x: np.ndarray, segments: int) -> np.ndarray:
     for a, b in zip(cuts, cuts[1:]):
         part = x[:, a:b]
         mean = part.mean(1)
-        out += [np.sqrt(b - a) * mean, np.sqrt(np.maximum(0, (part * part).sum(1) - (b - a) * mean * mean))]
+        out += [np.sqrt(b - a) * mean, np.sqrt(np.square(part - mean[:, None]).sum(1))]
     return np.stack(out, 1)
 
 
@@ -51,12 +53,24 @@ def best_of_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
     if not c.shape[1]:
         q, c = np.zeros((len(q), 1), np.int64), np.zeros((len(c), 1), np.int64)
     qf, cf = q.astype(np.float64), c.astype(np.float64)
-    q_levels = [_segments(qf, s) for s in LEVELS]
-    c_levels = [_segments(cf, s) for s in LEVELS]
-    # room for rounding: bounds and floors are compared in doubles
-    slack = 1e-9 * np.sqrt((qf * qf).sum(1).max(initial=0) * (cf * cf).sum(1).max(initial=0)) + 0.5
-    whole = (np.abs(qf).max(initial=0) * np.abs(cf).max(initial=0) * q.shape[1]) < 2 ** 52  # doubles are exact
-    exact = (lambda a, b: np.einsum("ij,ij->i", qf[a], cf[b]).astype(np.int64)) if whole else (lambda a, b: (q[a] * c[b]).sum(1))
+    # room for rounding, in the bounds of each pair
+    q_room, c_room = (np.sqrt(1e-9) * np.sqrt((x * x).sum(1)) for x in (qf, cf))
+    q_levels = [np.column_stack((_segments(qf, s), q_room)) for s in LEVELS]
+    c_levels = [np.column_stack((_segments(cf, s), c_room)) for s in LEVELS]
+    q_most, c_most = np.abs(qf).max(1, initial=0), np.abs(cf).max(1, initial=0)
+    whole = q_most.max(initial=0) * c_most.max(initial=0) * q.shape[1] < 2 ** 52  # doubles are exact
+
+    def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if whole:
+            return np.einsum("ij,ij->i", qf[a], cf[b]).astype(np.int64)
+        out = (q[a] * c[b]).sum(1)
+        for n in np.flatnonzero(q_most[a] * c_most[b] * q.shape[1] >= 2 ** 62):
+            score = sum(x * y for x, y in zip(q[a[n]].tolist(), c[b[n]].tolist()))
+            if score > LONG.max:  # the query's best then, at least
+                raise OverflowError(f"the inner product of vectors {q_ids[a[n]]} and {c_ids[b[n]]} is no long: {score}")
+            out[n] = max(score, LONG.min)
+        return out
+
     step = max(1, block // max(1, len(c)))
     for at in range(0, len(q), step):
         rows = np.arange(at, min(at + step, len(q)))
@@ -66,12 +80,15 @@ def best_of_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
         few = min(k, len(c))
         top = np.argpartition(-bound, few - 1, axis=1)[:, :few]
         r, t = np.repeat(rows, few), top.ravel()
-        scores = np.where(np.isneginf(np.take_along_axis(bound, top, 1).ravel()), np.iinfo(np.int64).min, exact(r, t))
+        other = ~np.isneginf(np.take_along_axis(bound, top, 1).ravel())
+        scores = np.full(len(r), LONG.min)
+        scores[other] = exact(r[other], t[other])
         floor = scores.reshape(-1, few).min(1).astype(np.float64)
+        floor -= 0.5 + 1e-15 * np.abs(floor)
         floor[floor <= -9e18] = -np.inf  # fewer than k candidates so far
-        i, j = np.nonzero((bound >= (floor - slack)[:, None]) & ~own)
+        i, j = np.nonzero((bound >= floor[:, None]) & ~own)
         for q_level, c_level in zip(q_levels[1:], c_levels[1:]):
-            keep = np.concatenate([np.einsum("ij,ij->i", q_level[rows[i[x:x + part]]], c_level[j[x:x + part]]) >= floor[i[x:x + part]] - slack
+            keep = np.concatenate([np.einsum("ij,ij->i", q_level[rows[i[x:x + part]]], c_level[j[x:x + part]]) >= floor[i[x:x + part]]
                                    for x in range(0, len(i), part)] or [np.zeros(0, bool)])
             i, j = i[keep], j[keep]
         scores = np.concatenate([exact(rows[i[x:x + part]], j[x:x + part]) for x in range(0, len(i), part)] or [np.zeros(0, np.int64)])
@@ -104,7 +121,7 @@ def _cell(k: int):
 def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(vec_id, dim, v: integer components) of the vectors that take part."""
     v = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * scale))
-    finite = F.forall(F.col(vector_col), lambda x: x.isNotNull() & (F.abs(x.cast("double")) * scale < float(1 << 26)))
+    finite = F.forall(F.col(vector_col), lambda x: x.isNotNull() & (F.abs(x.cast("double")) * scale < float(1 << 63)))
     rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(finite)  # NaN exceeds every bound
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.size(vector_col).alias("dim"), v.cast("array<long>").alias("v"))
     return rows.dropDuplicates()
@@ -133,4 +150,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
              .applyInArrow(_cell(k), "query_id long, vec_id long, score long"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    lost = F.raise_error(F.concat(F.lit("a score below every long, of query "), F.col("query_id").cast("string")))
+    score = F.when(F.col("score") == int(LONG.min), lost.cast("long")).otherwise(F.col("score"))
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))

@@ -50,3 +50,19 @@ def test_bounds_never_undercut_the_product():
     exact = a @ b.T
     for s in topk.LEVELS:
         assert (topk._segments(a, s) @ topk._segments(b, s).T >= exact - 1e-6).all()
+
+
+def test_every_vector_of_longs_takes_part(spark):
+    usual = [(i, [(-1) ** i * 0.01 * i, 1.0, 0.5]) for i in range(51, 80)]
+    rows = [(0, [0.5, -1.0, 0.25]), (1, [1e6, 1.0, 0.0]), (2, [-3e9, 0.0, 0.0]), (3, [262144.0, 0.0, 0.0]), *usual]
+    assert search(spark, rows) == brute(rows)
+    rows = [(50, [2.0 ** 34, 2.0 ** 34, 1.0]), (4, [2.0 ** 34, -2.0 ** 34, 3.0]), (5, [-2.0 ** 34, 2.0 ** 34, 2.0]), *usual]
+    assert search(spark, rows) == brute(rows)  # own and partial products beyond a long
+    rows = [(0, [2.0 ** 40]), (100, [-1.0]), (1, [-2.0 ** 40]), *[(i, [float(-i)]) for i in range(2, 9)]]
+    assert search(spark, rows, k=3) == brute(rows, 3)  # one far below every long, not among the best
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_scores_beyond_a_long_fail(spark, sign):
+    with pytest.raises(Exception, match="long"):
+        search(spark, [(0, [2.0 ** 40]), (1, [sign * 2.0 ** 40]), (2, [0.5])])
