@@ -1,81 +1,48 @@
 """Held alerts on a stream (R5, O11): ``expr > threshold for: 5m``.
 
-Closed evaluation windows come from a watermarked sliding-window
-aggregation; ``transformWithStateInPandas`` keeps, per alert key, the last
-evaluation instant and the start of the current breach.  A missing
-evaluation (no traffic in a window) resets the breach, as a missing sample
-does for the alerting engine; an instant fires once the breach has lasted
-the hold period.  State is two numbers per alert key, whatever the traffic.
-The input of the stateful step is one row per evaluation instant, never the
-raw request rows.
+Two chained watermarked window aggregations.  The first closes the evaluation windows;
+every evaluation above the threshold then votes for the instants whose hold period
+covers it, a sliding window over evaluation instants, and an instant with all votes
+fires.  A missing evaluation (no traffic in a window) gives no vote, so it breaks the
+hold, as a missing sample does for the alerting engine.  Instants are grouped by alert
+key and instant, so the work of a long history spreads over tasks; state is kept for
+instants above the watermark only.  The vote takes one row per evaluation instant,
+never the raw request rows.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from .. import config as C
 from .ops import sliding_counts
 from .runner import finish, session_setting
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = "alertname string, fires_at timestamp"
-
-
-class HeldCondition(StatefulProcessor):
-    """Fires at an evaluation instant when the condition held at every
-    evaluation of the last ``hold_us`` (step ``step_us``)."""
-
-    def __init__(self, threshold: float, hold_us: int, step_us: int):
-        self.threshold, self.hold_us, self.step_us = threshold, hold_us, step_us
-
-    def init(self, handle) -> None:
-        self.state = handle.getValueState("breach", "last_end long, pending_since long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
-        last, pending = (None, None)
-        if self.state.exists():
-            last, pending = self.state.get()
-        fired = []
-        ends = pdf["window_end"].astype("datetime64[us]").astype("int64").tolist()
-        for end, req, err in zip(ends, pdf["requests"].tolist(), pdf["errors"].tolist()):
-            if last is not None and end - last > self.step_us:
-                pending = None                      # an evaluation without data breaks the hold
-            if req > 0 and err / req > self.threshold:
-                pending = end if pending is None else pending
-                if end - pending >= self.hold_us:
-                    fired.append(end)
-            else:
-                pending = None
-            last = end
-        self.state.update((last, pending))
-        yield pd.DataFrame({"alertname": [key[0]] * len(fired),
-                            "fires_at": pd.to_datetime(pd.Series(fired, dtype="int64"), unit="us")})
-
-    def close(self) -> None:
-        pass
 
 
 def evaluation_windows(log: DataFrame, delay: str = "10 minutes", name: str = "HighErrorRate") -> DataFrame:
     """One row per closed 5-minute window (step 1 minute): requests and 5xx count."""
     return (sliding_counts(log, delay, "5 minutes", "1 minute")
-              .select(F.lit(name).alias("alertname"), F.col("w.end").alias("window_end"), "requests", "errors"))
+              .select(F.lit(name).alias("alertname"), "w", F.col("w.end").alias("window_end"), "requests", "errors"))
 
 
 def held_alert_stream(windows: DataFrame, threshold: float = C.ERROR_RATIO_RED, hold_minutes: int = 5,
                       step_minutes: int = 1) -> DataFrame:
-    proc = HeldCondition(threshold, hold_minutes * 60_000_000, step_minutes * 60_000_000)
-    return windows.groupBy("alertname").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    """Instants at which the condition held at every evaluation of the last ``hold_minutes``."""
+    votes = -(-hold_minutes // step_minutes) + 1
+    # a window's time is just before its end: the hold window that ends at an instant holds that instant's own vote
+    held = F.window("w", f"{votes * step_minutes} minutes", f"{step_minutes} minutes").alias("hold")
+    return (windows.filter(F.col("errors") / F.col("requests") > threshold)
+                   .groupBy("alertname", held).agg(F.count(F.lit(1)).alias("votes"))
+                   .filter(F.col("votes") == votes)
+                   .select("alertname", F.col("hold.end").alias("fires_at")))
 
 
 def run_alert_stream(spark: SparkSession, log: DataFrame, sink: str, checkpoint: str,
                      timeout_s: int | None = None) -> None:
-    # transformWithState keeps its state in RocksDB
+    # state beyond memory
     with session_setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
         out = held_alert_stream(evaluation_windows(log))
         q = (out.writeStream.format("parquet").outputMode("append")

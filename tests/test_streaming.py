@@ -98,3 +98,12 @@ def test_held_back_windows_come_with_a_later_batch(spark, tmp_path):
     assert max(w[0] for w in windows) <= last - delay and max(fired) <= last - delay
     assert {w[0] for w in later[0]} >= {last // 60 * 60 + 60 * k for k in range(-9, 6)}
     assert max(later[1]) > last - delay
+
+
+def test_alert_instants_are_dealt_by_instant(spark, tmp_path):
+    from tessera.streaming.alerts import evaluation_windows, held_alert_stream
+
+    log = spark.readStream.schema("ts timestamp, http_path string, status_code int").parquet(str(tmp_path))
+    plan = held_alert_stream(evaluation_windows(log))._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "FlatMapGroups" not in plan
+    assert plan.count("Aggregate [") == 3
