@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, line_dedup, lm_score, packing, quality, sharding, simhash, topk
+from . import (chat_format, decontaminate, html_extract, jaccard_join, line_dedup, lm_score, packing, quality, sharding, simhash,
+               topk)
 from .common import table
 
 
@@ -177,8 +178,30 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=5, percent=80)
+
+
+OP12 = rf"""
+WITH RECURSIVE c AS (SELECT text, row_number() OVER (ORDER BY text) AS cid FROM (SELECT DISTINCT coalesce(text, '') AS text FROM documents)),
+w AS (SELECT cid, regexp_extract_all({_LOWER}, '[^ 	-
+]+') AS ws FROM c),
+s AS (SELECT DISTINCT cid, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS g
+      FROM (SELECT cid, ws, least(5, len(ws)) AS k, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT cid, count(*) AS n FROM s GROUP BY cid),
+o AS (SELECT a.cid AS a, b.cid AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.cid < b.cid GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.cid = a JOIN n y ON y.cid = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+arcs AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(cid, r) AS (SELECT cid, cid FROM c UNION SELECT reach.cid, arcs.b FROM reach JOIN arcs ON arcs.a = reach.r),
+least_id AS (SELECT reach.cid, min(doc_id) AS component_id FROM reach JOIN c ON c.cid = reach.r
+             JOIN documents d ON coalesce(d.text, '') = c.text GROUP BY reach.cid)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n IS NULL THEN d.doc_id ELSE l.component_id END AS component_id
+FROM documents d JOIN c ON c.text = coalesce(d.text, '') LEFT JOIN n ON n.cid = c.cid LEFT JOIN least_id l ON l.cid = c.cid
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_sharding, op3_html_extraction, op4_simhash_near_dedup, op5_chat_formatting, op6_quality_classifier,
-    op7_lm_scoring, op8_benchmark_decontamination, op9_packing, op10_topk_search)}
+    op7_lm_scoring, op8_benchmark_decontamination, op9_packing, op10_topk_search, op12_ngram_jaccard_join)}
 ORACLE = {"op1_line_dedup": OP1, "op2_sharding": OP2, "op5_chat_formatting": OP5, "op8_benchmark_decontamination": OP8,
-          "op10_topk_search": OP10}
+          "op10_topk_search": OP10, "op12_ngram_jaccard_join": OP12}
