@@ -193,7 +193,7 @@ def _edges(percent: int) -> np.ndarray:
     """First sizes of the bands: sizes of a linked pair lie in one band or in adjacent ones."""
     edges = [1]
     while edges[-1] < 1 << 32:
-        edges.append(edges[-1] * 100 // percent + 1)
+        edges.append(edges[-1] * 100 // min(percent, 80) + 1)
     return np.array(edges)
 
 
@@ -383,7 +383,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = F.coalesce("root", "cid").alias("label")
     alive = alive.drop("label").join(found, F.col("cid") == F.col("node"), "left").select("cid", "digest", "n", "shared", "bits", label)
     more = _links(alive, members, percent, tile_rows, every=True).select("a", "b")
-    found = found if more.isEmpty() else connected_components(found.select("node", "root").union(more))
+    found = found if more.isEmpty() else connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = alive.select("cid", "digest").join(found, F.col("cid") == F.col("node"), "left").select("digest", F.coalesce("root", "cid").alias("root"))
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).alias("digest"))
     info = sets.join(rows.groupBy("digest").agg(F.min("id").alias("least")), "digest").join(named, "digest", "left")

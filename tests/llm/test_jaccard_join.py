@@ -47,7 +47,7 @@ def rows():
     vocabulary = [f"w{i}" for i in range(400)]
     some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
     passage, texts = some(40), []
-    for _ in range(45):
+    for _ in range(30):
         first = some(rng.choice([3, 4, 6, 9, 12, 40, 60, 200]))
         for _ in range(rng.choice([1, 2, 6])):
             words = list(first)
@@ -70,7 +70,7 @@ def test_against_brute_force(docs_of, rows):
     assert run(docs_of(rows)) == brute(rows, 80)
 
 
-@pytest.mark.parametrize("percent,kw", [(80, dict(tile_rows=3, block_shingles=300, part_bytes=2000)), (50, dict(tile_rows=5))])
+@pytest.mark.parametrize("percent,kw", [(80, dict(tile_rows=3, block_shingles=2000, part_bytes=100_000)), (50, dict(tile_rows=5))])
 def test_small_blocks_parts_and_tiles(docs_of, rows, percent, kw):
     assert run(docs_of(rows), percent=percent, **kw) == brute(rows, percent)
 
