@@ -1,29 +1,29 @@
-"""N-gram Jaccard join: size-banded tiles, bitmap bounds, then exact sorted-array intersection.
+r"""N-gram Jaccard join: size-banded tiles, bitmap bounds, then exact sorted-array intersection.
 
 A document's set: the distinct shingles of ``width`` words (lower-cased A-Z, white space
-\\x20 \\x09-\\x0D; fewer words: the whole sequence as one).  Two documents link if
+\x20 \x09-\x0D; fewer words: the whole sequence as one).  Two documents link if
 ``100 * |x & y| >= percent * |x | y|``.
 
     ask      texts -> blocks of distinct shingle hashes, cut by parts of the hash line
     answer   part -> the hashes that two sets or more hold, with their number, back to the block
-    sketch   block -> per set: size, its shared hashes, a bitmap of them, its rare prefix
+    sketch   block -> per set: size, the sorted array of its shared hashes, its rare prefix
     tile     sets that hold a token in their prefix, by token, size band and pair of blocks
-    verify   pairs whose bitmaps allow a link, by intersecting the two sorted arrays
+    link     pairs of a tile whose bitmaps allow it, by intersecting the two sorted arrays
 
 Exactness: shingles have one order in all sets (rare ones first).  Linked sets x and y have
 ``o >= percent/100 * max(|x|, |y|)`` shingles in common, so their first common one lies among the
 first ``|x| - ceil(percent/100 |x|) + 1`` of x, and of y likewise: they meet at that token.  A
 shingle that no other set holds needs no tile, so most documents send nothing, and what
 thousands of documents share stands last in the order.  Tokens held by the same sets
-make one tile.  A tile takes the sets of one size band and those of the band below (a
+make one tile.  A tile takes the sets of one size band and those at the top of the band below (a
 linked pair's sizes are in one band or in adjacent ones); a token of more than ``tile_rows`` sets is
 dealt into blocks, with a tile for each pair of blocks, so a tile's rows are bounded.
 
 In a tile, a set's bitmap has a bit for each hash of its shared shingles; a bit of x that y lacks
 is a shingle of x that y lacks, which bounds ``o`` from above.  What passes is
-intersected exactly.  Links are wanted for connectivity: first every set is checked
-against the first set of its tile that passes; then, with the components so found, only pairs
-across components are (``all_pairs`` checks them all instead).
+intersected exactly, the most promising pair of each set first; pairs that links found before already connect are
+passed over, as links are wanted for connectivity (``similar_pairs`` passes none over).  A task gives
+a spanning forest of its links, never pairs by the square.
 
 Shingles are known by 64-bit hashes within a set and by 56 bits of them across sets.
 
@@ -50,14 +50,17 @@ from pyspark.sql import functions as F
 
 from .common import prepared, sliced, staged
 from .components import connected_components
+from .simhash import roots
 from .words import deltas, expand, planes, shingles_of, undeltas, unplanes
 
 #: Bits of a shingle's hash that leave its block.
 BITS = 56
 _ASKED = "part long, block long, n int, hashes binary, owners binary, counts binary"
-_SKETCH = "digest binary, n int, shared binary, prefix binary, bits binary"
-#: A bitmap has 64 bits or the power of two above the set's size, and this many at most.
-MOST_BITS = 4096
+_SKETCH = "digest binary, n int, held int, shared binary, prefix binary"
+#: A bitmap has this many bits for each shingle of the set or up to twice as many, 64 at least.
+BITS_A_SHINGLE = 8
+#: A size band ends at this many times its first size.
+BAND = 4
 
 
 # -- ask and answer --------------------------------------------------------------
@@ -131,19 +134,12 @@ def _answer(key, asked):
 
 # -- sketches --------------------------------------------------------------------
 
-def _bitmap(hashes: np.ndarray, n: int) -> bytes:
-    width = min(MOST_BITS, max(64, 1 << (n - 1).bit_length()))
-    bits = np.zeros(width, np.uint8)
-    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
 def _sketch(percent: int):
     return lambda key, answers: _sketch_rows(answers, percent)
 
 
 def _sketch_rows(answers: pa.Table, percent: int) -> pa.Table:
-    """One row per set of the block: size, and if it may have a link its shared hashes, rare prefix and bitmap."""
+    """One row per set of the block: size, and if it may have a link its shared hashes (sorted, by differences) and rare prefix."""
     digests, sizes, owners, hashes, counts = b"", np.zeros(0, np.uint64), [], [], []
     for part, n, h, o, c in zip(*(answers[x].to_pylist() for x in ("part", "n", "hashes", "owners", "counts"))):
         if part < 0:
@@ -159,15 +155,13 @@ def _sketch_rows(answers: pa.Table, percent: int) -> pa.Table:
     by_hash = np.lexsort((h, owner))
     by_rank = np.lexsort((h, count, owner))
     first = np.cumsum(held) - held
-    shared, prefix, bits = [], [], []
+    shared, prefix = [], []
     for n, w, a, k in zip(sizes.tolist(), wanted.tolist(), first.tolist(), held.tolist()):
         alive = n > 0 and k > 0 and w > 0
-        own = h[by_hash[a:a + k]] if alive else None
-        shared.append(own.tobytes() if alive else None)
+        shared.append(deltas(h[by_hash[a:a + k]]) if alive else None)
         prefix.append(h[by_rank[a:a + min(w, k)]].tobytes() if alive else None)
-        bits.append(_bitmap(own, n) if alive else None)
     return pa.table({"digest": pa.array([digests[16 * i:16 * i + 16] for i in range(len(sizes))], pa.binary()), "n": pa.array(sizes.astype(np.int32)),
-                     "shared": pa.array(shared, pa.binary()), "prefix": pa.array(prefix, pa.binary()), "bits": pa.array(bits, pa.binary())})
+                     "held": pa.array(held.astype(np.int32)), "shared": pa.array(shared, pa.binary()), "prefix": pa.array(prefix, pa.binary())})
 
 
 def sketches(texts: DataFrame, width: int, percent: int, part_bytes: int, block_shingles: int) -> DataFrame:
@@ -190,10 +184,10 @@ def _tokens(batches):
 
 
 def _edges(percent: int) -> np.ndarray:
-    """First sizes of the bands: sizes of a linked pair lie in one band or in adjacent ones."""
+    """First sizes of the bands, wide enough for a linked pair's sizes to lie in one band or in adjacent ones."""
     edges = [1]
     while edges[-1] < 1 << 32:
-        edges.append(edges[-1] * 100 // min(percent, 80) + 1)
+        edges.append(max(edges[-1] * 100 // percent + 1, BAND * edges[-1]))
     return np.array(edges)
 
 
@@ -202,59 +196,75 @@ SMALLER, LARGER, EITHER = 0, 1, 2
 
 
 def _deal(batches, percent: int, tile_rows: int):
-    """(token, cid, rows of the token, n, held, label, bits) to the tiles that the set takes part in.
+    """(cid, n, held, shared, tokens, rows of each token) to the tiles that the set takes part in.
 
     The larger set of a pair stands in its own band and in row ``own`` of the token's block square, the smaller one in its
-    own band and the next, in column ``own``.
+    own band, and in the next if a set of that may link to it, in column ``own``.
     """
-    edges = _edges(percent)
+    edges, mix = _edges(percent), -7046029254386353131
     for batch in batches:
-        token, cid, count, n = (batch.column(i).to_numpy() for i in range(4))
+        cid, n = (batch.column(i).to_numpy() for i in (0, 1))
+        tokens, counts = batch.column(4), batch.column(5)
+        of = np.repeat(np.arange(len(batch)), np.diff(tokens.offsets.to_numpy()))
+        token, count = tokens.flatten().to_numpy(), counts.flatten().to_numpy()
         band = np.searchsorted(edges, n, "right")
         blocks = -(-count // tile_rows)
-        own = (cid * -7046029254386353131 >> 33) % blocks
-        row, other = expand(np.zeros(len(n), np.int64), blocks)
+        own = (cid[of] * mix >> 33) % blocks
+        row, other = expand(np.zeros(len(of), np.int64), blocks)
         aside = other != own[row]
+        reaches = (n * 100 // percent >= edges[np.minimum(band, len(edges) - 1)])[of[row]]
         parts = [(row, 0, own[row], other, np.where(aside, LARGER, EITHER)), (row[aside], 0, other[aside], own[row[aside]], np.full(aside.sum(), SMALLER)),
-                 (row, 1, other, own[row], np.full(len(row), SMALLER))]
-        mix = -7046029254386353131
-        tile = np.concatenate([(((token[r] * mix + band[r] + up) * mix + i) * mix + j) * mix for r, up, i, j, _ in parts])
-        take = pa.array(np.concatenate([p[0] for p in parts]))
+                 (row[reaches], 1, other[reaches], own[row[reaches]], np.full(reaches.sum(), SMALLER))]
+        tile = np.concatenate([(((token[r] * mix + band[of[r]] + up) * mix + i) * mix + j) * mix for r, up, i, j, _ in parts])
+        take = of[np.concatenate([p[0] for p in parts])]
         role = np.concatenate([p[4] for p in parts]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(tile), *[batch.column(i).take(take) for i in (1, 3, 4, 5)], pa.array(role), batch.column(6).take(take)],
-                                         names=["tile", "cid", "n", "held", "label", "role", "bits"])
-
-
-def _bitmaps(bits: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Width (64-bit words) of each bitmap, and by width the bitmaps of at least that width, folded to it."""
-    width = np.array([len(b) // 8 for b in bits])
-    at = {}
-    above, above_rows = None, np.zeros(0, np.int64)
-    for w in sorted(set(width.tolist()), reverse=True):
-        rows = np.flatnonzero(width >= w)
-        out = np.zeros((len(bits), w), np.uint64)
-        if above is not None:
-            wide = above[above_rows]
-            while wide.shape[1] > w:
-                wide = wide[:, :wide.shape[1] // 2] | wide[:, wide.shape[1] // 2:]
-            out[above_rows] = wide
-        same = np.flatnonzero(width == w)
-        out[same] = np.frombuffer(b"".join(bits[i] for i in same.tolist()), np.uint64).reshape(-1, w)
-        at[w] = above = out
-        above_rows = rows
-    return width, at
-
-
-def _passing(tile: np.ndarray, n: np.ndarray, held: np.ndarray, larger: np.ndarray, bits: list[bytes], percent: int, wanted, block: int = 1 << 17):
-    """(larger row, earlier row) pairs of whole tiles (rows sorted by tile, n, cid) whose bitmaps allow a link."""
-    width, maps = _bitmaps(bits)
-    begin = np.searchsorted(tile, tile)
+        for at in range(0, len(take), 4096):
+            some = pa.array(take[at:at + 4096])
+            yield pa.RecordBatch.from_arrays([pa.array(tile[at:at + 4096]), *[batch.column(i).take(some) for i in range(4)], pa.array(role[at:at + 4096])],
+                                             names=["tile", "cid", "n", "held", "shared", "role"])
+
+
+def _bitmap(hashes: np.ndarray, width: int) -> np.ndarray:
+    bits = np.zeros(width, np.uint8)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+class _Bitmaps:
+    """Bitmaps of some sets, each compared at the narrower width of a pair; a wider one is folded in half."""
+
+    def __init__(self, arrays: list[np.ndarray], n: np.ndarray) -> None:
+        self.width = np.array([max(64, 1 << (BITS_A_SHINGLE * k - 1).bit_length()) for k in n.tolist()], np.int64)
+        self.at, self.maps = {}, {}
+        for w in np.unique(self.width).tolist():
+            same, wide = np.flatnonzero(self.width == w), np.flatnonzero(self.width == 2 * w)
+            at = np.full(len(arrays), -1)
+            at[np.concatenate((same, wide))] = np.arange(len(same) + len(wide))
+            self.at[w], self.maps[w] = at, np.array([_bitmap(arrays[i], w) for i in (*same.tolist(), *wide.tolist())])
+
+    def lacking(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many bits of each pair's first set its second lacks, and the other way round."""
+        out = np.zeros((2, len(a)), np.int64)
+        narrow = np.minimum(self.width[a], self.width[b])
+        for w in np.unique(narrow).tolist():
+            mine = np.flatnonzero(narrow == w)
+            step = max(1, (1 << 23) // w)
+            for m in (mine[k:k + step] for k in range(0, len(mine), step)):
+                x, y = (self.maps[w][self.at[w][rows[m]]] for rows in (a, b))
+                both = x & y
+                shared = np.bitwise_count(both).sum(1, dtype=np.int64)
+                out[0, m], out[1, m] = np.bitwise_count(x).sum(1, dtype=np.int64) - shared, np.bitwise_count(y).sum(1, dtype=np.int64) - shared
+        return out[0], out[1]
+
+
+def _passing(tile: np.ndarray, n: np.ndarray, arrays: list[np.ndarray], larger: np.ndarray, percent: int, wanted, block: int = 1 << 17):
+    """(larger row, earlier row, bound of what they share) of whole tiles (rows sorted by tile, n, cid) whose bitmaps allow a link."""
+    bitmaps, held = _Bitmaps(arrays, n), np.array([len(x) for x in arrays])
     at = np.flatnonzero(larger)
-    # earlier rows of the tile that are large enough: n_y * percent <= 100 * n_x
-    least = (n[at] * percent + 99) // 100
-    low = _lower(tile, n, begin, at, least)
-    count = at - low
-    at, low, count = at[count > 0], low[count > 0], count[count > 0]
+    least = (n[at] * percent + 99) // 100  # a linked set has this many shingles
+    top = int(n.max()) + 2
+    low = np.maximum(np.searchsorted(tile, tile[at]), np.searchsorted(tile * top + n, tile[at] * top + least))
+    count = np.maximum(at - low, 0)
     ends = np.cumsum(count)
     done = 0
     while done < len(at):
@@ -263,88 +273,86 @@ def _passing(tile: np.ndarray, n: np.ndarray, held: np.ndarray, larger: np.ndarr
         row = at[done:upto][row]
         ok = wanted(row, other)
         row, other = row[ok], other[ok]
-        narrow = np.minimum(width[row], width[other])
-        keep = np.zeros(len(row), bool)
-        for w in np.unique(narrow).tolist():
-            mine = np.flatnonzero(narrow == w)
-            for k in range(0, len(mine), max(1, (1 << 20) // w)):
-                m = mine[k:k + max(1, (1 << 20) // w)]
-                x, y = maps[w][row[m]], maps[w][other[m]]
-                both = np.minimum(held[row[m]] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), held[other[m]] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
-                keep[m] = (100 + percent) * both >= percent * (n[row[m]] + n[other[m]])
-        yield row[keep], other[keep]
+        lack_row, lack_other = bitmaps.lacking(row, other)
+        bound = np.minimum(held[row] - lack_row, held[other] - lack_other)
+        keep = (100 + percent) * bound >= percent * (n[row] + n[other])
+        yield row[keep], other[keep], bound[keep]
         done = upto
 
 
-def _lower(tile, n, begin, at, least):
-    """For each row ``at``: the first row of its tile with ``n >= least``."""
-    top = int(n.max()) + 2
-    return np.maximum(begin[at], np.searchsorted(tile * top + n, tile[at] * top + least))
+def _common(arrays: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sorted arrays."""
+    return np.array([len(np.intersect1d(arrays[i], arrays[j], assume_unique=True)) for i, j in zip(a.tolist(), b.tolist())], np.int64)
+
+
+def _tile_links(tile, cid, n, arrays, role, percent: int, every: bool):
+    """(cid, cid, common) of the links of whole tiles: all, or enough to connect what they connect."""
+    node = np.unique(cid, return_inverse=True)[1]
+    label = np.arange(len(cid))
+
+    def wanted(a, b):
+        return (cid[a] != cid[b]) & (role[b] != LARGER) & (every | (label[node[a]] != label[node[b]]))
 
+    for a, b, bound in _passing(tile, n, arrays, role != SMALLER, percent, wanted):
+        order = np.lexsort((-bound, a))
+        a, b = a[order], b[order]
+        while len(a):
+            now = np.ones(len(a), bool) if every else np.concatenate(([True], a[1:] != a[:-1]))
+            x, y = a[now], b[now]
+            common = _common(arrays, x, y)
+            ok = 100 * common >= percent * (n[x] + n[y] - common)
+            x, y = x[ok], y[ok]
+            if len(x):
+                yield cid[x], cid[y], common[ok]
+                label = roots(len(label), np.concatenate((node[x], np.arange(len(label)))), np.concatenate((node[y], label)))
+            a, b = a[~now], b[~now]
+            apart = label[node[a]] != label[node[b]]
+            a, b = a[apart], b[apart]
 
-def _pairs(batches, percent: int, every: bool, least: int = 1 << 16):
-    """Tiles arrive in order; whole ones are compared.  ``every``: all passing pairs of unlike label, else each row's first."""
-    held_batches, rows, hold = [], 0, least
+
+def _links_of(batches, percent: int, every: bool, least_bytes: int = 16 << 20):
+    """Tiles arrive in order; whole ones are compared once some are held."""
+    held, size, hold = [], 0, least_bytes
 
     def compare(last: bool):
-        nonlocal held_batches, rows, hold
-        table = pa.Table.from_batches(held_batches)
+        nonlocal held, size, hold
+        table = pa.Table.from_batches(held)
         tile = table["tile"].to_numpy()
         changes = np.flatnonzero(tile[1:] != tile[:-1]) + 1
         cut = len(tile) if last else int(changes[-1]) if len(changes) else 0
-        held_batches = table.slice(cut).to_batches()
-        rows = len(tile) - cut
-        hold = max(least, 2 * rows)
-        table = table.slice(0, cut)
+        held = pa.Table.from_batches(table.slice(cut).to_batches(), table.schema).combine_chunks().to_batches()
+        size = sum(b.nbytes for b in held)
+        hold = max(least_bytes, 2 * size)
         if not cut:
             return
-        rank = np.cumsum(np.concatenate(([False], tile[1:cut] != tile[:cut - 1])))
-        cid, n, held, label = (table[c].to_numpy().astype(np.int64) for c in ("cid", "n", "held", "label"))
-        role = table["role"].to_numpy()
-        wanted = lambda a, b: (label[a] != label[b]) & (role[b] != LARGER)
-        for a, b in _passing(rank, n, held, role != SMALLER, table["bits"].to_pylist(), percent, wanted):
-            if not every:
-                a, first = np.unique(a, return_index=True)
-                b = b[first]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))], names=["a", "b"])
+        tile = np.cumsum(np.concatenate(([False], tile[1:cut] != tile[:cut - 1])))
+        table = table.slice(0, cut)
+        cid, n, role = (table[c].to_numpy().astype(np.int64) for c in ("cid", "n", "role"))
+        arrays = [undeltas(x, k) for x, k in zip(table["shared"].to_pylist(), table["held"].to_pylist())]
+        for a, b, common in _tile_links(tile, cid, n, arrays, role, percent, every):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(common)], names=["a", "b", "common"])
 
     for batch in batches:
-        held_batches.append(batch)
-        rows += len(batch)
-        if rows > hold:
+        held.append(batch)
+        size += batch.nbytes
+        if size > hold:
             yield from compare(False)
-    if rows:
+    if held:
         yield from compare(True)
 
 
-def _exact(batches, percent: int):
-    """(a, b, n_a, n_b, shared hashes of both) to the linked pairs, with their intersection's size."""
-    for batch in batches:
-        na, nb = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
-        both = np.array([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                         for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], np.int64)
-        ok = 100 * both >= percent * (na + nb - both)
-        yield pa.RecordBatch.from_arrays([*[batch.column(i).filter(pa.array(ok)) for i in (0, 1)], pa.array(both[ok])], names=["a", "b", "common"])
-
-
 def _links(classes: DataFrame, members: DataFrame, percent: int, tile_rows: int, every: bool) -> DataFrame:
-    """Linked pairs (a, b, common) of ``classes``, which hold a ``label``."""
-    rows = members.join(classes.select("cid", "n", F.expr("length(shared) div 8").cast("int").alias("held"), "label", "bits"), "cid")
-    rows = rows.select("token", "cid", "rows", F.col("n").cast("long"), F.col("held").cast("long"), "label", "bits")
-    tiles = rows.mapInArrow(functools.partial(_deal, percent=percent, tile_rows=tile_rows),
-                            "tile long, cid long, n long, held long, label long, role int, bits binary")
-    pairs = (tiles.repartition("tile").sortWithinPartitions("tile", "n", "cid")
-             .mapInArrow(functools.partial(_pairs, percent=percent, every=every), "a long, b long"))
-    pairs = staged(pairs.distinct(), "jaccard-candidates")
-    x = classes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("x"))
-    y = classes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("y"))
-    wide = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
-    return staged(wide.mapInArrow(functools.partial(_exact, percent=percent), "a long, b long, common long"), "jaccard-links")
+    """Linked pairs (a, b, common) of ``classes``: all, or enough to connect what they connect."""
+    tokens = members.groupBy("cid").agg(F.collect_list(F.struct("token", "rows")).alias("t"))
+    rows = classes.join(tokens, "cid").select("cid", F.col("n").cast("long").alias("n"), "held", "shared", "t.token", "t.rows")
+    tiles = rows.mapInArrow(functools.partial(_deal, percent=percent, tile_rows=tile_rows), "tile long, cid long, n long, held int, shared binary, role int")
+    links = (tiles.repartition("tile").sortWithinPartitions("tile", "n", "cid")
+             .mapInArrow(functools.partial(_links_of, percent=percent, every=every), "a long, b long, common long"))
+    return staged(links.distinct(), "jaccard-links")
 
 
 def _classes(docs: DataFrame, text_col: str, width: int, percent: int, part_bytes: int, block_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all sets: digest, n), (sets that may have links: cid, digest, n, shared, bits, label), (their tiles: token, cid, rows)."""
+    """(all sets: digest, n), (sets that may have links: cid, digest, n, held, shared), (their tokens: token, cid, rows)."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -359,11 +367,11 @@ def _classes(docs: DataFrame, text_col: str, width: int, percent: int, part_byte
     kept = tokens.groupBy("token").agg(F.count("*").alias("rows"), *[F.bit_xor(m).alias(f"m{i}") for i, m in enumerate(mixed)]).filter("rows > 1")
     kept = kept.groupBy("rows", "m0", "m1").agg(F.min("token").alias("token")).select("token", "rows")
     members = staged(tokens.join(kept, "token").select("token", "cid", "rows"), "jaccard-members")
-    return sets, alive.withColumn("label", F.col("cid")), members
+    return sets, alive, members
 
 
 def similar_pairs(docs: DataFrame, text_col: str = "text", width: int = 5, percent: int = 80, part_bytes: int = 16 << 20,
-                  block_shingles: int = 1 << 20, tile_rows: int = 4096) -> DataFrame:
+                  block_shingles: int = 1 << 20, tile_rows: int = 2048) -> DataFrame:
     """Every linked pair of unequal texts: digest_a, digest_b (MD5 of the texts), common, n_a, n_b."""
     prepared(docs.sparkSession)
     _, alive, members = _classes(docs, text_col, width, percent, part_bytes, block_shingles)
@@ -374,16 +382,11 @@ def similar_pairs(docs: DataFrame, text_col: str = "text", width: int = 5, perce
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
-                    part_bytes: int = 16 << 20, block_shingles: int = 1 << 20, tile_rows: int = 4096) -> DataFrame:
+                    part_bytes: int = 16 << 20, block_shingles: int = 1 << 20, tile_rows: int = 2048) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included)."""
     prepared(docs.sparkSession)
     sets, alive, members = _classes(docs, text_col, width, percent, part_bytes, block_shingles)
-    links = _links(alive, members, percent, tile_rows, every=False).select("a", "b")
-    found = connected_components(links)
-    label = F.coalesce("root", "cid").alias("label")
-    alive = alive.drop("label").join(found, F.col("cid") == F.col("node"), "left").select("cid", "digest", "n", "shared", "bits", label)
-    more = _links(alive, members, percent, tile_rows, every=True).select("a", "b")
-    found = found if more.isEmpty() else connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    found = connected_components(_links(alive, members, percent, tile_rows, every=False).select("a", "b"))
     named = alive.select("cid", "digest").join(found, F.col("cid") == F.col("node"), "left").select("digest", F.coalesce("root", "cid").alias("root"))
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).alias("digest"))
     info = sets.join(rows.groupBy("digest").agg(F.min("id").alias("least")), "digest").join(named, "digest", "left")
