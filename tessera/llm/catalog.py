@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_format, decontaminate, html_extract, jaccard_join, line_dedup, lm_score, packing, quality, sharding, simhash,
-               topk)
+               source_audit, topk, whitening)
 from .common import table
 
 
@@ -179,6 +179,11 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=5, percent=80)
 
@@ -200,8 +205,38 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n IS NULL T
 FROM documents d JOIN c ON c.text = coalesce(d.text, '') LEFT JOIN n ON n.cid = c.cid LEFT JOIN least_id l ON l.cid = c.cid
 """
 
+
+def op13_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"))
+
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS (SELECT rid, lang, source, unnest(ws) AS term FROM d),
+g AS (SELECT DISTINCT lang, source FROM d),
+k AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM k GROUP BY lang),
+gc AS (SELECT t.lang, source, t.term, count(*) AS c FROM t JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL),
+gn AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM gc GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(gc.c, 0) AS c,
+             1 + (1000000000::HUGEINT * (coalesce(gc.c, 0) + 5)) // (coalesce(gn.n, 0) + 5 * l.v) AS p,
+             1 + (1000000000::HUGEINT * (k.c + 5)) // (l.n + 5 * l.v) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN gn USING (lang, source)
+      LEFT JOIN gc ON gc.lang = g.lang AND gc.source = g.source AND gc.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_sharding, op3_html_extraction, op4_simhash_near_dedup, op5_chat_formatting, op6_quality_classifier,
-    op7_lm_scoring, op8_benchmark_decontamination, op9_packing, op10_topk_search, op12_ngram_jaccard_join)}
+    op7_lm_scoring, op8_benchmark_decontamination, op9_packing, op10_topk_search, op11_embedding_whitening, op12_ngram_jaccard_join,
+    op13_source_divergence_audit)}
 ORACLE = {"op1_line_dedup": OP1, "op2_sharding": OP2, "op5_chat_formatting": OP5, "op8_benchmark_decontamination": OP8,
-          "op10_topk_search": OP10, "op12_ngram_jaccard_join": OP12}
+          "op10_topk_search": OP10, "op12_ngram_jaccard_join": OP12, "op13_source_divergence_audit": OP13}
