@@ -6,9 +6,10 @@ A document's set: the distinct shingles of ``width`` words (lower-cased A-Z, whi
 
     ask      texts -> blocks of distinct shingle hashes, cut by parts of the hash line
     answer   part -> the hashes that two sets or more hold, with their number, back to the block
-    sketch   block -> per set: size, the sorted array of its shared hashes, its rare prefix
-    tile     sets that hold a token in their prefix, by token, size band and pair of blocks
-    link     pairs of a tile whose bitmaps allow it, by intersecting the two sorted arrays
+    sketch   block -> per set: size, bitmap and sorted array of its shared hashes, its rare prefix
+    tile     sets that hold a token in their prefix, by token, size band and pair of blocks, with their bitmaps
+             -> the sets of each tile that have a partner there by their bitmaps
+    link     these sets again, with their arrays -> pairs, by intersecting the two sorted arrays
 
 Exactness: shingles have one order in all sets (rare ones first).  Linked sets x and y have
 ``o >= percent/100 * max(|x|, |y|)`` shingles in common, so their first common one lies among the
@@ -20,7 +21,8 @@ linked pair's sizes are in one band or in adjacent ones); a token of more than `
 dealt into blocks, with a tile for each pair of blocks, so a tile's rows are bounded.
 
 In a tile, a set's bitmap has a bit for each hash of its shared shingles; a bit of x that y lacks
-is a shingle of x that y lacks, which bounds ``o`` from above.  What passes is
+is a shingle of x that y lacks, which bounds ``o`` from above.  Few sets have a partner by that bound, and only
+their arrays are sent to the tile, where a wider bitmap sifts the pairs once more.  What passes is
 intersected exactly, the most promising pair of each set first; pairs that links found before already connect are
 passed over, as links are wanted for connectivity (``similar_pairs`` passes none over).  A task gives
 a spanning forest of its links, never pairs by the square.
@@ -56,9 +58,10 @@ from .words import deltas, expand, planes, shingles_of, undeltas, unplanes
 #: Bits of a shingle's hash that leave its block.
 BITS = 56
 _ASKED = "part long, block long, n int, hashes binary, owners binary, counts binary"
-_SKETCH = "digest binary, n int, held int, shared binary, prefix binary"
-#: A bitmap has this many bits for each shingle of the set or up to twice as many, 64 at least.
-BITS_A_SHINGLE = 8
+_SKETCH = "digest binary, n int, held int, shared binary, prefix binary, bits binary"
+#: A bitmap that is sent has a bit for each shingle of the set or up to twice as many, 64 at least, and this many at most (beyond,
+#: its bound is weaker); one that is built beside the array has ``BITS_A_SHINGLE`` times as many.
+MOST_BITS, BITS_A_SHINGLE = 1 << 14, 8
 #: A size band ends at this many times its first size.
 BAND = 4
 
@@ -134,6 +137,16 @@ def _answer(key, asked):
 
 # -- sketches --------------------------------------------------------------------
 
+def _width(bits: int) -> int:
+    return max(64, 1 << (bits - 1).bit_length())
+
+
+def _bitmap(hashes: np.ndarray, width: int) -> np.ndarray:
+    bits = np.zeros(width, np.uint8)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
 def _sketch(percent: int):
     return lambda key, answers: _sketch_rows(answers, percent)
 
@@ -155,13 +168,16 @@ def _sketch_rows(answers: pa.Table, percent: int) -> pa.Table:
     by_hash = np.lexsort((h, owner))
     by_rank = np.lexsort((h, count, owner))
     first = np.cumsum(held) - held
-    shared, prefix = [], []
+    shared, prefix, bits = [], [], []
     for n, w, a, k in zip(sizes.tolist(), wanted.tolist(), first.tolist(), held.tolist()):
         alive = n > 0 and k > 0 and w > 0
-        shared.append(deltas(h[by_hash[a:a + k]]) if alive else None)
+        own = h[by_hash[a:a + k]] if alive else None
+        shared.append(deltas(own) if alive else None)
+        bits.append(_bitmap(own, min(MOST_BITS, _width(n))).tobytes() if alive else None)
         prefix.append(h[by_rank[a:a + min(w, k)]].tobytes() if alive else None)
     return pa.table({"digest": pa.array([digests[16 * i:16 * i + 16] for i in range(len(sizes))], pa.binary()), "n": pa.array(sizes.astype(np.int32)),
-                     "held": pa.array(held.astype(np.int32)), "shared": pa.array(shared, pa.binary()), "prefix": pa.array(prefix, pa.binary())})
+                     "held": pa.array(held.astype(np.int32)), "shared": pa.array(shared, pa.binary()), "prefix": pa.array(prefix, pa.binary()),
+                     "bits": pa.array(bits, pa.binary())})
 
 
 def sketches(texts: DataFrame, width: int, percent: int, part_bytes: int, block_shingles: int) -> DataFrame:
@@ -196,7 +212,7 @@ SMALLER, LARGER, EITHER = 0, 1, 2
 
 
 def _deal(batches, percent: int, tile_rows: int):
-    """(cid, n, held, shared, tokens, rows of each token) to the tiles that the set takes part in.
+    """(cid, n, held, bits, tokens, rows of each token) to the tiles that the set takes part in.
 
     The larger set of a pair stands in its own band and in row ``own`` of the token's block square, the smaller one in its
     own band, and in the next if a set of that may link to it, in column ``own``.
@@ -221,26 +237,25 @@ def _deal(batches, percent: int, tile_rows: int):
         for at in range(0, len(take), 4096):
             some = pa.array(take[at:at + 4096])
             yield pa.RecordBatch.from_arrays([pa.array(tile[at:at + 4096]), *[batch.column(i).take(some) for i in range(4)], pa.array(role[at:at + 4096])],
-                                             names=["tile", "cid", "n", "held", "shared", "role"])
+                                             names=["tile", "cid", "n", "held", "bits", "role"])
 
 
-def _bitmap(hashes: np.ndarray, width: int) -> np.ndarray:
-    bits = np.zeros(width, np.uint8)
-    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+def _folded(bits: np.ndarray) -> np.ndarray:
+    return bits[:len(bits) // 2] | bits[len(bits) // 2:]
 
 
 class _Bitmaps:
     """Bitmaps of some sets, each compared at the narrower width of a pair; a wider one is folded in half."""
 
-    def __init__(self, arrays: list[np.ndarray], n: np.ndarray) -> None:
-        self.width = np.array([max(64, 1 << (BITS_A_SHINGLE * k - 1).bit_length()) for k in n.tolist()], np.int64)
+    def __init__(self, bitmaps: list[np.ndarray]) -> None:
+        self.width = np.array([64 * len(b) for b in bitmaps], np.int64)
         self.at, self.maps = {}, {}
         for w in np.unique(self.width).tolist():
             same, wide = np.flatnonzero(self.width == w), np.flatnonzero(self.width == 2 * w)
-            at = np.full(len(arrays), -1)
+            at = np.full(len(bitmaps), -1)
             at[np.concatenate((same, wide))] = np.arange(len(same) + len(wide))
-            self.at[w], self.maps[w] = at, np.array([_bitmap(arrays[i], w) for i in (*same.tolist(), *wide.tolist())])
+            self.at[w] = at
+            self.maps[w] = np.array([bitmaps[i] for i in same.tolist()] + [_folded(bitmaps[i]) for i in wide.tolist()])
 
     def lacking(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many bits of each pair's first set its second lacks, and the other way round."""
@@ -257,9 +272,10 @@ class _Bitmaps:
         return out[0], out[1]
 
 
-def _passing(tile: np.ndarray, n: np.ndarray, arrays: list[np.ndarray], larger: np.ndarray, percent: int, wanted, block: int = 1 << 17):
+def _passing(tile: np.ndarray, n: np.ndarray, held: np.ndarray, bitmaps: list[np.ndarray], larger: np.ndarray, percent: int, wanted,
+             block: int = 1 << 17):
     """(larger row, earlier row, bound of what they share) of whole tiles (rows sorted by tile, n, cid) whose bitmaps allow a link."""
-    bitmaps, held = _Bitmaps(arrays, n), np.array([len(x) for x in arrays])
+    bitmaps = _Bitmaps(bitmaps)
     at = np.flatnonzero(larger)
     least = (n[at] * percent + 99) // 100  # a linked set has this many shingles
     top = int(n.max()) + 2
@@ -285,15 +301,25 @@ def _common(arrays: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
     return np.array([len(np.intersect1d(arrays[i], arrays[j], assume_unique=True)) for i, j in zip(a.tolist(), b.tolist())], np.int64)
 
 
-def _tile_links(tile, cid, n, arrays, role, percent: int, every: bool):
+def _partners(tile, cid, n, held, role, bitmaps, percent: int) -> np.ndarray:
+    """The rows of whole tiles that have a partner by their bitmaps."""
+    alive = np.zeros(len(cid), bool)
+    for a, b, _ in _passing(tile, n, held, bitmaps, role != SMALLER, percent, lambda a, b: (cid[a] != cid[b]) & (role[b] != LARGER)):
+        alive[a] = alive[b] = True
+    return np.flatnonzero(alive)
+
+
+def _tile_links(tile, cid, n, role, arrays, percent: int, every: bool):
     """(cid, cid, common) of the links of whole tiles: all, or enough to connect what they connect."""
     node = np.unique(cid, return_inverse=True)[1]
     label = np.arange(len(cid))
+    bitmaps = [_bitmap(x, _width(BITS_A_SHINGLE * k)) for x, k in zip(arrays, n.tolist())]
 
     def wanted(a, b):
         return (cid[a] != cid[b]) & (role[b] != LARGER) & (every | (label[node[a]] != label[node[b]]))
 
-    for a, b, bound in _passing(tile, n, arrays, role != SMALLER, percent, wanted):
+    held = np.array([len(x) for x in arrays])
+    for a, b, bound in _passing(tile, n, held, bitmaps, role != SMALLER, percent, wanted):
         order = np.lexsort((-bound, a))
         a, b = a[order], b[order]
         while len(a):
@@ -310,43 +336,60 @@ def _tile_links(tile, cid, n, arrays, role, percent: int, every: bool):
             a, b = a[apart], b[apart]
 
 
-def _links_of(batches, percent: int, every: bool, least_bytes: int = 16 << 20):
-    """Tiles arrive in order; whole ones are compared once some are held."""
+def _whole_tiles(batches, least_bytes: int = 16 << 20):
+    """Batches in order of their tiles to tables of whole tiles, with the tiles' numbers."""
     held, size, hold = [], 0, least_bytes
 
-    def compare(last: bool):
+    def cut(last: bool):
         nonlocal held, size, hold
         table = pa.Table.from_batches(held)
         tile = table["tile"].to_numpy()
         changes = np.flatnonzero(tile[1:] != tile[:-1]) + 1
-        cut = len(tile) if last else int(changes[-1]) if len(changes) else 0
-        held = pa.Table.from_batches(table.slice(cut).to_batches(), table.schema).combine_chunks().to_batches()
+        end = len(tile) if last else int(changes[-1]) if len(changes) else 0
+        held = table.slice(end).combine_chunks().to_batches() if end < len(tile) else []
         size = sum(b.nbytes for b in held)
         hold = max(least_bytes, 2 * size)
-        if not cut:
-            return
-        tile = np.cumsum(np.concatenate(([False], tile[1:cut] != tile[:cut - 1])))
-        table = table.slice(0, cut)
-        cid, n, role = (table[c].to_numpy().astype(np.int64) for c in ("cid", "n", "role"))
-        arrays = [undeltas(x, k) for x, k in zip(table["shared"].to_pylist(), table["held"].to_pylist())]
-        for a, b, common in _tile_links(tile, cid, n, arrays, role, percent, every):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(common)], names=["a", "b", "common"])
+        return table.slice(0, end), np.cumsum(np.concatenate(([False], tile[1:end] != tile[:end - 1]))) if end else tile[:0]
 
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
         if size > hold:
-            yield from compare(False)
-    if held:
-        yield from compare(True)
+            table, tile = cut(False)
+            if len(tile):
+                yield table, tile
+    if size:
+        yield cut(True)
+
+
+def _numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table[c].to_numpy().astype(np.int64) for c in names]
+
+
+def _survivors(batches, percent: int):
+    for table, tile in _whole_tiles(batches):
+        cid, n, held, role = _numbers(table, "cid", "n", "held", "role")
+        rows = _partners(tile, cid, n, held, role, [np.frombuffer(b, np.uint64) for b in table["bits"].to_pylist()], percent)
+        yield from table.select(["tile", "cid", "role"]).take(pa.array(rows)).to_batches()
+
+
+def _links_of(batches, percent: int, every: bool):
+    for table, tile in _whole_tiles(batches):
+        cid, n, role = _numbers(table, "cid", "n", "role")
+        arrays = [undeltas(x, k) for x, k in zip(table["shared"].to_pylist(), table["held"].to_pylist())]
+        for a, b, common in _tile_links(tile, cid, n, role, arrays, percent, every):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(common)], names=["a", "b", "common"])
 
 
 def _links(classes: DataFrame, members: DataFrame, percent: int, tile_rows: int, every: bool) -> DataFrame:
     """Linked pairs (a, b, common) of ``classes``: all, or enough to connect what they connect."""
     tokens = members.groupBy("cid").agg(F.collect_list(F.struct("token", "rows")).alias("t"))
-    rows = classes.join(tokens, "cid").select("cid", F.col("n").cast("long").alias("n"), "held", "shared", "t.token", "t.rows")
-    tiles = rows.mapInArrow(functools.partial(_deal, percent=percent, tile_rows=tile_rows), "tile long, cid long, n long, held int, shared binary, role int")
-    links = (tiles.repartition("tile").sortWithinPartitions("tile", "n", "cid")
+    rows = classes.join(tokens, "cid").select("cid", F.col("n").cast("long").alias("n"), "held", "bits", "t.token", "t.rows")
+    tiles = rows.mapInArrow(functools.partial(_deal, percent=percent, tile_rows=tile_rows), "tile long, cid long, n long, held int, bits binary, role int")
+    alive = (tiles.repartition("tile").sortWithinPartitions("tile", "n", "cid")
+             .mapInArrow(functools.partial(_survivors, percent=percent), "tile long, cid long, role int"))
+    alive = staged(alive, "jaccard-tiles").join(classes.select("cid", "n", "held", "shared"), "cid")
+    links = (alive.repartition("tile").sortWithinPartitions("tile", "n", "cid")
              .mapInArrow(functools.partial(_links_of, percent=percent, every=every), "a long, b long, common long"))
     return staged(links.distinct(), "jaccard-links")
 

@@ -107,7 +107,8 @@ def test_bands_hold_linked_sizes_side_by_side(percent):
     assert (np.searchsorted(edges, n * 100 // percent, "right") <= np.searchsorted(edges, n, "right") + 1).all()
 
 
-def test_bitmaps_never_lose_a_pair():
+@pytest.mark.parametrize("wide", [1, 8])
+def test_bitmaps_never_lose_a_pair(wide):
     """The bound is not below the real overlap, whatever widths the two bitmaps have."""
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 56, 500, np.uint64)
@@ -115,7 +116,8 @@ def test_bitmaps_never_lose_a_pair():
     sets += [np.sort(np.unique(np.concatenate((s[len(s) // 12:], rng.integers(0, 1 << 56, 3, np.uint64))))) for s in sets]
     sets.sort(key=len)
     n, every = np.array([len(s) for s in sets]), np.ones(len(sets), bool)
-    found = list(J._passing(np.zeros(len(sets), np.int64), n, sets, every, 80, lambda a, b: np.ones(len(a), bool), block=50))
+    bits = [J._bitmap(s, J._width(wide * len(s))) for s in sets]
+    found = list(J._passing(np.zeros(len(sets), np.int64), n, n, bits, every, 80, lambda a, b: np.ones(len(a), bool), block=50))
     passed = {(a, b): k for x, y, bound in found for a, b, k in zip(x.tolist(), y.tolist(), bound.tolist())}
     assert all(len(np.intersect1d(sets[a], sets[b])) <= k for (a, b), k in passed.items())
     links = {(a, b) for a in range(len(sets)) for b in range(a) if linked(set(sets[a].tolist()), set(sets[b].tolist()), 80)}
