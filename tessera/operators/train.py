@@ -1,10 +1,9 @@
-"""Distributed model sweeps on the Gold table with MLlib.
+"""Distributed model sweeps on the Gold table.
 
-The notebooks pulled Gold into one pandas frame; here the training set stays
-a DataFrame: ``VectorAssembler`` -> (``StandardScaler``) -> classifier, one
-``Pipeline`` per grid point (scaler and model travel together, M10), fitted
-on the train split, evaluated on validation (and test, reported only).
-Grid points are independent Spark jobs, submitted from a small thread pool.
+The notebooks pulled Gold into one pandas frame; here the training set stays a DataFrame.
+A forest is an MLlib ``Pipeline``, the network is ``operators.network``; either artifact holds what
+prepares its features (M10).  Each grid point is fitted on the train split and evaluated on
+validation (and test, reported only); grid points are independent Spark jobs, submitted from a small thread pool.
 """
 
 from __future__ import annotations
@@ -14,37 +13,35 @@ import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..sources.tables import list_dirs
 from . import evaluate as EV
+from . import network as NN
 
 RUNS_SCHEMA = ("run_id string, experiment string, run_name string, family string, "
                "params map<string,string>, metrics map<string,double>, tags map<string,string>, "
                "model_path string, signature string, started_at timestamp")
 
 
-def _preparation(features, scaled: bool) -> list:
-    """Stages up to the ``features`` vector (M1, M2).  Mean imputation is fitted on the
+def _preparation(features) -> list:
+    """Stages up to the ``features`` vector (M1).  Mean imputation is fitted on the
     training split and kept in the artifact, so rows with a missing feature are
     still scored (no row is dropped)."""
     cols = [f"{c}__imputed" for c in features]
-    vector = "raw_features" if scaled else "features"
-    stages = [Imputer(inputCols=list(features), outputCols=cols, strategy="mean"),
-              VectorAssembler(inputCols=cols, outputCol=vector, handleInvalid="keep")]
-    if scaled:
-        stages.append(StandardScaler(inputCol=vector, outputCol="features", withMean=True, withStd=True))
-    return stages
+    return [Imputer(inputCols=list(features), outputCols=cols, strategy="mean"),
+            VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")]
 
 
 def rf_pipeline(features, label: str, n_estimators: int, max_depth: int, seed: int = 42) -> Pipeline:
     """Random forest (M3): sqrt feature subsets, gini, ``seed`` as in the notebook."""
     return Pipeline(stages=[
-        *_preparation(features, scaled=False),
+        *_preparation(features),
         RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_estimators,
                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
                                # more nodes split per pass over the data, fewer passes for deep trees
@@ -52,21 +49,6 @@ def rf_pipeline(features, label: str, n_estimators: int, max_depth: int, seed: i
     ])
 
 
-def nn_pipeline(features, label: str, hidden_units: int, epochs: int, seed: int = 42,
-                block_size: int = 128, **_ignored) -> Pipeline:
-    """One-hidden-layer network (M4) with the scaler inside the artifact.
-
-    MLlib's perceptron has sigmoid hidden units, a softmax output and L-BFGS;
-    dropout and batch size have no counterpart (same role, not same numbers).
-    """
-    return Pipeline(stages=[
-        *_preparation(features, scaled=True),
-        MultilayerPerceptronClassifier(labelCol=label, featuresCol="features",
-                                       layers=[len(features), hidden_units, 2], maxIter=epochs,
-                                       seed=seed, blockSize=block_size),
-    ])
-
-
 def positive_probability(df: DataFrame, col: str = "probability") -> DataFrame:
     return df.withColumn("prob_1", vector_to_array(F.col(col)).getItem(1))
 
@@ -93,9 +75,8 @@ def _run_id(experiment: str, run_name: str, started: str) -> str:
 def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment: str,
              model_root: str | None = None, label: str = C.LABEL_COLUMN, features=None,
              threshold: float = 0.5, parallelism: int = 3) -> DataFrame:
-    """Fit one pipeline per grid point; returns run rows (M5-M9).  The stages before the
-    classifier are the same at every point: they are fitted once, and the prepared
-    rows (label, split, vector) are persisted for all points.
+    """Fit one model per grid point; returns run rows (M5-M9).  What prepares the features is the
+    same at every point: it is fitted once, and the prepared rows are persisted for all points.
 
     ``threshold``: the notebook's NN used ``prob > 0.5`` (X12).  Metrics of
     the test split are reported as extra keys, never used for selection (X11).
@@ -108,29 +89,17 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         raise ValueError(f"training input lacks contract features: {missing}")
     labelled = gold.withColumn(label, F.col(label).cast("double"))
     train = labelled.filter(F.col("_split") == "train")
-    prepare = Pipeline(stages=_preparation(features, scaled=family != "random_forest")).fit(train)
-    ready = prepare.transform(labelled).select(label, "_split", "features").persist()
-    ready_train = ready.filter(F.col("_split") == "train")
-    held_out = ready.filter(F.col("_split").isin("val", "test"))
+    fit, held_out, cached = (_forests if family == "random_forest" else _networks)(labelled, train, features, label)
 
     def one(params: dict):
-        if family == "random_forest":
-            pipe = rf_pipeline(features, label, params["n_estimators"], params["max_depth"])
-            name = f"rf_n{params['n_estimators']}_d{params['max_depth']}"
-        else:
-            pipe = nn_pipeline(features, label, **params)
-            name = f"nn_h{params['hidden_units']}_d{params['dropout']}"
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        # copy(): the copied stages carry no training summary, whose session
-        # reference would otherwise ride along in every scoring task
-        classifier = pipe.getStages()[-1].fit(ready_train).copy()
-        model = PipelineModel([*prepare.stages, classifier])
-        metrics = _split_metrics(positive_probability(classifier.transform(held_out)), label, threshold)
+        name, model, scored = fit(params, held_out)
+        metrics = _split_metrics(positive_probability(scored), label, threshold)
         run_id = _run_id(experiment, name, started.isoformat())
         path = None
         if model_root:
             path = f"{model_root.rstrip('/')}/{run_id}"
-            model.write().overwrite().save(path)
+            model.save(spark, path) if isinstance(model, NN.NetworkModel) else model.write().overwrite().save(path)
             # input example next to the artifact (M9, K4)
             train.select(*features).limit(3).write.mode("overwrite").parquet(f"{path}/_input_example")
         signature = gold.select(*features).schema.json()
@@ -141,9 +110,42 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             rows = list(pool.map(one, list(grid)))
     finally:
-        ready.unpersist()
+        for df in cached:
+            df.unpersist()
     return spark.createDataFrame(rows, RUNS_SCHEMA)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def _forests(labelled: DataFrame, train: DataFrame, features, label: str):
+    """(fit function of grid parameters, held-out rows, persisted frames) of the forests."""
+    prepare = Pipeline(stages=_preparation(features)).fit(train)
+    ready = prepare.transform(labelled).select(label, "_split", "features").persist()
+    ready_train = ready.filter(F.col("_split") == "train")
+
+    def fit(params: dict, held_out: DataFrame):
+        pipe = rf_pipeline(features, label, params["n_estimators"], params["max_depth"])
+        # copy(): the copied stages carry no training summary, whose session
+        # reference would otherwise ride along in every scoring task
+        classifier = pipe.getStages()[-1].fit(ready_train).copy()
+        name = f"rf_n{params['n_estimators']}_d{params['max_depth']}"
+        return name, PipelineModel([*prepare.stages, classifier]), classifier.transform(held_out)
+
+    return fit, ready.filter(F.col("_split").isin("val", "test")), [ready]
+
+
+def _networks(labelled: DataFrame, train: DataFrame, features, label: str):
+    """The same of the networks: every parameter of the grid takes part in the fit."""
+    key = C.ID_COLUMN if C.ID_COLUMN in labelled.columns else None
+    scaling = NN.fit_scaling(train, features)
+    blocks = NN.training_blocks(train, scaling, label, key).persist()
+    held_out = labelled.filter(F.col("_split").isin("val", "test")).select(label, "_split", *features).persist()
+
+    def fit(params: dict, held_out: DataFrame):
+        model = NN.fit_network(blocks, scaling, **params)
+        return f"nn_h{params['hidden_units']}_d{params['dropout']}", model, model.transform(held_out)
+
+    return fit, held_out, [blocks, held_out]
+
+
+def load_model(path: str) -> PipelineModel | NN.NetworkModel:
+    spark = SparkSession.active()
+    return NN.NetworkModel.load(spark, path) if "network" in list_dirs(spark, path) else PipelineModel.load(path)
