@@ -10,10 +10,12 @@ from ..operators import quality as QA
 from ..session import work_path
 from ..streaming.alerts import run_alert_stream
 from ..streaming.ops import run_to_parquet, windowed_counts
+from ..streaming.requests import run_answered_requests
 from ..streaming.scoring import run_scoring_stream
 from . import standins as S
 from .model_queries import _CHECKED_SQL, _envelope_sql, _records
-from .queries import ALERT_SQL, GOLD_DOUBLES, GOLD_SQL, ROUND, gold_churn, register, rounded
+from .queries import (ALERT_SQL, GOLD_DOUBLES, GOLD_SQL, LOG_PREDICTIONS_SQL, ROUND, gold_churn, log_lines, register, round6,
+                      rounded)
 
 WATERMARK = "10 minutes"
 
@@ -28,7 +30,7 @@ def q_score_stream(spark, d):
     return spark.read.parquet(f"{root}/out/scored").drop("batch")
 
 
-def _events_stream(spark, d):
+def events_stream(spark, d):
     from ..sources.tables import list_dirs
 
     ev_schema = S.table(spark, d, "events").schema
@@ -39,7 +41,7 @@ def _events_stream(spark, d):
         # one file: the file source lists a folder, the glob filter keeps that file
         events = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(base)
     return events.select(
-        F.col("ts"), F.concat(F.lit("/"), F.col("event_type")).alias("http_path"),
+        "event_id", F.col("ts"), F.concat(F.lit("/"), F.col("event_type")).alias("http_path"),
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
 
 
@@ -55,7 +57,7 @@ def q_ops_stream_windows(spark, d):
     """Closed windows only: the append stream holds back windows the final
     watermark (max event time - delay) has not passed yet."""
     root = work_path(spark, "ops_stream")
-    log = _events_stream(spark, d)
+    log = events_stream(spark, d)
     run_to_parquet(windowed_counts(log, WATERMARK), f"{root}/out", f"{root}/_checkpoint")
     out = spark.read.parquet(f"{root}/out")
     # back to the input's timestamp_ntz so both sides compare wall-clock values
@@ -69,11 +71,24 @@ WHERE fires_at <= (SELECT max(ts) FROM events) - INTERVAL '{WATERMARK}'""")
 def q_error_alert_stream(spark, d):
     """The held alert as a stateful stream; instants up to the final watermark."""
     root = work_path(spark, "alert_stream")
-    run_alert_stream(spark, _events_stream(spark, d), f"{root}/out", f"{root}/_checkpoint")
+    run_alert_stream(spark, events_stream(spark, d), f"{root}/out", f"{root}/_checkpoint")
     out = spark.read.parquet(f"{root}/out")
     return out.select("alertname", F.col("fires_at").cast("timestamp_ntz").alias("fires_at"))
 
 
+@register("log_predictions_stream", f"""
+SELECT * FROM ({LOG_PREDICTIONS_SQL}) l
+WHERE predicted_class IS NOT NULL OR ts + INTERVAL '5 minutes' < (SELECT max(ts) FROM events) - INTERVAL '{WATERMARK}'""")
+def q_log_predictions_stream(spark, d):
+    """The log as a stream of text files: answered requests, and unanswered ones up to the final watermark."""
+    root = work_path(spark, "request_stream")
+    log_lines(spark, d).select("value").write.text(f"{root}/log")
+    run_answered_requests(spark, spark.readStream.text(f"{root}/log"), f"{root}/out", f"{root}/_checkpoint", WATERMARK, "5 minutes")
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("request_id", "http_path", "status_code", "duration_ms", F.col("ts").cast("timestamp_ntz").alias("ts"), "predicted_class",
+                      round6("probability").alias("probability"))
+
+
 @register("preview_limit", f"""
 SELECT * REPLACE ({", ".join(f"round({c}, {ROUND}) AS {c}" for c in GOLD_DOUBLES)})
 FROM ({GOLD_SQL}) g ORDER BY customer_id LIMIT 10""")

@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .ops import sliding_counts
-from .runner import finish, session_setting
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from .runner import finish, rocksdb_state
 
 
 def evaluation_windows(log: DataFrame, delay: str = "10 minutes", name: str = "HighErrorRate") -> DataFrame:
@@ -42,8 +40,7 @@ def held_alert_stream(windows: DataFrame, threshold: float = C.ERROR_RATIO_RED,
 
 def run_alert_stream(spark: SparkSession, log: DataFrame, sink: str, checkpoint: str,
                      timeout_s: int | None = None) -> None:
-    # state beyond memory
-    with session_setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+    with rocksdb_state(spark):
         out = held_alert_stream(evaluation_windows(log))
         q = (out.writeStream.format("parquet").outputMode("append")
                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))

@@ -76,3 +76,18 @@ class ProgressTotals(StreamingQueryListener):
         if not self._end(query.runId).wait(wait_s):
             raise TimeoutError("the end of the streaming query was not reported")
         return tuple(self._of.get(str(query.runId), (0, 0)))
+
+
+_ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            # small states in many partitions: no file is allocated ahead of what is written
+            "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """State beyond memory, for streams that are started in the block."""
+    with contextlib.ExitStack() as settings:
+        for key, value in _ROCKSDB.items():
+            settings.enter_context(session_setting(spark, key, value))
+        yield
