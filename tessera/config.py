@@ -54,12 +54,6 @@ NN_GRID = (
     {"hidden_units": 64, "dropout": 0.3, "epochs": 50, "batch_size": 8},
     {"hidden_units": 128, "dropout": 0.4, "epochs": 50, "batch_size": 8},
 )
-LAYER_SCHEMAS = {
-    "bronze": "Raw, append-only",
-    "silver": "Cleaned, validated",
-    "gold": "ML-ready feature tables",
-    "models": "Registered MLflow models",
-}
 
 # Gold feature names in the order the Gold job produces them.
 GOLD_FEATURES = (
@@ -95,6 +89,15 @@ CONTRACT_DEFAULTED_FLAGS = (
 CONTRACT_INTEGERS = ("tenure_months",)
 
 
+# What each layer's schema holds (comments of the catalog).
+LAYER_SCHEMAS = {
+    "bronze": "landing rows as text with their file and time of ingest",
+    "silver": "one typed row per customer, and the quarantine",
+    "gold": "features, label and split per customer",
+    "models": "runs, model versions and aliases",
+}
+
+
 @dataclass(frozen=True)
 class Layers:
     """Dataset locations of one project (catalog prefix + layer folders)."""
@@ -119,6 +122,8 @@ class JobConfig:
     registered_name: str = "churn_classifier"
     alias: str = "production"
     max_files_per_trigger: int | None = None
+    silver_declared: tuple[str, ...] = ()  # columns beyond the landing contract that Silver accepts
+    silver_extra: str = "fail"             # any other: fail, quarantine or keep
     keep_versions: int | None = None      # full rebuilds: versions kept per dataset (None = all)
     long_tenure: int = LONG_TENURE_MONTHS
     high_spender: float = HIGH_SPENDER_MONTHLY

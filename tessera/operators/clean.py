@@ -77,12 +77,12 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys, recency,
     return latest_per_key(both, keys, recency, strategy)
 
 
-def silver_from_bronze(bronze: DataFrame, quarantined_at=None, strategy: str = "aggregate"):
-    """Bronze -> (silver, quarantine): reject split, typing, latest per id,
-    technical columns dropped (the whole of the Silver job, P4-P5, F1-F6, W1)."""
-    from .quality import quarantine_split
+def silver_from_bronze(bronze: DataFrame, quarantined_at=None, strategy: str = "aggregate", declared=(), extra: str = "fail"):
+    """Bronze -> (silver, quarantine): schema check, reject split, typing, latest per id,
+    technical columns dropped (the whole of the Silver job, S21, P4-P5, F1-F6, W1)."""
+    from .quality import quarantine_split, unexpected_columns
 
-    quarantine, clean = quarantine_split(bronze, quarantined_at)
+    quarantine, clean = quarantine_split(bronze, quarantined_at, unexpected=unexpected_columns(bronze.columns, declared, extra))
     typed = normalize_churn(clean).withColumn("_row_hash", row_hash(C.RAW_COLUMNS))
     latest = latest_per_key(typed, C.ID_COLUMN, ["_ingest_ts", "_source_file", "_row_hash"], strategy)
     drop = [c for c in ("_row_hash", "_corrupt_record", "_rescued_data") if c in latest.columns]

@@ -28,6 +28,26 @@ def split_by(df: DataFrame, cond: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(c), df.filter(~c)
 
 
+#: Columns that a Bronze row carries beside the landing file's own.
+TECHNICAL_COLUMNS = ("_corrupt_record", "_rescued_data", "_ingest_ts", "_source_file")
+
+
+def unexpected_columns(columns, declared=(), extra: str = "fail") -> list[str]:
+    """Columns of Bronze that Silver's contract does not name (S21): neither landing columns nor ``declared`` ones.
+
+    ``extra`` says what becomes of them: ``fail`` raises, before anything is written; ``quarantine`` sets the rows aside that hold a
+    value in one of them; ``keep`` lets them through, as a schema-merging append would.
+    """
+    if extra not in ("fail", "quarantine", "keep"):
+        raise ValueError(f"extra columns: fail, quarantine or keep, not {extra!r}")
+    named = {c.lower() for c in (*C.RAW_COLUMNS, *TECHNICAL_COLUMNS, *declared)}
+    missing = sorted(named - {c.lower() for c in columns} - {c.lower() for c in (*TECHNICAL_COLUMNS, *declared)})
+    found = [] if extra == "keep" else [c for c in columns if c.lower() not in named]
+    if missing or (found and extra == "fail"):
+        raise QualityGateError(f"schema mismatch at Silver: missing={missing} extra={found}")
+    return found
+
+
 def reject_reason(id_col: str = C.ID_COLUMN, corrupt_col: str = "_corrupt_record") -> Column:
     """First failing rule of the Bronze reject predicate, NULL when the row is clean."""
     return (F.when(F.col(corrupt_col).isNotNull(), F.lit("corrupt_record"))
@@ -35,19 +55,26 @@ def reject_reason(id_col: str = C.ID_COLUMN, corrupt_col: str = "_corrupt_record
              .when(F.trim(F.col(id_col)) == "", F.lit("blank_id")))
 
 
+def _holds_any(columns) -> Column:
+    return F.coalesce(*[F.col(f"`{c}`").cast("string") for c in columns]).isNotNull() if columns else F.lit(False)
+
+
 def reject_condition(id_col: str = C.ID_COLUMN, corrupt_col: str = "_corrupt_record") -> Column:
     """corrupt OR id NULL OR blank id -- never NULL, so its negation is the exact complement."""
     return F.col(corrupt_col).isNotNull() | blank_or_null(F.col(id_col))
 
 
 def quarantine_split(bronze: DataFrame, quarantined_at=None, id_col: str = C.ID_COLUMN,
-                     corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+                     corrupt_col: str = "_corrupt_record", unexpected=()) -> tuple[DataFrame, DataFrame]:
     """Split Bronze into (quarantine, clean); quarantine keeps the raw columns plus
-    ``_quarantined_at`` (one timestamp per batch) and ``_reject_reason`` (V1)."""
+    ``_quarantined_at`` (one timestamp per batch) and ``_reject_reason`` (V1).
+
+    Rows with a value in an ``unexpected`` column are set aside with it; the clean side has none of these columns."""
     ts = F.current_timestamp() if quarantined_at is None else F.lit(quarantined_at).cast("timestamp")
-    bad, good = split_by(bronze, reject_condition(id_col, corrupt_col))
-    bad = bad.withColumns({"_quarantined_at": ts, "_reject_reason": reject_reason(id_col, corrupt_col)})
-    return bad, good
+    bad, good = split_by(bronze, reject_condition(id_col, corrupt_col) | _holds_any(unexpected))
+    reason = F.coalesce(reject_reason(id_col, corrupt_col), F.when(_holds_any(unexpected), F.lit("unexpected_columns")))
+    bad = bad.withColumns({"_quarantined_at": ts, "_reject_reason": reason})
+    return bad, good.drop(*unexpected)
 
 
 def quality_report(df: DataFrame, key: str, required: tuple[str, ...] = (),

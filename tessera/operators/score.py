@@ -8,15 +8,20 @@ MLlib models score inside the JVM; foreign models plug in through
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import work_path
+from ..sources.tables import write_text
 from ..functions.scoring import envelope, interpret_score, request_id, rule_prediction
 from .quality import apply_contract, output_contract_ok, split_by
 
@@ -63,6 +68,37 @@ def pandas_predictor(df: DataFrame, load: Callable[[], object], features, out_co
     return scored.withColumn("_pred", interpret_score(F.col(out_col))).drop(out_col)
 
 
+class LinearModel:
+    """A foreign model: logistic of a weighted sum, as a service outside Spark would ship it (a small JSON file)."""
+
+    def __init__(self, weights: dict[str, float], bias: float) -> None:
+        self.weights, self.bias = weights, bias
+
+    def predict(self, pdf: pd.DataFrame) -> pd.Series:
+        score = sum((w * pdf[c].astype(float) for c, w in self.weights.items()), pd.Series(self.bias, index=pdf.index, dtype=float))
+        return 1 / (1 + np.exp(-score))
+
+
+def ship_artifact(spark: SparkSession, name: str, content: str) -> str:
+    """Put a model file on every executor: written to the shared folder, fetched by each executor once (``addFile``)."""
+    path = f"{work_path(spark, 'artifacts')}/{name}"
+    write_text(spark, path, content)
+    spark.sparkContext.addFile(path)
+    return name
+
+
+def shipped_linear_model(name: str, loads=None) -> Callable[[], LinearModel]:
+    """Loader of a shipped linear model; ``loads`` (an accumulator) counts how often workers load it."""
+    def load() -> LinearModel:
+        with open(SparkFiles.get(name)) as f:
+            spec = json.load(f)
+        if loads is not None:
+            loads.add(1)
+        return LinearModel(spec["weights"], spec["bias"])
+
+    return load
+
+
 def envelope_of(scored: DataFrame, key: str, model_version: str, model_name: str, keep=()) -> DataFrame:
     """Prediction envelope per record (C3) plus the output-contract flag."""
     cols = [F.col(k) for k in keep] + envelope(F.col("_pred"), model_version, model_name,

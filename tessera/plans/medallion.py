@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators.clean import silver_from_bronze
 from ..operators.features import gold_features
-from ..operators.quality import enforce_gates, quality_report
+from ..operators.quality import enforce_gates, quality_report, unexpected_columns
 from ..sources.landing import CORRUPT
 from ..sources.tables import VersionedDataset, append_new
 
@@ -22,10 +22,11 @@ BRONZE_TECH = (CORRUPT, "_rescued_data", "_ingest_ts", "_source_file")
 
 
 def as_bronze(raw_text: DataFrame, ingest_ts: str = "2024-01-01 00:00:00",
-              source_file: str = "memory://feed") -> DataFrame:
-    """Give an in-memory text feed the Bronze audit columns (no file round trip)."""
+              source_file: str = "memory://feed", extra: dict | None = None) -> DataFrame:
+    """Give an in-memory text feed the Bronze audit columns (no file round trip), and any ``extra`` ones."""
     return raw_text.select(
         *[F.col(c) for c in C.RAW_COLUMNS],
+        *[value.cast("string").alias(name) for name, value in (extra or {}).items()],
         F.lit(None).cast("string").alias(CORRUPT),
         F.lit(None).cast("string").alias("_rescued_data"),
         F.lit(ingest_ts).cast("timestamp").alias("_ingest_ts"),
@@ -35,14 +36,15 @@ def as_bronze(raw_text: DataFrame, ingest_ts: str = "2024-01-01 00:00:00",
 
 def run_silver(spark: SparkSession, bronze: DataFrame, silver: VersionedDataset,
                quarantine_path: str, quarantined_at: dt.datetime | None = None,
-               check_required: bool = False) -> dict:
-    """Silver job: split, clean, dedup, write the new version once, gate it, append
+               check_required: bool = False, declared=(), extra: str = "fail") -> dict:
+    """Silver job: schema check, split, clean, dedup, write the new version once, gate it, append
     the quarantine idempotently.
 
     The gates (V2-V4) run on the written version, reading only the key and
     required columns, before it is committed; a failing version never becomes
     current, and Silver is written once instead of staged and written again.
     """
+    unexpected_columns(bronze.columns, declared, extra)
     ts = quarantined_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     # Bronze-side counts ride along with the Silver write (A2); labels other than
     # yes/no are encoded 0 like the notebook does, and counted here.
@@ -51,7 +53,7 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver: VersionedDataset,
     bronze = bronze.observe(bronze_obs, F.count(F.lit(1)).alias("bronze_rows"),
                             F.count(F.col(CORRUPT)).alias("corrupt_rows"),
                             F.count_if(label.isNull() | ~label.isin("yes", "no")).alias("unknown_labels"))
-    clean, quarantine = silver_from_bronze(bronze, ts)
+    clean, quarantine = silver_from_bronze(bronze, ts, declared=declared, extra=extra)
     obs = Observation("silver")
     report = {}
 
@@ -94,7 +96,8 @@ def run_daily(spark: SparkSession, cfg, landing: str, quarantined_at: dt.datetim
                                     max_files_per_trigger=cfg.max_files_per_trigger)
     silver = VersionedDataset(spark, cfg.layers.path("silver", cfg.silver_table))
     s = run_silver(spark, spark.read.option("mergeSchema", "true").parquet(bronze_path), silver,
-                   cfg.layers.path("silver", cfg.quarantine_table), quarantined_at)
+                   cfg.layers.path("silver", cfg.quarantine_table), quarantined_at,
+                   declared=cfg.silver_declared, extra=cfg.silver_extra)
     gold = VersionedDataset(spark, cfg.layers.path("gold", cfg.gold_table))
     g = run_gold(silver.read(), gold, long_tenure=cfg.long_tenure, high_spender=cfg.high_spender,
                  one_hot=cfg.one_hot)
@@ -123,7 +126,7 @@ def _run_daily_incremental(spark: SparkSession, cfg, landing: str, buckets: int)
                       cfg.layers.path("_checkpoints", cfg.silver_table),
                       max_files_per_trigger=cfg.max_files_per_trigger, gold=gold,
                       gold_kw={"long_tenure": cfg.long_tenure, "high_spender": cfg.high_spender,
-                               "one_hot": cfg.one_hot})
+                               "one_hot": cfg.one_hot}, declared=cfg.silver_declared, extra=cfg.silver_extra)
     if cfg.keep_versions:
         silver.retain(cfg.keep_versions)
         gold.retain(cfg.keep_versions)

@@ -3,18 +3,23 @@ alias resolution, scoring, contract (M1-M16, J1, K2-K4, C1-C5, V5-V11, U1)."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scoring import rule_prediction
 from ..operators import evaluate as EV
+from ..operators import network as NN
 from ..operators import quality as QA
 from ..operators import registry as RG
 from ..operators import score as SC
 from ..operators import train as TR
 from ..session import work_path
+from ..streaming.scoring import run_registered_scoring
 from . import standins as S
 from .queries import round6, GOLD_SQL, LABELLED_SQL, ROUND, gold_churn, r, register, rounded
 
@@ -358,6 +363,67 @@ def q_registered_model_scoring(spark, d):
     return _checked_envelope(SC.envelope_of(scored, C.ID_COLUMN, v, MODEL_NAME, keep=(C.ID_COLUMN,)))
 
 
+# ---------------------------------------------------------------------------
+# Foreign model (U1) and a stream scored by the alias (C5, J1): models of known weights, so SQL gives the same numbers
+# ---------------------------------------------------------------------------
+
+LINEAR = {"weights": {"tenure_months": -0.05, "monthly_charges": 0.02, "contract_type_month_to_month": 1.5}, "bias": -1.0}
+
+
+def _of_score_sql(score: str, src: str, version: str, name: str) -> str:
+    p = f"1 / (1 + exp(-({score})))"
+    return f"""
+SELECT customer_id, CAST({p} > 0.5 AS INTEGER) AS prediction, round({p}, 4) AS probability, {version} AS model_version,
+  '{name}' AS model_name, 'req_' || substr(sha256(customer_id), 1, 12) AS request_id, 1 AS output_ok
+FROM ({src}) g"""
+
+
+@register("foreign_model_scoring", _of_score_sql(
+    " + ".join([*(f"{w!r}::DOUBLE * {c}" for c, w in LINEAR["weights"].items()), f"{LINEAR['bias']!r}::DOUBLE"]), GOLD_SQL, "'7'", "linear"))
+def q_foreign_model_scoring(spark, d):
+    name = SC.ship_artifact(spark, f"linear-{uuid.uuid4().hex[:12]}.json", json.dumps(LINEAR))
+    gold = gold_churn(spark, d).select(C.ID_COLUMN, *LINEAR["weights"])
+    scored = SC.pandas_predictor(gold, SC.shipped_linear_model(name), list(LINEAR["weights"]), model_key=name)
+    return SC.envelope_of(scored, C.ID_COLUMN, "7", "linear", keep=(C.ID_COLUMN,))
+
+
+#: Two networks of two hidden units over two features, with the scaling that goes with them.
+_NETWORK = {"features": ["tenure_months", "monthly_charges"], "mean": [24.0, 60.0], "scale": [12.0, 25.0]}
+_WEIGHTS = {"1": [0.5, -1.0, 1.0, 0.25, 0.1, -0.2, 0.75, -0.5, 0.05], "2": [-0.3, 0.8, 0.6, -0.9, 0.0, 0.3, -1.1, 0.4, -0.15]}
+
+
+def _network_sql(weights) -> str:
+    x = [f"((coalesce({f}, {m!r}) - {m!r}::DOUBLE) / {s!r}::DOUBLE)" for f, m, s in zip(*_NETWORK.values())]
+    hidden = [f"greatest({x[0]} * {weights[j]!r}::DOUBLE + {x[1]} * {weights[2 + j]!r}::DOUBLE + {weights[4 + j]!r}::DOUBLE, 0)" for j in range(2)]
+    return f"{hidden[0]} * {weights[6]!r}::DOUBLE + {hidden[1]} * {weights[7]!r}::DOUBLE + {weights[8]!r}::DOUBLE"
+
+
+_EVEN = "TRY_CAST(customer_id AS BIGINT) % 2 = 0"
+
+
+@register("score_stream_by_alias", _of_score_sql(
+    f"CASE WHEN {_EVEN} THEN {_network_sql(_WEIGHTS['1'])} ELSE {_network_sql(_WEIGHTS['2'])} END",
+    f"SELECT * FROM ({_CHECKED_SQL}) c WHERE len(_errors) = 0", f"CASE WHEN {_EVEN} THEN '1' ELSE '2' END", MODEL_NAME))
+def q_score_stream_by_alias(spark, d):
+    """Records of even keys arrive while the alias points to version 1, the others after it has moved to version 2."""
+    root = work_path(spark, "score_by_alias")
+    reg = RG.Registry(spark, f"{root}/registry")
+    for version, weights in _WEIGHTS.items():
+        path = f"{root}/models/{version}"
+        NN.NetworkModel(NN.Scaling(**_NETWORK), 2, np.array(weights)).save(spark, path)
+        run = spark.createDataFrame([(version, "exp", f"run{version}", "neural_network", {}, {"val_f1": 0.0}, {"model_family": "neural_network"}, path,
+                                      None, None)], TR.RUNS_SCHEMA)
+        reg.log_runs(run)
+        reg.register(run, MODEL_NAME)
+    records = _records(spark, d)
+    even = F.col(C.ID_COLUMN).try_cast("bigint") % 2 == 0
+    for version, part in (("1", records.filter(even)), ("2", records.filter(~even))):
+        reg.set_alias(MODEL_NAME, "production", int(version))
+        part.write.mode("append").parquet(f"{root}/records")
+        run_registered_scoring(spark, reg, MODEL_NAME, f"{root}/records", records.schema, f"{root}/out", f"{root}/_checkpoint", C.ID_COLUMN)
+    return spark.read.parquet(f"{root}/out/scored").drop("batch")
+
+
 # ---------------------------------------------------------------------------
 # Form values -> contract fields (P16), on the part table
 # ---------------------------------------------------------------------------

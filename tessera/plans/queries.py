@@ -230,6 +230,20 @@ def q_clean_split(spark, d):
     return clean.select(F.trim("customer_id").alias("customer_id_trimmed"), "churn")
 
 
+@register("silver_strict", f"""
+SELECT CASE WHEN {_dirty_reject_sql()} THEN 'rejected' WHEN c_custkey % 7 = 0 THEN 'unexpected_columns' ELSE 'silver' END AS outcome,
+  count(*) AS n_rows, count(CASE WHEN c_custkey % 7 = 0 AND NOT {_dirty_reject_sql()} THEN 1 END) AS n_with_segment
+FROM ({S.CHURN_TYPED_SQL}) t GROUP BY 1""")
+def q_silver_strict(spark, d):
+    """A landing column that Silver does not declare (S21): every seventh row with an id has one, and goes to the quarantine with it."""
+    wide = as_bronze(S.churn_text(spark, d, dirty=True), extra={"segment": F.when(F.col("customer_id").try_cast("bigint") % 7 == 0, "retail")})
+    silver, quarantine = CL.silver_from_bronze(wide, extra="quarantine")
+    assert "segment" not in silver.columns
+    aside = F.when(F.col("_reject_reason") == "unexpected_columns", F.col("_reject_reason")).otherwise("rejected").alias("outcome")
+    both = quarantine.select(aside, "segment").unionByName(silver.select(F.lit("silver").alias("outcome"), F.lit(None).cast("string").alias("segment")))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"), F.count("segment").alias("n_with_segment"))
+
+
 ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 LATEST_SQL = f"""
 SELECT {", ".join(ORDER_COLS)} FROM (
@@ -504,7 +518,7 @@ def q_alert_groups(spark, d):
     return OP.alert_groups(OP.error_alert(S.request_log(spark, d)))
 
 
-def _log_lines(spark, d):
+def log_lines(spark, d):
     """The service's log of ``events``: a line per request (finished or failed) and one per
     prediction returned; every 101st request line and 103rd prediction line is truncated."""
     log = S.request_log(spark, d)
@@ -552,18 +566,21 @@ SELECT request_seq, 'prediction', {_unless("request_seq % 103 = 0",
   CAST(request_seq % 103 = 0 AS INTEGER)
 FROM ({LOG_SQL}) l WHERE predicted_class IS NOT NULL""")
 def q_log_parse(spark, d):
-    parsed = OP.parse_log(_log_lines(spark, d), keep=("request_seq", "kind"))
+    parsed = OP.parse_log(log_lines(spark, d), keep=("request_seq", "kind"))
     return parsed.select("request_seq", "kind", "event", "request_id", "http_path", "status_code", "duration_ms",
                          "predicted_class", round6("probability").alias("probability"), "ts",
                          F.col("_bad_line").isNotNull().cast("int").alias("malformed"))
 
 
-@register("log_predictions", f"""
+LOG_PREDICTIONS_SQL = f"""
 SELECT {_RID_SQL} AS request_id, http_path, status_code, round(duration_s * 1000, 2) AS duration_ms, ts,
   CASE WHEN request_seq % 103 <> 0 THEN predicted_class END AS predicted_class,
   CASE WHEN request_seq % 103 <> 0 THEN round(0.15::DOUBLE + 0.7::DOUBLE * predicted_class, 6) END AS probability
-FROM ({LOG_SQL}) l WHERE request_seq % 101 <> 0""")
+FROM ({LOG_SQL}) l WHERE request_seq % 101 <> 0"""
+
+
+@register("log_predictions", LOG_PREDICTIONS_SQL)
 def q_log_predictions(spark, d):
-    joined = OP.request_predictions(OP.parse_log(_log_lines(spark, d)))
+    joined = OP.request_predictions(OP.parse_log(log_lines(spark, d)))
     return joined.select("request_id", "http_path", "status_code", "duration_ms", "ts", "predicted_class",
                          round6("probability").alias("probability"))

@@ -57,6 +57,14 @@ def _create(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file through Hadoop's filesystem, replacing one of that name."""
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
 class VersionedDataset:
     """Immutable version folders ``<root>/v00001, v00002, ...``."""
 
