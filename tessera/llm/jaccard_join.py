@@ -8,8 +8,9 @@ A document's set: the distinct shingles of ``width`` words (lower-cased A-Z, whi
     answer   part -> the hashes that two sets or more hold, with their number, back to the block
     sketch   block -> per set: size, bitmap and sorted array of its shared hashes, its rare prefix
     tile     sets that hold a token in their prefix, by token, size band and pair of blocks, with their bitmaps
-             -> the sets of each tile that have a partner there by their bitmaps
-    link     these sets again, with their arrays -> pairs, by intersecting the two sorted arrays
+             -> the sets of each tile that have a partner there by their bitmaps, with the best one
+    link     these pairs, by intersecting the two sorted arrays -> components
+    rest     tiles that still hold several components, with arrays -> the links across them, likewise
 
 Exactness: shingles have one order in all sets (rare ones first).  Linked sets x and y have
 ``o >= percent/100 * max(|x|, |y|)`` shingles in common, so their first common one lies among the
@@ -21,11 +22,12 @@ linked pair's sizes are in one band or in adjacent ones); a token of more than `
 dealt into blocks, with a tile for each pair of blocks, so a tile's rows are bounded.
 
 In a tile, a set's bitmap has a bit for each hash of its shared shingles; a bit of x that y lacks
-is a shingle of x that y lacks, which bounds ``o`` from above.  Few sets have a partner by that bound, and only
-their arrays are sent to the tile, where a wider bitmap sifts the pairs once more.  What passes is
-intersected exactly, the most promising pair of each set first; pairs that links found before already connect are
-passed over, as links are wanted for connectivity (``similar_pairs`` passes none over).  A task gives
-a spanning forest of its links, never pairs by the square.
+is a shingle of x that y lacks, which bounds ``o`` from above.  Few sets have a partner by that bound.  As links are wanted for
+connectivity, each set's best pair in a tile is intersected first, once for all tiles that name it, which
+connects most copies.  Only sets of tiles that still hold several components send their arrays there; a wider
+bitmap sifts the pairs across components once more, and what passes is intersected exactly, until what remains
+is connected or not linked.  A task gives a spanning forest of its links, never pairs by the square.
+``similar_pairs`` passes no pair over.
 
 Shingles are known by 64-bit hashes within a set and by 56 bits of them across sets.
 
@@ -94,7 +96,7 @@ def _ask(batches, width: int, parts: int, block_shingles: int, remembered: int =
     """(digest, text) rows to questions; a text that this task has sent is not sent again."""
     block, sent = TaskContext.get().partitionId() << 24, set()
     digests, sizes, rows, hashes, held, docs = [], [], [], [], 0, 0
-    for batch in sliced(batches, "text", 4 << 20):
+    for batch in sliced(batches, "text", 512 << 10):
         keys = batch.column(0).to_pylist()
         if len(sent) > remembered:
             sent = set()
@@ -301,17 +303,23 @@ def _common(arrays: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
     return np.array([len(np.intersect1d(arrays[i], arrays[j], assume_unique=True)) for i, j in zip(a.tolist(), b.tolist())], np.int64)
 
 
-def _partners(tile, cid, n, held, role, bitmaps, percent: int) -> np.ndarray:
-    """The rows of whole tiles that have a partner by their bitmaps."""
-    alive = np.zeros(len(cid), bool)
-    for a, b, _ in _passing(tile, n, held, bitmaps, role != SMALLER, percent, lambda a, b: (cid[a] != cid[b]) & (role[b] != LARGER)):
+def _partners(tile, cid, n, held, role, bitmaps, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of whole tiles that have a partner by their bitmaps, and the best partner of each among smaller sets (-1: none)."""
+    alive, best = np.zeros(len(cid), bool), np.full(len(cid), -1)
+    for a, b, bound in _passing(tile, n, held, bitmaps, role != SMALLER, percent, lambda a, b: (cid[a] != cid[b]) & (role[b] != LARGER)):
         alive[a] = alive[b] = True
-    return np.flatnonzero(alive)
+        order = np.lexsort((cid[b], -bound, a))
+        a, b = a[order], b[order]
+        first = np.ones(len(a), bool)
+        first[1:] = a[1:] != a[:-1]
+        best[a[first]] = cid[b[first]]
+    rows = np.flatnonzero(alive)
+    return rows, best[rows]
 
 
-def _tile_links(tile, cid, n, role, arrays, percent: int, every: bool):
-    """(cid, cid, common) of the links of whole tiles: all, or enough to connect what they connect."""
-    node = np.unique(cid, return_inverse=True)[1]
+def _tile_links(tile, cid, n, role, component, arrays, percent: int, every: bool):
+    """(cid, cid, common) of the links of whole tiles: all, or enough to connect the components that they connect."""
+    node = np.unique(component, return_inverse=True)[1]
     label = np.arange(len(cid))
     bitmaps = [_bitmap(x, _width(BITS_A_SHINGLE * k)) for x, k in zip(arrays, n.tolist())]
 
@@ -369,31 +377,68 @@ def _numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
 def _survivors(batches, percent: int):
     for table, tile in _whole_tiles(batches):
         cid, n, held, role = _numbers(table, "cid", "n", "held", "role")
-        rows = _partners(tile, cid, n, held, role, [np.frombuffer(b, np.uint64) for b in table["bits"].to_pylist()], percent)
-        yield from table.select(["tile", "cid", "role"]).take(pa.array(rows)).to_batches()
+        rows, best = _partners(tile, cid, n, held, role, [np.frombuffer(b, np.uint64) for b in table["bits"].to_pylist()], percent)
+        kept = table.select(["tile", "cid", "role"]).take(pa.array(rows))
+        yield from kept.append_column("best", pa.array(best, mask=best < 0)).to_batches()
 
 
 def _links_of(batches, percent: int, every: bool):
     for table, tile in _whole_tiles(batches):
-        cid, n, role = _numbers(table, "cid", "n", "role")
+        cid, n, role, component = _numbers(table, "cid", "n", "role", "component")
         arrays = [undeltas(x, k) for x, k in zip(table["shared"].to_pylist(), table["held"].to_pylist())]
-        for a, b, common in _tile_links(tile, cid, n, role, arrays, percent, every):
+        for a, b, common in _tile_links(tile, cid, n, role, component, arrays, percent, every):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(common)], names=["a", "b", "common"])
 
 
-def _links(classes: DataFrame, members: DataFrame, percent: int, tile_rows: int, every: bool) -> DataFrame:
-    """Linked pairs (a, b, common) of ``classes``: all, or enough to connect what they connect."""
+def _exact(batches, percent: int):
+    """(a, b, n, held and array of both) to the linked pairs, with the size of their intersection."""
+    for batch in batches:
+        na, nb = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+        common = np.array([len(np.intersect1d(undeltas(x, i), undeltas(y, j), assume_unique=True))
+                           for i, j, x, y in zip(*(batch.column(k).to_pylist() for k in (4, 5, 6, 7)))], np.int64)
+        ok = pa.array(100 * common >= percent * (na + nb - common))
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+
+
+def _tiles(classes: DataFrame, members: DataFrame, percent: int, tile_rows: int) -> DataFrame:
+    """(tile, cid, role, best) of the sets that have a partner in a tile by their bitmaps."""
     tokens = members.groupBy("cid").agg(F.collect_list(F.struct("token", "rows")).alias("t"))
     rows = classes.join(tokens, "cid").select("cid", F.col("n").cast("long").alias("n"), "held", "bits", "t.token", "t.rows")
     tiles = rows.mapInArrow(functools.partial(_deal, percent=percent, tile_rows=tile_rows), "tile long, cid long, n long, held int, bits binary, role int")
-    alive = (tiles.repartition("tile").sortWithinPartitions("tile", "n", "cid")
-             .mapInArrow(functools.partial(_survivors, percent=percent), "tile long, cid long, role int"))
-    alive = staged(alive, "jaccard-tiles").join(classes.select("cid", "n", "held", "shared"), "cid")
-    links = (alive.repartition("tile").sortWithinPartitions("tile", "n", "cid")
+    found = (tiles.repartition("tile").sortWithinPartitions("tile", "n", "cid")
+             .mapInArrow(functools.partial(_survivors, percent=percent), "tile long, cid long, role int, best long"))
+    return staged(found, "jaccard-tiles")
+
+
+def _best_links(classes: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
+    """The linked ones (a, b) among the best pairs of all tiles."""
+    pairs = tiles.filter("best IS NOT NULL").select(F.least("cid", "best").alias("a"), F.greatest("cid", "best").alias("b")).distinct()
+    x, y = (classes.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("held").alias(f"h{k}"), F.col("shared").alias(f"s{k}")) for k in "ab")
+    wide = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ha", "hb", "sa", "sb")
+    return staged(wide.mapInArrow(functools.partial(_exact, percent=percent), "a long, b long"), "jaccard-best")
+
+
+def _tile_rows_links(classes: DataFrame, tiles: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Linked pairs (a, b, common) of (tile, cid, role, component) rows: all, or enough to connect the components that they connect."""
+    rows = tiles.select("tile", "cid", "role", "component").join(classes.select("cid", "n", "held", "shared"), "cid")
+    links = (rows.repartition("tile").sortWithinPartitions("tile", "n", "cid")
              .mapInArrow(functools.partial(_links_of, percent=percent, every=every), "a long, b long, common long"))
     return staged(links.distinct(), "jaccard-links")
 
 
+def _components(classes: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of the sets that have a link."""
+    links = _best_links(classes, tiles, percent)
+    found = connected_components(links)
+    named = tiles.join(found, tiles["cid"] == found["node"], "left").select("tile", "cid", "role", F.coalesce("root", "cid").alias("component"))
+    several = named.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    rest = staged(named.join(several, "tile", "left_semi"), "jaccard-rest")
+    if rest.isEmpty():
+        return found
+    more = _tile_rows_links(classes, rest, percent, every=False).select("a", "b")
+    return connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+
+
 def _classes(docs: DataFrame, text_col: str, width: int, percent: int, part_bytes: int, block_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(all sets: digest, n), (sets that may have links: cid, digest, n, held, shared), (their tokens: token, cid, rows)."""
     if not 0 < percent <= 100:
@@ -418,7 +463,8 @@ def similar_pairs(docs: DataFrame, text_col: str = "text", width: int = 5, perce
     """Every linked pair of unequal texts: digest_a, digest_b (MD5 of the texts), common, n_a, n_b."""
     prepared(docs.sparkSession)
     _, alive, members = _classes(docs, text_col, width, percent, part_bytes, block_shingles)
-    links = _links(alive, members, percent, tile_rows, every=True)
+    tiles = _tiles(alive, members, percent, tile_rows).withColumn("component", F.col("cid"))
+    links = _tile_rows_links(alive, tiles, percent, every=True)
     a = alive.select(F.col("cid").alias("a"), F.col("digest").alias("digest_a"), F.col("n").alias("n_a"))
     b = alive.select(F.col("cid").alias("b"), F.col("digest").alias("digest_b"), F.col("n").alias("n_b"))
     return links.join(a, "a").join(b, "b").select("digest_a", "digest_b", "common", "n_a", "n_b")
@@ -429,7 +475,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included)."""
     prepared(docs.sparkSession)
     sets, alive, members = _classes(docs, text_col, width, percent, part_bytes, block_shingles)
-    found = connected_components(_links(alive, members, percent, tile_rows, every=False).select("a", "b"))
+    found = _components(alive, _tiles(alive, members, percent, tile_rows), percent)
     named = alive.select("cid", "digest").join(found, F.col("cid") == F.col("node"), "left").select("digest", F.coalesce("root", "cid").alias("root"))
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).alias("digest"))
     info = sets.join(rows.groupBy("digest").agg(F.min("id").alias("least")), "digest").join(named, "digest", "left")
