@@ -5,8 +5,9 @@ the pieces are packed into sequences, largest first, each into the first sequenc
 with room.  The tree's leaves are the room left in each sequence and every inner
 node the larger of its two, so the first fit is one walk from the root.
 
-Groups are drawn by a hash of the document (id and text), about ``group_bytes`` of
-text each, and packed on their own.
+Groups are drawn by a hash of the document (id and text), of the task that reads it and of the number of its
+copies the task has read before, about ``group_bytes`` of text each, and packed on their own.  So a row that is
+repeated a million times is spread over the groups, and a task that is run again deals alike in whatever order its rows come.
 
 Defined cases: a null or empty text is its end id alone; a text of exactly the
 sequence length has a piece of one id after it; ties in length go by id, text hash,
@@ -27,13 +28,18 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepared, raw_bytes, sliced, text_hash
+from .common import prepared, sliced, text_hash
+from .words import expand, words_of
 
 END_ID = 1
+#: Bytes between chunks.
+_BETWEEN = np.zeros(256, bool)
+_BETWEEN[list(b" \t\n")] = True
 
 
 def default_tokenizer() -> str:
@@ -42,15 +48,53 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Remembered:
+    """A bounded memory of two generations: what is not asked for while a generation fills is forgotten with it."""
+
+    def __init__(self, most: int) -> None:
+        self.half, self.young, self.old = max(1, most // 2), {}, {}
+
+    def missing(self, wanted: set) -> list:
+        """The keys that are not known; all others are in ``young`` now."""
+        absent = wanted.difference(self.young)
+        if len(self.young) + len(absent) > self.half:
+            self.young, self.old, absent = {}, self.young, wanted
+        young, old, new = self.young, self.old, []
+        for k in absent:
+            if k in old:
+                young[k] = old[k]
+            else:
+                new.append(k)
+        return new
+
+
+def _classes() -> np.ndarray:
+    """Of each character of the basic plane: 0 space, 1 letter, 2 number, 3 other, 4 to be looked at by the tokenizer itself."""
+    import unicodedata
+
+    kinds = {"L": 1, "N": 2}
+    table = np.array([kinds.get(unicodedata.category(chr(c))[0], 3) for c in range(1 << 16)], np.uint8)
+    table[[c for c in range(1 << 16) if chr(c).isspace()]] = 4
+    table[ord(" ")], table[ord("'")], table[0xD800:0xE000] = 0, 4, 4
+    return table
+
+
 class ChunkEncoder:
     """Token ids of texts by a tokenizer that drops white space and lets no token span it.
 
     Then a text's ids are the ids of its chunks between spaces, tabs and line ends, and a chunk seen before needs no
-    second look.  New chunks go through the tokenizer's normalizer and pre-tokenizer together, and through its model
-    word by word, once for each new word; chunks with an added token or unusual white space are encoded as they are.
+    second look.  A new chunk is cut before its closing punctuation, and what stands there is put into lower case if it is ASCII and the
+    tokenizer does so too, so that a word's chunks share one entry.
+
+    New words go through the tokenizer together, as one text.  Where its tokens mark the ends of words and its words are runs of
+    letters, single numbers and runs of other characters (tried out on construction), ids are dealt to
+    words by counting both; else, and for the few words that this rule does not cover, word by word through its normalizer,
+    pre-tokenizer and model.  Chunks with an added token or unusual white space are encoded as they are.
     ``most`` bounds the remembered chunks, and the remembered words (packed ids).
     """
 
+    CLOSING = ".,;:!?)\""
+
     def __init__(self, path: str, most: int = 900_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores have tasks of their own
         from tokenizers import Tokenizer
@@ -61,58 +105,145 @@ class ChunkEncoder:
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or r"(?!)", re.I)
         self.by_words = self.tokenizer.normalizer is not None and self.tokenizer.pre_tokenizer is not None
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.most = most
+        self.chunks, self.words = Remembered(most), Remembered(most)
+        self.ends = self.classes = None
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if self.by_words and suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            self.classes = _classes()
+        probes = ["ab1", "12", "a-b--c", "x.", "(y)", "Z9z", "a_b", "\u00e9t\u00e9", "\u00df\u00bd", "--", "\u20ac5", "a"]
+        whole = [self._whole(x) for x in probes]
+        closed = [self._whole(x[:-1]) + self._whole(x[-1]) for x in ("ab.", "a1,", 'x"')]
+        self.cuts = self.by_words and closed == [self._whole(x) for x in ("ab.", "a1,", 'x"')]
+        self.lowers = self.cuts and all(self._whole(x) == self._whole(x.lower()) for x in ("AB", "Ab1", "Q-X"))
+        if self.ends is not None and self._together(probes) != whole:
+            self.ends = None
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        chunks = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        wanted = set().union(*chunks)
-        if len(self.known) + len(wanted) > self.most:
-            self.known = {}
-        new = [c for c in wanted if c not in self.known]
-        for at in range(0, len(new), 4096):  # the tokenizer's work space is many times its text
-            self._learn(new[at:at + 4096])
-        known, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(known, cs)) + end, "<u4") for cs in chunks]
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if len(c.split()) == 1 and not self.added.search(c)] if self.by_words else []
-        normal = self.tokenizer.normalizer.normalize_str(" ".join(plain)) if plain else ""
-        parts = normal.split(" ")
-        if len(parts) != len(plain):  # a character became white space
-            plain = []
-        for c, e in zip(odd := list(set(chunks).difference(plain)), self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
-        if not plain:
+        ids, ends = self.encode(pa.array(texts, pa.large_string()))
+        return np.split(ids, ends[:-1]) if texts else []
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of every row of a text column, each with the end id, as one array, and where the rows end."""
+        row, code, chunks = words_of(column, _BETWEEN, lower=False)
+        chunks = chunks.to_pylist()
+        new = self.chunks.missing(set(chunks))
+        for at in range(0, len(new), 1 << 15):  # the tokenizer's work space is many times its text
+            self._learn(new[at:at + (1 << 15)])
+        known = [*map(self.chunks.young.__getitem__, chunks), np.array([END_ID], "<u4").tobytes()]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        words = np.bincount(row, minlength=len(column)) + 1
+        code = np.insert(code, np.cumsum(words - 1), len(chunks))  # the end id stands after a row's last chunk
+        take = expand((np.cumsum(size) - size)[code], size[code])[1]
+        ends = np.cumsum(size[code])[np.cumsum(words) - 1]
+        return np.frombuffer(b"".join(known), "<u4")[take], ends
+
+    def _learn(self, asked: list[bytes]) -> None:
+        chunks, odd = [c.decode("utf-8", "replace") for c in asked], []
+        known: dict[str, bytes] = {}
+        joined = " ".join(chunks)
+        if not self.by_words:
+            odd, chunks = chunks, []
+        elif len(joined.split()) != len(chunks) or self.added.search(joined):
+            odd = [c for c in chunks if len(c.split()) != 1 or self.added.search(c)]
+            chunks = list(set(chunks).difference(odd))
+        if odd:
+            for c, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+                known[c] = np.array(e.ids, "<u4").tobytes()
+        closing, words, rests = self.CLOSING if self.cuts else "", [], []
+        for c in chunks:
+            word = c.rstrip(closing)
+            if not word or not (word[-1].isascii() and word[-1].isalnum()):
+                word = c
+            rests.append(c[len(word):])
+            words.append(word.lower() if self.lowers and word.isascii() else word)
+        new = self.words.missing({*words, *rests} - {""})
+        for at in range(0, len(new), 4096):
+            self._learn_words(new[at:at + 4096])
+        of = self.words.young
+        of[""] = b""
+        for c, word, rest in zip(chunks, words, rests):
+            known[c] = of[word] + of[rest]
+        self.chunks.young.update((c, known[c.decode("utf-8", "replace")]) for c in asked)
+
+    def _learn_words(self, words: list[str]) -> None:
+        plain, found = words, None
+        if self.ends is not None:
+            plain = [w for w in words if "'" not in w]
+            found = self._together(plain)
+        if found is None:
+            plain, found = [], []
+        self.words.young.update(zip(plain, found))
+        self._by_word(words if not plain else [w for w in words if "'" in w])
+
+    def _together(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words that the tokenizer takes as one text; None where the counts do not agree."""
+        if not words:
+            return []
+        text = " ".join(words)
+        points = np.frombuffer(self.tokenizer.normalizer.normalize_str(text).encode("utf-32-le", "surrogatepass"), "<u4")
+        if points.max() >= 1 << 16:
+            return None
+        kind = self.classes[points]
+        if (kind == 4).any() or np.count_nonzero(kind == 0) != len(words) - 1:
+            return None
+        starts = (kind != 0) & ((kind == 2) | (kind != np.concatenate(([0], kind[:-1]))))
+        spaces = np.concatenate((np.flatnonzero(kind == 0), [len(kind)]))
+        parts = np.cumsum(starts)[spaces - 1]  # tokenizer's words up to the end of each of ours
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != parts[-1] or ends[-1] != len(ids) or (np.diff(parts, prepend=0) <= 0).any():
+            return None
+        data, cut = ids.tobytes(), (4 * ends[parts - 1]).tolist()
+        return [data[a:b] for a, b in zip([0, *cut], cut)]
+
+    def _by_word(self, words: list[str]) -> None:
+        if not words:
             return
+        normal = self.tokenizer.normalizer.normalize_str(" ".join(words))
+        known = self.words.young
+        if normal.count(" ") != len(words) - 1:  # a character became white space
+            known.update({w: self._whole(w) for w in words})
+            return
+        ends = np.cumsum(np.fromiter(map(len, normal.split(" ")), np.int64, len(words)) + 1)
         found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-        if len(self.words) > self.most:
-            self.words = {}
-        words, tokenize = self.words, self.tokenizer.model.tokenize
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
         owner = np.searchsorted(ends, np.fromiter((at[0] for _, at in found), np.int64, len(found)), "right")
-        first = np.searchsorted(owner, np.arange(len(plain) + 1)).tolist()
-        ids = []
-        for word, _ in found:
-            got = words.get(word)
-            if got is None:
-                got = words[word] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
-            ids.append(got)
-        for c, a, b in zip(plain, first, first[1:]):
-            self.known[c] = ids[a] if b == a + 1 else b"".join(ids[a:b])
+        first = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
+        tokenize = self.tokenizer.model.tokenize
+        ids = [np.array([t.id for t in tokenize(part)], "<u4").tobytes() for part, _ in found]
+        known.update({w: b"".join(ids[a:b]) for w, a, b in zip(words, first, first[1:])})
 
 
 _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def _tokenise(batches, path: str, length: int, with_ids: bool, remembered: int):
+def _groups(keys: np.ndarray, part: np.uint64, copies: dict[int, int], groups: int) -> np.ndarray:
+    """The group of each row, from its key, its task and how many rows of that key the task has met."""
+    number = np.empty(len(keys), np.uint64)
+    for i, k in enumerate(keys.tolist()):
+        number[i] = copies[k] = copies.get(k, -1) + 1
+    x = keys.view(np.uint64) ^ (part * np.uint64(0x9E3779B97F4A7C15)) ^ ((number + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ x >> np.uint64(29)) % np.uint64(groups)).astype(np.int64)
+
+
+def _tokenise(batches, path: str, length: int, with_ids: bool, remembered: int, groups: int):
     if (path, remembered) not in _ENCODERS:
         _ENCODERS[path, remembered] = ChunkEncoder(path, remembered)
     encoder = _ENCODERS[path, remembered]
-    for batch in sliced(batches, "text", 1 << 20):
+    copies: dict[int, int] = {}
+    part = np.uint64(TaskContext.get().partitionId())
+    for batch in sliced(batches, "text", 256 << 10):
+        group = _groups(batch.column(2).to_numpy(), part, copies, groups)
         rows, starts, sizes, totals, crcs, ids = [], [], [], [], [], []
-        for row, tokens in enumerate(encoder([t.decode("utf-8", "replace") for t in raw_bytes(batch.column(3))])):
+        flat, ends = encoder.encode(batch.column(3))
+        for row, (first, last) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+            tokens = flat[first:last]
             for start in range(0, len(tokens), length):
                 piece = tokens[start:start + length]
                 rows.append(row)
@@ -123,7 +254,7 @@ def _tokenise(batches, path: str, length: int, with_ids: bool, remembered: int):
                 if with_ids:
                     ids.append(piece.astype(np.int32))
         take = pa.array(rows, pa.int32())
-        columns = [batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(starts, pa.int64()),
+        columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(group).take(take), pa.array(starts, pa.int64()),
                    pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(totals, pa.int64())]
         names = ["id", "h", "grp", "start", "length", "ids_crc32", "doc_tokens"]
         if with_ids:
@@ -183,14 +314,14 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)) + 1)).first()[0] or 0
     groups = 1 + total // group_bytes
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("text"))
-    rows = rows.select("id", "h", F.pmod(F.xxhash64(F.lit("pack"), "id", "h"), F.lit(groups)).alias("grp"), "text")
+    rows = rows.select("id", "h", F.xxhash64(F.lit("pack"), "id", "h").alias("grp"), "text")
     schema = T.StructType([rows.schema["id"], T.StructField("h", T.LongType()), T.StructField("grp", T.LongType())])
     for name in ("start", "length", "ids_crc32", "doc_tokens"):
         schema = schema.add(name, "long")
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     path = tokenizer or default_tokenizer()
-    pieces = rows.mapInArrow(functools.partial(_tokenise, path=path, length=length, with_ids=with_ids, remembered=remembered), schema)
+    pieces = rows.mapInArrow(functools.partial(_tokenise, path=path, length=length, with_ids=with_ids, remembered=remembered, groups=groups), schema)
     out = T.StructType(list(schema.fields)).add("sequence_id", "long").add("offset", "long")
     packed = pieces.groupBy("grp").applyInArrow(_pack(length), out)
     columns = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids

@@ -16,14 +16,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
-def words_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Words of every row of a text column (A-Z lower-cased; null has none), in order: row, code, the words by code."""
+def words_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of every row of a text column (A-Z lower-cased on request; null has none), in order: row, code, the words by code."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
-    data = _LOWER[np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    data = _LOWER[data] if lower else data
     offsets = offsets - offsets[0]
     inside = ~between[data]
     begin, end = inside.copy(), inside.copy()

@@ -95,3 +95,35 @@ def test_sequences_hold_their_pieces_in_order(docs_of):
     assert sequences.agg(F.sum(F.size("ids"))).first()[0] == packed.agg(F.sum("length")).first()[0]
     for r in sequences.collect():
         assert [p.offset for p in r.pieces] == sorted(p.offset for p in r.pieces) and len(r.ids) <= 64
+
+
+def test_every_chunk_form_has_the_ids_of_the_whole_text():
+    """Case, closing punctuation, contractions, characters that change under normalisation, and a small memory."""
+    from tokenizers import Tokenizer
+
+    texts = ["Don't DON'T it's' 'tis o'clock's", "\u0130stanbul \u015e\u015e \ufb01ne \u00bdx x\u00bd \u2167 \u2460\u2461", "nai\u0308ve \u0301a x\u200bx  y\u3000z a\x1cb a\x85b",
+             "<|endoftext|> <|ENDOFTEXT|>x a<|startoftext|>b", "a,b,c!!! ...x (\"quoted.\") 'q' \u212a K \u017fs H\u0331 T\u0308.", "\U0001d518 \U0001f600x 12abc34 3.14 1,000.00",
+             "", " ", "\n\t x", "don\u2019t \u201cx\u201d \u2014", "\u03a3\u0391\u03a3 \u039f\u0394\u039f\u03a3.", "\x00a\x01b x</w> </w> a</w>b", "Word word. WORD, word! wOrd"]
+    whole = Tokenizer.from_file(packing.default_tokenizer())
+    want = [[*whole.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    for most in (900_000, 6):
+        encoder = packing.ChunkEncoder(packing.default_tokenizer(), most)
+        assert encoder.ends is not None
+        for _ in range(2):
+            assert [list(ids) for ids in encoder(texts)] == want
+            assert [list(encoder([t])[0]) for t in texts] == want
+        encoder.ends = None  # word by word
+        encoder.words, encoder.chunks = packing.Remembered(most), packing.Remembered(most)
+        assert [list(ids) for ids in encoder(texts)] == want
+
+
+def test_a_repeated_row_is_spread_over_groups(spark, docs_of):
+    """One row that is a third of the table does not gather in one group."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(["ab", "cde", "f"], 40))) for i in range(600)] + [(7, "the same row again and again " * 8)] * 300
+    packed = packing.pack_documents(docs_of(rows), group_bytes=8_000)
+    per_group = packed.filter("doc_id = 7").groupBy((F.col("sequence_id") / 2 ** 32).cast("long").alias("g")).count().collect()
+    total = packed.count()
+    assert sum(r["count"] for r in per_group) >= 300 and len(per_group) >= 8 and max(r["count"] for r in per_group) < total / 4
+    filled = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r.n == r.end <= 2048 for r in filled)
