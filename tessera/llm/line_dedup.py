@@ -128,5 +128,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_lines = F.length(F.regexp_replace(text_col, "[^\n]", "")).cast("long") + 1
     out = over(joined, **{text_col: text, "removed_spans": F.coalesce(F.col("__ld_new.spans"), F.array().cast("array<array<int>>")),
                           "n_lines": F.coalesce(n_lines, F.lit(0).cast("long"))})
-    order = [c for c in docs.columns if c not in ("removed_spans", "n_lines")] + ["removed_spans", "n_lines"]
+    order = [c for c in docs.columns if c.lower() not in ("removed_spans", "n_lines")] + ["removed_spans", "n_lines"]
     return out.select(*[f"`{c}`" for c in order])

@@ -119,10 +119,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     sample = staged(sample, "label-sample")
     bounds = {y: _bound(sample, y, counts[y], settings) for y in (0, 1)}
     # at most 2 * (dictionary_rows + calibration_rows) keys
-    texts = docs.withColumn("__q_h", text_hash(text_col)).join(
+    texts = docs.select(F.col(id_col).alias("__q_id"), text_hash(text_col).alias("__q_h"), F.col(text_col).alias("text")).join(
         F.broadcast(sample.withColumnsRenamed({"h": "sh", "id": "sid", "y": "sy"})),
-        (F.col(id_col) == F.col("sid")) & (F.col("__q_h") == F.col("sh")))
-    texts = staged(texts.select("sy", "sh", F.col(text_col).alias("text")).dropDuplicates(["sh"]), "label-texts")
+        (F.col("__q_id") == F.col("sid")) & (F.col("__q_h") == F.col("sh")))
+    texts = staged(texts.select("sy", "sh", "text").dropDuplicates(["sh"]), "label-texts")
 
     start = F.pmod("sh", F.greatest(F.lit(1), F.length("text") - settings.sample_chars)).cast("int") + 1
     dictionaries = {}

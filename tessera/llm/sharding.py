@@ -58,7 +58,7 @@ def shard_by_bytes(rows: DataFrame, n_shards: int, size: Column, order: list[str
     firsts = placed.groupBy(F.col("shard").alias("__sh_of")).agg(F.min("__sh_row").alias("__sh_first"))
     out = (placed.join(F.broadcast(firsts), F.col("shard") == F.col("__sh_of"))  # n_shards rows
            .withColumn("slot", F.col("__sh_row") - F.col("__sh_first")))
-    return out.select(*[f"`{c}`" for c in rows.columns if c not in ("shard", "slot")], "shard", "slot")
+    return out.select(*[f"`{c}`" for c in rows.columns if c.lower() not in ("shard", "slot")], "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
