@@ -33,8 +33,11 @@ def _like_documents(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"), F.expr(NOT_HELD_OUT.format("doc_id", 5)))
-    scored = quality.score_quality(docs.withColumn("__text", F.col("text")), model, "__text")
-    return docs.select("*") if not model.weights else scored.filter(F.col("score") >= MIN_QUALITY).select(*[f"`{c}`" for c in docs.columns])
+    if not model.weights:
+        return docs.select("*")
+    # the row as one column, so that a document column named like the score stays as it is
+    whole = docs.select(F.struct("*").alias("__row"), F.col("text").alias("__text"))
+    return quality.score_quality(whole, model, "__text").filter(F.col("score") >= MIN_QUALITY).select("__row.*")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
