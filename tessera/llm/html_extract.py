@@ -20,9 +20,11 @@ Main content: the live ``article`` elements where they hold the bulk of the live
 ``main`` is taken instead if a tenth of its and their words, or ``MAIN_WORDS`` words, are
 outside them; without ``main``, the body is if a third of the words outside links are.
 
-Names: outside the marked content one telling word in a class or id makes furniture.
-Inside it only whole class tokens and ids that mean nothing else do (``CLEAR_NAME``), on
-containers; elements with a telling word are counted there like subtrees outside.
+Names: outside the marked content one telling word in a class or id makes furniture; on pages without any,
+only whole tokens that name a site's own parts do (``CLEAR_UNMARKED``).
+Inside it only whole class tokens and ids that mean nothing else do (``CLEAR_NAME``; of adverts on any
+element); elements with a telling word are counted there like subtrees outside.
+A recurring subtree of fewer than ``min_words`` words goes only if it has a telling name.
 Headings are never furniture by name, sections not by a word of their id (often the slug
 of a title).
 
@@ -68,8 +70,8 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
     "summary table tbody tfoot thead tr ul".split())
 FURNITURE = frozenset(
-    "head script style noscript template title nav footer aside form button select textarea input label fieldset iframe "
-    "object embed canvas svg math audio video menu dialog noembed noframes xmp search datalist".split())
+    "head script style noscript template title nav footer aside form button select textarea input fieldset iframe "
+    "object embed canvas svg annotation annotation-xml audio video menu dialog noembed noframes xmp search datalist".split())
 FURNITURE_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
                            "toolbar tablist status log".split())
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
@@ -88,8 +90,13 @@ CLEAR_NAME = frozenset(
     "pagination navbar sidebar post-navigation related-posts related-articles related-stories recommended-articles skip-link".split())
 #: More of them outside, where ids of sections and wrappers of every article are concerned.
 CLEAR_OUTSIDE = CLEAR_NAME | frozenset("nav navigation menu footer masthead topbar related recommended trending".split())
+#: What stands for a site's own parts where nothing is marked as main content.
+CLEAR_UNMARKED = CLEAR_OUTSIDE | frozenset("header site-header page-header site-footer page-footer site-nav main-nav main-menu".split())
+#: Names of adverts, which make any element furniture; code is highlighted by names like ``comment``.
+ADVERT_NAME = frozenset("ad ads ad-slot adslot ad-container ad-wrapper ad-unit ad-banner adsbygoogle advert adverts advertisement".split())
 ARTICLE_NAME = frozenset("comment comments reply ad ads advert promo sponsored related".split())
 CONTAINER = frozenset("div section ul ol dl li ins".split())
+OTHER_BLOCK = frozenset("p table details figure blockquote center".split())
 MAIN_WORDS = 40
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 HEADER_NAME = frozenset("header masthead topbar".split())
@@ -215,7 +222,7 @@ def slot_hashes(page: Page, hashes: list[int], inside: list[bool]) -> list[tuple
     return slots
 
 
-def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool, holds_all: bool) -> bool:
+def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool, holds_all: bool, unmarked: bool) -> bool:
     if tag in FURNITURE and not (holds_main and tag in ("form", "fieldset")) or tag == "header" and not (in_main or holds_main):
         return True
     if not attrs or tag in ("html", "body"):
@@ -233,7 +240,11 @@ def _is_furniture(tag: str, attrs: str, in_main: bool, holds_main: bool, holds_a
                 if tokens & ARTICLE_NAME if name == "class" else re.fullmatch(r"comment-\d+", value, re.I):
                     return True
             elif in_main:
-                if tag in CONTAINER and tokens & CLEAR_NAME and (name == "class" or not _is_section(tag, attributes)):
+                clear = CLEAR_NAME if tag in CONTAINER else CLEAR_NAME - {"comment"} if tag in OTHER_BLOCK else ADVERT_NAME
+                if tokens & clear and (name == "class" or not _is_section(tag, attributes)):
+                    return True
+            elif unmarked:
+                if tokens & CLEAR_UNMARKED and (name == "class" or not _is_section(tag, attributes) or tokens & CLEAR_OUTSIDE):
                     return True
             elif name == "id" and _is_section(tag, attributes) or holds_all:
                 if tokens & CLEAR_OUTSIDE and not (holds_main and _words(value) & WRAPPER_NAME):
@@ -330,7 +341,7 @@ def layout(page: Page) -> tuple[list[bool], list[int], list[bool], list[bool]]:
     for i in range(1, len(page.tag)):
         tag, up = page.tag[i], page.parent[i]
         inside[i] = inside[up] or _is_core(tag, page.attrs[i])
-        dead[i] = dead[up] or _is_furniture(tag, page.attrs[i], inside[up], holds[i], 0 < cores[i] == cores[0])
+        dead[i] = dead[up] or _is_furniture(tag, page.attrs[i], inside[up], holds[i], 0 < cores[i] == cores[0], not cores[0])
         if not dead[i]:
             if tag == "article":
                 articles.append(i)
@@ -390,7 +401,8 @@ def main_text(page: Page, hashes: list[int], template: set[int], min_words: int)
                     not inside[i] or _is_named(page.tag[i], page.attrs[i]))
                 if alone or any(s in template for s in slots[i]):
                     words = sum(len(b.split()) for b in _blocks(page, [i], dead))
-                    skip[i] = words >= (1 if alone else min_words)
+                    # a word or two that recur are no template unless their element is named like one
+                    skip[i] = words >= (1 if alone and _is_named(page.tag[i], page.attrs[i]) else min_words)
         size = lambda of, without: sum(map(len, _blocks(page, of, without)))
         marked = roots if inside[roots[0]] else [i for i in range(1, len(page.tag)) if _is_top(page, inside, i) and not dead[i]]
         if size(marked, skip) <= 0.5 * size(marked, dead):

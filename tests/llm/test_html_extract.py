@@ -160,3 +160,56 @@ def test_templates_of_pages_with_both(spark):
     got = [r.text for r in extract_main_text(pages_of(spark, rows)).orderBy("page_id").collect()]
     assert all(f"tells {(i if i < 30 else (i - 30) % 100) * 7} things" in t and "Great offers" not in t for i, t in enumerate(got))
     assert [sum("Terms of this kind" in t for t in got[a:b]) for a, b in ((0, 30), (30, 130), (130, 230))] == [0, 20, 20]
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<article><p>Let <math><mi>x</mi><annotation encoding='application/x-tex'>\\\\x</annotation></math> hold.</p><label>Note</label></article>", "Let x hold.\nNote"),
+    ("<article><p class=ad>a</p><p>kept <span class=advert>a</span></p><table class=ad><tr><td>a</table><details class=comments>c</details></article>", "kept"),
+    ("<body><div class='search-results-article'>kept</div><div id=discussion>two</div><div class='social-history'>three</div></body>", "kept\ntwo\nthree"),
+    ("<body><div class='site-header'>h</div><div class='comments'>c</div><div id=footer>f</div><p>kept</p></body>", "kept"),
+])
+def test_text_that_only_sounds_like_furniture_stays(html, want):
+    assert text(html) == want
+
+
+def test_recurring_words_of_unmarked_pages_stay(spark):
+    """A heading on one page in eight, a label on one in six and the cells of a table are no templates; a menu is."""
+    menu = "<div><div>Home</div><div>News</div><div>Sports</div><div>Weather</div><div>Contact</div></div>"
+
+    def page(i):
+        told = [f"<p>Story {i} tells {i * k} things of note to all of us</p>" for k in range(1, 5)]
+        head = "<h2>Summary</h2>" if i % 8 == 0 else ""
+        note = f"<p><b>Note:</b> number {i}</p>" if i % 6 == 0 else ""
+        return f"<body>{menu}{head}{told[0]}{note}<table><tr><td>{'Yes' if i % 2 else 'No'}<td>{i}</table>{''.join(told[1:])}</body>"
+
+    got = {r.page_id: r.text for r in extract_main_text(pages_of(spark, [(f"https://a.example/{i}", page(i)) for i in range(200)])).collect()}
+    for i, t in got.items():
+        want = ["Summary"] * (i % 8 == 0) + [f"Story {i} tells {i} things of note to all of us"] + [f"Note: number {i}"] * (i % 6 == 0)
+        want += [f"{'Yes' if i % 2 else 'No'} {i}"] + [f"Story {i} tells {i * k} things of note to all of us" for k in range(2, 5)]
+        assert t == "\n".join(want), i
+
+
+def test_templates_are_those_of_a_plain_count(spark):
+    """The subtrees of unmarked pages that a host repeats, counted in one process."""
+    import random
+    from collections import defaultdict
+
+    from tessera.llm.html_extract import site_templates
+
+    rng = random.Random(2)
+    parts = [f"<p>shared paragraph number {k} of this site</p>" for k in range(12)]
+    rows = [(f"https://{'a' if i % 3 else 'b'}.example/{i}", "<body>" + "".join(p for k, p in enumerate(parts) if rng.random() < 0.02 * (k + 1))
+             + f"<p>own words {i % 70} of page</p></body>") for i in range(180)]
+    seen, mains = defaultdict(set), defaultdict(set)
+    for url, html in rows:
+        page = parse(html)
+        hashes = subtree_hashes(page)
+        host, body = url[8:17], hashes[page.tag.index("body")]
+        mains[host].add(body)
+        for i, h in enumerate(hashes):
+            if page.tag[i] == "p":
+                seen[host, h].add(body)
+    want = {(host, h) for (host, h), pages in seen.items() if len(pages) >= max(10, 0.1 * len(mains[host]))}
+    df = pages_of(spark, rows).selectExpr("substring(url, 9, 9) AS host", "html")
+    got = {(r.host, h & 0xFFFFFFFFFFFFFFFF) for r in site_templates(df, 10, 0.1, 0.9).collect() for h in r.template}
+    assert got == want and len(want) > 5
