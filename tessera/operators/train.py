@@ -100,8 +100,9 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         if model_root:
             path = f"{model_root.rstrip('/')}/{run_id}"
             model.save(spark, path) if isinstance(model, NN.NetworkModel) else model.write().overwrite().save(path)
-            # input example next to the artifact (M9, K4)
-            train.select(*features).limit(3).write.mode("overwrite").parquet(f"{path}/_input_example")
+            # input example next to the artifact (M9, K4): the same rows whenever the job is run
+            first = [C.ID_COLUMN] if C.ID_COLUMN in train.columns else features
+            train.orderBy(*first).select(*features).limit(3).write.mode("overwrite").parquet(f"{path}/_input_example")
         signature = gold.select(*features).schema.json()
         return (run_id, experiment, name, family, {k: str(v) for k, v in params.items()},
                 {k: float(v) for k, v in metrics.items()}, {"model_family": family}, path, signature, started)
@@ -115,6 +116,11 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
     return spark.createDataFrame(rows, RUNS_SCHEMA)
 
 
+def input_example(spark: SparkSession, path: str) -> DataFrame:
+    """The three training rows stored beside a model, as a caller of it would send them (K4)."""
+    return spark.read.parquet(f"{path.rstrip('/')}/_input_example")
+
+
 def _forests(labelled: DataFrame, train: DataFrame, features, label: str):
     """(fit function of grid parameters, held-out rows, persisted frames) of the forests."""
     prepare = Pipeline(stages=_preparation(features)).fit(train)

@@ -424,6 +424,40 @@ def q_score_stream_by_alias(spark, d):
     return spark.read.parquet(f"{root}/out/scored").drop("batch")
 
 
+def _registered_network(spark, root, version="1"):
+    """A registry with one stored network of known weights."""
+    reg = RG.Registry(spark, f"{root}/registry")
+    path = f"{root}/models/{version}"
+    NN.NetworkModel(NN.Scaling(**_NETWORK), 2, np.array(_WEIGHTS[version])).save(spark, path)
+    run = spark.createDataFrame([(version, "exp", f"run{version}", "neural_network", {}, {"val_f1": 0.0}, {}, path, None, None)], TR.RUNS_SCHEMA)
+    reg.log_runs(run)
+    reg.set_alias(MODEL_NAME, "production", reg.register(run, MODEL_NAME))
+    return reg
+
+
+@register("configured_predictor", _envelope_sql(GOLD_SQL) + " UNION ALL " + _of_score_sql(_network_sql(_WEIGHTS["1"]), GOLD_SQL, "'1'", MODEL_NAME))
+def q_configured_predictor(spark, d):
+    """The predictor that the configuration names (C4): the rule where the service is mocked, else the registered model."""
+    gold = gold_churn(spark, d)
+    reg = _registered_network(spark, work_path(spark, "configured"))
+    out = []
+    for mock in (True, False):
+        predict, about = SC.choose_predictor(mock, reg, MODEL_NAME)
+        out.append(SC.envelope_of(predict(gold), C.ID_COLUMN, about["model_version"], about["model_name"], keep=(C.ID_COLUMN,)))
+    return out[0].unionByName(out[1])
+
+
+@register("model_input_example", f"""
+SELECT {", ".join(C.GOLD_FEATURES[:6])}, {", ".join(r(c, c) for c in ("monthly_charges", "total_charges"))}
+FROM ({GOLD_SQL}) g WHERE _split = 'train' ORDER BY customer_id LIMIT 3""")
+def q_model_input_example(spark, d):
+    """The input example stored with a fitted network, read back from its artifact (K4, M9)."""
+    gold = gold_churn(spark, d).checkpoint(eager=True)
+    grid = [{"hidden_units": 4, "dropout": 0.0, "epochs": 1, "batch_size": 16}]
+    run = TR.fit_grid(spark, gold, "neural_network", grid, "examples", model_root=f"{work_path(spark, 'example')}/models").first()
+    return rounded(TR.input_example(spark, run.model_path).select(*C.GOLD_FEATURES[:8]))
+
+
 # ---------------------------------------------------------------------------
 # Form values -> contract fields (P16), on the part table
 # ---------------------------------------------------------------------------
