@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import prepared, sliced, text_hash
-from .words import expand, words_of
+from .words import LOWER, coded, expand, spans_of
 
 END_ID = 1
 #: Bytes between chunks.
@@ -79,47 +79,61 @@ def _classes() -> np.ndarray:
     return table
 
 
+def _byte_characters() -> np.ndarray:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    out = np.arange(256, dtype="<u4")
+    for n, b in enumerate(b for b in range(256) if b not in plain):
+        out[b] = 256 + n
+    out[0x20] = 0x20  # stays between words
+    return out
+
+
 class ChunkEncoder:
     """Token ids of texts by a tokenizer that drops white space and lets no token span it.
 
-    Then a text's ids are the ids of its chunks between spaces, tabs and line ends, and a chunk seen before needs no
-    second look.  A new chunk is cut before its closing punctuation, and what stands there is put into lower case if it is ASCII and the
-    tokenizer does so too, so that a word's chunks share one entry.
+    Then a text's ids are the ids of its chunks between spaces, tabs and line ends.  A chunk is cut before its closing
+    punctuation, and letters are put into lower case where they and numbers are all of it, if the tokenizer does so too, so that
+    a word's chunks share one entry; a word seen before needs no second look.
 
-    New words go through the tokenizer together, as one text.  Where its tokens mark the ends of words and its words are runs of
-    letters, single numbers and runs of other characters (tried out on construction), ids are dealt to
-    words by counting both; else, and for the few words that this rule does not cover, word by word through its normalizer,
-    pre-tokenizer and model.  Chunks with an added token or unusual white space are encoded as they are.
-    ``most`` bounds the remembered chunks, and the remembered words (packed ids).
+    New words go through the tokenizer's model together, as one text.  Where its vocabulary is of bytes, its tokens mark the ends
+    of words and its words are runs of letters, single numbers and runs of other characters (all tried out on
+    construction), they are cut into those here and their ids are dealt to them by counting ends; else, and for the few
+    words that this rule does not cover, word by word through its normalizer, pre-tokenizer and model.
+    Words with an added token or unusual white space are encoded as they are.
+    ``most`` bounds the remembered words (packed ids).
     """
 
     CLOSING = ".,;:!?)\""
 
     def __init__(self, path: str, most: int = 900_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores have tasks of their own
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added) or r"(?!)", re.I)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.I)
         self.by_words = self.tokenizer.normalizer is not None and self.tokenizer.pre_tokenizer is not None
-        self.chunks, self.words = Remembered(most), Remembered(most)
-        self.ends = self.classes = None
+        self.words, self.ends = Remembered(most), None
+        self.closing, self.alnum = np.zeros(256, bool), np.zeros(256, bool)
+        self.alnum[[c for c in range(128) if chr(c).isalnum()]] = True
+        ends, probes = ["ab.", "a1,", "x\""], ["ab1", "12", "a-b--c", "x.", "(y)", "Z9z", "a_b", "\u00e9t\u00e9", "\u00df\u00bd", "--", "\u20ac5", "a"]
+        if self.by_words and not any(re.search(r"\w[^\w\s]", t) and t[-1] in self.CLOSING for t in added) and all(
+                self._whole(x) == self._whole(x[:-1]) + self._whole(x[-1]) for x in ends):
+            self.closing[list(self.CLOSING.encode())] = True
+        self.lowers = self.by_words and all(self._whole(x) == self._whole(x.lower()) for x in ("AB", "Ab1", "QX", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if self.by_words and suffix:
             vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-            self.classes = _classes()
-        probes = ["ab1", "12", "a-b--c", "x.", "(y)", "Z9z", "a_b", "\u00e9t\u00e9", "\u00df\u00bd", "--", "\u20ac5", "a"]
-        whole = [self._whole(x) for x in probes]
-        closed = [self._whole(x[:-1]) + self._whole(x[-1]) for x in ("ab.", "a1,", 'x"')]
-        self.cuts = self.by_words and closed == [self._whole(x) for x in ("ab.", "a1,", 'x"')]
-        self.lowers = self.cuts and all(self._whole(x) == self._whole(x.lower()) for x in ("AB", "Ab1", "Q-X"))
-        if self.ends is not None and self._together(probes) != whole:
-            self.ends = None
+            self.classes, self.characters = _classes(), _byte_characters()
+            self.model = Tokenizer.from_file(path)
+            self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+            if self._together(probes) != [self._whole(x) for x in probes]:
+                self.ends = None
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -128,95 +142,97 @@ class ChunkEncoder:
         ids, ends = self.encode(pa.array(texts, pa.large_string()))
         return np.split(ids, ends[:-1]) if texts else []
 
+    def _words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Row and code of each word in the form that it is remembered by, and the words by code."""
+        data, inside, offsets, first, end = spans_of(column, _BETWEEN)
+        if len(first):
+            # the last byte of each chunk that is no closing punctuation: what follows it is a word of its own after a letter or number
+            told = np.maximum.accumulate(np.where(inside & ~self.closing[data], np.arange(len(data)), -1))[end - 1]
+            cut = (told >= first) & (told < end - 1) & self.alnum[data[told]]
+            at = told[cut] + 1
+            order = np.argsort(np.concatenate((first, at)), kind="stable")
+            first, end = np.concatenate((first, at))[order], np.concatenate((np.where(cut, told + 1, end), end[cut]))[order]
+        words, length = data[inside], end - first
+        if self.lowers and len(first):
+            other = np.concatenate(([0], np.cumsum(~self.alnum[data])))
+            words = np.where(np.repeat(other[end] == other[first], length), LOWER[words], words)
+        code, words = coded(words, length)
+        return np.searchsorted(offsets, first, "right") - 1, code, words.to_pylist()
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every row of a text column, each with the end id, as one array, and where the rows end."""
-        row, code, chunks = words_of(column, _BETWEEN, lower=False)
-        chunks = chunks.to_pylist()
-        new = self.chunks.missing(set(chunks))
-        for at in range(0, len(new), 1 << 15):  # the tokenizer's work space is many times its text
-            self._learn(new[at:at + (1 << 15)])
-        known = [*map(self.chunks.young.__getitem__, chunks), np.array([END_ID], "<u4").tobytes()]
+        row, code, words = self._words(column)
+        new = self.words.missing(set(words))
+        for at in range(0, len(new), 1 << 13):  # the tokenizer's work space is many times its text
+            self._learn(new[at:at + (1 << 13)])
+        known = [*map(self.words.young.__getitem__, words), np.array([END_ID], "<u4").tobytes()]
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        words = np.bincount(row, minlength=len(column)) + 1
-        code = np.insert(code, np.cumsum(words - 1), len(chunks))  # the end id stands after a row's last chunk
+        count = np.bincount(row, minlength=len(column)) + 1
+        code = np.insert(code, np.cumsum(count - 1), len(words))  # the end id stands after a row's last word
         take = expand((np.cumsum(size) - size)[code], size[code])[1]
-        ends = np.cumsum(size[code])[np.cumsum(words) - 1]
+        ends = np.cumsum(size[code])[np.cumsum(count) - 1]
         return np.frombuffer(b"".join(known), "<u4")[take], ends
 
     def _learn(self, asked: list[bytes]) -> None:
-        chunks, odd = [c.decode("utf-8", "replace") for c in asked], []
-        known: dict[str, bytes] = {}
-        joined = " ".join(chunks)
+        known, words = self.words.young, [w.decode("utf-8", "replace") for w in asked]
+        joined = " ".join(words)
+        odd = set()
         if not self.by_words:
-            odd, chunks = chunks, []
-        elif len(joined.split()) != len(chunks) or self.added.search(joined):
-            odd = [c for c in chunks if len(c.split()) != 1 or self.added.search(c)]
-            chunks = list(set(chunks).difference(odd))
+            odd = set(words)
+        elif len(joined.split()) != len(words) or self.added.search(joined):
+            odd = {w for w in words if len(w.split()) != 1 or self.added.search(w)}
         if odd:
-            for c, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-                known[c] = np.array(e.ids, "<u4").tobytes()
-        closing, words, rests = self.CLOSING if self.cuts else "", [], []
-        for c in chunks:
-            word = c.rstrip(closing)
-            if not word or not (word[-1].isascii() and word[-1].isalnum()):
-                word = c
-            rests.append(c[len(word):])
-            words.append(word.lower() if self.lowers and word.isascii() else word)
-        new = self.words.missing({*words, *rests} - {""})
-        for at in range(0, len(new), 4096):
-            self._learn_words(new[at:at + 4096])
-        of = self.words.young
-        of[""] = b""
-        for c, word, rest in zip(chunks, words, rests):
-            known[c] = of[word] + of[rest]
-        self.chunks.young.update((c, known[c.decode("utf-8", "replace")]) for c in asked)
-
-    def _learn_words(self, words: list[str]) -> None:
-        plain, found = words, None
-        if self.ends is not None:
-            plain = [w for w in words if "'" not in w]
-            found = self._together(plain)
-        if found is None:
-            plain, found = [], []
-        self.words.young.update(zip(plain, found))
-        self._by_word(words if not plain else [w for w in words if "'" in w])
+            listed = list(odd)
+            found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(listed, self.tokenizer.encode_batch_fast(listed, add_special_tokens=False))}
+            known.update((a, found[w]) for a, w in zip(asked, words) if w in odd)
+            asked, words = (list(x) for x in zip(*[(a, w) for a, w in zip(asked, words) if w not in odd])) if len(odd) < len(set(words)) else ([], [])
+        if self.ends is not None and words:
+            plain = [i for i, w in enumerate(words) if "'" not in w] if "'" in joined else range(len(words))
+            found = self._together([words[i] for i in plain])
+            if found is not None:
+                known.update(zip([asked[i] for i in plain], found))
+                rest = set(range(len(words))).difference(plain)
+                asked, words = [asked[i] for i in rest], [words[i] for i in rest]
+        known.update(zip(asked, self._by_word(words)))
 
     def _together(self, words: list[str]) -> list[bytes] | None:
-        """Ids of words that the tokenizer takes as one text; None where the counts do not agree."""
+        """Ids of words that the model takes as one text; None where the rule does not cover them."""
         if not words:
             return []
-        text = " ".join(words)
-        points = np.frombuffer(self.tokenizer.normalizer.normalize_str(text).encode("utf-32-le", "surrogatepass"), "<u4")
+        points = np.frombuffer(self.tokenizer.normalizer.normalize_str(" ".join(words)).encode("utf-32-le", "surrogatepass"), "<u4")
         if points.max() >= 1 << 16:
             return None
         kind = self.classes[points]
         if (kind == 4).any() or np.count_nonzero(kind == 0) != len(words) - 1:
             return None
-        starts = (kind != 0) & ((kind == 2) | (kind != np.concatenate(([0], kind[:-1]))))
+        before = np.concatenate(([0], kind[:-1]))
+        starts = (kind != 0) & ((kind == 2) | (kind != before))
         spaces = np.concatenate((np.flatnonzero(kind == 0), [len(kind)]))
-        parts = np.cumsum(starts)[spaces - 1]  # tokenizer's words up to the end of each of ours
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        parts = np.cumsum(starts)[spaces - 1]  # the tokenizer's words up to the end of each of ours
+        if (np.diff(parts, prepend=0) <= 0).any():
+            return None
+        apart = np.insert(points, np.flatnonzero(starts & (before != 0)), 0x20)
+        mapped = self.characters[np.frombuffer(apart.tobytes().decode("utf-32-le").encode(), np.uint8)]
+        ids = np.array(self.model.encode_batch_fast([mapped.tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != parts[-1] or ends[-1] != len(ids) or (np.diff(parts, prepend=0) <= 0).any():
+        if len(ends) != parts[-1] or ends[-1] != len(ids):
             return None
         data, cut = ids.tobytes(), (4 * ends[parts - 1]).tolist()
         return [data[a:b] for a, b in zip([0, *cut], cut)]
 
-    def _by_word(self, words: list[str]) -> None:
+    def _by_word(self, words: list[str]) -> list[bytes]:
         if not words:
-            return
+            return []
         normal = self.tokenizer.normalizer.normalize_str(" ".join(words))
-        known = self.words.young
         if normal.count(" ") != len(words) - 1:  # a character became white space
-            known.update({w: self._whole(w) for w in words})
-            return
+            return [self._whole(w) for w in words]
         ends = np.cumsum(np.fromiter(map(len, normal.split(" ")), np.int64, len(words)) + 1)
         found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
         owner = np.searchsorted(ends, np.fromiter((at[0] for _, at in found), np.int64, len(found)), "right")
         first = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
         tokenize = self.tokenizer.model.tokenize
         ids = [np.array([t.id for t in tokenize(part)], "<u4").tobytes() for part, _ in found]
-        known.update({w: b"".join(ids[a:b]) for w, a, b in zip(words, first, first[1:])})
+        return [b"".join(ids[a:b]) for a, b in zip(first, first[1:])]
 
 
 _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}

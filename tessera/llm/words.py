@@ -12,19 +12,18 @@ WHITE_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NO_LETTER = np.zeros(256, bool)
 NO_LETTER[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
 
 
-def words_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Words of every row of a text column (A-Z lower-cased on request; null has none), in order: row, code, the words by code."""
+def spans_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A text column's bytes, which of them are in words, where its rows begin, and first byte and end of every word (null has none)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
-    data = _LOWER[data] if lower else data
     offsets = offsets - offsets[0]
     inside = ~between[data]
     begin, end = inside.copy(), inside.copy()
@@ -33,11 +32,21 @@ def words_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray, lower: boo
     filled = offsets[1:] > offsets[:-1]  # a word never spans two rows
     begin[offsets[:-1][filled]] = inside[offsets[:-1][filled]]
     end[offsets[1:][filled] - 1] = inside[offsets[1:][filled] - 1]
-    first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    ends = np.concatenate(([0], np.cumsum(last - first)))
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])])
-    coded = words.dictionary_encode()
-    return np.searchsorted(offsets, first, "right") - 1, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    return data, inside, offsets, np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def coded(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Words given as their bytes, one after the other, and their lengths: the code of each, the words by code."""
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(words)]).dictionary_encode()
+    return every.indices.to_numpy().astype(np.int64), every.dictionary
+
+
+def words_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of every row of a text column (A-Z lower-cased; null has none), in order: row, code, the words by code."""
+    data, inside, offsets, first, end = spans_of(column, between)
+    code, words = coded(LOWER[data[inside]], end - first)
+    return np.searchsorted(offsets, first, "right") - 1, code, words
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:

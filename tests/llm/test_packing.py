@@ -113,7 +113,7 @@ def test_every_chunk_form_has_the_ids_of_the_whole_text():
             assert [list(ids) for ids in encoder(texts)] == want
             assert [list(encoder([t])[0]) for t in texts] == want
         encoder.ends = None  # word by word
-        encoder.words, encoder.chunks = packing.Remembered(most), packing.Remembered(most)
+        encoder.words = packing.Remembered(most)
         assert [list(ids) for ids in encoder(texts)] == want
 
 
