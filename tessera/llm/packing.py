@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import prepared, sliced, text_hash
-from .words import LOWER, coded, expand, spans_of
+from .words import coded, expand, listed, spans_of
 
 END_ID = 1
 #: Bytes between chunks.
@@ -145,19 +145,25 @@ class ChunkEncoder:
     def _words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Row and code of each word in the form that it is remembered by, and the words by code."""
         data, inside, offsets, first, end = spans_of(column, _BETWEEN)
-        if len(first):
-            # the last byte of each chunk that is no closing punctuation: what follows it is a word of its own after a letter or number
-            told = np.maximum.accumulate(np.where(inside & ~self.closing[data], np.arange(len(data)), -1))[end - 1]
-            cut = (told >= first) & (told < end - 1) & self.alnum[data[told]]
-            at = told[cut] + 1
-            order = np.argsort(np.concatenate((first, at)), kind="stable")
-            first, end = np.concatenate((first, at))[order], np.concatenate((np.where(cut, told + 1, end), end[cut]))[order]
+        # the last byte of each chunk that is no closing punctuation: what follows it is a word of its own after a letter or number
+        told = end - 1
+        closed = np.flatnonzero(self.closing[data[told]])
+        at = closed
+        while len(at):
+            told[at] -= 1
+            at = at[told[at] >= first[at]]
+            at = at[self.closing[data[told[at]]]]
+        cut = closed[told[closed] >= first[closed]]
+        cut = cut[self.alnum[data[told[cut]]]]
+        first, end = np.insert(first, cut + 1, told[cut] + 1), np.insert(end, cut, told[cut] + 1)
         words, length = data[inside], end - first
-        if self.lowers and len(first):
-            other = np.concatenate(([0], np.cumsum(~self.alnum[data])))
-            words = np.where(np.repeat(other[end] == other[first], length), LOWER[words], words)
+        if self.lowers:
+            stops, mixed = np.cumsum(length), np.zeros(len(length) + 1, bool)
+            mixed[np.searchsorted(stops, np.flatnonzero(~self.alnum[words]), "right")] = True
+            capitals = np.flatnonzero((words >= 0x41) & (words <= 0x5A))
+            words[capitals[~mixed[np.searchsorted(stops, capitals, "right")]]] += 32
         code, words = coded(words, length)
-        return np.searchsorted(offsets, first, "right") - 1, code, words.to_pylist()
+        return np.searchsorted(offsets, first, "right") - 1, code, listed(words)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every row of a text column, each with the end id, as one array, and where the rows end."""
@@ -238,12 +244,12 @@ class ChunkEncoder:
 _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def _groups(keys: np.ndarray, part: np.uint64, copies: dict[int, int], groups: int) -> np.ndarray:
+def _groups(keys: np.ndarray, part: int, copies: dict[int, int], groups: int) -> np.ndarray:
     """The group of each row, from its key, its task and how many rows of that key the task has met."""
     number = np.empty(len(keys), np.uint64)
     for i, k in enumerate(keys.tolist()):
         number[i] = copies[k] = copies.get(k, -1) + 1
-    x = keys.view(np.uint64) ^ (part * np.uint64(0x9E3779B97F4A7C15)) ^ ((number + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
+    x = keys.view(np.uint64) ^ np.uint64(part * 0x9E3779B97F4A7C15 % 2 ** 64) ^ ((number + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
     x = (x ^ x >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
     return ((x ^ x >> np.uint64(29)) % np.uint64(groups)).astype(np.int64)
 
@@ -253,7 +259,7 @@ def _tokenise(batches, path: str, length: int, with_ids: bool, remembered: int,
         _ENCODERS[path, remembered] = ChunkEncoder(path, remembered)
     encoder = _ENCODERS[path, remembered]
     copies: dict[int, int] = {}
-    part = np.uint64(TaskContext.get().partitionId())
+    part = TaskContext.get().partitionId()
     for batch in sliced(batches, "text", 256 << 10):
         group = _groups(batch.column(2).to_numpy(), part, copies, groups)
         rows, starts, sizes, totals, crcs, ids = [], [], [], [], [], []

@@ -42,6 +42,14 @@ def coded(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]
     return every.indices.to_numpy().astype(np.int64), every.dictionary
 
 
+def listed(words: pa.LargeBinaryArray) -> list[bytes]:
+    """The same as ``to_pylist`` of words without nulls, several times faster."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(words) + 1, words.offset * 8).tolist() if len(words) else [0]
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def words_of(column: pa.Array | pa.ChunkedArray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words of every row of a text column (A-Z lower-cased; null has none), in order: row, code, the words by code."""
     data, inside, offsets, first, end = spans_of(column, between)
@@ -58,7 +66,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def shingles_of(column: pa.Array, width: int, between: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of ``width`` words of every row (fewer words: the whole sequence), as (row, 64-bit hash), sorted by hash."""
     row, code, words = words_of(column, between)
-    known = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+    known = np.fromiter(map(xxhash.xxh64_intdigest, listed(words)), np.uint64, len(words))
     word = known[code]
     n = np.bincount(row, minlength=len(column))
     begin = np.cumsum(n) - n
