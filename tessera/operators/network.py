@@ -3,6 +3,8 @@
 Synchronous data-parallel descent: the training rows are packed once into blocks, and a step is one
 Spark job in which every block adds up the gradient of its rows of the mini-batch; the sums of the partitions meet
 in a tree of ``fan_in``, and the driver, which holds nothing but the weights and Adam's two moments, takes the step.
+Networks of a grid whose epochs have the same mini-batches descend together: a step's job reads the blocks once for all of
+them.  A block's rows are worked off in slices whose hidden units fit a core's cache.
 
 A row's mini-batch in an epoch, and which hidden units its dropout spares, are hashes of the row's key,
 the epoch and the seed.  They depend neither on the partitioning nor on which executor computes them, so a task run again
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import math
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 import numpy as np
@@ -35,6 +38,8 @@ from ..sources.tables import VersionedDataset
 
 #: Adam's constants and the initial step size.
 LEARNING_RATE, BETA_1, BETA_2, EPSILON = 0.001, 0.9, 0.999, 1e-7
+#: Hidden units (rows by units of the widest network) of one slice of a block.
+SLICE = 1 << 16
 _STATE = "epoch int, steps long, layers array<int>, weights array<double>, moment_1 array<double>, moment_2 array<double>"
 _ARTIFACT = "features array<string>, layers array<int>, weights array<double>, mean array<double>, scale array<double>"
 
@@ -43,9 +48,12 @@ _ARTIFACT = "features array<string>, layers array<int>, weights array<double>, m
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (unsigned)."""
-    x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ x >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ x >> np.uint64(33)
+    x = x ^ x >> np.uint64(33)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def _salt(*numbers: int) -> np.uint64:
@@ -60,13 +68,19 @@ def step_of(keys: np.ndarray, epoch: int, steps: int, seed: int) -> np.ndarray:
     return (mixed(keys ^ _salt(seed, 1, epoch)) % np.uint64(steps)).astype(np.int64)
 
 
+def draws(keys: np.ndarray, units: int, epoch: int, seed: int) -> np.ndarray:
+    """64 bits for each hidden unit of each row; networks of one seed share them, whatever their width."""
+    return mixed(keys[:, None] ^ mixed(np.arange(1, units + 1, dtype=np.uint64) ^ _salt(seed, 2, epoch)))
+
+
+def stays(bits: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether the upper 53 bits, as a fraction, are at least ``dropout``."""
+    return bits >= np.uint64(math.ceil(dropout * 2.0 ** 53) << 11)
+
+
 def spared(keys: np.ndarray, units: int, epoch: int, dropout: float, seed: int) -> np.ndarray:
     """What each hidden unit of each row is multiplied by: 0, or 1 over the share that dropout spares."""
-    if not dropout:
-        return np.ones((len(keys), units))
-    unit = mixed(np.arange(1, units + 1, dtype=np.uint64) ^ _salt(seed, 2, epoch))
-    draw = (mixed(keys[:, None] ^ unit) >> np.uint64(11)).astype(float) / 2.0 ** 53
-    return (draw >= dropout) / (1 - dropout)
+    return stays(draws(keys, units, epoch, seed), dropout) / (1 - dropout)
 
 
 # -- the network -----------------------------------------------------------------
@@ -88,14 +102,26 @@ def probabilities(x: np.ndarray, weights: np.ndarray, units: int) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(np.maximum(x @ w1 + b1, 0) @ w2 + b2, -700, 700)))
 
 
-def gradient(x: np.ndarray, y: np.ndarray, spare: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Gradient of the summed cross-entropy of some rows."""
-    w1, b1, w2, b2 = _parts(weights, x.shape[1], spare.shape[1])
-    before = x @ w1 + b1
-    hidden = np.maximum(before, 0) * spare
-    error = 1 / (1 + np.exp(-np.clip(hidden @ w2 + b2, -700, 700))) - y
-    back = (error[:, None] * w2) * spare * (before > 0)
-    return np.concatenate(((x.T @ back).ravel(), back.sum(0), hidden.T @ error, [error.sum()]))
+class Network(NamedTuple):
+    """What a gradient is taken of."""
+    weights: np.ndarray
+    units: int
+    dropout: float
+
+
+def gradient(x: np.ndarray, y: np.ndarray, bits: np.ndarray, network: Network) -> np.ndarray:
+    """Gradient of the summed cross-entropy of some rows; ``x`` ends in a column of ones, ``bits`` are ``draws`` of enough units."""
+    weights, units, dropout = network
+    k, times = x.shape[1] * units, 1 / (1 - dropout)
+    w1, w2, b2 = weights[:k].reshape(-1, units), weights[k:k + units], weights[k + units]  # the biases are the last row of w1
+    hidden = x @ w1
+    on = hidden > 0
+    if dropout:
+        on &= stays(bits[:, :units], dropout)
+    on = on.astype(float)
+    hidden *= on
+    error = 1 / (1 + np.exp(-np.clip(hidden @ w2 * times + b2, -700, 700))) - y
+    return np.concatenate((((x * error[:, None]).T @ on * (w2 * times)).ravel(), error @ hidden * times, [error.sum()]))
 
 
 class Adam(NamedTuple):
@@ -150,19 +176,31 @@ def training_blocks(train: DataFrame, scaling: Scaling, label: str, key: str | N
     return rows.mapInArrow(_pack, "keys binary, labels binary, x binary")
 
 
-def _partial(batches, weights: np.ndarray, units: int, dropout: float, epoch: int, step: int, steps: int, seed: int):
-    """The gradient of the partition's rows of one mini-batch, and how many they are."""
-    total, n = np.zeros(len(weights)), 0
+def spread(blocks: DataFrame) -> DataFrame:
+    """The blocks dealt evenly to about as many partitions as they have, in whole rounds of the cores."""
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(max(1, round(blocks.rdd.getNumPartitions() / cores)) * cores)
+
+
+def _partial(batches, networks: list[Network], epoch: int, step: int, steps: int, seed: int):
+    """The gradients, end to end, of the partition's rows of one mini-batch, and how many rows they are."""
+    total, n = [np.zeros(len(network.weights)) for network in networks], 0
+    widest = max([network.units for network in networks if network.dropout], default=0)
+    size = max(64, SLICE // max(network.units for network in networks))
     for batch in batches:
-        for keys, labels, x in zip(*(c.to_pylist() for c in batch.columns)):
-            keys, labels = np.frombuffer(keys, np.uint64), np.frombuffer(labels)
-            mine = step_of(keys, epoch, steps, seed) == step
-            if mine.any():
-                x = np.frombuffer(x).reshape(len(keys), -1)[mine]
-                total += gradient(x, labels[mine], spared(keys[mine], units, epoch, dropout, seed), weights)
-                n += len(x)
+        for keys, labels, x in zip(*batch.columns):
+            keys, labels, x = np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(labels.as_buffer()), np.frombuffer(x.as_buffer())
+            x = x.reshape(len(keys), -1)
+            mine = np.flatnonzero(step_of(keys, epoch, steps, seed) == step)
+            for rows in (mine[i:i + size] for i in range(0, len(mine), size)):
+                inputs, y = np.column_stack((x[rows], np.ones(len(rows)))), labels[rows]
+                bits = draws(keys[rows], widest, epoch, seed)
+                for slope, network in zip(total, networks):
+                    slope += gradient(inputs, y, bits, network)
+            n += len(mine)
     if n:
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "slope"])
+        slopes = np.concatenate(total).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([slopes], pa.binary())], names=["n", "slope"])
 
 
 def _added(batches):
@@ -177,7 +215,7 @@ def _added(batches):
 
 
 def slope_of(blocks: DataFrame, partitions: int, fan_in: int, **step) -> tuple[int, np.ndarray | None]:
-    """Rows and summed gradient of one mini-batch."""
+    """Rows and summed gradients, end to end, of one mini-batch."""
     sums = blocks.mapInArrow(functools.partial(_partial, **step), "n long, slope binary")
     while partitions > fan_in:
         partitions = -(-partitions // fan_in)
@@ -225,24 +263,60 @@ def _resumed(state: VersionedDataset | None, layers: list[int]) -> tuple[int, Ad
     return r.epoch, Adam(np.array(r.weights), np.array(r.moment_1), np.array(r.moment_2), r.steps)
 
 
+class _Descent:
+    """A network on its way: parameters, optimiser and, if it is to be kept, the stored state."""
+
+    def __init__(self, spark: SparkSession, inputs: int, hidden_units: int, dropout: float, epochs: int, batch_size: int, seed: int = 42,
+                 sample_rows: int = 16, state: str | None = None, state_every: int = 10) -> None:
+        if not 0 <= dropout < 1 or min(hidden_units, epochs, batch_size) < 1:
+            raise ValueError("dropout must be in [0, 1), units, epochs and batch size at least 1")
+        self.spark, self.layers, self.dropout, self.epochs, self.seed, self.state_every = spark, [inputs, hidden_units], dropout, epochs, seed, state_every
+        self.steps = -(-sample_rows // min(batch_size, sample_rows))
+        self.store = VersionedDataset(spark, state) if state else None
+        weights = initial_weights(inputs, hidden_units, seed)
+        self.done, self.adam = _resumed(self.store, self.layers) or (0, Adam(weights, np.zeros(len(weights)), np.zeros(len(weights)), 0))
+
+    def network(self) -> Network:
+        return Network(self.adam.weights, self.layers[1], self.dropout)
+
+    def keep(self, epoch: int) -> None:
+        """Commit the state after an epoch, where it is due."""
+        if self.store and (epoch + 1) % self.state_every == 0:
+            row = (epoch + 1, self.adam.steps, self.layers, self.adam.weights.tolist(), self.adam.moment_1.tolist(), self.adam.moment_2.tolist())
+            self.store.write(self.spark.createDataFrame([row], _STATE).coalesce(1))
+            self.store.retain(2)
+
+
+def _descend(blocks: DataFrame, partitions: int, fan_in: int, together: list[_Descent]) -> None:
+    """Take networks with the same mini-batches to their last epochs; a step is one job for all that are at its epoch."""
+    steps, seed = together[0].steps, together[0].seed
+    for epoch in range(min(d.done for d in together), max(d.epochs for d in together)):
+        at = [d for d in together if d.done <= epoch < d.epochs]
+        ends = np.cumsum([len(d.adam.weights) for d in at])[:-1]
+        for step in range(steps if at else 0):
+            n, slopes = slope_of(blocks, partitions, fan_in, networks=[d.network() for d in at], epoch=epoch, step=step, steps=steps, seed=seed)
+            if n:  # a small table may leave a mini-batch empty
+                for d, slope in zip(at, np.split(slopes / n, ends)):
+                    d.adam = d.adam.after(slope)
+        for d in at:
+            d.keep(epoch)
+
+
+def fit_networks(blocks: DataFrame, scaling: Scaling, grid, fan_in: int = 64, parallelism: int = 3) -> list[NetworkModel]:
+    """Fit one network per point of ``grid`` (the parameters of ``fit_network``) on ``training_blocks``, which should be persisted
+    or stored: every step reads them."""
+    spark, partitions = blocks.sparkSession, blocks.rdd.getNumPartitions()
+    all_of, groups = [_Descent(spark, len(scaling.features), **point) for point in grid], {}
+    for d in all_of:
+        groups.setdefault((d.steps, d.seed), []).append(d)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        list(pool.map(functools.partial(_descend, blocks, partitions, fan_in), groups.values()))
+    return [NetworkModel(scaling, d.layers[1], d.adam.weights) for d in all_of]
+
+
 def fit_network(blocks: DataFrame, scaling: Scaling, hidden_units: int, dropout: float, epochs: int, batch_size: int, seed: int = 42,
                 sample_rows: int = 16, fan_in: int = 64, state: str | None = None, state_every: int = 10) -> NetworkModel:
-    """Fit on ``training_blocks``, which should be persisted or stored: every step reads them."""
-    if not 0 <= dropout < 1 or min(hidden_units, epochs, batch_size) < 1:
-        raise ValueError("dropout must be in [0, 1), units, epochs and batch size at least 1")
-    spark, inputs = blocks.sparkSession, len(scaling.features)
-    steps, partitions = -(-sample_rows // min(batch_size, sample_rows)), blocks.rdd.getNumPartitions()
-    store = VersionedDataset(spark, state) if state else None
-    weights = initial_weights(inputs, hidden_units, seed)
-    done, adam = _resumed(store, [inputs, hidden_units]) or (0, Adam(weights, np.zeros(len(weights)), np.zeros(len(weights)), 0))
-    for epoch in range(done, epochs):
-        for step in range(steps):
-            n, slope = slope_of(blocks, partitions, fan_in, weights=adam.weights, units=hidden_units, dropout=dropout, epoch=epoch,
-                                step=step, steps=steps, seed=seed)
-            if n:  # a small table may leave a mini-batch empty
-                adam = adam.after(slope / n)
-        if store and (epoch + 1) % state_every == 0:
-            row = (epoch + 1, adam.steps, [inputs, hidden_units], adam.weights.tolist(), adam.moment_1.tolist(), adam.moment_2.tolist())
-            store.write(spark.createDataFrame([row], _STATE).coalesce(1))
-            store.retain(2)
-    return NetworkModel(scaling, hidden_units, adam.weights)
+    """Fit one network on ``training_blocks``, which should be persisted or stored: every step reads them."""
+    point = dict(hidden_units=hidden_units, dropout=dropout, epochs=epochs, batch_size=batch_size, seed=seed, sample_rows=sample_rows,
+                 state=state, state_every=state_every)
+    return fit_networks(blocks, scaling, [point], fan_in)[0]

@@ -3,12 +3,14 @@
 The notebooks pulled Gold into one pandas frame; here the training set stays a DataFrame.
 A forest is an MLlib ``Pipeline``, the network is ``operators.network``; either artifact holds what
 prepares its features (M10).  Each grid point is fitted on the train split and evaluated on
-validation (and test, reported only); grid points are independent Spark jobs, submitted from a small thread pool.
+validation (and test, reported only); grid points are independent Spark jobs, submitted from a small thread pool, except
+that networks descend together (``operators.network``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
@@ -68,6 +70,10 @@ def _split_metrics(scored: DataFrame, label: str, threshold: float, splits=("val
     return out
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def _run_id(experiment: str, run_name: str, started: str) -> str:
     return hashlib.sha1(f"{experiment}/{run_name}/{started}".encode()).hexdigest()[:32]
 
@@ -89,13 +95,13 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
         raise ValueError(f"training input lacks contract features: {missing}")
     labelled = gold.withColumn(label, F.col(label).cast("double"))
     train = labelled.filter(F.col("_split") == "train")
-    fit, held_out, cached = (_forests if family == "random_forest" else _networks)(labelled, train, features, label)
+    fits, cached = (_forests if family == "random_forest" else _networks)(labelled, train, features, label)
+    grid = list(grid)
 
-    def one(params: dict):
-        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        name, model, scored = fit(params, held_out)
+    def one(point: int, params: dict, fit):
+        started, name, model, scored = fit()
         metrics = _split_metrics(positive_probability(scored), label, threshold)
-        run_id = _run_id(experiment, name, started.isoformat())
+        run_id = _run_id(experiment, f"{name}/{point}", started.isoformat())  # networks start together
         path = None
         if model_root:
             path = f"{model_root.rstrip('/')}/{run_id}"
@@ -109,7 +115,7 @@ def fit_grid(spark: SparkSession, gold: DataFrame, family: str, grid, experiment
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(one, list(grid)))
+            rows = list(pool.map(one, range(len(grid)), grid, fits(grid, parallelism)))
     finally:
         for df in cached:
             df.unpersist()
@@ -122,34 +128,38 @@ def input_example(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _forests(labelled: DataFrame, train: DataFrame, features, label: str):
-    """(fit function of grid parameters, held-out rows, persisted frames) of the forests."""
+    """(a fit for each point of a grid, persisted frames) of the forests; a fit gives start, run name, model and scored held-out rows."""
     prepare = Pipeline(stages=_preparation(features)).fit(train)
     ready = prepare.transform(labelled).select(label, "_split", "features").persist()
     ready_train = ready.filter(F.col("_split") == "train")
 
-    def fit(params: dict, held_out: DataFrame):
+    held_out = ready.filter(F.col("_split").isin("val", "test"))
+
+    def fit(params: dict):
+        started = _now()
         pipe = rf_pipeline(features, label, params["n_estimators"], params["max_depth"])
         # copy(): the copied stages carry no training summary, whose session
         # reference would otherwise ride along in every scoring task
         classifier = pipe.getStages()[-1].fit(ready_train).copy()
         name = f"rf_n{params['n_estimators']}_d{params['max_depth']}"
-        return name, PipelineModel([*prepare.stages, classifier]), classifier.transform(held_out)
+        return started, name, PipelineModel([*prepare.stages, classifier]), classifier.transform(held_out)
 
-    return fit, ready.filter(F.col("_split").isin("val", "test")), [ready]
+    return lambda grid, parallelism: [functools.partial(fit, params) for params in grid], [ready]
 
 
 def _networks(labelled: DataFrame, train: DataFrame, features, label: str):
     """The same of the networks: every parameter of the grid takes part in the fit."""
     key = C.ID_COLUMN if C.ID_COLUMN in labelled.columns else None
     scaling = NN.fit_scaling(train, features)
-    blocks = NN.training_blocks(train, scaling, label, key).persist()
+    blocks = NN.spread(NN.training_blocks(train, scaling, label, key)).persist()
     held_out = labelled.filter(F.col("_split").isin("val", "test")).select(label, "_split", *features).persist()
 
-    def fit(params: dict, held_out: DataFrame):
-        model = NN.fit_network(blocks, scaling, **params)
-        return f"nn_h{params['hidden_units']}_d{params['dropout']}", model, model.transform(held_out)
+    def fits(grid, parallelism: int):
+        started, models = _now(), NN.fit_networks(blocks, scaling, grid, parallelism=parallelism)
+        names = [f"nn_h{params['hidden_units']}_d{params['dropout']}" for params in grid]
+        return [functools.partial(lambda name, model: (started, name, model, model.transform(held_out)), *of) for of in zip(names, models)]
 
-    return fit, held_out, [blocks, held_out]
+    return fits, [blocks, held_out]
 
 
 def load_model(path: str) -> PipelineModel | NN.NetworkModel:

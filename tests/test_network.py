@@ -124,3 +124,46 @@ def test_no_rows_and_missing_features(spark, rows):
     assert (model.weights == NN.initial_weights(4, 3, 42)).all()
     nothing = spark.createDataFrame([(None, None, None, None)], "a double, b double, c double, d double")
     assert 0 <= model.transform(nothing).first().probability[1] <= 1
+
+
+def test_a_grid_descends_in_the_steps_of_its_longest_network(spark, rows, tmpdir_fresh):
+    gold = rows.withColumn("_split", F.when(F.abs(F.hash("customer_id")) % 4 == 0, "val").otherwise("train"))
+    grid = [{"hidden_units": 4, "dropout": 0.2, "epochs": 2, "batch_size": 8}, {"hidden_units": 7, "dropout": 0.0, "epochs": 3, "batch_size": 8},
+            {"hidden_units": 4, "dropout": 0.2, "epochs": 3, "batch_size": 8}]
+    calls = []
+    slope_of, NN.slope_of = NN.slope_of, lambda *a, **k: (calls.append((k["epoch"], k["step"])), slope_of(*a, **k))[1]
+    try:
+        runs = fit_grid(spark, gold, "neural_network", grid, "exp", model_root=f"{tmpdir_fresh}/models", features=FEATURES).collect()
+    finally:
+        NN.slope_of = slope_of
+    assert calls == [(epoch, step) for epoch in range(3) for step in range(2)]  # one job a step, not one for each network
+    assert [r.params["epochs"] for r in runs] == ["2", "3", "3"] and len({r.run_id for r in runs}) == 3
+    train = gold.filter("_split = 'train'")
+    for r, params in zip(runs, grid):
+        assert np.abs(load_model(r.model_path).weights - single_process(train, FEATURES, **params)).max() < 1e-6
+
+
+def test_networks_of_other_batches_seeds_and_states_fit_as_alone(rows, tmpdir_fresh):
+    blocks, scaling = blocks_of(rows)
+    base = dict(hidden_units=5, dropout=0.3, epochs=3, batch_size=8)
+    state = f"{tmpdir_fresh}/state"
+    NN.fit_network(blocks, scaling, **{**base, "epochs": 2}, state=state, state_every=2)  # the last one goes on from epoch 2
+    grid = [base, {**base, "batch_size": 4}, {**base, "seed": 1}, {**base, "hidden_units": 9}, {**base, "state": state, "state_every": 2}]
+    for model, params in zip(NN.fit_networks(blocks, scaling, grid), grid):
+        alone = NN.fit_network(blocks, scaling, **{k: v for k, v in params.items() if not k.startswith("state")})
+        assert np.abs(model.weights - alone.weights).max() < 1e-9
+
+
+def test_slices_of_a_block_add_up():
+    keys = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x, y = np.random.default_rng(1).normal(size=(1000, 4)), np.arange(1000) % 3 / 2.0
+    network = NN.Network(NN.initial_weights(4, 6, 42) + 0.05, 6, 0.25)
+    blocks = NN.pa.RecordBatch.from_arrays([NN.pa.array([c.tobytes()], NN.pa.binary()) for c in (keys, y, x)], names=["keys", "labels", "x"])
+    mine = NN.step_of(keys, 1, 2, 42) == 0
+    want = NN.gradient(np.column_stack((x, np.ones(1000)))[mine], y[mine], NN.draws(keys[mine], 6, 1, 42), network)
+    size, NN.SLICE = NN.SLICE, 6
+    try:
+        out = next(NN._partial([blocks], networks=[network], epoch=1, step=0, steps=2, seed=42))
+    finally:
+        NN.SLICE = size
+    assert out.column(0)[0].as_py() == mine.sum() and np.abs(np.frombuffer(out.column(1)[0].as_py()) - want).max() < 1e-9
