@@ -11,9 +11,15 @@ the epoch and the seed.  They depend neither on the partitioning nor on which ex
 gives the same gradient.  With ``state``, weights and moments are committed as a dataset every
 ``state_every`` epochs, and a fit that finds such a state goes on from it.
 
-``batch_size`` is the grid's, meant for a training sample of ``sample_rows`` rows; on any table a step takes the same share of
-the rows, ``batch_size / sample_rows``, so an epoch has ``ceil(sample_rows / batch_size)`` steps however
-large the table, and never a job for every eight rows of it.
+With ``sample_rows`` given, ``batch_size`` is meant for a training sample of so many rows; on any table a step takes the same
+share of the rows, ``batch_size / sample_rows``, so an epoch has ``ceil(sample_rows / batch_size)`` steps however large the table.
+
+Where ``sample_rows`` is None, a mini-batch has ``batch_size`` rows of the table itself (the last one of an epoch what is left), so
+an epoch has ``ceil(rows / batch_size)`` steps.  They cannot be taken side by side, as each needs the weights that the one before
+it left, and a job for every eight rows would take days.  So the weights go to the rows: an epoch visits the partitions of the
+blocks, the shards, in an order of its own, one job each; the job's task takes the steps of the shard's rows, in the epoch's
+order, and hands on weights, moments and the gradient of the mini-batch begun.  A task holds one shard, no task the
+table, and the networks of a grid are on their way at the same time.  ``training_shards`` deals the rows at random by a hash of their contents.
 
 Missing features take the training mean; features are scaled by mean and population deviation (1 if that is 0), both kept in
 the artifact.
@@ -30,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -40,7 +46,10 @@ from ..sources.tables import VersionedDataset
 LEARNING_RATE, BETA_1, BETA_2, EPSILON = 0.001, 0.9, 0.999, 1e-7
 #: Hidden units (rows by units of the widest network) of one slice of a block.
 SLICE = 1 << 16
+#: Values (rows by columns) of a shard.
+SHARD = 1 << 22
 _STATE = "epoch int, steps long, layers array<int>, weights array<double>, moment_1 array<double>, moment_2 array<double>"
+_COURSE = "rows long, steps long, state array<binary>"
 _ARTIFACT = "features array<string>, layers array<int>, weights array<double>, mean array<double>, scale array<double>"
 
 
@@ -138,6 +147,72 @@ class Adam(NamedTuple):
         return Adam(self.weights - rate * m / (np.sqrt(v) + EPSILON), m, v, t)
 
 
+class Course(NamedTuple):
+    """A network within an epoch of small mini-batches.  Of the one begun: the sum of the gradients, over a whole one's rows, and the number of rows."""
+    adam: Adam
+    slope: np.ndarray
+    rows: int
+
+    def ended(self, batch_size: int) -> Adam:
+        """The optimiser after a last step with the rows that fill no mini-batch."""
+        return self.adam.after(self.slope * (batch_size / self.rows)) if self.rows else self.adam
+
+
+def walked(course: Course, x: np.ndarray, y: np.ndarray, keys: np.ndarray, units: int, dropout: float, batch_size: int, epoch: int, seed: int) -> Course:
+    """The course after these rows, taken as they come; ``x`` ends in a column of ones.
+
+    A step on a few rows is so little work that new arrays would be most of it: all is done in place, dropout is drawn for a
+    slice of rows, and the moments are kept without their factors ``1 - BETA``."""
+    (weights, m, v, steps), total, begun = course
+    weights, m, v, total = weights.copy(), m / (1 - BETA_1), v / (1 - BETA_2), total.copy()
+    k, size, times = x.shape[1] * units, max(64, SLICE // units), 1 / (1 - dropout)
+    slope, change, out = np.empty_like(weights), np.empty_like(weights), np.empty(units)
+    w1, w2, b2 = weights[:k].reshape(-1, units), weights[k:k + units], weights[k + units:]  # the biases are the last row of w1
+    slope_1, slope_2, slope_b2 = slope[:k].reshape(-1, units), slope[k:k + units], slope[k + units:]
+    most = min(batch_size, size)
+    zeros, hiddens, ons, errors, weighted = np.zeros((most, units)), np.empty((most, units)), np.empty((most, units)), np.empty(most), np.empty((most, x.shape[1]))
+    share, epsilon, y, at, n = 1 / batch_size, EPSILON / math.sqrt(1 - BETA_2), y - 0.5, 0, len(y)
+    add, subtract, multiply, divide, dot = np.add, np.subtract, np.multiply, np.divide, np.dot
+    while at < n:
+        first, end = at, min(at + size, n)
+        spares = stays(draws(keys[first:end], units, epoch, seed), dropout) * times if dropout else None
+        while at < end:
+            to = min(at + batch_size - begun, end)
+            rows, inputs = to - at, x[at:to]
+            hidden, on, error, errors_by = hiddens[:rows], ons[:rows], errors[:rows], weighted[:rows]
+            np.maximum(dot(inputs, w1, out=hidden), zeros[:rows], out=hidden)
+            if dropout:
+                multiply(hidden, spares[at - first:to - first], out=hidden)
+            add(dot(hidden, w2, out=error), b2, out=error)
+            multiply(error, 0.5, out=error)
+            np.tanh(error, out=error)  # of half the sum; half of it and a half more is the sigmoid
+            multiply(error, 0.5, out=error)
+            subtract(error, y[at:to], out=error)
+            multiply(error, share, out=error)
+            multiply(np.sign(hidden, out=on), multiply(w2, times, out=out), out=on)
+            dot(multiply(inputs, error[:, None], out=errors_by).T, on, out=slope_1)
+            dot(error, hidden, out=slope_2)
+            slope_b2[0] = error.sum()
+            at = to
+            if begun + rows < batch_size:
+                add(total, slope, out=total)
+                begun += rows
+                continue
+            if begun:
+                add(slope, total, out=slope)
+                total[:], begun = 0, 0
+            steps += 1
+            multiply(m, BETA_1, out=m)
+            add(m, slope, out=m)
+            multiply(v, BETA_2, out=v)
+            add(v, multiply(slope, slope, out=slope), out=v)
+            add(np.sqrt(v, out=change), epsilon, out=change)
+            divide(m, change, out=change)
+            rate = LEARNING_RATE * math.sqrt(1 - BETA_2 ** steps) / (1 - BETA_1 ** steps) * (1 - BETA_1) / math.sqrt(1 - BETA_2)
+            subtract(weights, multiply(change, rate, out=change), out=weights)
+    return Course(Adam(weights, m * (1 - BETA_1), v * (1 - BETA_2), steps), total, begun)
+
+
 # -- blocks of rows ----------------------------------------------------------------
 
 def _matrix(batch: pa.RecordBatch, first: int) -> np.ndarray:
@@ -167,15 +242,28 @@ def fit_scaling(train: DataFrame, features) -> Scaling:
     return Scaling(list(features), [float(m or 0.0) for m, _, _ in each], [s or 1.0 for s in scale])
 
 
-def training_blocks(train: DataFrame, scaling: Scaling, label: str, key: str | None = None) -> DataFrame:
-    """The training rows as blocks (one per Arrow batch), scaled; ``key`` names a column that tells rows apart (else all features)."""
+def _keyed(train: DataFrame, scaling: Scaling, label: str, of: list[str]) -> DataFrame:
+    """(key, y, x0, x1...): a hash of some columns, the label and the scaled features."""
     ship_package(train.sparkSession)
     columns = [((F.coalesce(F.col(f).cast("double"), F.lit(m)) - m) / s).alias(f"x{i}") for i, (f, m, s) in enumerate(zip(*scaling))]
-    of = [key] if key else [*scaling.features, label]
-    rows = train.select(F.xxhash64(*of).alias("key"), F.col(label).cast("double").alias("y"), *columns)
+    return train.select(F.xxhash64(*of).alias("key"), F.col(label).cast("double").alias("y"), *columns)
+
+
+def training_blocks(train: DataFrame, scaling: Scaling, label: str, key: str | None = None) -> DataFrame:
+    """The training rows as blocks (one per Arrow batch), scaled; ``key`` names a column that tells rows apart (else all features)."""
+    rows = _keyed(train, scaling, label, [key] if key else [*scaling.features, label])
     return rows.mapInArrow(_pack, "keys binary, labels binary, x binary")
 
 
+def training_shards(train: DataFrame, scaling: Scaling, label: str, key: str | None = None) -> DataFrame:
+    """``training_blocks`` dealt at random to partitions of about ``SHARD`` values.  A row's place hangs on its contents and the
+    number of shards alone; rows alike in all are numbered, so that they too are dealt and shuffled apart."""
+    rows = _keyed(train, scaling, label, [*([key] if key else []), *scaling.features, label])
+    alike = F.row_number().over(Window.partitionBy("key").orderBy(*rows.columns[1:]))
+    shards = max(1, math.ceil(train.count() * len(rows.columns) / SHARD))
+    return rows.withColumn("key", F.xxhash64("key", alike)).repartition(shards, "key").mapInArrow(_pack, "keys binary, labels binary, x binary")
+
+
 def spread(blocks: DataFrame) -> DataFrame:
     """The blocks dealt evenly to about as many partitions as they have, in whole rounds of the cores."""
     cores = blocks.sparkSession.sparkContext.defaultParallelism
@@ -224,6 +312,28 @@ def slope_of(blocks: DataFrame, partitions: int, fan_in: int, **step) -> tuple[i
     return sum(r.n for r in rows), sum(np.frombuffer(r.slope) for r in rows) if rows else None
 
 
+def _walk(batches, course: Course, units: int, dropout: float, batch_size: int, epoch: int, seed: int):
+    """The course after the rows of a shard, in the order they have in the epoch."""
+    blocks = [[c.as_buffer() for c in block] for batch in batches for block in zip(*batch.columns)]
+    if blocks:
+        keys, labels, x = (np.concatenate([np.frombuffer(b, kind) for b in of]) for of, kind in zip(zip(*blocks), (np.uint64, float, float)))
+        order = np.argsort(mixed(keys ^ _salt(seed, 1, epoch)), kind="stable")
+        inputs = np.ones((len(keys), len(x) // len(keys) + 1))
+        inputs[:, :-1] = x.reshape(len(keys), -1)[order]
+        course = walked(course, inputs, labels[order], keys[order], units, dropout, batch_size, epoch, seed)
+    adam, slope, rows = course
+    state = [a.tobytes() for a in (adam.weights, adam.moment_1, adam.moment_2, slope)]
+    yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([adam.steps]), pa.array([state], pa.list_(pa.binary()))], names=["rows", "steps", "state"])
+
+
+def course_after(blocks: DataFrame, shard: int, **walk) -> Course:
+    """A network's course after one shard; the job reads no other."""
+    after = blocks.mapInArrow(functools.partial(_walk, **walk), _COURSE).rdd
+    r = blocks.sparkSession.sparkContext.runJob(after, list, [shard])[0]
+    *adam, slope = map(np.frombuffer, r.state)
+    return Course(Adam(*adam, r.steps), slope, r.rows)
+
+
 # -- fitting and scoring -----------------------------------------------------------
 
 class NetworkModel:
@@ -267,11 +377,11 @@ class _Descent:
     """A network on its way: parameters, optimiser and, if it is to be kept, the stored state."""
 
     def __init__(self, spark: SparkSession, inputs: int, hidden_units: int, dropout: float, epochs: int, batch_size: int, seed: int = 42,
-                 sample_rows: int = 16, state: str | None = None, state_every: int = 10) -> None:
+                 sample_rows: int | None = 16, state: str | None = None, state_every: int = 10) -> None:
         if not 0 <= dropout < 1 or min(hidden_units, epochs, batch_size) < 1:
             raise ValueError("dropout must be in [0, 1), units, epochs and batch size at least 1")
         self.spark, self.layers, self.dropout, self.epochs, self.seed, self.state_every = spark, [inputs, hidden_units], dropout, epochs, seed, state_every
-        self.steps = -(-sample_rows // min(batch_size, sample_rows))
+        self.batch_size, self.steps = batch_size, None if sample_rows is None else -(-sample_rows // min(batch_size, sample_rows))
         self.store = VersionedDataset(spark, state) if state else None
         weights = initial_weights(inputs, hidden_units, seed)
         self.done, self.adam = _resumed(self.store, self.layers) or (0, Adam(weights, np.zeros(len(weights)), np.zeros(len(weights)), 0))
@@ -302,21 +412,34 @@ def _descend(blocks: DataFrame, partitions: int, fan_in: int, together: list[_De
             d.keep(epoch)
 
 
+def _descend_by_rows(blocks: DataFrame, shards: int, d: _Descent) -> None:
+    """Take a network to its last epoch in mini-batches of ``batch_size`` rows; a shard is one job."""
+    for epoch in range(d.done, d.epochs):
+        course = Course(d.adam, np.zeros(len(d.adam.weights)), 0)
+        for shard in np.argsort(mixed(np.arange(shards, dtype=np.uint64) ^ _salt(d.seed, 3, epoch))).tolist():
+            course = course_after(blocks, shard, course=course, units=d.layers[1], dropout=d.dropout, batch_size=d.batch_size, epoch=epoch, seed=d.seed)
+        d.adam = course.ended(d.batch_size)
+        d.keep(epoch)
+
+
 def fit_networks(blocks: DataFrame, scaling: Scaling, grid, fan_in: int = 64, parallelism: int = 3) -> list[NetworkModel]:
-    """Fit one network per point of ``grid`` (the parameters of ``fit_network``) on ``training_blocks``, which should be persisted
-    or stored: every step reads them."""
+    """Fit one network per point of ``grid`` (the parameters of ``fit_network``) on ``training_blocks`` (``training_shards`` where
+    ``sample_rows`` is None), which should be persisted or stored: every step or epoch reads them."""
     spark, partitions = blocks.sparkSession, blocks.rdd.getNumPartitions()
     all_of, groups = [_Descent(spark, len(scaling.features), **point) for point in grid], {}
     for d in all_of:
-        groups.setdefault((d.steps, d.seed), []).append(d)
+        if d.steps is not None:
+            groups.setdefault((d.steps, d.seed), []).append(d)
+    fits = [functools.partial(_descend_by_rows, blocks, partitions, d) for d in all_of if d.steps is None]
+    fits += [functools.partial(_descend, blocks, partitions, fan_in, together) for together in groups.values()]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        list(pool.map(functools.partial(_descend, blocks, partitions, fan_in), groups.values()))
+        list(pool.map(lambda fit: fit(), fits))
     return [NetworkModel(scaling, d.layers[1], d.adam.weights) for d in all_of]
 
 
 def fit_network(blocks: DataFrame, scaling: Scaling, hidden_units: int, dropout: float, epochs: int, batch_size: int, seed: int = 42,
-                sample_rows: int = 16, fan_in: int = 64, state: str | None = None, state_every: int = 10) -> NetworkModel:
-    """Fit one network on ``training_blocks``, which should be persisted or stored: every step reads them."""
+                sample_rows: int | None = 16, fan_in: int = 64, state: str | None = None, state_every: int = 10) -> NetworkModel:
+    """Fit one network as ``fit_networks`` does."""
     point = dict(hidden_units=hidden_units, dropout=dropout, epochs=epochs, batch_size=batch_size, seed=seed, sample_rows=sample_rows,
                  state=state, state_every=state_every)
     return fit_networks(blocks, scaling, [point], fan_in)[0]

@@ -189,7 +189,7 @@ def q_model_info(spark, d):
 def _verified_runs(spark, d, family, grid):
     gold = gold_churn(spark, d).checkpoint(eager=True)   # cut lineage: every grid point re-reads it
     runs = TR.fit_grid(spark, gold, family, grid, "churn_experiments",
-                       model_root=f"{work_path(spark, 'sweep')}/models")
+                       model_root=f"{work_path(spark, 'sweep')}/models", sample_rows=None)
     held_out = gold.filter(F.col("_split").isin("val", "test"))
     checks = []
     for run in runs.collect():                            # one row per grid point
@@ -355,7 +355,7 @@ def q_registered_model_scoring(spark, d):
     gold = gold_churn(spark, d).checkpoint(eager=True)
     reg = RG.Registry(spark, f"{root}/registry")
     reg.log_runs(TR.fit_grid(spark, gold, "neural_network", C.NN_GRID, "churn_experiments",
-                             model_root=f"{root}/models"))
+                             model_root=f"{root}/models", sample_rows=None))
     version = reg.register(reg.best_run("churn_experiments"), MODEL_NAME)
     reg.set_alias(MODEL_NAME, "production", version)
     model, v = RG.load_by_alias(reg, MODEL_NAME, "production", expected_schema=gold)
@@ -454,7 +454,8 @@ def q_model_input_example(spark, d):
     """The input example stored with a fitted network, read back from its artifact (K4, M9)."""
     gold = gold_churn(spark, d).checkpoint(eager=True)
     grid = [{"hidden_units": 4, "dropout": 0.0, "epochs": 1, "batch_size": 16}]
-    run = TR.fit_grid(spark, gold, "neural_network", grid, "examples", model_root=f"{work_path(spark, 'example')}/models").first()
+    run = TR.fit_grid(spark, gold, "neural_network", grid, "examples", model_root=f"{work_path(spark, 'example')}/models",
+                      sample_rows=None).first()
     return rounded(TR.input_example(spark, run.model_path).select(*C.GOLD_FEATURES[:8]))
 
 
