@@ -16,10 +16,10 @@ share of the rows, ``batch_size / sample_rows``, so an epoch has ``ceil(sample_r
 
 Where ``sample_rows`` is None, a mini-batch has ``batch_size`` rows of the table itself (the last one of an epoch what is left), so
 an epoch has ``ceil(rows / batch_size)`` steps.  They cannot be taken side by side, as each needs the weights that the one before
-it left, and a job for every eight rows would take days.  So the weights go to the rows: an epoch visits the partitions of the
+it left, and a job for every few rows would be nearly all overhead.  So the weights go to the rows: an epoch visits the partitions of the
 blocks, the shards, in an order of its own, one job each; the job's task takes the steps of the shard's rows, in the epoch's
 order, and hands on weights, moments and the gradient of the mini-batch begun.  A task holds one shard, no task the
-table, and the networks of a grid are on their way at the same time.  ``training_shards`` deals the rows at random by a hash of their contents.
+table, and the networks of a grid are on their way at the same time.  ``training_shards`` deals the rows at random by a hash of their keys.
 
 Missing features take the training mean; features are scaled by mean and population deviation (1 if that is 0), both kept in
 the artifact.
@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -242,23 +242,24 @@ def fit_scaling(train: DataFrame, features) -> Scaling:
     return Scaling(list(features), [float(m or 0.0) for m, _, _ in each], [s or 1.0 for s in scale])
 
 
-def _keyed(train: DataFrame, scaling: Scaling, label: str, of: list[str]) -> DataFrame:
-    """(key, y, x0, x1...): a hash of some columns, the label and the scaled features."""
+def _keyed(train: DataFrame, scaling: Scaling, label: str, key: Column) -> DataFrame:
+    """(key, y, x0, x1...): the key, the label and the scaled features."""
     ship_package(train.sparkSession)
     columns = [((F.coalesce(F.col(f).cast("double"), F.lit(m)) - m) / s).alias(f"x{i}") for i, (f, m, s) in enumerate(zip(*scaling))]
-    return train.select(F.xxhash64(*of).alias("key"), F.col(label).cast("double").alias("y"), *columns)
+    return train.select(key.alias("key"), F.col(label).cast("double").alias("y"), *columns)
 
 
 def training_blocks(train: DataFrame, scaling: Scaling, label: str, key: str | None = None) -> DataFrame:
     """The training rows as blocks (one per Arrow batch), scaled; ``key`` names a column that tells rows apart (else all features)."""
-    rows = _keyed(train, scaling, label, [key] if key else [*scaling.features, label])
+    rows = _keyed(train, scaling, label, F.xxhash64(*([key] if key else [*scaling.features, label])))
     return rows.mapInArrow(_pack, "keys binary, labels binary, x binary")
 
 
 def training_shards(train: DataFrame, scaling: Scaling, label: str, key: str | None = None) -> DataFrame:
-    """``training_blocks`` dealt at random to partitions of about ``SHARD`` values.  A row's place hangs on its contents and the
-    number of shards alone; rows alike in all are numbered, so that they too are dealt and shuffled apart."""
-    rows = _keyed(train, scaling, label, [*([key] if key else []), *scaling.features, label])
+    """``training_blocks`` dealt at random to partitions of about ``SHARD`` values.  A row's place hangs on its key (its contents
+    if that is null) and the number of shards alone; rows of one key are numbered, so that they too are dealt and shuffled apart."""
+    contents = F.xxhash64(*scaling.features, label)
+    rows = _keyed(train, scaling, label, F.when(F.col(key).isNull(), contents).otherwise(F.xxhash64(key)) if key else contents)
     alike = F.row_number().over(Window.partitionBy("key").orderBy(*rows.columns[1:]))
     shards = max(1, math.ceil(train.count() * len(rows.columns) / SHARD))
     return rows.withColumn("key", F.xxhash64("key", alike)).repartition(shards, "key").mapInArrow(_pack, "keys binary, labels binary, x binary")

@@ -219,10 +219,11 @@ def test_shards_do_not_hang_on_the_partitions(rows, monkeypatch):
     assert np.abs(first - other).max() < 1e-9
 
 
-def test_rows_without_key_and_rows_alike_spread_over_the_shards(spark, rows, monkeypatch):
+@pytest.mark.parametrize("key", [None, "C"])
+def test_rows_without_key_and_rows_alike_spread_over_the_shards(spark, rows, monkeypatch, key):
     monkeypatch.setattr(NN, "SHARD", 600)
-    alike = spark.createDataFrame([(None, 1.0, 2.0, None, 3.0, 0.0, 1.0)] * 300, rows.schema)
-    some = rows.withColumn("customer_id", F.lit(None).cast("string")).unionByName(alike)
+    alike = spark.createDataFrame([(key, 1.0, 2.0, None, 3.0, 0.0, 1.0)] * 300, rows.schema)
+    some = rows.withColumn("customer_id", F.lit(key).cast("string")).unionByName(alike)
     blocks, scaling = shards_of(some)
     sizes, keys = [], []
     for r in blocks.groupBy(F.spark_partition_id()).agg(F.collect_list("keys").alias("keys")).collect():
